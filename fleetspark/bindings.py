@@ -275,7 +275,8 @@ def edge_status(src: Source) -> DataFrame:
     state = upper(event_type); signal_strength_dbm = -30 - k (absent when
     event_id % 5 = 1); uptime_seconds = floor(value * 10000) (absent when
     event_id % 7 = 3); active_scenario = 'scenario' + k % 3 (only when
-    event_id % 3 = 0); firmware_version = 'fw' + k % 4.
+    event_id % 3 = 0); firmware_version = 'fw' + k % 4; device_model = esp32 for
+    even k, else esp8266.
     """
     ev = src.events
     eid = F.col("event_id")
@@ -286,6 +287,7 @@ def edge_status(src: Source) -> DataFrame:
         F.lit("uptime_seconds"), F.when(eid % 7 != 3, F.floor(F.col("value") * 10000).cast("string")),
         F.lit("active_scenario"), F.when(eid % 3 == 0, F.concat(F.lit("scenario"), (k % 3).cast("string"))),
         F.lit("firmware_version"), F.concat(F.lit("fw"), (k % 4).cast("string")),
+        F.lit("device_model"), F.when(k % 2 == 0, F.lit("esp32")).otherwise(F.lit("esp8266")),
     )
     return ev.select(
         F.lit("site").alias("site_id"),
@@ -308,19 +310,20 @@ def power_raw(src: Source) -> DataFrame:
     """
     li = src.lineitem
     ln = F.col("l_linenumber")
-    params = F.create_map(
-        F.lit("pd.wattsInSum"), F.when(ln <= 3, F.col("l_extendedprice") / 100),
-        F.lit("bmsMaster.inputWatts"), F.when((ln >= 4) & (ln <= 5), F.col("l_extendedprice") / 50),
-        F.lit("pd.wattsOutSum"), F.when(ln % 2 == 1, F.col("l_quantity") * 10),
-        F.lit("inv.outputWatts"), F.when(ln % 2 == 0, F.col("l_quantity") * 7),
-        F.lit("pd.soc"), F.round(100 - F.col("l_discount") * 1000),
-        F.lit("pd.remainTime"), F.when(ln != 2, (F.col("l_partkey") % 1440).cast("double")),
-        F.lit("pd.typec1Watts"), F.when(ln <= 4, F.col("l_tax") * 100),
-        F.lit("pd.typec2Watts"), F.when(ln >= 3, F.col("l_discount") * 100),
-        F.lit("pd.usb1Watts"), F.when(ln % 2 == 0, F.col("l_quantity")),
-        F.lit("mppt.inWatts"), F.when(F.col("l_returnflag") != "N", F.col("l_tax") * 1000),
+    # a struct so that integers stay JSON integers and NULL fields are omitted
+    params = F.struct(
+        F.when(ln <= 3, F.col("l_extendedprice") / 100).alias("pd.wattsInSum"),
+        F.when((ln >= 4) & (ln <= 5), F.col("l_extendedprice") / 50).alias("bmsMaster.inputWatts"),
+        F.when(ln % 2 == 1, F.col("l_quantity") * 10).alias("pd.wattsOutSum"),
+        F.when(ln % 2 == 0, F.col("l_quantity") * 7).alias("inv.outputWatts"),
+        F.round(100 - F.col("l_discount") * 1000).cast("int").alias("pd.soc"),
+        F.when(ln != 2, (F.col("l_partkey") % 1440).cast("int")).alias("pd.remainTime"),
+        F.when(ln <= 4, F.col("l_tax") * 100).alias("pd.typec1Watts"),
+        F.when(ln >= 3, F.col("l_discount") * 100).alias("pd.typec2Watts"),
+        F.when(ln % 2 == 0, F.col("l_quantity")).alias("pd.usb1Watts"),
+        F.when(F.col("l_returnflag") != "N", F.col("l_tax") * 1000).alias("mppt.inWatts"),
     )
-    raw = F.to_json(F.struct(F.map_filter(params, lambda _k, v: v.isNotNull()).alias("params")))
+    raw = F.to_json(F.struct(params.alias("params")))
     return li.select(
         F.col("l_suppkey").cast("string").alias("device_sn"),
         F.col("l_shipdate").alias("ts"), "l_orderkey", "l_linenumber",
@@ -328,6 +331,8 @@ def power_raw(src: Source) -> DataFrame:
         F.lit(None).cast("int").alias("watts_out_sum"),
         F.when(ln == 1, F.lit(50)).alias("soc_percent"),
         F.lit(None).cast("int").alias("remain_time_min"),
+        F.lit(None).cast("int").alias("ac_out_watts"),
+        F.lit(None).cast("int").alias("dc_out_watts"),
         F.lit(None).cast("int").alias("typec_out_watts"),
         F.lit(None).cast("int").alias("usb_out_watts"),
         F.lit(None).cast("int").alias("pv_in_watts"),

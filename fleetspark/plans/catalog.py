@@ -18,7 +18,13 @@ from fleetspark.functions.jsonmap import has_metric, metric, metric_text
 from fleetspark.operators import buckets as bk
 from fleetspark.operators import fleet as fl
 from fleetspark.operators import latest as lt
+from fleetspark.operators import alerts as al
+from fleetspark.operators import power as pw
+from fleetspark.operators import rollout as ro
 from fleetspark.operators import runs as rn
+from fleetspark.operators import updates as up
+from fleetspark.operators import upkeep as uk
+from fleetspark.sources import messages as ms
 from fleetspark.plans.context import Telemetry
 
 QUERIES: dict[str, Callable[[Telemetry], DataFrame]] = {}
@@ -396,6 +402,268 @@ def q_update_status_list(t: Telemetry) -> DataFrame:
     return fl.update_status_list(t.updates, None, "1-URGENT", 50)
 
 
+# ------------------------------------------------------------------ rollouts
+
+@query("hash_bucket")
+def q_hash_bucket(t: Telemetry) -> DataFrame:
+    """Stable bucket of every registered device and its selection at 50 %."""
+    return ro.device_buckets(t.devices, "device_id", 50)
+
+
+@query("rollout_coverage")
+def q_rollout_coverage(t: Telemetry) -> DataFrame:
+    """Share of the fleet selected at each rollout percentage."""
+    return ro.rollout_coverage(t.devices, (0, 10, 25, 40, 50, 75, 90, 100))
+
+
+@query("update_decisions")
+def q_update_decisions(t: Telemetry) -> DataFrame:
+    """J4 + R2: whole-fleet update check with reasons."""
+    return ro.update_decisions(t.devices, t.releases, t.rollouts)
+
+
+# ------------------------------------------------------------------ power transforms
+
+_RAW_KEEP = ("device_sn", "ts", "l_orderkey", "l_linenumber")
+
+
+@query("flatten_power")
+def q_flatten_power(t: Telemetry) -> DataFrame:
+    """T1 + T2: dotted snapshot keys -> typed columns and component sums."""
+    raw = t.power_raw.select(*_RAW_KEEP, F.get_json_object("raw_data", "$.params").alias("params"))
+    out = pw.flatten_power(raw, "params", _RAW_KEEP)
+    return out.select(*_RAW_KEEP, "soc_percent", "remain_time_min", "watts_in_sum", "watts_out_sum",
+                      "ac_out_watts", "pv_in_watts", "car_watts", "dc_out_watts", "typec_out_watts",
+                      "usb_out_watts", "inv_input_watts", "rejected")
+
+
+@query("power_summary")
+def q_power_summary(t: Telemetry) -> DataFrame:
+    """T3 + S12: retained summary per device (newest snapshot), dc_out_w includes type-C."""
+    raw = t.power_raw.select(*_RAW_KEEP, F.get_json_object("raw_data", "$.params").alias("params"))
+    s = pw.power_summary(raw, "params", _RAW_KEEP)
+    last = lt.latest_by(s, ["device_sn"], ["ts", "l_orderkey", "l_linenumber"], ["summary"], nulls="last")
+    return last.select("device_sn", "summary.*")
+
+
+@query("backfill")
+def q_backfill(t: Telemetry) -> DataFrame:
+    """NULL typed columns filled from raw JSON by ordered fallback keys."""
+    out = pw.backfill_power(t.power_raw, "raw_data")
+    return out.select(*_RAW_KEEP, "watts_in_sum", "watts_out_sum", "soc_percent", "remain_time_min",
+                      "ac_out_watts", "dc_out_watts", "pv_in_watts", "typec_out_watts", "usb_out_watts")
+
+
+@query("net_watts")
+def q_net_watts(t: Telemetry) -> DataFrame:
+    """T5, T7, T8, T9 row-wise: net power, watts per SOC percent, component total, scaled temperature."""
+    p = pw.scale_temp(t.power, ("bms_temp",), 10.0)
+    return p.select("device_sn", "ts", "l_orderkey", "l_linenumber",
+                    pw.net_watts().alias("net_watts"),
+                    pw.power_per_percent("watts_out_sum", "soc_percent").alias("watts_per_percent"),
+                    pw.watts_out_components("ac_out_watts", "car_watts", "typec_out_watts", "usb_out_watts")
+                    .alias("watts_out_components"),
+                    F.col("bms_temp").alias("bms_temp_scaled"))
+
+
+@query("fmt_minutes")
+def q_fmt_minutes(t: Telemetry) -> DataFrame:
+    """Remaining minutes as ``Nh Mm`` for every distinct value."""
+    return t.power.select("remain_time_min").distinct().select(
+        "remain_time_min", fm.fmt_minutes("remain_time_min").alias("remain_text"))
+
+
+@query("fmt_uptime")
+def q_fmt_uptime(t: Telemetry) -> DataFrame:
+    """The three uptime text variants for every status row that reports uptime."""
+    s = t.status.where(has_metric("uptime_seconds", "status"))
+    up = F.try_element_at("status", F.lit("uptime_seconds"))
+    return s.select("event_id", "device_id", fm.fmt_uptime(up, "coarse").alias("uptime_coarse"),
+                    fm.fmt_uptime(up, "table").alias("uptime_table"),
+                    fm.fmt_uptime(up, "detail").alias("uptime_detail"),
+                    (up.cast("double") / 3600).alias("uptime_hours"))
+
+
+@query("value_bands")
+def q_value_bands(t: Telemetry) -> DataFrame:
+    """P25: colour bands for battery SOC and BMS temperature of every power row."""
+    p = t.power
+    return p.select("device_sn", "ts", "l_orderkey", "l_linenumber",
+                    fm.band("soc_percent", [15, 30, 60], ["red", "orange", "yellow", "green"]).alias("soc_band"),
+                    fm.band("bms_temp", [30, 70, 85], ["blue", "green", "orange", "red"]).alias("temp_band"))
+
+
+@query("online_state")
+def q_online_state(t: Telemetry) -> DataFrame:
+    """3-way and 2-way online classification of every device."""
+    d = t.devices
+    as_of = t.orders_as_of
+    return d.select("device_id",
+                    pr.online_state("last_seen", as_of, ("30 days", "180 days"),
+                                    ("online", "recent", "offline")).alias("state3"),
+                    pr.online_state("last_seen", as_of, ("30 days",), ("online", "offline")).alias("state2"))
+
+
+# ------------------------------------------------------------------ ingest
+
+def _classified(t: Telemetry) -> DataFrame:
+    return ms.classify(t.messages)
+
+
+@query("parse_topics")
+def q_parse_topics(t: Telemetry) -> DataFrame:
+    """P1 + P7 + P15: parsed topic fields, subscription match and a LIKE filter flag."""
+    m = t.messages
+    pt = ms.parse_topic("topic")
+    return m.select("event_id", pt.site_id.alias("site_id"), pt.system.alias("system"),
+                    pt.device_id.alias("device_id"), pt.topic_type.alias("topic_type"),
+                    pr.topic_matches("topic", *ms.SUBSCRIPTIONS).alias("subscribed"),
+                    pr.like_filter("topic", "site/edge/%").alias("edge_topic"))
+
+
+@query("route_counts")
+def q_route_counts(t: Telemetry) -> DataFrame:
+    """P5: messages per route and reason."""
+    return _classified(t).groupBy("route", "reason").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query("rejects")
+def q_rejects(t: Telemetry) -> DataFrame:
+    """Dead-letter rows with reason."""
+    c = _classified(t)
+    return c.where(F.col("route").isin("rejected", "dropped")).select("event_id", "topic", "reason")
+
+
+@query("ingest_measurements")
+def q_ingest_measurements(t: Telemetry) -> DataFrame:
+    """S3 + P2/P3/X-6/X-7: measurement rows produced by ingest."""
+    meas = ms.to_measurements(_classified(t))
+    return meas.select("site_id", "system", "device_id", "location", "ts",
+                       metric("value").alias("value"), metric("k").alias("k"))
+
+
+@query("archive_raw")
+def q_archive_raw(t: Telemetry) -> DataFrame:
+    """Raw archive; undecodable payloads wrapped as {"raw": ...}."""
+    a = ms.archive_raw(t.messages.select("received_at", "topic", "payload", "event_id"))
+    return a.select("topic", "received_at",
+                    F.get_json_object("payload", "$.raw").isNotNull().alias("wrapped"))
+
+
+# ------------------------------------------------------------------ update tracking
+
+@query("update_attempts")
+def q_update_attempts(t: Telemetry) -> DataFrame:
+    """Update attempts folded from the OTA message log."""
+    return up.update_attempts(t.ota_messages, "seq", chunk_seconds=30 * 86400)
+
+
+@query("ota_event_log")
+def q_ota_event_log(t: Telemetry) -> DataFrame:
+    """Audit events of the OTA message path."""
+    return up.ota_event_log(t.ota_messages, "seq")
+
+
+@query("update_reports")
+def q_update_reports(t: Telemetry) -> DataFrame:
+    """Status reports with started/completed rules and CHECK validity."""
+    r = up.update_reports(t.updates)
+    return r.select("id", "device_id", "status", "report_started_at", "report_completed_at", "valid")
+
+
+@query("apply_success")
+def q_apply_success(t: Telemetry) -> DataFrame:
+    """Registry after applying success reports (newest success per device wins)."""
+    return up.apply_success(t.devices, t.updates).select("device_id", "current_firmware_version", "last_seen")
+
+
+# ------------------------------------------------------------------ alerts
+
+@query("alert_failure_rate")
+def q_alert_failure_rate(t: Telemetry) -> DataFrame:
+    """AL1: failure rate over finished attempts per firmware version (> 5 %)."""
+    return al.alert_failure_rate(t.updates, 0.05)
+
+
+@query("alert_offline_after_update")
+def q_alert_offline(t: Telemetry) -> DataFrame:
+    """AL2: devices silent for 30 days after their newest successful update."""
+    return al.alert_offline_after_update(t.devices, t.updates, t.orders_as_of, "30 days")
+
+
+@query("alert_stuck")
+def q_alert_stuck(t: Telemetry) -> DataFrame:
+    """AL3: newest attempt still in progress for more than 90 days."""
+    return al.alert_stuck(t.updates, t.orders_as_of, "90 days")
+
+
+@query("alert_power")
+def q_alert_power(t: Telemetry) -> DataFrame:
+    """AL4/AL5: power rules on each device's newest row."""
+    return al.alert_power(t.power, t.lineitem_as_of, silent="5 days", low_soc=20, high_out=300,
+                          low_remain=30, high_temp=25.0)
+
+
+# ------------------------------------------------------------------ upkeep
+
+@query("upsert_latest")
+def q_upsert_latest(t: Telemetry) -> DataFrame:
+    """Current config per (site, device) after all config messages (newest wins)."""
+    cfg = _classified(t).where(F.col("route") == "edge_config").select(
+        "site_id", "device_id", F.col("received_at").alias("updated_at"), "event_id")
+    return uk.upsert_latest(None, cfg, ["site_id", "device_id"], ["updated_at", "event_id"])
+
+
+def _sightings(t: Telemetry) -> DataFrame:
+    s = t.status
+    return s.select("device_id", F.try_element_at("status", F.lit("device_model")).alias("device_model"),
+                    F.try_element_at("status", F.lit("firmware_version")).alias("firmware_version"),
+                    F.col("ts").alias("seen_at"), F.col("event_id").alias("seq"))
+
+
+@query("upsert_devices_status")
+def q_upsert_devices_status(t: Telemetry) -> DataFrame:
+    """Registry after status sightings (model and firmware overwritten)."""
+    return uk.upsert_devices(t.devices, _sightings(t), "status")
+
+
+@query("upsert_devices_check")
+def q_upsert_devices_check(t: Telemetry) -> DataFrame:
+    """Registry after update checks (firmware overwritten, first model kept)."""
+    return uk.upsert_devices(t.devices, _sightings(t), "check")
+
+
+@query("migrate_flat")
+def q_migrate_flat(t: Telemetry) -> DataFrame:
+    """M1: wide sensor rows -> JSON metrics with NULL fields stripped."""
+    ev = t.src.events
+    k = F.get_json_object("props", "$.k").cast("int")
+    wide = ev.select(F.col("user_id").cast("string").alias("sensor_id"), "ts", "event_id",
+                     k.alias("humidity_percent"),
+                     F.when(F.col("event_id") % 6 != 5, F.floor(F.col("value") * 100).cast("int")).alias("battery_mv"),
+                     F.when(F.col("event_id") % 4 != 0, (F.col("event_id") % 50).cast("int")).alias("movement_counter"))
+    out = uk.migrate_flat(wide, "site", "sensors", ["humidity_percent", "battery_mv", "movement_counter"])
+    return out.select("site_id", "system", "device_id", "ts", "metrics")
+
+
+@query("retention")
+def q_retention(t: Telemetry) -> DataFrame:
+    """M2: power rows kept by a 90-day retention."""
+    return uk.retain(t.power, t.lineitem_as_of, 90).select("device_sn", "ts", "l_orderkey", "l_linenumber")
+
+
+@query("duplicate_keys")
+def q_duplicate_keys(t: Telemetry) -> DataFrame:
+    """(model, firmware) combinations held by more than one device."""
+    return uk.duplicate_keys(t.devices, ["device_model", "current_firmware_version"])
+
+
+@query("check_update_rows")
+def q_check_update_rows(t: Telemetry) -> DataFrame:
+    """P20: CHECK-rule violation counts of the update table."""
+    return uk.check_update_rows(t.updates)
+
+
 # ------------------------------------------------------------------ entry points
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
