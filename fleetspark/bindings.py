@@ -338,3 +338,37 @@ def power_raw(src: Source) -> DataFrame:
         F.lit(None).cast("int").alias("pv_in_watts"),
         raw.alias("raw_data"),
     )
+
+
+def flat_messages(src: Source) -> DataFrame:
+    """events -> legacy flat sensor messages on 3-level topics (topic, payload, received_at, event_id).
+
+    Payload fields: sensor_id = user_id text, temperature_c = value / 10,
+    humidity_percent = k, pressure_hpa = 1000 + k / 10, battery_mv = 2000 + k * 10,
+    movement_counter = event_id % 50. Faults: event_id % 11 = 0 drops sensor_id;
+    % 13 = 0 sends sensor_id as a number; % 17 = 0 sends temperature as text;
+    % 19 = 0 sends battery_mv as 2870.5; % 23 = 0 sends an integer temperature
+    (valid); % 29 = 0 uses a 4-level topic.
+    """
+    ev = src.events
+    eid = F.col("event_id")
+    k = F.get_json_object("props", "$.k").cast("long")
+    loc = F.concat(F.lit("zone"), (F.col("user_id") % 4).cast("string"))
+    topic = F.when(eid % 29 == 0, F.concat(F.lit("site/ruuvi/"), loc, F.lit("/data"))) \
+        .otherwise(F.concat(F.lit("site/ruuvi/"), loc))
+    sid = F.col("user_id").cast("string")
+    temp = F.col("value") / 10
+    q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))  # noqa: E731  JSON string literal
+    sensor = F.when(eid % 11 == 0, F.lit(None)).when(eid % 13 == 0, sid).otherwise(q(sid))
+    temp_txt = F.when(eid % 17 == 0, q(temp.cast("string"))) \
+        .when(eid % 23 == 0, F.floor(temp).cast("string")).otherwise(temp.cast("string"))
+    batt = F.when(eid % 19 == 0, F.lit("2870.5")).otherwise((2000 + k * 10).cast("string"))
+    fields = F.concat_ws(", ",
+                         F.when(sensor.isNotNull(), F.concat(F.lit('"sensor_id": '), sensor)),
+                         F.concat(F.lit('"temperature_c": '), temp_txt),
+                         F.concat(F.lit('"humidity_percent": '), k.cast("string")),
+                         F.concat(F.lit('"pressure_hpa": '), (1000 + k / 10).cast("string")),
+                         F.concat(F.lit('"battery_mv": '), batt),
+                         F.concat(F.lit('"movement_counter": '), (eid % 50).cast("string")))
+    return ev.select(topic.alias("topic"), F.concat(F.lit("{"), fields, F.lit("}")).alias("payload"),
+                     F.col("ts").alias("received_at"), eid)

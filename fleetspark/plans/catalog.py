@@ -24,6 +24,8 @@ from fleetspark.operators import rollout as ro
 from fleetspark.operators import runs as rn
 from fleetspark.operators import updates as up
 from fleetspark.operators import upkeep as uk
+from fleetspark import bindings as B
+from fleetspark.sources import legacy as lg
 from fleetspark.sources import messages as ms
 from fleetspark.plans.context import Telemetry
 
@@ -550,6 +552,21 @@ def q_archive_raw(t: Telemetry) -> DataFrame:
                     F.get_json_object("payload", "$.raw").isNotNull().alias("wrapped"))
 
 
+@query("validate_flat")
+def q_validate_flat(t: Telemetry) -> DataFrame:
+    """Strict flat-message validation, first failing rule per message."""
+    return lg.validate_flat(B.flat_messages(t.src), "payload").select("event_id", "ok", "error")
+
+
+@query("migrate_legacy")
+def q_migrate_legacy(t: Telemetry) -> DataFrame:
+    """M5: legacy 3-level topic + flat JSON -> new-style measurement rows (errors kept)."""
+    out = lg.migrate_legacy_message(B.flat_messages(t.src), extra_cols=["event_id"])
+    return out.select("event_id", "site_id", "system", "device_id", "location", "ts", "error",
+                      F.size("metrics").alias("n_metrics"),
+                      F.try_element_at("metrics", F.lit("temperature_c")).try_cast("double").alias("temperature"))
+
+
 # ------------------------------------------------------------------ update tracking
 
 @query("update_attempts")

@@ -800,3 +800,22 @@ SELECT COUNT(*) AS rows,
   COUNT(*) FILTER (WHERE NOT COALESCE(progress_percent BETWEEN 0 AND 100, TRUE)) AS bad_progress,
   COUNT(*) FILTER (WHERE firmware_version IS NULL) AS missing_version
 FROM updates""")
+
+# ------------------------------------------------------------------ legacy flat messages
+
+FLAT_ERROR = """CASE WHEN event_id % 11 = 0 THEN 'Missing required field: sensor_id'
+    WHEN event_id % 13 = 0 THEN 'Field ''sensor_id'' has incorrect type: expected str, got int'
+    WHEN event_id % 17 = 0 THEN 'Field ''temperature_c'' has incorrect type: expected int or float, got str'
+    WHEN event_id % 19 = 0 THEN 'Field ''battery_mv'' has incorrect type: expected int, got float' END"""
+
+sql("validate_flat")(f"""
+SELECT event_id, ({FLAT_ERROR}) IS NULL AS ok, {FLAT_ERROR} AS error FROM events""")
+
+sql("migrate_legacy")(f"""
+SELECT event_id, 'site' AS site_id, 'sensors' AS system,
+  CASE WHEN event_id % 11 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS device_id,
+  'zone' || CAST(user_id % 4 AS VARCHAR) AS location, ts,
+  CASE WHEN event_id % 29 = 0 THEN 'Not a legacy topic' ELSE {FLAT_ERROR} END AS error,
+  5 AS n_metrics,
+  ROUND(CASE WHEN event_id % 17 <> 0 AND event_id % 23 = 0 THEN floor(value / 10) ELSE value / 10 END, 6) AS temperature
+FROM events""")
