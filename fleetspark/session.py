@@ -42,15 +42,17 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    A fallback is only set when the session has none, as in local tests.
+    The session's setting is used when present; a fallback is only applied when
+    the session has none, as in local tests. The SparkContext checkpoint folder
+    is aligned with it so that ``DataFrame.checkpoint()`` writes there.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         if fallback is None:
             raise RuntimeError("spark.checkpoint.dir is not set")
-        spark.conf.set("spark.checkpoint.dir", fallback)
-        spark.sparkContext.setCheckpointDir(fallback)
         d = fallback
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
