@@ -681,6 +681,50 @@ def q_check_update_rows(t: Telemetry) -> DataFrame:
     return uk.check_update_rows(t.updates)
 
 
+# ------------------------------------------------------------------ streams (run availableNow, return the sink)
+
+def _scratch(t: Telemetry, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (a local one only when the session names none)."""
+    import os
+    import tempfile
+    import uuid
+    from fleetspark.session import checkpoint_dir
+    base = checkpoint_dir(t.spark, fallback=tempfile.mkdtemp(prefix="fleetspark-ckpt-"))
+    return os.path.join(base, "runs", f"{name}-{uuid.uuid4().hex}")
+
+
+@query("stream_ingest")
+def q_stream_ingest(t: Telemetry) -> DataFrame:
+    """ST1: messages dropped as files, ingested by a stream, counted per sink table."""
+    import os
+    from fleetspark.streaming.ingest import start_ingest
+    run = _scratch(t, "ingest")
+    drop = os.path.join(run, "drop")
+    t.messages.select("topic", "payload", "received_at").write.parquet(drop)
+    stream = t.spark.readStream.schema(ms.MESSAGE_SCHEMA).parquet(drop)
+    start_ingest(stream, os.path.join(run, "out"), os.path.join(run, "checkpoint")).awaitTermination()
+    parts = []
+    for name in ("measurements", "edge_status", "edge_config", "rejects"):
+        df = t.spark.read.parquet(os.path.join(run, "out", name))
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("sink"), "rows"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query("stream_update_attempts")
+def q_stream_update_attempts(t: Telemetry) -> DataFrame:
+    """ST4: OTA messages streamed into the attempt snapshot (same result as W9)."""
+    import os
+    from fleetspark.streaming.ingest import update_attempts_stream
+    run = _scratch(t, "attempts")
+    drop = os.path.join(run, "drop")
+    t.ota_messages.write.parquet(drop)
+    schema = t.ota_messages.schema
+    stream = t.spark.readStream.schema(schema).parquet(drop)
+    update_attempts_stream(stream, os.path.join(run, "store"), os.path.join(run, "snapshot"),
+                           os.path.join(run, "checkpoint")).awaitTermination()
+    return t.spark.read.parquet(os.path.join(run, "snapshot")).drop("kb")
+
+
 # ------------------------------------------------------------------ entry points
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,9 +81,13 @@ def bucket_avg_stream(stream: DataFrame, ts: str, value, every: str, lateness: s
     batch recompute of the touched date partitions with ``bucket_avg``.
     """
     v = F.col(value) if isinstance(value, str) else value
-    return (stream.withWatermark(ts, lateness)
-            .groupBy(bucket(ts, every).alias("time"), *by)
-            .agg(F.avg(v).alias("value"), F.count(F.lit(1)).alias("rows")))
+    # watermarks need an instant; timestamp_ntz is read as UTC (session zone) and converted back
+    ntz = dict(stream.dtypes)[ts] == "timestamp_ntz"
+    s = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
+    agg = (s.withWatermark("_event_time", lateness)
+           .groupBy(bucket("_event_time", every).alias("time"), *by)
+           .agg(F.avg(v).alias("value"), F.count(F.lit(1)).alias("rows")))
+    return agg.withColumn("time", F.col("time").cast("timestamp_ntz")) if ntz else agg
 
 
 def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot: str) -> None:
