@@ -27,7 +27,7 @@ class Source:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            self._cache[name] = spread(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -36,6 +36,20 @@ class Source:
         raise AttributeError(name)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the cluster has cores.
+
+    Large inputs are split by the file source itself (one task per block), so
+    this is a no-op at scale; a small file with a single row group would
+    otherwise run all per-row work (JSON parsing, expression evaluation) in
+    one task. Projections and filters are still pushed below the exchange.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def _state_by(k):
     """Heater state text from an integer column: HEATER_STATES[k % 7]."""
     idx = (k % len(HEATER_STATES)).cast("int")

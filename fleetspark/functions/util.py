@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def col_of(c) -> Column:
@@ -33,3 +33,16 @@ def epoch_seconds(c) -> Column:
 def seconds_between(later, earlier) -> Column:
     """``EXTRACT(EPOCH FROM later - earlier)`` as double."""
     return epoch_seconds(later) - epoch_seconds(earlier)
+
+
+def with_parsed(df: DataFrame, **exprs: Column) -> DataFrame:
+    """Add columns computed exactly once per row, e.g. a decoded JSON payload.
+
+    Catalyst substitutes projected expressions into later filters and merged
+    projections, so a parsed payload referenced k times would be parsed k
+    times. The new columns are expanded through a one-element ``inline``
+    generator, a boundary neither rewrite crosses; everything above it reads
+    plain columns.
+    """
+    packed = F.struct(*[e.alias(n) for n, e in exprs.items()])
+    return df.select(*df.columns, F.inline(F.array(packed)))

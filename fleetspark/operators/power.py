@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetspark.functions.jsonmap import MAP_SCHEMA
-from fleetspark.functions.util import col_of
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+from fleetspark.functions.util import col_of, with_parsed
 
 # Typed column <- vendor key. INTEGER columns default to 0 when the
 # key is absent (an explicit JSON null stays NULL); inputs read but not stored
@@ -56,13 +57,43 @@ TYPEC_PARTS = ("typec1_watts", "typec2_watts")
 USB_PARTS = ("usb1_watts", "usb2_watts", "qcusb1_watts", "qcusb2_watts")
 
 
-def _num(m: Column, key: str) -> Column:
-    return F.try_element_at(m, F.lit(key)).try_cast("double")
+# Keys whose JSON value is an explicit null (absent keys are not listed).
+_NULL_KEYS = r'"((?:[^"\\]|\\.)*)"\s*:\s*null'
+
 
+class _Params:
+    """Typed access to a flat dotted payload (JSON text or an already decoded map).
 
-def _get0(m: Column, key: str) -> Column:
-    """``data.get(key, 0)``: absent -> 0, explicit null -> NULL."""
-    return F.when(F.map_contains_key(m, F.lit(key)), _num(m, key)).otherwise(F.lit(0.0))
+    JSON text is parsed once, schema-on-read, into a struct of exactly the keys
+    an operator uses (numbers land as doubles, no per-key string casts). Where
+    absent and explicit-null keys must be told apart, the few null-valued keys
+    are listed as well (an empty list for almost every row).
+    """
+
+    def __init__(self, df: DataFrame, params: str, keys, presence: bool):
+        if dict(df.dtypes)[params] == "string":
+            schema = StructType([StructField(k, DoubleType()) for k in dict.fromkeys(keys)])
+            txt = F.col(params)
+            exprs = {"_pv": F.from_json(txt, schema)}
+            if presence:
+                exprs["_pn"] = F.when(txt.contains("null"), F.regexp_extract_all(txt, F.lit(_NULL_KEYS), 1)) \
+                    .otherwise(F.array().cast("array<string>"))
+            self.df = with_parsed(df, **exprs)
+            self.num = lambda k: F.col("_pv").getField(k)
+            self.is_null_key = lambda k: F.coalesce(F.array_contains(F.col("_pn"), F.lit(k)), F.lit(False))
+            self.temp = ["_pv", "_pn"] if presence else ["_pv"]
+        else:
+            m = F.col(params)
+            self.df = df
+            self.num = lambda k: F.try_element_at(m, F.lit(k)).try_cast("double")
+            self.is_null_key = lambda k: F.coalesce(F.map_contains_key(m, F.lit(k)), F.lit(False)) \
+                & F.try_element_at(m, F.lit(k)).isNull()
+            self.temp = []
+
+    def get0(self, key: str) -> Column:
+        """``data.get(key, 0)``: absent -> 0, explicit null -> NULL."""
+        v = self.num(key)
+        return F.when(v.isNotNull(), v).when(self.is_null_key(key), F.lit(None).cast("double")).otherwise(F.lit(0.0))
 
 
 def read_power_snapshots(df: DataFrame, body: str = "body") -> DataFrame:
@@ -80,10 +111,8 @@ def flatten_power(df: DataFrame, params: str = "params", keep=("device_sn", "ts"
     summed field is an explicit JSON null (the sum fails and the snapshot is
     lost, X-8). INTEGER columns round half away from zero (X-1).
     """
-    m = F.col(params)
-    if dict(df.dtypes)[params] == "string":
-        m = F.from_json(m, MAP_SCHEMA)
-    raw = {c: _get0(m, k) for c, k in INT_DEFAULT_ZERO.items()}
+    p = _Params(df, params, [*INT_DEFAULT_ZERO.values(), *NULL_DEFAULT.values()], presence=True)
+    raw = {c: p.get0(k) for c, k in INT_DEFAULT_ZERO.items()}
     cols = [F.col(c) for c in keep]
     for c, e in raw.items():
         cols.append(F.round(e).cast("int").alias(c))
@@ -92,14 +121,14 @@ def flatten_power(df: DataFrame, params: str = "params", keep=("device_sn", "ts"
     cols.append(F.round(total(TYPEC_PARTS)).cast("int").alias("typec_out_watts"))
     cols.append(F.round(total(USB_PARTS)).cast("int").alias("usb_out_watts"))
     for c, k in NULL_DEFAULT.items():
-        v = _num(m, k)
+        v = p.num(k)
         cols.append((F.round(v).cast("int") if c in INT_NULL_DEFAULT else v).alias(c))
     summed = set(DC_PARTS) | set(TYPEC_PARTS)
     bad = F.lit(False)
-    for c in summed:
-        bad = bad | raw[c].isNull()
+    for c in sorted(summed):
+        bad = bad | p.is_null_key(INT_DEFAULT_ZERO[c])
     cols.append(bad.alias("rejected"))
-    return df.select(*cols)
+    return p.df.select(*cols)
 
 
 def flatten_power_nested(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -125,17 +154,18 @@ def flatten_power_nested(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 def power_summary(df: DataFrame, params: str = "params", keep=("device_sn", "ts")) -> DataFrame:
     """T3 + S12: compact summary; ``dc_out_w`` here includes type-C (unlike T2)."""
-    m = F.col(params)
-    if dict(df.dtypes)[params] == "string":
-        m = F.from_json(m, MAP_SCHEMA)
+    dc_keys = ("pd.carWatts", "pd.usb1Watts", "pd.usb2Watts", "pd.qcUsb1Watts", "pd.qcUsb2Watts",
+               "pd.typec1Watts", "pd.typec2Watts")
+    other = ("bmsMaster.soc", "mppt.inWatts", "inv.inputWatts", "inv.outputWatts", "pd.wattsInSum", "pd.wattsOutSum")
+    p = _Params(df, params, [*dc_keys, *other], presence=True)
     dc = None
-    for k in ("pd.carWatts", "pd.usb1Watts", "pd.usb2Watts", "pd.qcUsb1Watts", "pd.qcUsb2Watts",
-              "pd.typec1Watts", "pd.typec2Watts"):
-        dc = _get0(m, k) if dc is None else dc + _get0(m, k)
-    body = F.struct(_get0(m, "bmsMaster.soc").alias("soc"), _get0(m, "mppt.inWatts").alias("solar_w"),
-                    _get0(m, "inv.inputWatts").alias("ac_in_w"), _get0(m, "inv.outputWatts").alias("ac_out_w"),
-                    dc.alias("dc_out_w"), _get0(m, "pd.wattsInSum").alias("watts_in"),
-                    _get0(m, "pd.wattsOutSum").alias("watts_out"))
+    for k in dc_keys:
+        dc = p.get0(k) if dc is None else dc + p.get0(k)
+    body = F.struct(p.get0("bmsMaster.soc").alias("soc"), p.get0("mppt.inWatts").alias("solar_w"),
+                    p.get0("inv.inputWatts").alias("ac_in_w"), p.get0("inv.outputWatts").alias("ac_out_w"),
+                    dc.alias("dc_out_w"), p.get0("pd.wattsInSum").alias("watts_in"),
+                    p.get0("pd.wattsOutSum").alias("watts_out"))
+    df = p.df
     return df.select(*[F.col(c) for c in keep], body.alias("summary"),
                      F.to_json(body).alias("payload"))
 
@@ -186,16 +216,21 @@ def backfill_power(df: DataFrame, raw: str = "raw_data") -> DataFrame:
     when typec1 is NULL (X-9) and the ``> 0`` guard. Columns missing from
     ``df`` are added as NULL first.
     """
-    m = F.from_json(F.get_json_object(col_of(raw), "$.params"), MAP_SCHEMA)
-    out = df
+    out = df.withColumn("_params_text", F.get_json_object(col_of(raw), "$.params"))
+    keys = [k for ks in BACKFILL.values() for k in ks] + ["pd.typec1Watts", "pd.typec2Watts", "pd.usb1Watts",
+                                                          "pd.usb2Watts", "pd.qcUsb1Watts", "pd.qcUsb2Watts"]
+    # a key present with a JSON null changes nothing here (COALESCE of NULLs into a NULL
+    # column), so "key exists" can be read as "value is not NULL"
+    p = _Params(out, "_params_text", keys, presence=False)
+    out = p.df
     for c in list(BACKFILL) + ["typec_out_watts", "usb_out_watts"]:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast("double"))
-    has = lambda k: F.coalesce(F.map_contains_key(m, F.lit(k)), F.lit(False))
-    num = lambda k: _num(m, k)
+    num = p.num
+    has = lambda k: num(k).isNotNull()
     sets = {}
     for c, keys in BACKFILL.items():
-        vals = [F.try_element_at(m, F.lit(k)).try_cast("int") if c in BACKFILL_INT else num(k) for k in keys]
+        vals = [num(k).cast("int") if c in BACKFILL_INT else num(k) for k in keys]
         cond = F.col(c).isNull() & F.col(raw).isNotNull()
         any_key = F.lit(False)
         for k in keys:
@@ -216,4 +251,4 @@ def backfill_power(df: DataFrame, raw: str = "raw_data") -> DataFrame:
     types = dict(out.dtypes)
     # INTEGER targets round on assignment (X-1)
     sets = {c: (F.round(e).cast("int") if types[c] in ("int", "bigint") else e) for c, e in sets.items()}
-    return out.withColumns(sets)
+    return out.withColumns(sets).drop("_params_text", *p.temp)

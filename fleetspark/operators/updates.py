@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.jsonmap import MAP_SCHEMA
+from fleetspark.functions.util import with_parsed
 from fleetspark.operators.runs import running_count, time_chunk
 
 # Statuses allowed by the update-status table.
@@ -44,7 +45,8 @@ def _truthy(v: Column) -> Column:
 def parse_update_messages(msgs: DataFrame, seq: str = "seq") -> DataFrame:
     """Fields each OTA message writes. Columns added: is_insert, fw, new_status,
     sets_pct, pct, is_result, error, rejected."""
-    m = F.from_json(F.col("payload"), MAP_SCHEMA)
+    msgs = with_parsed(msgs, _payload_map=F.from_json(F.col("payload"), MAP_SCHEMA))
+    m = F.col("_payload_map")
     kind = F.col("kind")
     ver = _version(m)
     state = F.lower(F.coalesce(F.try_element_at(m, F.lit("state")), F.lit("")))
@@ -60,7 +62,8 @@ def parse_update_messages(msgs: DataFrame, seq: str = "seq") -> DataFrame:
                 .when(kind == "progress", F.coalesce((pct < 0) | (pct > 100), F.lit(False)))
                 .otherwise(F.lit(False)))
     return msgs.select(
-        "*", (kind == "status").alias("is_insert"), ver["version"].alias("fw"),
+        *[c for c in msgs.columns if c != "_payload_map"],
+        (kind == "status").alias("is_insert"), ver["version"].alias("fw"),
         new_status.alias("new_status"),
         ((kind == "progress") | ((kind == "result") & success)).alias("sets_pct"),
         F.when(kind == "progress", pct).when(kind == "result", F.lit(100)).alias("pct"),

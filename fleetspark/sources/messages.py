@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 from fleetspark.functions.jsonmap import MAP_SCHEMA
-from fleetspark.functions.util import col_of
+from fleetspark.functions.util import col_of, with_parsed
 
 MESSAGE_SCHEMA = StructType([
     StructField("topic", StringType()),
@@ -85,8 +85,8 @@ def classify(messages: DataFrame) -> DataFrame:
     """
     t = parse_topic("topic")
     d = decode_payload("payload")
-    tmp = messages.select("*", t.alias("t"), d["body"].alias("body"), d["bad_json"].alias("_bad_json"),
-                          d["not_object"].alias("_not_object"), d["variant"].alias("_v"))
+    tmp = with_parsed(messages, t=t, body=d["body"], _bad_json=d["bad_json"], _not_object=d["not_object"],
+                      _v=d["variant"])
     body = F.col("body")
     ts = timestamp_of(body, "received_at")
     ttype, system = F.col("t.topic_type"), F.col("t.system")
