@@ -2,8 +2,8 @@
 
 Joins are equi-joins on device_id between per-device aggregates (one row per
 device, already hash-partitioned by the aggregation) and the device registry;
-release lookups are bounded by models x versions and broadcast behind a size
-check. Top-k views end in ``orderBy(...).limit(n)`` (TakeOrderedAndProject:
+release lookups are bounded by models x versions; AQE broadcasts them when their
+measured size is small. Top-k views end in ``orderBy(...).limit(n)`` (TakeOrderedAndProject:
 per-partition top-k, then a merge of n rows per task).
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fleetspark.functions.formats import fmt_age, fmt_uptime, status_label
 from fleetspark.functions.predicates import ACTIVE_UPDATE_STATUSES, online_state, trailing
 from fleetspark.functions.util import col_of, lit_of, round_int, seconds_between
-from fleetspark.operators.joins import broadcast_if_small
+from fleetspark.operators.joins import join_lookup
 from fleetspark.operators.latest import latest_by
 
 
@@ -121,8 +121,7 @@ def latest_release(releases: DataFrame) -> DataFrame:
 
 def up_to_date_count(devices: DataFrame, releases: DataFrame) -> DataFrame:
     """Devices whose firmware equals the newest release of their model."""
-    lr = broadcast_if_small(latest_release(releases))
-    j = devices.join(lr, on="device_model", how="left")
+    j = join_lookup(devices, latest_release(releases), "device_model")
     return j.agg(F.count_if(F.col("current_firmware_version") == F.col("latest_version")).alias("uptodate"))
 
 
@@ -156,9 +155,9 @@ def device_overview(devices: DataFrame, status: DataFrame, updates: DataFrame, r
     ls = latest_by(status, ["device_id"], ["ts", "event_id"], ["status", "ts"], nulls="first") \
         .withColumnRenamed("ts", "last_status_ts")
     lu = _latest_update(updates).select("device_id", F.col("status").alias("update_status"))
-    lr = broadcast_if_small(latest_release(releases))
     d = devices.where(F.col("device_id").rlike(device_filter))
-    j = d.join(ls, "device_id", "left").join(lu, "device_id", "left").join(lr, "device_model", "left")
+    j = join_lookup(d.join(ls, "device_id", "left").join(lu, "device_id", "left"), latest_release(releases),
+                    "device_model")
     st = F.col("status")
     up = F.try_element_at(st, F.lit("uptime_seconds"))
     ustat = F.col("update_status")

@@ -1,33 +1,44 @@
-"""Join helpers with a checked broadcast.
-
-A side is broadcast only after its row count is proven below a bound (a
-``limit(bound + 1).count()`` that stops early); otherwise the join is left to
-Catalyst/AQE, which picks a shuffle join and can still demote it to a
-broadcast at runtime from real stage statistics.
+"""Joins against small derived lookups, with the broadcast decided on measured size.
+
+Lookups such as "newest release per model" are aggregates whose size is
+bounded by models x versions, not by the data, but that bound is a property
+of the data, not of the plan. Broadcasting is therefore left to adaptive
+query execution: the lookup's shuffle stage runs first, and AQE turns the
+join into a broadcast hash join only when the *measured* size of that stage is
+below ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a
+shuffle join (and skewed partitions are split). No extra job recomputes the
+lookup to count it.
+
+For an input that is small by construction (a literal list, a bounded
+parameter table), ``broadcast_bounded`` applies the hint after an explicit,
+early-stopping row-count check.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Runtime broadcast limit for measured lookup stages (bytes).
+LOOKUP_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def small_enough(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def enable_measured_broadcast(spark, max_bytes: int = LOOKUP_BROADCAST_BYTES) -> None:
+    """Let AQE broadcast a join side whose materialized stage is below ``max_bytes``."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(max_bytes))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven size bound."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
+def join_lookup(fact: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a derived lookup; AQE broadcasts it only if its measured size is small
+    (threshold set by ``session.prepare``)."""
+    return fact.join(lookup, on=on, how=how)
 
 
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join a (usually small) dimension onto a fact table, broadcasting it if proven small."""
-    return fact.join(broadcast_if_small(dim, max_rows), on=on, how=how)
+def small_enough(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def eq(a: str, b: str) -> Column:
-    return F.col(a) == F.col(b)
+def broadcast_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast hint for a side proven to hold at most ``max_rows`` rows."""
+    return F.broadcast(df) if small_enough(df, max_rows) else df

@@ -98,9 +98,11 @@ class _Params:
 
 def read_power_snapshots(df: DataFrame, body: str = "body") -> DataFrame:
     """Envelope ``{code, data}``; code != "0" or empty data means no snapshot."""
-    env = F.from_json(col_of(body), "struct<code:string,message:string,data:map<string,string>>")
-    return (df.withColumn("_env", env)
-            .where((F.col("_env.code") == "0") & (F.size(F.col("_env.data")) > 0))
+    # data stays JSON text (a string field keeps the raw object) for schema-on-read later
+    env = F.from_json(col_of(body), "struct<code:string,message:string,data:string>")
+    out = with_parsed(df, _env=env)
+    return (out.where((F.col("_env.code") == "0")
+                      & F.coalesce(F.size(F.json_object_keys(F.col("_env.data"))) > 0, F.lit(False)))
             .withColumn("params", F.col("_env.data")).drop("_env"))
 
 
@@ -131,7 +133,7 @@ def flatten_power(df: DataFrame, params: str = "params", keep=("device_sn", "ts"
     return p.df.select(*cols)
 
 
-def flatten_power_nested(df: DataFrame, payload: str = "payload") -> DataFrame:
+def flatten_power_nested(df: DataFrame, payload: str = "payload", keep=()) -> DataFrame:
     """T4: nested payload ``{sn, params{..., bmsMaster{..}, inv{..}}}`` with Python-``or``
     fallback: a 0 falls through to the fallback like NULL (X-5)."""
     p = F.col(payload)
@@ -139,6 +141,7 @@ def flatten_power_nested(df: DataFrame, payload: str = "payload") -> DataFrame:
     orr = lambda a, b: F.coalesce(F.nullif(a, F.lit(0.0)), b)
     # a 0 primary with a missing fallback yields the fallback (NULL), as `0 or None` does
     return df.select(
+        *[F.col(c) for c in keep],
         F.coalesce(F.get_json_object(p, "$.sn"), F.lit("unknown")).alias("device_sn"),
         orr(g("$.params.soc"), g("$.params.bmsMaster.soc")).alias("soc_percent"),
         g("$.params.remainTime").alias("remain_time_min"),

@@ -3,7 +3,7 @@
 The per-request update check is evaluated for the whole fleet in one job:
 devices (large) are joined with the newest release per model and the newest
 active rollout per (model, version); both lookups are bounded by models x
-versions and broadcast only behind a size check.
+versions; AQE broadcasts them when their measured size is small.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fleetspark.functions.hashing import hash_bucket, percentage_match
 from fleetspark.functions.util import col_of
 from fleetspark.operators.fleet import latest_release
-from fleetspark.operators.joins import broadcast_if_small
+from fleetspark.operators.joins import join_lookup
 
 FILTER_SCHEMA = "struct<device_ids:array<string>>"
 
@@ -71,11 +71,9 @@ def update_decisions(devices: DataFrame, releases: DataFrame, rollouts: DataFram
     no_release -> up_to_date -> no_rollout -> not_eligible -> update, in the
     order the update check applies them.
     """
-    lr = broadcast_if_small(latest_release(releases))
-    ar = broadcast_if_small(latest_active_rollout(rollouts))
-    j = (devices.select("device_id", "device_model", F.col("current_firmware_version").alias("current_version"))
-         .join(lr, "device_model", "left")
-         .join(ar, ["device_model", "latest_version"], "left"))
+    d = devices.select("device_id", "device_model", F.col("current_firmware_version").alias("current_version"))
+    j = join_lookup(join_lookup(d, latest_release(releases), "device_model"),
+                    latest_active_rollout(rollouts), ["device_model", "latest_version"])
     elig = eligible(F.col("device_id"), F.col("target_type"), F.col("target_filter"), F.col("rollout_percentage"))
     reason = (F.when(F.col("latest_version").isNull(), "no_release")
               .when(F.col("latest_version") == F.col("current_version"), "up_to_date")

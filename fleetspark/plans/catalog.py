@@ -28,6 +28,7 @@ from fleetspark import bindings as B
 from fleetspark.sources import legacy as lg
 from fleetspark.sources import messages as ms
 from fleetspark.plans.context import Telemetry
+from fleetspark.schemas import POWER_SCHEMA
 
 QUERIES: dict[str, Callable[[Telemetry], DataFrame]] = {}
 
@@ -171,18 +172,14 @@ _POWER_ORDER = ["ts", "l_orderkey", "l_linenumber"]
 def q_latest_value(t: Telemetry) -> DataFrame:
     """W2 + T7: newest value per device, NULL -> 0, and the newest net power."""
     p = t.power
-    ok = lt.order_key(_POWER_ORDER, "last")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return p.groupBy("device_sn").agg(
-        F.max_by(z("soc_percent"), ok).alias("soc"),
-        F.max_by(z("watts_in_sum"), ok).alias("watts_in"),
-        F.max_by(z("watts_out_sum"), ok).alias("watts_out"),
-        F.max_by(z("pv_in_watts"), ok).alias("pv_in"),
-        F.max_by(F.coalesce(F.col("bms_temp"), F.lit(0.0)), ok).alias("bms_temp"),
-        F.max_by(F.col("inv_out_temp"), ok).alias("inv_out_temp_raw"),
-        F.max_by(z("watts_in_sum") - z("watts_out_sum"), ok).alias("net_watts"),
-        F.max_by(fm.fmt_minutes(F.col("remain_time_min")), ok).alias("remain_text"),
-    )
+    last = p.groupBy("device_sn").agg(F.max_by(F.struct(
+        z("soc_percent").alias("soc"), z("watts_in_sum").alias("watts_in"), z("watts_out_sum").alias("watts_out"),
+        z("pv_in_watts").alias("pv_in"), F.coalesce(F.col("bms_temp"), F.lit(0.0)).alias("bms_temp"),
+        F.col("inv_out_temp").alias("inv_out_temp_raw"),
+        (z("watts_in_sum") - z("watts_out_sum")).alias("net_watts"),
+        fm.fmt_minutes(F.col("remain_time_min")).alias("remain_text")), lt.order_key(_POWER_ORDER, "last")).alias("r"))
+    return last.select("device_sn", "r.*")
 
 
 @query("latest_non_null")
@@ -506,6 +503,46 @@ def q_online_state(t: Telemetry) -> DataFrame:
                     pr.online_state("last_seen", as_of, ("30 days",), ("online", "offline")).alias("state2"))
 
 
+@query("power_snapshots")
+def q_power_snapshots(t: Telemetry) -> DataFrame:
+    """S2 + T1: polled responses -> snapshots (code "0" with data only) -> typed rows."""
+    env = B.power_envelopes(t.src)
+    snaps = pw.read_power_snapshots(env, "body")
+    out = pw.flatten_power(snaps, "params", _RAW_KEEP)
+    return out.select(*_RAW_KEEP, "soc_percent", "watts_in_sum", "watts_out_sum", "typec_out_watts")
+
+
+@query("flatten_nested")
+def q_flatten_nested(t: Telemetry) -> DataFrame:
+    """T4 + X-5: nested payloads with Python-``or`` fallbacks."""
+    n = B.nested_snapshots(t.src)
+    return pw.flatten_power_nested(n.select("l_orderkey", "l_linenumber", "payload"), "payload", 
+                                   keep=("l_orderkey", "l_linenumber"))
+
+
+@query("bucket_avg_scaled")
+def q_bucket_avg_scaled(t: Telemetry) -> DataFrame:
+    """Weekly mean remaining time in hours (``AVG(min)/60``)."""
+    return bk.bucket_avg(t.power, "ts", "remain_time_min", "7 days", scale=1 / 60, metric="Remaining (h)")
+
+
+@query("power_series")
+def q_power_series(t: Telemetry) -> DataFrame:
+    """O2 + P17 + P11: raw series over the last 60 days where any temperature is set."""
+    p = t.power
+    as_of = t.lineitem_as_of
+    return fl.series(p, ["ts", "device_sn", "l_orderkey", "l_linenumber", "bms_temp", "inv_out_temp", "mppt_temp"],
+                     where=pr.any_not_null("bms_temp", "inv_out_temp"),
+                     start=as_of - F.expr("INTERVAL 60 DAYS"), end=as_of, closed="both")
+
+
+@query("align_schema")
+def q_align_schema(t: Telemetry) -> DataFrame:
+    """M3: raw power rows aligned to the full typed power schema (missing columns NULL)."""
+    out = uk.align_schema(t.power_raw.drop("raw_data"), POWER_SCHEMA)
+    return out.select(*[f.name for f in POWER_SCHEMA.fields], "l_orderkey", "l_linenumber")
+
+
 # ------------------------------------------------------------------ ingest
 
 def _classified(t: Telemetry) -> DataFrame:

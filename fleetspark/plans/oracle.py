@@ -829,3 +829,44 @@ UNION ALL SELECT 'edge_config', COUNT(*) FILTER (WHERE route = 'edge_config') FR
 UNION ALL SELECT 'rejects', COUNT(*) FILTER (WHERE route IN ('rejected', 'dropped')) FROM routed""")
 
 SQL["stream_update_attempts"] = SQL["update_attempts"]
+
+# ------------------------------------------------------------------ snapshots, nested payloads, schema
+
+sql("power_snapshots", "raw")(f"""
+SELECT {RAW_KEYS}, 0 AS soc_percent, {_i('COALESCE(k_watts_in, 0)')} AS watts_in_sum,
+  {_i('COALESCE(k_watts_out, 0)')} AS watts_out_sum,
+  {_i('COALESCE(k_typec1, 0) + COALESCE(k_typec2, 0)')} AS typec_out_watts
+FROM raw WHERE l_linenumber NOT IN (6, 7)""")
+
+sql("flatten_nested")("""
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN l_linenumber = 5 THEN 'unknown' ELSE CAST(l_suppkey AS VARCHAR) END AS device_sn,
+  CAST(ROUND(100 - l_discount * 1000) AS DOUBLE) AS soc_percent,
+  CAST(l_partkey % 1440 AS DOUBLE) AS remain_time_min,
+  ROUND(CASE WHEN l_linenumber % 2 = 1 AND l_extendedprice <> 0 THEN l_extendedprice / 100
+             ELSE l_extendedprice / 200 END, 6) AS watts_in_sum,
+  ROUND(l_quantity * 10, 6) AS watts_out_sum, ROUND(l_quantity * 7, 6) AS ac_out_watts,
+  CAST(NULL AS DOUBLE) AS dc_out_watts, CAST(NULL AS DOUBLE) AS typec_out_watts, CAST(NULL AS DOUBLE) AS usb_out_watts,
+  ROUND(CASE WHEN l_returnflag <> 'N' THEN l_tax * 1000 END, 6) AS pv_in_watts
+FROM lineitem""")
+
+sql("bucket_avg_scaled", "power")(f"""
+SELECT {tb('7 days')} AS time, ROUND(AVG(remain_time_min) * (CAST(1 AS DOUBLE) / 60), 6) AS value,
+  'Remaining (h)' AS metric
+FROM power GROUP BY 1""")
+
+sql("power_series", "power")(f"""
+SELECT ts, device_sn, l_orderkey, l_linenumber, ROUND(bms_temp, 6) AS bms_temp, ROUND(inv_out_temp, 6) AS inv_out_temp,
+  ROUND(mppt_temp, 6) AS mppt_temp
+FROM power WHERE (bms_temp IS NOT NULL OR inv_out_temp IS NOT NULL)
+  AND ts BETWEEN {AS_OF['lineitem']} - INTERVAL '60 days' AND {AS_OF['lineitem']}""")
+
+sql("align_schema", "raw")("""
+SELECT device_sn, ts, soc_percent, CAST(NULL AS INTEGER) AS remain_time_min, watts_in_sum,
+  CAST(NULL AS INTEGER) AS watts_out_sum, CAST(NULL AS INTEGER) AS ac_out_watts, CAST(NULL AS INTEGER) AS dc_out_watts,
+  CAST(NULL AS INTEGER) AS typec_out_watts, CAST(NULL AS INTEGER) AS usb_out_watts, CAST(NULL AS INTEGER) AS pv_in_watts,
+  CAST(NULL AS INTEGER) AS car_watts, CAST(NULL AS INTEGER) AS bms_cycles,
+  CAST(NULL AS DOUBLE) AS inv_out_temp, CAST(NULL AS DOUBLE) AS bms_temp, CAST(NULL AS DOUBLE) AS mppt_temp,
+  CAST(NULL AS DOUBLE) AS inv_input_watts, CAST(NULL AS DOUBLE) AS bms_vol, CAST(NULL AS DOUBLE) AS bms_amp,
+  l_orderkey, l_linenumber
+FROM raw""")
