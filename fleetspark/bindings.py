@@ -35,6 +35,10 @@ class Source:
             self._cache[name] = spread(df) if name in FACT_TABLES else df
         return self._cache[name]
 
+    def scan(self, name: str) -> DataFrame:
+        """The table as stored (no spreading), for cheap scans such as a column maximum."""
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.table(name)

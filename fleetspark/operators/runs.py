@@ -25,42 +25,50 @@ def time_chunk(ts, width_seconds: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(width_seconds)).cast("long")
 
 
-def carry_previous(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str],
-                   value: str, out: str) -> DataFrame:
-    """Add ``out`` = value of the previous row per ``keys`` in ``order`` and
-    ``out + '_exists'`` (false only for the first row of a key).
-
-    ``order`` must be unique within keys. Exact across chunk boundaries.
+def number_runs(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], value: str,
+                starts_run, out: str) -> DataFrame:
+    """Add ``out``: 1-based run number per ``keys`` in ``order``, where a row opens a new
+    run when it is the first of its key or ``starts_run(previous_value, value)`` holds.
+
+    One window pass per (key, chunk) gives the previous value and the local
+    count of run starts; the per-chunk summary (first value, last value, local
+    starts) is aggregated from that same pass, scanned per key to get the
+    starts before each chunk, and joined back on (key, chunk). ``order`` must be
+    unique within a key. Exact for any chunk width.
     """
     keys = list(keys)
     w = Window.partitionBy(*keys, chunk).orderBy(*order)
-    ranked = df.withColumn("_rn", F.row_number().over(w)).withColumn(out, F.lag(value).over(w))
+    wcum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    r = (df.withColumn("_rn", F.row_number().over(w))
+         .withColumn("_prev", F.lag(value).over(w)))
+    r = r.withColumn("_flag", ((F.col("_rn") > 1) & starts_run(F.col("_prev"), F.col(value))).cast("long"))
+    r = r.withColumn("_local", F.sum("_flag").over(wcum))
     ok = F.struct(*[F.col(o) for o in order])
     wc = Window.partitionBy(*keys).orderBy(chunk)
-    summ = (df.groupBy(*keys, chunk).agg(F.max_by(F.col(value), ok).alias("_last"))
-            .select(*keys, chunk, F.lag("_last").over(wc).alias("_prev_last"),
-                    F.lag(F.lit(True)).over(wc).isNotNull().alias("_prev_chunk")))
-    joined = ranked.join(summ, on=[*keys, chunk], how="left")
-    first = F.col("_rn") == 1
-    return (joined.withColumn(out, F.when(first, F.col("_prev_last")).otherwise(F.col(out)))
-            .withColumn(out + "_exists", ~first | F.col("_prev_chunk"))
-            .drop("_rn", "_prev_last", "_prev_chunk"))
+    summ = (r.groupBy(*keys, chunk)
+            .agg(F.min_by(value, ok).alias("_first"), F.max_by(value, ok).alias("_last"), F.max("_local").alias("_n"))
+            .withColumn("_fs", (F.lag(F.lit(1)).over(wc).isNull()
+                                | starts_run(F.lag("_last").over(wc), F.col("_first"))).cast("long")))
+    summ = summ.withColumn("_off", F.coalesce(
+        F.sum(F.col("_n") + F.col("_fs")).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (r.join(summ.select(*keys, chunk, "_fs", "_off"), on=[*keys, chunk], how="left")
+            .withColumn(out, F.col("_off") + F.col("_fs") + F.col("_local"))
+            .drop("_rn", "_prev", "_flag", "_local", "_fs", "_off"))
 
 
 def running_count(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str],
                   flag: str, out: str) -> DataFrame:
     """Add ``out`` = number of rows with ``flag`` true up to and including this row,
-    per ``keys`` in ``order``. Exact across chunk boundaries."""
+    per ``keys`` in ``order``. The per-chunk totals come from the same window
+    pass (one shuffle of the rows). Exact across chunk boundaries."""
     keys = list(keys)
-    f = F.col(flag).cast("long")
     w = (Window.partitionBy(*keys, chunk).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn("_local", F.sum(f).over(w))
-    tot = (df.groupBy(*keys, chunk).agg(F.sum(f).alias("_tot"))
-           .withColumn("_off", F.coalesce(F.sum("_tot").over(
-               Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .select(*keys, chunk, "_off"))
-    return (local.join(tot, on=[*keys, chunk], how="left")
+    r = df.withColumn("_local", F.sum(F.col(flag).cast("long")).over(w))
+    wc = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    tot = (r.groupBy(*keys, chunk).agg(F.max("_local").alias("_n"))
+           .select(*keys, chunk, F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_off")))
+    return (r.join(tot, on=[*keys, chunk], how="left")
             .withColumn(out, F.col("_local") + F.col("_off")).drop("_local", "_off"))
 
 
@@ -73,9 +81,7 @@ def state_intervals(df: DataFrame, keys: Sequence[str], ts: str, state: str,
     """
     keys = list(keys)
     d = df.select(*keys, ts, tiebreak, F.col(state).alias("_state")).withColumn("_chunk", time_chunk(ts, chunk_seconds))
-    d = carry_previous(d, keys, "_chunk", [ts, tiebreak], "_state", "_prev")
-    d = d.withColumn("_start", ~F.col("_prev_exists") | ~F.col("_state").eqNullSafe(F.col("_prev")))
-    d = running_count(d, keys, "_chunk", [ts, tiebreak], "_start", "run")
+    d = number_runs(d, keys, "_chunk", [ts, tiebreak], "_state", lambda prev, cur: ~prev.eqNullSafe(cur), "run")
     return (d.groupBy(*keys, "run").agg(
                 F.first("_state").alias("state"),
                 F.min(ts).alias("start"), F.max(ts).alias("end"),
@@ -91,8 +97,6 @@ def gap_segments(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, max
     keys = list(keys)
     gap_s = F.expr(f"INTERVAL '{max_gap}'")
     d = df.select(*keys, ts, tiebreak).withColumn("_chunk", time_chunk(ts, chunk_seconds))
-    d = carry_previous(d, keys, "_chunk", [ts, tiebreak], ts, "_prev_ts")
-    d = d.withColumn("_start", ~F.col("_prev_ts_exists") | (F.col(ts) - F.col("_prev_ts") > gap_s))
-    d = running_count(d, keys, "_chunk", [ts, tiebreak], "_start", "segment")
+    d = number_runs(d, keys, "_chunk", [ts, tiebreak], ts, lambda prev, cur: (cur - prev) > gap_s, "segment")
     return d.groupBy(*keys, "segment").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
                                            F.count(F.lit(1)).alias("rows"))

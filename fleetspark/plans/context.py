@@ -62,7 +62,7 @@ class Telemetry:
 
     # as_of scalars ------------------------------------------------------
     def max_of(self, table: str, col: str) -> Column:
-        return self.src.table(table).agg(F.max(col)).scalar()
+        return self.src.scan(table).agg(F.max(col)).scalar()
 
     @property
     def events_as_of(self) -> Column:
