@@ -258,8 +258,8 @@ FROM (SELECT DISTINCT ON (device_id) device_id, s_state, s_scenario FROM status
 
 sql("state_intervals", "measurements")("""
 SELECT device_id, run, min(m_heater_state) AS state, min(ts) AS start, max(ts) AS "end", COUNT(*) AS rows
-FROM (SELECT *, SUM(CASE WHEN prev IS NULL OR prev <> m_heater_state THEN 1 ELSE 0 END)
-                 OVER (PARTITION BY device_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run
+FROM (SELECT *, CAST(SUM(CASE WHEN prev IS NULL OR prev <> m_heater_state THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY device_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS run
       FROM (SELECT device_id, ts, event_id, m_heater_state,
                    lag(m_heater_state) OVER (PARTITION BY device_id ORDER BY ts, event_id) AS prev
             FROM measurements WHERE m_heater_state IS NOT NULL))
@@ -267,8 +267,8 @@ GROUP BY device_id, run""")
 
 sql("gap_segments", "measurements")("""
 SELECT device_id, segment, min(ts) AS start, max(ts) AS "end", COUNT(*) AS rows
-FROM (SELECT *, SUM(CASE WHEN prev IS NULL OR ts - prev > INTERVAL '4 hours' THEN 1 ELSE 0 END)
-                 OVER (PARTITION BY device_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS segment
+FROM (SELECT *, CAST(SUM(CASE WHEN prev IS NULL OR ts - prev > INTERVAL '4 hours' THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY device_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment
       FROM (SELECT device_id, ts, event_id, lag(ts) OVER (PARTITION BY device_id ORDER BY ts, event_id) AS prev
             FROM measurements))
 GROUP BY device_id, segment""")
@@ -471,7 +471,8 @@ SELECT device_id, {hash_fold('device_id')} AS bucket, {hash_fold('device_id')} <
 
 sql("rollout_coverage", "devices")(f"""
 SELECT percentage,
-  SUM(CASE WHEN percentage >= 100 THEN 1 WHEN percentage <= 0 THEN 0 WHEN bucket < percentage THEN 1 ELSE 0 END) AS selected,
+  CAST(SUM(CASE WHEN percentage >= 100 THEN 1 WHEN percentage <= 0 THEN 0 WHEN bucket < percentage THEN 1 ELSE 0 END)
+       AS BIGINT) AS selected,
   COUNT(*) AS total,
   ROUND(CAST(SUM(CASE WHEN percentage >= 100 THEN 1 WHEN percentage <= 0 THEN 0 WHEN bucket < percentage THEN 1 ELSE 0 END)
         AS DOUBLE) / COUNT(*), 6) AS share
@@ -676,8 +677,8 @@ SELECT device_id, attempt,
   max(received_at) FILTER (WHERE kind = 'result') AS completed_at,
   max(received_at) AS reported_at,
   COUNT(*) AS messages
-FROM (SELECT *, SUM(CASE WHEN kind = 'status' THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY device_id ORDER BY received_at, seq ROWS UNBOUNDED PRECEDING) AS attempt,
+FROM (SELECT *, CAST(SUM(CASE WHEN kind = 'status' THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY device_id ORDER BY received_at, seq ROWS UNBOUNDED PRECEDING) AS BIGINT) AS attempt,
         CASE kind WHEN 'status' THEN 'pending' WHEN 'progress' THEN p_status
              ELSE CASE WHEN success THEN 'success' ELSE 'failed' END END AS new_status,
         CASE WHEN kind = 'progress' THEN pct WHEN kind = 'result' THEN 100 END AS pct2,
