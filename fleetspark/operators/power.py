@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from fleetspark.functions.jsonmap import json_path
 from fleetspark.functions.util import col_of, with_parsed
 
 # Typed column <- vendor key. INTEGER columns default to 0 when the
@@ -219,7 +220,7 @@ def backfill_power(df: DataFrame, raw: str = "raw_data") -> DataFrame:
     when typec1 is NULL (X-9) and the ``> 0`` guard. Columns missing from
     ``df`` are added as NULL first.
     """
-    out = df.withColumn("_params_text", F.get_json_object(col_of(raw), "$.params"))
+    out = df.withColumn("_params_text", json_path(col_of(raw), "params"))
     keys = [k for ks in BACKFILL.values() for k in ks] + ["pd.typec1Watts", "pd.typec2Watts", "pd.usb1Watts",
                                                           "pd.usb2Watts", "pd.qcUsb1Watts", "pd.qcUsb2Watts"]
     # a key present with a JSON null changes nothing here (COALESCE of NULLs into a NULL

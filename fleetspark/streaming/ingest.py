@@ -91,8 +91,9 @@ def bucket_avg_stream(stream: DataFrame, ts: str, value, every: str, lateness: s
 
 
 def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot: str) -> None:
-    """ST4 body: store the batch's OTA messages by key bucket, then recompute the
-    attempts of the touched buckets from all stored messages of those buckets."""
+    """ST4 body: store the batch's OTA messages by key bucket, recompute the attempts
+    of the devices in the batch from their stored messages, and rewrite the touched
+    buckets (other devices of those buckets are carried over from the snapshot)."""
     spark = batch.sparkSession
     msgs = batch.withColumn("kb", key_bucket("device_id")).persist()
     try:
@@ -100,9 +101,20 @@ def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot:
         touched = [r.kb for r in msgs.select("kb").distinct().collect()]  # at most KEY_BUCKETS values
         if not touched:
             return
-        stored = spark.read.parquet(store).where(F.col("kb").isin(touched)).drop("batch_id")
-        att = update_attempts(stored.drop("kb")).withColumn("kb", key_bucket("device_id"))
-        _overwrite_buckets(att, snapshot)
+        devices = msgs.select("device_id").distinct()
+        stored = (spark.read.parquet(store).where(F.col("kb").isin(touched))
+                  .join(devices, "device_id", "left_semi").drop("batch_id", "kb"))
+        fresh = update_attempts(stored).withColumn("kb", key_bucket("device_id"))
+        try:
+            kept = (spark.read.parquet(snapshot).where(F.col("kb").isin(touched))
+                    .join(devices, "device_id", "left_anti"))
+            kept.limit(1).count()
+            merged = kept.unionByName(fresh)
+        except Exception:  # noqa: BLE001  first batch: no snapshot yet
+            merged = fresh
+        # materialise in the shared checkpoint folder before overwriting the folder it was read from
+        checkpoint_dir(spark)
+        _overwrite_buckets(merged.checkpoint(eager=True), snapshot)
     finally:
         msgs.unpersist()
 
