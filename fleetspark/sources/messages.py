@@ -157,3 +157,14 @@ def migrate_legacy_topic(topic) -> Column:
     parts = F.split(col_of(topic), "/", -1)
     return F.when(F.size(parts) == 3, F.concat_ws("/", F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2)),
                                                  F.try_element_at(parts, F.lit(3)), F.lit("data")))
+
+
+def append_measurements(measurements: DataFrame, path: str) -> None:
+    """S3: append measurement rows to a Parquet table partitioned by day (``dt``),
+    so time filters prune whole folders."""
+    measurements.withColumn("dt", F.to_date("ts")).write.mode("append").partitionBy("dt").parquet(path)
+
+
+def append_edge_status(status: DataFrame, path: str) -> None:
+    """Append edge status rows (whole payload kept as a map), partitioned by day."""
+    status.withColumn("dt", F.to_date("ts")).write.mode("append").partitionBy("dt").parquet(path)

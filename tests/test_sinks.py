@@ -42,3 +42,22 @@ def test_order_last_seen_nulls_last(spark):
     df = spark.createDataFrame([("a", None), ("b", datetime(2024, 1, 2)), ("c", datetime(2024, 1, 3))],
                                "device_id string, last_seen timestamp_ntz")
     assert [r.device_id for r in order_last_seen(df).collect()] == ["c", "b", "a"]
+
+
+def test_append_measurements_partitioned(spark, scratch):
+    import json
+    from datetime import datetime as dt
+
+    from fleetspark.sources.messages import append_edge_status, append_measurements, classify, to_edge_status, \
+        to_measurements
+    rows = [("s/ruuvi/a/data", json.dumps({"device_id": "a", "metrics": {"t": 1}}), dt(2024, 1, 1, 5)),
+            ("s/ruuvi/a/data", json.dumps({"device_id": "a", "metrics": {"t": 2}}), dt(2024, 1, 2, 5)),
+            ("s/edge/e/status", json.dumps({"state": "RUN"}), dt(2024, 1, 2, 6))]
+    c = classify(spark.createDataFrame(rows, "topic string, payload string, received_at timestamp_ntz"))
+    out = os.path.join(scratch, "m")
+    append_measurements(to_measurements(c), out)
+    append_measurements(to_measurements(c), out)
+    m = spark.read.parquet(out)
+    assert m.count() == 4 and m.where("dt = '2024-01-02'").count() == 2
+    append_edge_status(to_edge_status(c), os.path.join(scratch, "s"))
+    assert spark.read.parquet(os.path.join(scratch, "s")).first().status["state"] == "RUN"
