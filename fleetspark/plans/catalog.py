@@ -172,14 +172,17 @@ _POWER_ORDER = ["ts", "l_orderkey", "l_linenumber"]
 def q_latest_value(t: Telemetry) -> DataFrame:
     """W2 + T7: newest value per device, NULL -> 0, and the newest net power."""
     p = t.power
+    cols = ["soc_percent", "watts_in_sum", "watts_out_sum", "pv_in_watts", "bms_temp", "inv_out_temp",
+            "remain_time_min"]
+    # take the newest row first, derive and format on one row per device afterwards
+    last = p.groupBy("device_sn").agg(
+        F.max_by(F.struct(*cols), lt.order_key(_POWER_ORDER, "last")).alias("r")).select("device_sn", "r.*")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    last = p.groupBy("device_sn").agg(F.max_by(F.struct(
-        z("soc_percent").alias("soc"), z("watts_in_sum").alias("watts_in"), z("watts_out_sum").alias("watts_out"),
-        z("pv_in_watts").alias("pv_in"), F.coalesce(F.col("bms_temp"), F.lit(0.0)).alias("bms_temp"),
-        F.col("inv_out_temp").alias("inv_out_temp_raw"),
-        (z("watts_in_sum") - z("watts_out_sum")).alias("net_watts"),
-        fm.fmt_minutes(F.col("remain_time_min")).alias("remain_text")), lt.order_key(_POWER_ORDER, "last")).alias("r"))
-    return last.select("device_sn", "r.*")
+    return last.select(
+        "device_sn", z("soc_percent").alias("soc"), z("watts_in_sum").alias("watts_in"),
+        z("watts_out_sum").alias("watts_out"), z("pv_in_watts").alias("pv_in"),
+        F.coalesce(F.col("bms_temp"), F.lit(0.0)).alias("bms_temp"), F.col("inv_out_temp").alias("inv_out_temp_raw"),
+        pw.net_watts().alias("net_watts"), fm.fmt_minutes(F.col("remain_time_min")).alias("remain_text"))
 
 
 @query("latest_non_null")
