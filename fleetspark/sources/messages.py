@@ -33,8 +33,27 @@ def read_messages(spark: SparkSession, path: str, streaming: bool = False, fmt:
     A binary payload column is decoded as UTF-8 with replacement.
     """
     r = spark.readStream if streaming else spark.read
-    df = r.schema(MESSAGE_SCHEMA).format(fmt).load(path)
-    return df
+    return normalize_messages(r.schema(MESSAGE_SCHEMA).format(fmt).load(path))
+
+
+def normalize_messages(df: DataFrame, topic: str = "topic", payload: str = "payload",
+                       received_at: str = "received_at") -> DataFrame:
+    """Bring any message source to (topic, payload, received_at).
+
+    A binary payload (e.g. a Kafka ``value``) is decoded as UTF-8; malformed
+    bytes become U+FFFD instead of failing the row. A timestamp with time zone
+    is converted to the session-zone wall time (UTC) as ``timestamp_ntz``.
+    """
+    types = dict(df.dtypes)
+    p = F.col(payload)
+    if types.get(payload) == "binary":
+        p = F.make_valid_utf8(p.cast("string"))
+    t = F.col(topic).cast("string")
+    r = F.col(received_at)
+    if types.get(received_at) == "timestamp":
+        r = r.cast("timestamp_ntz")
+    others = [c for c in df.columns if c not in (topic, payload, received_at)]
+    return df.select(t.alias("topic"), p.alias("payload"), r.alias("received_at"), *others)
 
 
 def parse_topic(topic) -> Column:

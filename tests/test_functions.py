@@ -184,3 +184,34 @@ def test_online_state(spark):
                                 (datetime(2024, 1, 1, 9, 0),), (None,)], "t timestamp_ntz")
     got = [r.s for r in df.select(pr.online_state("t", F.lit(now).cast("timestamp_ntz")).alias("s")).collect()]
     assert got == ["online", "recent", "offline", "offline"]
+
+
+def test_binary_payload_decoding(spark):
+    """Binary payloads decode as UTF-8 with replacement, then route as text."""
+    from fleetspark.sources.messages import normalize_messages
+    rows = [("s/ruuvi/a/data", bytearray(b'{"device_id": "a", "metrics": {"t": 1}}'), datetime(2024, 1, 1)),
+            ("s/ruuvi/a/data", bytearray(b'\xff\xfe{"x"'), datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "topic string, payload binary, received_at timestamp_ntz")
+    out = classify(normalize_messages(df)).collect()
+    assert out[0].route == "measurements"
+    assert out[1].reason == "bad_json" and "�" in out[1].payload
+
+
+def test_timeline_groups_on_raw_status(spark):
+    """X-3: pending/downloading/installing on one day give three 'In Progress' rows."""
+    from fleetspark.operators.fleet import update_timeline
+    d = datetime(2024, 1, 10)
+    rows = [(1, "pending", d), (2, "downloading", d), (3, "installing", d), (4, "installing", d), (5, "success", d)]
+    df = spark.createDataFrame(rows, "id int, status string, started_at timestamp_ntz")
+    got = sorted((r.status, r["count"]) for r in update_timeline(df, F.lit(d).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")).collect())
+    assert got == [("In Progress", 1), ("In Progress", 1), ("In Progress", 2), ("Success", 1)]
+
+
+def test_latest_release_by_creation_not_semver(spark):
+    """X-13: the newest release is the one created last, not the highest version."""
+    from fleetspark.operators.fleet import latest_release
+    rows = [("esp32", "2.0.0", datetime(2024, 1, 1)), ("esp32", "1.9.0", datetime(2024, 2, 1)),
+            ("esp8266", "b", datetime(2024, 1, 1)), ("esp8266", "a", datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "device_model string, version string, created_at timestamp_ntz")
+    got = {r.device_model: r.latest_version for r in latest_release(df).collect()}
+    assert got == {"esp32": "1.9.0", "esp8266": "b"}
