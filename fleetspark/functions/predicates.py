@@ -92,3 +92,13 @@ def online_state(last_seen, as_of, levels=("5 minutes", "1 hour"),
         cond = t > lit_of(as_of) - interval(lvl)
         expr = F.when(cond, lab) if expr is None else expr.when(cond, lab)
     return expr.otherwise(labels[len(levels)])
+
+
+def time_range(df, ts: str, start, end, closed: str = "both", dt: str = "dt"):
+    """Filter ``df`` on ``ts`` and, when it is stored partitioned by day (``dt``),
+    also on the day folders, so whole partitions are skipped before any file is
+    opened (the ts filter alone can only skip row groups)."""
+    out = df.where(time_between(ts, start, end, closed))
+    if dt in df.columns:
+        out = out.where(F.col(dt).between(F.to_date(lit_of(start)), F.to_date(lit_of(end))))
+    return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -11,8 +13,18 @@ def col_of(c) -> Column:
 
 
 def lit_of(v) -> Column:
-    """Accept a Column or a Python literal (e.g. an ``as_of`` datetime)."""
-    return v if isinstance(v, Column) else F.lit(v)
+    """Accept a Column or a Python literal (e.g. an ``as_of`` datetime).
+
+    A naive ``datetime`` becomes a ``timestamp_ntz`` literal built from its text,
+    so it does not depend on any time zone and compares with stored
+    ``timestamp_ntz`` columns without a cast on the column (the filter then
+    reaches the Parquet scan).
+    """
+    if isinstance(v, Column):
+        return v
+    if isinstance(v, datetime.datetime) and v.tzinfo is None:
+        return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(v)
 
 
 def interval(text: str) -> Column:

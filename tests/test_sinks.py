@@ -61,3 +61,16 @@ def test_append_measurements_partitioned(spark, scratch):
     assert m.count() == 4 and m.where("dt = '2024-01-02'").count() == 2
     append_edge_status(to_edge_status(c), os.path.join(scratch, "s"))
     assert spark.read.parquet(os.path.join(scratch, "s")).first().status["state"] == "RUN"
+
+
+def test_time_range_prunes_day_partitions(spark, scratch):
+    from fleetspark.functions.predicates import time_range
+    rows = [(datetime(2024, 1, d, 12), d) for d in range(1, 11)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, v int")
+    out = os.path.join(scratch, "t")
+    df.withColumn("dt", __import__("pyspark.sql.functions", fromlist=["to_date"]).to_date("ts")) \
+        .write.partitionBy("dt").parquet(out)
+    q = time_range(spark.read.parquet(out), "ts", datetime(2024, 1, 3), datetime(2024, 1, 5, 23))
+    assert sorted(r.v for r in q.collect()) == [3, 4, 5]
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan
