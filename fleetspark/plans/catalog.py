@@ -765,6 +765,21 @@ def q_stream_update_attempts(t: Telemetry) -> DataFrame:
     return t.spark.read.parquet(os.path.join(run, "snapshot")).drop("kb")
 
 
+@query("stream_bucket_avg")
+def q_stream_bucket_avg(t: Telemetry) -> DataFrame:
+    """ST2: power rows streamed through a watermarked weekly mean, upserted per batch."""
+    import os
+    from fleetspark.streaming.ingest import bucket_avg_stream, bucket_avg_to_snapshot
+    run = _scratch(t, "buckets")
+    drop = os.path.join(run, "drop")
+    t.power.select("ts", "soc_percent").write.parquet(drop)
+    stream = t.spark.readStream.schema("ts timestamp_ntz, soc_percent int").parquet(drop)
+    agg = bucket_avg_stream(stream, "ts", "soc_percent", "7 days", lateness="36500 days")
+    bucket_avg_to_snapshot(agg, os.path.join(run, "snapshot"), ["time"],
+                           os.path.join(run, "checkpoint")).awaitTermination()
+    return t.spark.read.parquet(os.path.join(run, "snapshot")).select("time", "value", "rows")
+
+
 # ------------------------------------------------------------------ entry points
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

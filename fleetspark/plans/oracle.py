@@ -871,3 +871,6 @@ SELECT device_sn, ts, soc_percent, CAST(NULL AS INTEGER) AS remain_time_min, wat
   CAST(NULL AS DOUBLE) AS inv_input_watts, CAST(NULL AS DOUBLE) AS bms_vol, CAST(NULL AS DOUBLE) AS bms_amp,
   l_orderkey, l_linenumber
 FROM raw""")
+
+sql("stream_bucket_avg", "power")(f"""
+SELECT {tb('7 days')} AS time, ROUND(AVG(soc_percent), 6) AS value, COUNT(*) AS rows FROM power GROUP BY 1""")

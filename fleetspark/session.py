@@ -1,8 +1,9 @@
 """SparkSession helpers.
 
 Every time-relative operator takes an explicit ``as_of``; timestamps stay
-``timestamp_ntz`` as stored, and the session zone is pinned to UTC so that any
-conversion to epoch seconds is zone-free.
+``timestamp_ntz`` as the driver's Parquet files store them (X-15), and the
+session zone is pinned to UTC so that any conversion to epoch seconds (and the
+instant a watermark needs) is zone-free.
 """
 
 from __future__ import annotations

@@ -160,3 +160,18 @@ def latest_stream(stream: DataFrame, snapshot: str, keys: Sequence[str], order:
          .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
          .foreachBatch(lambda df, bid: latest_batch(df, bid, snapshot, keys, order)))
     return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def bucket_avg_to_snapshot(agg: DataFrame, snapshot: str, keys: Sequence[str] = ("time",),
+                           checkpoint: str | None = None, trigger: dict | None = None, name: str = "bucket_avg"):
+    """ST2 sink: stream ``bucket_avg_stream`` output in update mode and upsert each
+    micro-batch's changed buckets into a bucket-keyed snapshot (newest batch wins)."""
+    spark = agg.sparkSession
+
+    def upsert(df: DataFrame, bid: int) -> None:
+        latest_batch(df.withColumn("_batch", F.lit(bid)), bid, snapshot, list(keys), ["_batch"])
+
+    w = (agg.writeStream.queryName(name).outputMode("update")
+         .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
+         .foreachBatch(upsert))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
