@@ -780,6 +780,22 @@ def q_stream_bucket_avg(t: Telemetry) -> DataFrame:
     return t.spark.read.parquet(os.path.join(run, "snapshot")).select("time", "value", "rows")
 
 
+@query("stream_latest_config")
+def q_stream_latest_config(t: Telemetry) -> DataFrame:
+    """ST5: config messages streamed into a latest-per-device snapshot (same result as S5)."""
+    import os
+    from fleetspark.streaming.ingest import latest_stream
+    run = _scratch(t, "latest")
+    drop = os.path.join(run, "drop")
+    cfg = _classified(t).where(F.col("route") == "edge_config").select(
+        "site_id", "device_id", F.col("received_at").alias("updated_at"), "event_id")
+    cfg.write.parquet(drop)
+    stream = t.spark.readStream.schema(cfg.schema).parquet(drop)
+    latest_stream(stream, os.path.join(run, "snapshot"), ["site_id", "device_id"], ["updated_at", "event_id"],
+                  os.path.join(run, "checkpoint")).awaitTermination()
+    return t.spark.read.parquet(os.path.join(run, "snapshot")).select("site_id", "device_id", "updated_at", "event_id")
+
+
 # ------------------------------------------------------------------ entry points
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
