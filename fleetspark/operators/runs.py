@@ -20,6 +20,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetspark.functions.util import col_of, epoch_seconds
 
 
+def _join_chunk_summary(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left-join a per-(key, chunk) summary back onto the rows with null-safe keys.
+
+    Null-safe equality keeps NULL keys (a group of their own in the window and
+    the aggregate) matched, and it stops Catalyst from inferring ``isnotnull``
+    filters into the summary branch, so both branches read the same input
+    shuffle (Spark reuses it instead of scanning the input twice).
+    """
+    renamed = summary.select(*[F.col(c).alias(f"_j_{c}") for c in on],
+                             *[c for c in summary.columns if c not in on])
+    cond = [rows[c].eqNullSafe(renamed[f"_j_{c}"]) for c in on]
+    return rows.join(renamed, cond, "left").drop(*[f"_j_{c}" for c in on])
+
+
 def time_chunk(ts, width_seconds: int) -> Column:
     """Chunk number of a timestamp (epoch-aligned)."""
     return F.floor(epoch_seconds(ts) / F.lit(width_seconds)).cast("long")
@@ -51,7 +65,7 @@ def number_runs(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[
                                 | starts_run(F.lag("_last").over(wc), F.col("_first"))).cast("long")))
     summ = summ.withColumn("_off", F.coalesce(
         F.sum(F.col("_n") + F.col("_fs")).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (r.join(summ.select(*keys, chunk, "_fs", "_off"), on=[*keys, chunk], how="left")
+    return (_join_chunk_summary(r, summ.select(*keys, chunk, "_fs", "_off"), [*keys, chunk])
             .withColumn(out, F.col("_off") + F.col("_fs") + F.col("_local"))
             .drop("_rn", "_prev", "_flag", "_local", "_fs", "_off"))
 
@@ -68,7 +82,7 @@ def running_count(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequenc
     wc = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
     tot = (r.groupBy(*keys, chunk).agg(F.max("_local").alias("_n"))
            .select(*keys, chunk, F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_off")))
-    return (r.join(tot, on=[*keys, chunk], how="left")
+    return (_join_chunk_summary(r, tot, [*keys, chunk])
             .withColumn(out, F.col("_local") + F.col("_off")).drop("_local", "_off"))
 
 

@@ -15,11 +15,11 @@ the whole message log is folded at once:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetspark.functions.jsonmap import MAP_SCHEMA
 from fleetspark.functions.util import with_parsed
-from fleetspark.operators.runs import running_count, time_chunk
+from fleetspark.operators.runs import time_chunk
 
 # Statuses allowed by the update-status table.
 UPDATE_STATUSES = ("pending", "downloading", "downloaded", "installing", "success", "failed", "rolled_back")
@@ -77,23 +77,51 @@ def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 30 *
 
     Input: device_id, kind (status|progress|result), received_at, seq, payload.
     Messages before a device's first insert and rejected messages change nothing.
+
+    One window pass per (device, time chunk) numbers the inserts locally; rows
+    are then reduced per (device, chunk, local attempt) into order-keyed
+    partial states. Inserts before each chunk come from a map-side combined
+    count per (device, chunk) (a second, narrow read of the messages with a tiny
+    shuffle), and the merge of attempts that span chunks works on the partial
+    states, so the full rows are shuffled once and no device has to fit in one task.
     """
     p = parse_update_messages(msgs, seq).where(~F.col("rejected"))
     p = p.withColumn("_chunk", time_chunk("received_at", chunk_seconds))
-    p = running_count(p, ["device_id"], "_chunk", ["received_at", seq], "is_insert", "attempt")
-    p = p.where(F.col("attempt") > 0)
-    order = F.struct("received_at", seq)
-    when_ = lambda c: F.when(c, order)
-    return p.groupBy("device_id", "attempt").agg(
-        F.max_by("fw", when_(F.col("is_insert"))).alias("firmware_version"),
-        F.max_by("new_status", order).alias("status"),
-        F.max_by("pct", when_(F.col("sets_pct"))).alias("progress_percent"),
-        F.max_by("error", when_(F.col("is_result"))).alias("error_message"),
-        F.max_by("received_at", when_(F.col("is_insert"))).alias("started_at"),
-        F.max_by("received_at", when_(F.col("is_result"))).alias("completed_at"),
-        F.max("received_at").alias("reported_at"),
-        F.count(F.lit(1)).alias("messages"),
-    )
+    w = (Window.partitionBy("device_id", "_chunk").orderBy("received_at", seq)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    p = p.withColumn("_local", F.sum(F.col("is_insert").cast("long")).over(w))
+    order = F.struct(F.col("received_at").alias("t"), F.col(seq).alias("s"))
+
+    def newest(value: str, cond=None):
+        st = F.struct(order.alias("o"), F.col(value).alias("v"))
+        return F.max(F.when(cond, st) if cond is not None else st)
+
+    states = {
+        "fw": newest("fw", F.col("is_insert")),
+        "st": newest("new_status"),
+        "pct": newest("pct", F.col("sets_pct")),
+        "err": newest("error", F.col("is_result")),
+        "start": newest("received_at", F.col("is_insert")),
+        "done": newest("received_at", F.col("is_result")),
+    }
+    part = p.groupBy("device_id", "_chunk", "_local").agg(
+        *[e.alias(n) for n, e in states.items()], F.max("received_at").alias("rep"), F.count(F.lit(1)).alias("n"))
+    # inserts before each chunk: a map-side combined count per (device, chunk), then a
+    # running sum over the (few) chunks of each device
+    wc = Window.partitionBy("device_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (p.groupBy("device_id", "_chunk").agg(F.sum(F.col("is_insert").cast("long")).alias("_ins"))
+            .select(F.col("device_id").alias("_d"), F.col("_chunk").alias("_c"),
+                    F.coalesce(F.sum("_ins").over(wc), F.lit(0)).alias("_off")))
+    cond = [part["device_id"].eqNullSafe(offs["_d"]), part["_chunk"].eqNullSafe(offs["_c"])]
+    g = (part.join(offs, cond, "left").drop("_d", "_c")
+         .withColumn("attempt", F.col("_off") + F.col("_local")).where(F.col("attempt") > 0))
+    merged = g.groupBy("device_id", "attempt").agg(
+        *[F.max(n).alias(n) for n in states], F.max("rep").alias("rep"), F.sum("n").alias("n"))
+    return merged.select(
+        "device_id", "attempt", F.col("fw.v").alias("firmware_version"), F.col("st.v").alias("status"),
+        F.col("pct.v").alias("progress_percent"), F.col("err.v").alias("error_message"),
+        F.col("start.v").alias("started_at"), F.col("done.v").alias("completed_at"),
+        F.col("rep").alias("reported_at"), F.col("n").alias("messages"))
 
 
 def ota_event_log(msgs: DataFrame, seq: str = "seq") -> DataFrame:
