@@ -19,14 +19,17 @@ def build_session(master: str | None = None, app: str = "fleetspark",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    cpus = os.cpu_count() or 8
     b = (b.config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(128 * 1024 * 1024))
          .config("spark.ui.enabled", "false")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    # Local runs size shuffles to the local cores; on a cluster the configured
+    # value stays and AQE coalesces small partitions to the advisory size.
+    if shuffle_partitions or (master or "").startswith("local"):
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or os.cpu_count() or 8))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     prepare(spark)
