@@ -19,6 +19,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Tables whose rows carry per-row work (JSON building and parsing, many expressions).
 FACT_TABLES = ("events", "lineitem", "orders")
+# A scan is spread only when it has fewer splits than this (and than the cores).
+SPREAD_MAX_SPLITS = 16
 
 
 class Source:
@@ -46,7 +48,7 @@ class Source:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
+    """Round-robin a scan that has only a handful of splits (fewer than the cores).
 
     Large inputs are split by the file source itself (one task per block), so
     this is a no-op at scale; a small file with a single row group would
@@ -54,7 +56,10 @@ def spread(df: DataFrame) -> DataFrame:
     one task. Projections and filters are still pushed below the exchange.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    n = df.rdd.getNumPartitions()
+    # only inputs with a handful of splits: a table with thousands of splits is
+    # already parallel enough and must not be reshuffled
+    if n < min(target, SPREAD_MAX_SPLITS):
         return df.repartition(target)
     return df
 
