@@ -11,11 +11,11 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.formats import fmt_age, fmt_uptime, status_label
 from fleetspark.functions.predicates import ACTIVE_UPDATE_STATUSES, online_state, trailing
-from fleetspark.functions.util import col_of, lit_of, round_int, seconds_between
+from fleetspark.functions.util import col_of, lit_of, seconds_between
 from fleetspark.operators.joins import join_lookup
 from fleetspark.operators.latest import latest_by
 

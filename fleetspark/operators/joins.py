@@ -22,12 +22,6 @@ from pyspark.sql import DataFrame, functions as F
 LOOKUP_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def enable_measured_broadcast(spark, max_bytes: int = LOOKUP_BROADCAST_BYTES) -> None:
-    """Let AQE broadcast a join side whose materialized stage is below ``max_bytes``."""
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(max_bytes))
-
-
 def join_lookup(fact: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
     """Join a derived lookup; AQE broadcasts it only if its measured size is small
     (threshold set by ``session.prepare``)."""

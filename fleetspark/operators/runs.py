@@ -17,7 +17,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetspark.functions.util import col_of, epoch_seconds
+from fleetspark.functions.util import epoch_seconds
 
 
 def _join_chunk_summary(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:

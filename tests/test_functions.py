@@ -215,3 +215,21 @@ def test_latest_release_by_creation_not_semver(spark):
     df = spark.createDataFrame(rows, "device_model string, version string, created_at timestamp_ntz")
     got = {r.device_model: r.latest_version for r in latest_release(df).collect()}
     assert got == {"esp32": "1.9.0", "esp8266": "b"}
+
+
+def test_hash_bucket_property(spark):
+    """Random unicode ids bucket exactly as Python's big-integer modulo."""
+    from hypothesis import given, settings, strategies as st
+
+    ids = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.text(min_size=0, max_size=40))
+    def collect(s):
+        ids.append(s)
+
+    collect()
+    ids = [s for s in ids if "\x00" not in s]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(ids)], "i int, s string")
+    got = {r.i: r.b for r in df.select("i", hash_bucket("s").alias("b")).collect()}
+    assert all(got[i] == _py_bucket(s) for i, s in enumerate(ids))
