@@ -796,6 +796,20 @@ def q_stream_latest_config(t: Telemetry) -> DataFrame:
     return t.spark.read.parquet(os.path.join(run, "snapshot")).select("site_id", "device_id", "updated_at", "event_id")
 
 
+@query("stream_bucket_exact")
+def q_stream_bucket_exact(t: Telemetry) -> DataFrame:
+    """ST3 exact mode: daily SOC means kept exact for any lateness (touched months recomputed)."""
+    import os
+    from fleetspark.streaming.ingest import bucket_avg_exact_stream
+    run = _scratch(t, "exact")
+    drop = os.path.join(run, "drop")
+    t.power.select("ts", "soc_percent").write.parquet(drop)
+    stream = t.spark.readStream.schema("ts timestamp_ntz, soc_percent int").parquet(drop)
+    bucket_avg_exact_stream(stream, os.path.join(run, "store"), os.path.join(run, "out"), "ts", "soc_percent",
+                            "1 day", checkpoint=os.path.join(run, "checkpoint"), grain="month").awaitTermination()
+    return t.spark.read.parquet(os.path.join(run, "out")).select("time", "value", "rows")
+
+
 # ------------------------------------------------------------------ entry points
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

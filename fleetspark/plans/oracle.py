@@ -876,3 +876,6 @@ sql("stream_bucket_avg", "power")(f"""
 SELECT {tb('7 days')} AS time, ROUND(AVG(soc_percent), 6) AS value, COUNT(*) AS rows FROM power GROUP BY 1""")
 
 SQL["stream_latest_config"] = SQL["upsert_latest"]
+
+sql("stream_bucket_exact", "power")(f"""
+SELECT {tb('1 day')} AS time, ROUND(AVG(soc_percent), 6) AS value, COUNT(*) AS rows FROM power GROUP BY 1""")

@@ -177,33 +177,39 @@ def bucket_avg_to_snapshot(agg: DataFrame, snapshot: str, keys: Sequence[str] =
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _grain(c, grain: str):
+    d = F.to_date(c)
+    return d if grain == "day" else F.trunc(d, "month")
+
+
 def bucket_avg_exact_batch(batch: DataFrame, batch_id: int, store: str, out: str, ts: str, value: str,
-                           every: str, by: Sequence[str] = ()) -> None:
+                           every: str, by: Sequence[str] = (), grain: str = "day") -> None:
     """ST3 exact mode body: any lateness is accepted.
 
     The batch is stored by day (``dt``), the days it touches are found with a
     semi-join (dynamic partition pruning reads only those day folders of the
     store), their bucket means are recomputed from all stored rows of those
     days, and only those ``dt`` partitions of ``out`` are overwritten.
-    ``every`` must divide a day so that no bucket spans two days.
+    ``every`` must divide a day so that no bucket spans two days. ``grain``
+    ("day" or "month") is the partition unit of the store and the result.
     """
     spark = batch.sparkSession
-    rows = batch.withColumn("dt", F.to_date(F.col(ts)))
+    rows = batch.withColumn("dt", _grain(F.col(ts), grain))
     _append_batch(rows, store, batch_id, ["dt"])
     days = rows.select("dt").distinct()
     stored = spark.read.parquet(store).join(days, "dt", "left_semi")
     agg = (stored.groupBy(bucket(ts, every).alias("time"), *by)
            .agg(F.avg(F.col(value)).alias("value"), F.count(F.lit(1)).alias("rows"))
-           .withColumn("dt", F.to_date("time")))
+           .withColumn("dt", _grain(F.col("time"), grain)))
     agg.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(out)
 
 
 def bucket_avg_exact_stream(stream: DataFrame, store: str, out: str, ts: str, value: str, every: str,
                             by: Sequence[str] = (), checkpoint: str | None = None, trigger: dict | None = None,
-                            name: str = "bucket_avg_exact"):
+                            name: str = "bucket_avg_exact", grain: str = "day"):
     """ST3 exact mode: bucket means that stay exact under unbounded lateness."""
     spark = stream.sparkSession
     w = (stream.writeStream.queryName(name)
          .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
-         .foreachBatch(lambda df, bid: bucket_avg_exact_batch(df, bid, store, out, ts, value, every, by)))
+         .foreachBatch(lambda df, bid: bucket_avg_exact_batch(df, bid, store, out, ts, value, every, by, grain)))
     return w.trigger(**(trigger or {"availableNow": True})).start()
