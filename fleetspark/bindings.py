@@ -382,8 +382,8 @@ def flat_messages(src: Source) -> DataFrame:
     eid = F.col("event_id")
     k = F.get_json_object("props", "$.k").cast("long")
     loc = F.concat(F.lit("zone"), (F.col("user_id") % 4).cast("string"))
-    topic = F.when(eid % 29 == 0, F.concat(F.lit("site/ruuvi/"), loc, F.lit("/data"))) \
-        .otherwise(F.concat(F.lit("site/ruuvi/"), loc))
+    topic = F.when(eid % 29 == 0, F.concat(F.lit("site/sensors/"), loc, F.lit("/data"))) \
+        .otherwise(F.concat(F.lit("site/sensors/"), loc))
     sid = F.col("user_id").cast("string")
     temp = F.col("value") / 10
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))  # noqa: E731  JSON string literal

@@ -1,6 +1,6 @@
 """Legacy flat sensor messages: strict validation (P4) and migration (M5).
 
-Old messages are flat JSON objects on 3-level topics ``site/ruuvi/location``.
+Old messages are flat JSON objects on 3-level topics ``site/sensors/location``.
 JSON value types are read from a Variant (``try_parse_json`` +
 ``schema_of_variant``), so ``21`` (int) and ``21.5`` (float) are told apart
 exactly as Python's ``isinstance`` does, including bool counting as int.
@@ -69,7 +69,7 @@ def migrate_legacy_message(df: DataFrame, topic: str = "topic", payload: str = "
                            extra_cols=()) -> DataFrame:
     """M5: old topic + flat JSON -> a new-style measurement row when P4 passes.
 
-    device_id = sensor_id, system from the topic (the old ``ruuvi`` level is the
+    device_id = sensor_id, system from the topic (the old ``sensors`` level is the
     sensor system), metrics = every numeric field except sensor_id/mac/timestamp
     as a map, location = the old third topic level. Rows failing P4 or with a
     topic that is not 3 levels are returned with ``error`` set.

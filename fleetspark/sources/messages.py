@@ -171,7 +171,7 @@ def archive_raw(messages: DataFrame) -> DataFrame:
 
 
 def migrate_legacy_topic(topic) -> Column:
-    """M5: old 3-level ``site/ruuvi/location`` topic -> the 4-level data topic
+    """M5: old 3-level ``site/sensors/location`` topic -> the 4-level data topic
     (the location becomes the device id)."""
     parts = F.split(col_of(topic), "/", -1)
     return F.when(F.size(parts) == 3, F.concat_ws("/", F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2)),

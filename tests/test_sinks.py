@@ -27,14 +27,14 @@ def test_refresh_and_exports(spark, scratch):
 def test_firmware_inventory(spark, scratch):
     folder = os.path.join(scratch, "fw")
     os.makedirs(folder)
-    files = {"esp32_1.2.0.bin": b"\x00\x01abc", "lilygo-t-display_2.0.bin": b"xyz" * 10, "bad name_1.0.bin": b"q"}
+    files = {"esp32_1.2.0.bin": b"\x00\x01abc", "board-a_2.0.bin": b"xyz" * 10, "bad name_1.0.bin": b"q"}
     for name, data in files.items():
         with open(os.path.join(folder, name), "wb") as f:
             f.write(data)
     inv = {r.device_model: r for r in firmware_inventory(spark, folder).collect()}
     assert inv["esp32"].version == "1.2.0" and inv["esp32"].file_size == 5
     assert inv["esp32"].checksum_sha256 == hashlib.sha256(files["esp32_1.2.0.bin"]).hexdigest()
-    assert inv["lilygo-t-display"].valid_name and not inv["bad name"].valid_name
+    assert inv["board-a"].valid_name and not inv["bad name"].valid_name
     assert upload_events(firmware_inventory(spark, folder)).count() == 2
 
 
@@ -50,8 +50,8 @@ def test_append_measurements_partitioned(spark, scratch):
 
     from fleetspark.sources.messages import append_edge_status, append_measurements, classify, to_edge_status, \
         to_measurements
-    rows = [("s/ruuvi/a/data", json.dumps({"device_id": "a", "metrics": {"t": 1}}), dt(2024, 1, 1, 5)),
-            ("s/ruuvi/a/data", json.dumps({"device_id": "a", "metrics": {"t": 2}}), dt(2024, 1, 2, 5)),
+    rows = [("s/sensors/a/data", json.dumps({"device_id": "a", "metrics": {"t": 1}}), dt(2024, 1, 1, 5)),
+            ("s/sensors/a/data", json.dumps({"device_id": "a", "metrics": {"t": 2}}), dt(2024, 1, 2, 5)),
             ("s/edge/e/status", json.dumps({"state": "RUN"}), dt(2024, 1, 2, 6))]
     c = classify(spark.createDataFrame(rows, "topic string, payload string, received_at timestamp_ntz"))
     out = os.path.join(scratch, "m")

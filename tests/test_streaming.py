@@ -31,9 +31,9 @@ def _messages():
         if i % 5 == 0:
             rows.append((f"s/edge/{dev}/status", json.dumps({"state": "RUN", "uptime_seconds": i}), T0 + timedelta(minutes=i)))
         elif i % 11 == 0:
-            rows.append((f"s/ruuvi/{dev}/data", "not json", T0 + timedelta(minutes=i)))
+            rows.append((f"s/sensors/{dev}/data", "not json", T0 + timedelta(minutes=i)))
         else:
-            rows.append((f"s/ruuvi/{dev}/data", json.dumps({"device_id": dev, "metrics": {"t": i}}), T0 + timedelta(minutes=i)))
+            rows.append((f"s/sensors/{dev}/data", json.dumps({"device_id": dev, "metrics": {"t": i}}), T0 + timedelta(minutes=i)))
     return rows
 
 
