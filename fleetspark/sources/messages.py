@@ -150,10 +150,13 @@ def to_edge_config(classified: DataFrame) -> DataFrame:
         "site_id", "device_id", F.col("payload").alias("config"), F.col("received_at").alias("updated_at"))
 
 
-def to_ota(classified: DataFrame) -> DataFrame:
-    """OTA messages (input of the W9 fold): device_id, kind, received_at, payload."""
+def to_ota(classified: DataFrame, seq: str = "seq") -> DataFrame:
+    """OTA messages (input of the W9 fold): device_id, kind, received_at, payload and,
+    when the source provides one, a stable per-message ``seq`` (e.g. a Kafka offset)
+    that orders messages with equal arrival times."""
+    extra = [seq] if seq in classified.columns else []
     return classified.where(F.col("route") == "ota").select(
-        "device_id", F.regexp_replace("topic_type", "^ota_", "").alias("kind"), "received_at", "payload")
+        "device_id", F.regexp_replace("topic_type", "^ota_", "").alias("kind"), "received_at", "payload", *extra)
 
 
 def rejects(classified: DataFrame) -> DataFrame:
