@@ -25,7 +25,8 @@ def eligible(device_id, target_type, target_filter, percentage) -> Column:
     a missing or unreadable filter or an unknown type -> false."""
     tt = col_of(target_type)
     ids = F.from_json(col_of(target_filter), FILTER_SCHEMA).getField("device_ids")
-    return (F.when(tt.isin("all", "canary", "group"), percentage_match(device_id, col_of(percentage)))
+    return (F.when(tt.isin("all", "canary", "group"),
+                   F.coalesce(percentage_match(device_id, col_of(percentage)), F.lit(False)))
             .when(tt == "specific", F.coalesce(F.array_contains(ids, col_of(device_id)), F.lit(False)))
             .otherwise(F.lit(False)))
 
@@ -74,7 +75,8 @@ def update_decisions(devices: DataFrame, releases: DataFrame, rollouts: DataFram
     d = devices.select("device_id", "device_model", F.col("current_firmware_version").alias("current_version"))
     j = join_lookup(join_lookup(d, latest_release(releases), "device_model"),
                     latest_active_rollout(rollouts), ["device_model", "latest_version"])
-    elig = eligible(F.col("device_id"), F.col("target_type"), F.col("target_filter"), F.col("rollout_percentage"))
+    elig = F.coalesce(eligible(F.col("device_id"), F.col("target_type"), F.col("target_filter"),
+                               F.col("rollout_percentage")), F.lit(False))  # a NULL id is never eligible
     reason = (F.when(F.col("latest_version").isNull(), "no_release")
               .when(F.col("latest_version") == F.col("current_version"), "up_to_date")
               .when(F.col("target_type").isNull(), "no_rollout")

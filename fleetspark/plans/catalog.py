@@ -55,7 +55,7 @@ def _label():
 
 @query("bucket_avg_label")
 def q_bucket_avg_label(t: Telemetry) -> DataFrame:
-    """A2: 6-hour mean temperature per device label (env panel)."""
+    """A2 + P8/P9: 6-hour mean temperature per device label (env panel)."""
     m = t.measurements
     return bk.bucket_avg(m, "ts", metric("temperature_c"), "6 hours", by=["device_id", "location"],
                          label=_label(), where=(F.col("site_id") == "site") & has_metric("temperature_c"))
@@ -113,7 +113,7 @@ def q_abs_humidity(t: Telemetry) -> DataFrame:
 
 @query("message_rate_5m")
 def q_message_rate(t: Telemetry) -> DataFrame:
-    """Status messages per 5 minutes per device in the last 7 days (exclusive ends)."""
+    """A8 + P12/P14: status messages per 5 minutes per device in the last 7 days (exclusive ends)."""
     s = t.status
     as_of = t.events_as_of
     s = s.where(pr.time_between("ts", as_of - F.expr("INTERVAL 7 DAYS"), as_of, "neither")
@@ -129,7 +129,7 @@ def q_bucket_count(t: Telemetry) -> DataFrame:
 
 @query("series_long")
 def q_series_long(t: Telemetry) -> DataFrame:
-    """Six labelled weekly series in one scan (filtered temperature series drop
+    """U1 + P16: seven labelled weekly series in one scan (filtered temperature series drop
     empty buckets, X-16)."""
     c = F.col
     return bk.series_long(t.power, "ts", {
@@ -225,7 +225,7 @@ def q_latest_release_overall(t: Telemetry) -> DataFrame:
 
 @query("current_states")
 def q_current_states(t: Telemetry) -> DataFrame:
-    """``state (scenario)`` of each device's newest status."""
+    """W11 + P14: ``state (scenario)`` of each device's newest status."""
     return lt.current_states(t.status, device_filter=".*")
 
 
@@ -249,13 +249,13 @@ def q_gap_segments(t: Telemetry) -> DataFrame:
 
 @query("power_stats_last")
 def q_power_stats(t: Telemetry) -> DataFrame:
-    """A10: trailing-window rounded mean and peak of output/input per device."""
+    """A10 + P13: trailing-window rounded mean and peak of output/input per device."""
     return fl.power_stats(t.power, t.lineitem_as_of, "30 days")
 
 
 @query("update_timeline")
 def q_update_timeline(t: Telemetry) -> DataFrame:
-    """Daily counts per raw status, labelled after grouping (X-3)."""
+    """A11 + P23: daily counts per raw status, labelled after grouping (X-3)."""
     return fl.update_timeline(t.updates, t.orders_as_of, "180 days")
 
 
@@ -286,7 +286,7 @@ def q_update_success_recent(t: Telemetry) -> DataFrame:
 
 @query("fleet_counts")
 def q_fleet_counts(t: Telemetry) -> DataFrame:
-    """total/online devices, active updates, recent status messages, active rollouts."""
+    """A14 + P13/P18: total/online devices, active updates, recent status messages, active rollouts."""
     return fl.fleet_counts(t.devices, t.updates, t.status, t.rollouts, t.orders_as_of, t.events_as_of,
                            online_span="30 days", status_span="1 hour")
 
@@ -339,7 +339,7 @@ def q_fleet_metrics(t: Telemetry) -> DataFrame:
 
 @query("device_overview")
 def q_device_overview(t: Telemetry) -> DataFrame:
-    """Device table with latest status, latest update and latest release."""
+    """J1 + T11/T12/P24: device table with latest status, latest update and latest release."""
     return fl.device_overview(t.devices, t.status, t.updates, t.releases, t.orders_as_of,
                               online=("30 days", "180 days"), status_recent="60 days")
 
@@ -352,7 +352,7 @@ def q_device_update_progress(t: Telemetry) -> DataFrame:
 
 @query("recent_updates")
 def q_recent_updates(t: Telemetry) -> DataFrame:
-    """Newest 20 attempts joined with the registry."""
+    """J2 + O1/P23: newest 20 attempts joined with the registry (X-2 NULL-first order)."""
     return fl.recent_updates(t.updates, t.devices, n=20)
 
 
@@ -450,7 +450,7 @@ def q_power_summary(t: Telemetry) -> DataFrame:
 
 @query("backfill")
 def q_backfill(t: Telemetry) -> DataFrame:
-    """NULL typed columns filled from raw JSON by ordered fallback keys."""
+    """T6 + P10: NULL typed columns filled from raw JSON by ordered fallback keys (X-9)."""
     out = pw.backfill_power(t.power_raw, "raw_data")
     return out.select(*_RAW_KEEP, "watts_in_sum", "watts_out_sum", "soc_percent", "remain_time_min",
                       "ac_out_watts", "dc_out_watts", "pv_in_watts", "typec_out_watts", "usb_out_watts")
@@ -735,7 +735,7 @@ def _scratch(t: Telemetry, name: str) -> str:
 
 @query("stream_ingest")
 def q_stream_ingest(t: Telemetry) -> DataFrame:
-    """ST1: messages dropped as files, ingested by a stream, counted per sink table."""
+    """ST1 + S1/S3/S4: messages dropped as files, ingested by a stream, counted per sink table."""
     import os
     from fleetspark.streaming.ingest import start_ingest
     run = _scratch(t, "ingest")

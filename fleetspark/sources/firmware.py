@@ -9,7 +9,7 @@ SLUG = r"^[A-Za-z0-9._-]+$"
 
 
 def firmware_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Name parts, size, SHA-256 and slug check per artifact (binaryFile source;
+    """Name parts, size, SHA-256 and slug check per artifact (binaryFile source;
     the content column is read only for the digest)."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder)
     name = F.regexp_extract("path", r"([^/]+)\.bin$", 1)

@@ -188,6 +188,7 @@ def _random_ota(n=4000, seed=3):
 
 
 def test_update_attempts_match_python_model(spark):
+    """W9 with X-11 (percent absent/null/out of range) and X-12 (version by key presence)."""
     msgs = _random_ota()
     df = spark.createDataFrame(msgs, "device_id string, kind string, received_at timestamp_ntz, seq long, payload string")
     for chunk in (86400 * 7, 86400 * 365):

@@ -32,6 +32,7 @@ def con():
 
 
 def test_entry_smoke(spark):
+    """Driver smoke check; X-15: driver timestamps stay timestamp_ntz end to end."""
     df = E.entry(spark)
     assert df.columns == ["time", "value", "metric"]
     assert df.count() > 0

@@ -11,6 +11,7 @@ from fleetspark.sources.firmware import firmware_inventory, upload_events
 
 
 def test_refresh_and_exports(spark, scratch):
+    """Snapshot refresh, dated export, CSV/JSON export."""
     df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     refresh_latest(df, os.path.join(scratch, "latest"))
     refresh_latest(df.where("k = 'a'"), os.path.join(scratch, "latest"))
@@ -25,6 +26,7 @@ def test_refresh_and_exports(spark, scratch):
 
 
 def test_firmware_inventory(spark, scratch):
+    """Artifact inventory and upload events."""
     folder = os.path.join(scratch, "fw")
     os.makedirs(folder)
     files = {"esp32_1.2.0.bin": b"\x00\x01abc", "board-a_2.0.bin": b"xyz" * 10, "bad name_1.0.bin": b"q"}
@@ -39,12 +41,14 @@ def test_firmware_inventory(spark, scratch):
 
 
 def test_order_last_seen_nulls_last(spark):
+    """O3: DESC NULLS LAST."""
     df = spark.createDataFrame([("a", None), ("b", datetime(2024, 1, 2)), ("c", datetime(2024, 1, 3))],
                                "device_id string, last_seen timestamp_ntz")
     assert [r.device_id for r in order_last_seen(df).collect()] == ["c", "b", "a"]
 
 
 def test_append_measurements_partitioned(spark, scratch):
+    """Day-partitioned appends."""
     import json
     from datetime import datetime as dt
 
