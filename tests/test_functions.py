@@ -33,6 +33,7 @@ TOPICS = [
 
 
 def test_parse_topic_golden(spark):
+    """Topic parse golden table."""
     df = spark.createDataFrame([(t,) for t, _ in TOPICS], "topic string")
     got = {r.topic: (tuple(r.p) if r.p is not None else None) for r in df.select("topic", parse_topic("topic").alias("p")).collect()}
     for t, exp in TOPICS:
@@ -52,6 +53,7 @@ PAYLOADS = [
 
 
 def test_validate_payload_golden(spark):
+    """Payload decode and validation golden table."""
     rows = [("s/sensors/d/data", json.dumps(p), datetime(2024, 1, 1), i) for i, (p, _) in enumerate(PAYLOADS)]
     rows += [("s/sensors/d/data", "{not json", datetime(2024, 1, 1), 100), ("s/sensors/d/data", "[1]", datetime(2024, 1, 1), 101)]
     df = spark.createDataFrame(rows, "topic string, payload string, received_at timestamp_ntz, i int")
@@ -96,6 +98,7 @@ def _flat(**kw):
 
 
 def test_validate_flat_golden(spark):
+    """Strict flat-message validation golden table."""
     cases = [
         (_flat(), None),
         (_flat(sensor_id=...), "Missing required field: sensor_id"),
@@ -116,6 +119,7 @@ def _py_bucket(s):
 
 
 def test_hash_bucket_matches_python(spark):
+    """Bucket equals Python big-integer modulo."""
     ids = [f"device{i}" for i in range(1000)] + ["", "ESP32-ABC123", "Customer#000000001", "äöü"]
     df = spark.createDataFrame([(x,) for x in ids], "id string")
     got = {r.id: r.b for r in df.select("id", hash_bucket("id").alias("b")).collect()}
@@ -125,6 +129,7 @@ def test_hash_bucket_matches_python(spark):
 
 
 def test_percentage_spread_and_edges(spark):
+    """Spread at 50 % and the 0/100 edges."""
     df = spark.createDataFrame([(f"device{i}",) for i in range(1000)], "id string")
     n = df.where(percentage_match("id", 50)).count()
     assert 400 < n < 600
@@ -133,6 +138,7 @@ def test_percentage_spread_and_edges(spark):
 
 
 def test_eligibility(spark):
+    """R2: all/canary/group/specific and bad filters."""
     flt = json.dumps({"device_ids": ["device1", "device2", "device3"]})
     rows = [("device1", "specific", flt, 0), ("device2", "specific", flt, 0), ("device4", "specific", flt, 100),
             ("device999", "specific", flt, 100), ("device1", "specific", None, 100), ("device1", "specific", "{bad", 100),
@@ -156,6 +162,7 @@ def test_concat_skips_null_and_integer_division(spark):
 
 
 def test_uptime_formats(spark):
+    """Uptime text variants."""
     df = spark.createDataFrame([(90061.0,), (7200.0,), (59.0,), (150.0,), (None,)], "s double")
     out = df.select(fm.fmt_uptime("s", "coarse").alias("c"), fm.fmt_uptime("s", "table").alias("t"),
                     fm.fmt_uptime("s", "detail").alias("d")).collect()
@@ -165,6 +172,7 @@ def test_uptime_formats(spark):
 
 
 def test_heater_codes_and_bands(spark):
+    """State codes and value bands."""
     df = spark.createDataFrame([(s,) for s in ["Off", "Starting", "Warming", "Running", "Ventilation",
                                                "ShuttingDown", "Cooling", "x"]], "s string")
     assert [r.c for r in df.select(fm.heater_state_code("s").alias("c")).collect()] == [0, 1, 2, 3, -1, 4, 5, -1]
@@ -174,11 +182,13 @@ def test_heater_codes_and_bands(spark):
 
 
 def test_topic_filter_regex():
+    """Subscription filters as anchored regexes."""
     assert pr.topic_filter_regex("+/+/+/data") == "^[^/]*/[^/]*/[^/]*/data$"
     assert pr.topic_filter_regex("a/#") == "^a(/.*)?$"
 
 
 def test_online_state(spark):
+    """Online classification."""
     now = datetime(2024, 1, 1, 12, 0, 0)
     df = spark.createDataFrame([(datetime(2024, 1, 1, 11, 58),), (datetime(2024, 1, 1, 11, 30),),
                                 (datetime(2024, 1, 1, 9, 0),), (None,)], "t timestamp_ntz")

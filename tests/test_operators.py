@@ -72,6 +72,7 @@ def test_latest_nulls_first_and_tiebreak(spark):
 
 
 def test_latest_non_null_skips_nulls(spark):
+    """Newest non-NULL value."""
     rows = [("a", T0, 1, 5), ("a", T0 + timedelta(1), 2, None), ("b", T0, 3, None)]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id int, v int")
     got = {r.k: r.value for r in lt.latest_non_null(df, ["k"], "v", ["ts", "id"]).collect()}
@@ -118,6 +119,7 @@ def _random_events(n=3000, seed=7):
 
 
 def test_state_intervals_exact_across_chunks(spark):
+    """Runs exact for any chunk width, hot key included."""
     ev = _random_events()
     df = spark.createDataFrame(ev, "k string, ts timestamp_ntz, id int, s string")
     for chunk in (3600, 86400, 10 ** 7):
@@ -126,6 +128,7 @@ def test_state_intervals_exact_across_chunks(spark):
 
 
 def test_gap_segments_exact_across_chunks(spark):
+    """Gap segments exact for any chunk width."""
     ev = _random_events(seed=11)
     df = spark.createDataFrame(ev, "k string, ts timestamp_ntz, id int, s string")
     got = sorted((r.k, r.start, r.end, r.rows)
@@ -199,6 +202,7 @@ def test_update_attempts_match_python_model(spark):
 
 
 def test_event_log(spark):
+    """Audit events of the message path."""
     msgs = [("d", "result", T0, 1, json.dumps({"success": True})),
             ("d", "status", T0 + timedelta(1), 2, json.dumps({"version": "2"})),
             ("d", "status", T0 + timedelta(2), 3, json.dumps({"target_version": None})),

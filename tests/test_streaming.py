@@ -38,6 +38,7 @@ def _messages():
 
 
 def test_ingest_stream_equals_batch(spark, scratch):
+    """ST1: streamed ingest equals batch routing."""
     rows = _messages()
     src = _write_chunks(spark, rows, MESSAGE_SCHEMA, os.path.join(scratch, "in"))
     files = [os.path.join(dp, f) for dp, _, fs in os.walk(src) for f in fs if f.endswith(".json")]
@@ -54,6 +55,7 @@ def test_ingest_stream_equals_batch(spark, scratch):
 
 
 def test_bucket_stream_equals_batch(spark, scratch):
+    """ST2: watermarked bucket means equal the batch means."""
     rows = [(T0 + timedelta(minutes=7 * i), float(i % 13)) for i in range(400)]
     schema = "ts timestamp_ntz, v double"
     src = os.path.join(scratch, "in")
@@ -70,6 +72,7 @@ def test_bucket_stream_equals_batch(spark, scratch):
 
 
 def test_update_attempts_stream_equals_batch(spark, scratch):
+    """ST4: streamed attempt tracking equals the batch fold."""
     from tests.test_operators import _random_ota
     msgs = _random_ota(n=1500, seed=5)
     schema = "device_id string, kind string, received_at timestamp_ntz, seq long, payload string"
@@ -89,6 +92,7 @@ def test_update_attempts_stream_equals_batch(spark, scratch):
 
 
 def test_latest_stream_keeps_newest(spark, scratch):
+    """ST5: latest-per-key snapshot over several batches."""
     rows = [(f"d{i % 5}", T0 + timedelta(minutes=i), i, f"cfg{i}") for i in range(60)]
     schema = "device_id string, updated_at timestamp_ntz, seq int, config string"
     folder = os.path.join(scratch, "in")
@@ -103,6 +107,7 @@ def test_latest_stream_keeps_newest(spark, scratch):
 
 
 def test_bucket_snapshot_over_batches_equals_batch(spark, scratch):
+    """ST2: update-mode buckets over several batches."""
     from fleetspark.streaming.ingest import bucket_avg_to_snapshot
     rows = [(T0 + timedelta(minutes=11 * i), float(i % 17)) for i in range(600)]
     schema = "ts timestamp_ntz, v double"

@@ -49,7 +49,8 @@ def main() -> None:
                     scan(os.path.join(dp, f), kind, found)
     print("# Coverage of SURVEY §2\n")
     print("Generated by `python tools/coverage.py` from docstrings. Query keys are registered in")
-    print("`__spark_entry__.queries()` with a DuckDB oracle in `oracle_sql()`.\n")
+    print("`__spark_entry__.queries()` with a DuckDB oracle in `oracle_sql()`; every registered query is also")
+    print("compared with its oracle by `tests/test_queries.py` (sf0.001) and `tools/check_oracle.py` (sf0.01).\n")
     print("| ID | functions | registered queries | tests |\n|---|---|---|---|")
     for i in sorted(found, key=sort_key):
         f = found[i]
