@@ -96,8 +96,9 @@ def state_intervals(df: DataFrame, keys: Sequence[str], ts: str, state: str,
     keys = list(keys)
     d = df.select(*keys, ts, tiebreak, F.col(state).alias("_state")).withColumn("_chunk", time_chunk(ts, chunk_seconds))
     d = number_runs(d, keys, "_chunk", [ts, tiebreak], "_state", lambda prev, cur: ~prev.eqNullSafe(cur), "run")
-    return (d.groupBy(*keys, "run").agg(
-                F.first("_state").alias("state"),
+    # every row of a run has the same state, so it can be a grouping key; the
+    # aggregate buffers then stay fixed-width (hash aggregation, no local sort)
+    return (d.groupBy(*keys, "run", F.col("_state").alias("state")).agg(
                 F.min(ts).alias("start"), F.max(ts).alias("end"),
                 F.count(F.lit(1)).alias("rows")))
 
