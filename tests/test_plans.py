@@ -54,3 +54,21 @@ def test_no_cartesian_products_or_broadcast_hints(spark):
         assert "strategy=broadcast" not in logical.lower(), name
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_spread_is_a_no_op_for_split_inputs(spark, scratch):
+    """Only inputs with a handful of splits are round-robined; block-split inputs are left alone."""
+    import os
+
+    from fleetspark.bindings import SPREAD_MAX_SPLITS, spread
+    path = os.path.join(scratch, "many")
+    spark.range(0, 100_000, numPartitions=SPREAD_MAX_SPLITS + 4).write.parquet(path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")  # one split per file
+    try:
+        many = spark.read.parquet(path)
+        assert many.rdd.getNumPartitions() >= SPREAD_MAX_SPLITS
+        assert "RoundRobinPartitioning" not in spread(many)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    one = spark.read.parquet(os.path.join(SF, "events.parquet"))
+    assert "RoundRobinPartitioning" in spread(one)._jdf.queryExecution().executedPlan().toString()
