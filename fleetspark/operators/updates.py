@@ -72,7 +72,7 @@ def parse_update_messages(msgs: DataFrame, seq: str = "seq") -> DataFrame:
         rejected.alias("rejected"))
 
 
-def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 30 * 86400) -> DataFrame:
+def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 86400) -> DataFrame:
     """One row per (device, attempt) in the state the message log leaves it.
 
     Input: device_id, kind (status|progress|result), received_at, seq, payload.
