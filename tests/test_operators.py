@@ -210,3 +210,21 @@ def test_event_log(spark):
     df = spark.createDataFrame(msgs, "device_id string, kind string, received_at timestamp_ntz, seq long, payload string")
     got = [(r.event_type, r.firmware_version) for r in ota_event_log(df).orderBy("seq").collect()]
     assert got == [("update_completed", "unknown"), ("update_started", "2"), ("update_failed", "unknown")]
+
+
+def test_state_intervals_property(spark):
+    """Random sequences and chunk widths give the plain-Python runs exactly."""
+    from hypothesis import HealthCheck, given, settings, strategies as st
+
+    event = st.tuples(st.sampled_from(["a", "b", "hot"]), st.integers(0, 3 * 24 * 60),
+                      st.sampled_from(["Off", "Running", None]))
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(event, min_size=1, max_size=60), st.sampled_from([600, 3600, 86400]))
+    def check(evs, chunk):
+        rows = [(k, T0 + timedelta(minutes=m), i, s) for i, (k, m, s) in enumerate(evs)]
+        df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id int, s string")
+        got = sorted((r.k, r.start, r.end, r.rows) for r in rn.state_intervals(df, ["k"], "ts", "s", "id", chunk).collect())
+        assert got == _py_runs(rows)
+
+    check()
