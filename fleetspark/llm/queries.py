@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetspark.llm import byte_bpe, decontaminate, quality, secrets, substrings
+from fleetspark.llm import byte_bpe, chosen_path, decontaminate, quality, secrets, substrings
 from fleetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(table(spark, sf_dir, "documents"), tok.path("byte_bpe_50k.tiktoken"), tok.PATTERN)
 
 
+@query("op7_ngram_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))

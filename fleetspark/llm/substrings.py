@@ -158,6 +158,19 @@ class Filter:
         self.bits, self.bitmap = bits, np.zeros(max(1, bits >> 6), U)
         self.bitmap[blocks] = values
 
+    @classmethod
+    def of(cls, keys: DataFrame) -> Filter:
+        """Filter of a column ``key``, sized by its count; Spark combines its 64-bit blocks."""
+        bits = 1 << 16
+        n = keys.count()
+        while bits < FILTER_BITS * n and bits < MAX_FILTER_BITS:
+            bits <<= 1
+        at = [F.expr(f"shiftrightunsigned(key, {shift}) & {bits - 1}L") for shift in (0, 32)]
+        ones = keys.select(F.explode(F.array(*at)).alias("at"))
+        blocks = (ones.groupBy(F.expr("cast(shiftright(at, 6) as int)").alias("block"))
+                      .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("value")).toArrow())
+        return cls(bits, blocks["block"].to_numpy(), blocks["value"].to_numpy().view(U))
+
     def has(self, keys: np.ndarray) -> np.ndarray:
         found = np.ones(len(keys), bool)
         for shift in (0, 32):
@@ -167,16 +180,9 @@ class Filter:
 
 
 def _shared_filter(keys: DataFrame) -> Filter:
-    """Filter of the keys that occur twice or more; its blocks are combined by Spark."""
-    shared = shared_table(keys.sparkSession, keys.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"), "symbols")
-    bits = 1 << 16
-    while bits < FILTER_BITS * shared.count() and bits < MAX_FILTER_BITS:
-        bits <<= 1
-    at = [F.expr(f"shiftrightunsigned(key, {shift}) & {bits - 1}L") for shift in (0, 32)]
-    ones = shared.select(F.explode(F.array(*at)).alias("at"))
-    blocks = (ones.groupBy(F.expr("cast(shiftright(at, 6) as int)").alias("block"))
-                  .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("value")).toArrow())
-    return Filter(bits, blocks["block"].to_numpy(), blocks["value"].to_numpy().view(U))
+    """Filter of the keys that occur twice or more."""
+    shared = keys.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    return Filter.of(shared_table(keys.sparkSession, shared, "symbols"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 35, with_text: bool = False) -> DataFrame:
