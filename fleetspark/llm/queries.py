@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetspark.llm import byte_bpe, chosen_path, decontaminate, quality, secrets, substrings
+from fleetspark.llm import byte_bpe, chosen_path, decontaminate, quality, recurrent_lm, secrets, substrings
 from fleetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(name: str):
     return deco
 
 
+@query("op2_recurrent_lm")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("found")
