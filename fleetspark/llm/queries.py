@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetspark.llm import byte_bpe, chosen_path, decontaminate, quality, recurrent_lm, secrets, substrings, toxicity
+from fleetspark.llm import byte_bpe, chosen_path, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, toxicity
 from fleetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query("op3_html_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 @query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents")).drop("found")
