@@ -245,10 +245,10 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
             ids_sha.append(sha256(coded))
             text_sha.append(sha256(codec.decode(coded)))
             if with_ids:
-                ids.append(np.frombuffer(coded, "<u4").astype(np.int64))
+                ids.append(np.frombuffer(coded, "<u4").astype(np.int32))
         out = {id_col: part.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()),
                "decoded_sha256": pa.array(text_sha, pa.string())}
-        return out | ({"ids": pa.array(ids, pa.list_(pa.int64()))} if with_ids else {})
+        return out | ({"ids": pa.array(ids, pa.list_(pa.int32()))} if with_ids else {})
 
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_texts(src, step, schema + (", ids array<long>" if with_ids else ""))
+    return map_texts(src, step, schema + (", ids array<int>" if with_ids else ""))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetspark.llm import byte_bpe, chosen_path, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, toxicity
+from fleetspark.llm import byte_bpe, chosen_path, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, surrogates, toxicity
 from fleetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,17 @@ def query(name: str):
     return deco
 
 
+#: Key of the registered queries' surrogates; a production run passes its own secret.
+SURROGATE_KEY = b"registered query"
+
+
+@query("op1_pii_surrogates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.replace_personal_data(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    n = F.aggregate(F.map_values("entities_by_kind"), F.lit(0).cast("long"), lambda a, x: a + x)
+    return found.select("doc_id", "text", n.alias("n_entities"))
+
+
 @query("op2_recurrent_lm")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.score_documents(table(spark, sf_dir, "documents"))
