@@ -16,13 +16,14 @@ document's words are scanned against it and hits are verified word for word.
 Plan: one scan of the documents; each row is exploded into its words inside the
 scan stage and dropped there unless its word files windows, so only hits and one
 row per document are shuffled. The window table is broadcast only while its
-measured row count is at most ``BROADCAST_WINDOWS`` (a window row is at most
-a few hundred bytes for usual words); beyond it the same join runs as a shuffle
-join, which AQE splits where a word is frequent.
+measured size is at most ``BROADCAST_WINDOWS`` rows and ``BROADCAST_BYTES``;
+beyond it the words meet the windows in a shuffle join, which AQE splits where a
+word is frequent, and each text then verifies its own candidates.
 
 Defined results: a null or empty text has no words and is never contaminated;
 null benchmark texts have no window; repeated rows each get their own result;
-items that repeat a text all count; other columns are ignored.
+items that repeat a text all count; an item with a null id hits, but is not
+listed; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,31 +71,58 @@ def _hit_words(spans: Column) -> Column:
         lambda acc: acc["n"])
 
 
+def _near(places: DataFrame, windows: DataFrame) -> DataFrame:
+    """Places whose word files windows that can lie around them, and place 0."""
+    return (places.join(windows, (F.col("_word") == F.col("anchor")) & (F.col("_at") > F.col("back")), "left")
+                  .where((F.col("_at") == 0) | F.col("anchor").isNotNull()))
+
+
+def _cut(words_col: str, at: Column, n: Column) -> Column:
+    return F.array_join(F.slice(words_col, at, n), " ")
+
+
+def _span(start: Column, n: Column) -> Column:
+    return F.struct(start.cast("int").alias("start"), (start + n).cast("int").alias("stop"))
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text",
               item_col: str = "item_id", size: int = WINDOW) -> DataFrame:
     """One row per input row: ``keep`` columns, n_words, spans (hit word ranges), items (their ids, sorted)."""
     windows = benchmark_windows(benchmark, item_col, "text", size)
     n, held = windows.agg(F.count("*"), F.sum(F.octet_length("window") + F.octet_length("anchor"))).first()
-    if n <= BROADCAST_WINDOWS and (held or 0) <= BROADCAST_BYTES:
-        windows = F.broadcast(windows)
-    base = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(c) for c in keep]).alias("_keep"),
-                       words(F.col(text_col)).alias("_w"))
+    base = docs.select(F.struct(*[F.col(c) for c in keep]).alias("_keep"), words(F.col(text_col)).alias("_w"),
+                       F.xxhash64(*[F.col(c) for c in keep], F.col(text_col)).alias("_key"))
+    found = _hits_in_scan if n <= BROADCAST_WINDOWS and (held or 0) <= BROADCAST_BYTES else _hits_by_shuffle
+    return found(base, windows)
+
+
+def _hits_in_scan(base: DataFrame, windows: DataFrame) -> DataFrame:
+    """Windows of bounded size are broadcast, and a place's words are compared in the scan stage."""
     # element 0 stands for the document itself, so that rows without a hit stay
-    places = base.select("_row", "_keep", "_w", F.posexplode(F.concat(F.array(F.lit("")), F.col("_w"))).alias("_at", "_word"))
-    cut = F.array_join(F.slice("_w", F.col("_at") - F.col("back"), F.col("n")), " ")
-    near = (places.join(windows, (F.col("_word") == F.col("anchor")) & (F.col("_at") > F.col("back")), "left")
-                  .where((F.col("_at") == 0) | (F.col("anchor").isNotNull() & (cut == F.col("window")))))
-    first = F.col("_at") - F.col("back") - 1
-    rows = near.select("_row", F.when(F.col("_at") == 0, F.col("_keep")).alias("_keep"),
-                       F.when(F.col("_at") == 0, F.size("_w")).alias("_n"),
-                       F.when(F.col("_at") > 0, F.struct(first.cast("int").alias("start"), (first + F.col("n")).cast("int").alias("stop"))).alias("_span"),
-                       F.col("items").alias("_items"))
+    places = base.select(F.monotonically_increasing_id().alias("_row"), "_keep", "_w").select(
+        "_row", "_keep", "_w", F.posexplode(F.concat(F.array(F.lit("")), F.col("_w"))).alias("_at", "_word"))
+    near = _near(places, F.broadcast(windows)).where((F.col("_at") == 0) | (_cut("_w", F.col("_at") - F.col("back"), F.col("n")) == F.col("window")))
+    rows = near.select("_row", F.when(F.col("_at") == 0, F.col("_keep")).alias("_keep"), F.when(F.col("_at") == 0, F.size("_w")).alias("_n"),
+                       F.when(F.col("_at") > 0, _span(F.col("_at") - F.col("back") - 1, F.col("n"))).alias("_span"), F.col("items").alias("_items"))
     found = rows.groupBy("_row").agg(
         F.max("_n").cast("long").alias("n_words"), F.first("_keep", ignorenulls=True).alias("_keep"),
         F.collect_set("_span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("_items")))).alias("items"))
     return found.select("_keep.*", "n_words", "spans", "items")
 
 
+def _hits_by_shuffle(base: DataFrame, windows: DataFrame) -> DataFrame:
+    """Windows of any size: words meet them by a shuffle join, and each text then compares its own candidates.
+
+    Rows of equal key and text have equal hits, so they share one list of candidates."""
+    places = base.select("_key", F.posexplode("_w").alias("_at", "_word")).withColumn("_at", F.col("_at") + 1)
+    near = _near(places, windows).select("_key", (F.col("_at") - F.col("back") - 1).alias("start"), "n", "window", "items").distinct()
+    lists = near.groupBy("_key").agg(F.collect_list(F.struct("start", "n", "window", "items")).alias("_near"))
+    true = F.filter(F.coalesce("_near", F.array()), lambda c: _cut("_w", c["start"] + 1, c["n"]) == c["window"])
+    return base.join(lists, "_key", "left").withColumn("_true", true).select(
+        "_keep.*", F.size("_w").cast("long").alias("n_words"), F.array_distinct(F.transform("_true", lambda c: _span(c["start"], c["n"]))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform("_true", lambda c: c["items"])))).alias("items"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, keep: list[str], text_col: str = "text",
                   item_col: str = "item_id", size: int = WINDOW) -> DataFrame:
     """``find_hits`` with the verdict: n_hit and contaminated."""

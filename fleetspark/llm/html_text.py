@@ -45,6 +45,8 @@ VECTOR, STATE, NUMBERS = 12, 16, 6
 #: Innermost path entries that a block is described by.
 PATH = 24
 TRAIN_PAGES, DRESSED, EPOCHS, BATCH, RATE = 1200, 2, 4, 24, 0.01
+#: Lessons gone over at least (small samples are gone over more often).
+LEAST_SEEN = 12_000
 
 # Fixed values of HTML: elements that break a run of text, and elements whose content is no text.
 BLOCK_TAGS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption
@@ -324,8 +326,9 @@ class Network:
         g["word"] = sum_rows(x.word, spread(d_v[:, 2 * VECTOR:3 * VECTOR], x.word_n), WORD_ROWS)
         return g
 
-    def fit(self, taught: list[tuple[list[Block], np.ndarray]], epochs: int = EPOCHS) -> None:
+    def fit(self, taught: list[tuple[list[Block], np.ndarray]], epochs: int | None = None) -> None:
         optimizer, rnd = Adam(self.weights, RATE), np.random.default_rng(4)
+        epochs = epochs or max(EPOCHS, LEAST_SEEN // max(1, len(taught)))
         for epoch in range(epochs):
             optimizer.rate = RATE * (1 - 0.9 * epoch / epochs)
             order = rnd.permutation(len(taught))
