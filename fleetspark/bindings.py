@@ -17,12 +17,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
-# Tables whose rows carry per-row work (JSON building and parsing, many expressions).
-FACT_TABLES = ("events", "lineitem", "orders")
-# A scan is spread only when it has fewer splits than this (and than the cores).
-SPREAD_MAX_SPLITS = 16
-
-
 class Source:
     """Lazy access to the driver parquet tables of one scale factor."""
 
@@ -33,37 +27,15 @@ class Source:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            self._cache[name] = spread(df) if name in FACT_TABLES else df
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
-    def scan(self, name: str) -> DataFrame:
-        """The table as stored (no spreading), for cheap scans such as a column maximum."""
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.table(name)
         raise AttributeError(name)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has only a handful of splits (fewer than the cores).
-
-    Large inputs are split by the file source itself (one task per block), so
-    this is a no-op at scale; a small file with a single row group would
-    otherwise run all per-row work (JSON parsing, expression evaluation) in
-    one task. Projections and filters are still pushed below the exchange.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    # only inputs with a handful of splits: a table with thousands of splits is
-    # already parallel enough and must not be reshuffled
-    if n < min(target, SPREAD_MAX_SPLITS):
-        return df.repartition(target)
-    return df
-
-
 def _state_by(k):
     """Heater state text from an integer column: HEATER_STATES[k % 7]."""
     idx = (k % len(HEATER_STATES)).cast("int")
@@ -204,26 +176,29 @@ def firmware_releases(src: Source) -> DataFrame:
             .agg(F.min("o_orderdate").alias("created_at")))
 
 
-SPECIFIC_LIST_SIZE = 100
+def rollout_targets(src: Source, releases: DataFrame | None = None) -> DataFrame:
+    """rollout_name, device_id: the device lists of 'specific' rollouts, every 50th customer."""
+    rel = releases if releases is not None else firmware_releases(src)
+    names = rel.where(F.col("device_model") == "BUILDING").select(F.concat("device_model", F.lit("-"), "version").alias("rollout_name"))
+    ids = src.customer.where(F.col("c_custkey") % 50 == 0).select(F.col("c_name").alias("device_id"))
+    # the list is the same for each of the (few) names, so each id carries all of them
+    all_names = names.agg(F.collect_set("rollout_name")).scalar()
+    return ids.select("device_id", F.explode(all_names).alias("rollout_name"))
 
 
 def rollout_configurations(src: Source, releases: DataFrame | None = None) -> DataFrame:
     """releases -> rollout_configurations, one per release.
 
-    is_active = model <> 'FURNITURE'; BUILDING -> 'specific' with the names of
-    customers c_custkey < 100; HOUSEHOLD -> 'all' at 100 %; others 'canary' 40 %.
+    is_active = model <> 'FURNITURE'; BUILDING -> 'specific' (see ``rollout_targets``);
+    HOUSEHOLD -> 'all' at 100 %; others 'canary' 40 %.
     """
     rel = releases if releases is not None else firmware_releases(src)
-    # A bounded list (c_custkey < 100) evaluated once as a scalar subquery.
-    ids = (src.customer.where(F.col("c_custkey") < SPECIFIC_LIST_SIZE)
-           .agg(F.to_json(F.struct(F.sort_array(F.collect_list("c_name")).alias("device_ids"))))
-           .scalar())
     m = F.col("device_model")
     return rel.select(
         F.concat(m, F.lit("-"), F.col("version")).alias("name"),
         F.col("version").alias("firmware_version"), m.alias("device_model"),
         F.when(m == "BUILDING", "specific").when(m == "HOUSEHOLD", "all").otherwise("canary").alias("target_type"),
-        F.when(m == "BUILDING", ids).alias("target_filter"),
+        F.lit(None).cast("string").alias("target_filter"),
         F.when(m == "HOUSEHOLD", 100).when(m == "BUILDING", 100).otherwise(40).alias("rollout_percentage"),
         (m != "FURNITURE").alias("is_active"),
         F.col("created_at"),
@@ -235,8 +210,10 @@ def update_messages(src: Source) -> DataFrame:
 
     kind by o_orderkey % 4: 0 status, 1-2 progress, 3 result. status payload has
     target_version (key % 8 = 0), version (key % 8 = 4) or nothing (key % 24 = 12).
-    progress: state by (key div 4) % 3, percent = key % 130, absent when key % 9 = 0,
-    JSON null when key % 13 = 0. result: success = (o_orderstatus = 'F').
+    progress: state by (key div 4) % 3, JSON null when key % 31 = 5; percent: beyond int when
+    key % 43 = 1, text "abc" when key % 41 = 1, text "12" when key % 37 = 1, absent when key % 9 = 0,
+    JSON null when key % 13 = 0, else key % 130. result: success = text "false" when key % 47 = 3,
+    text "maybe" when key % 53 = 3, 1 when key % 59 = 3, else (o_orderstatus = 'F').
     """
     o = src.orders
     key = F.col("o_orderkey")
@@ -247,12 +224,17 @@ def update_messages(src: Source) -> DataFrame:
                       .otherwise(F.to_json(F.struct(ver.alias("version")))))
     state = F.element_at(F.array(F.lit("installing"), F.lit("Verifying"), F.lit("downloading")),
                          ((key / 4).cast("long") % 3).cast("int") + 1)
-    pct_json = (F.when(key % 9 == 0, F.lit(""))
+    pct_json = (F.when(key % 43 == 1, F.lit(', "percent": 5000000000'))
+                .when(key % 41 == 1, F.lit(', "percent": "abc"'))
+                .when(key % 37 == 1, F.lit(', "percent": "12"'))
+                .when(key % 9 == 0, F.lit(""))
                 .when(key % 13 == 0, F.lit(', "percent": null'))
                 .otherwise(F.concat(F.lit(', "percent": '), (key % 130).cast("string"))))
-    progress_payload = F.concat(F.lit('{"state": "'), state, F.lit('"'), pct_json, F.lit("}"))
-    result_payload = F.to_json(F.struct((F.col("o_orderstatus") == "F").alias("success"),
-                                        F.concat(F.lit("error "), key.cast("string")).alias("message")))
+    state_json = F.when(key % 31 == 5, F.lit("null")).otherwise(F.concat(F.lit('"'), state, F.lit('"')))
+    progress_payload = F.concat(F.lit('{"state": '), state_json, pct_json, F.lit("}"))
+    success = (F.when(key % 47 == 3, F.lit('"false"')).when(key % 53 == 3, F.lit('"maybe"')).when(key % 59 == 3, F.lit("1"))
+               .otherwise((F.col("o_orderstatus") == "F").cast("string")))
+    result_payload = F.concat(F.lit('{"success": '), success, F.lit(', "message": "error '), key.cast("string"), F.lit('"}'))
     return o.select(
         F.col("o_custkey").cast("string").alias("device_id"),
         kind.alias("kind"),
@@ -267,10 +249,13 @@ def raw_messages(src: Source) -> DataFrame:
     """events -> raw pub/sub messages (topic, payload, received_at, event_id).
 
     Topic: event_id % 19 = 0 -> 2 levels (invalid); % 7 = 5 -> edge status;
-    % 7 = 6 -> edge config; % 23 = 0 -> unknown OTA sub-topic; else data topic
-    ``site/{event_type}/{user_id}/data``. Payload: % 17 = 0 not JSON, 1 array,
-    2 no metrics, 3 empty metrics, 4 metrics a string; % 29 = 0 bad timestamp;
-    else a valid object with the event time as ISO text.
+    % 7 = 6 -> edge config; % 23 = 0 -> unknown OTA sub-topic, 1, 2, 3 -> OTA status,
+    progress, result; else data topic ``site/{event_type}/{user_id}/data``.
+    Payload: % 17 = 0 not JSON, 1 array, 2 no metrics, 3 empty metrics, 4 metrics a
+    string; % 31 = 0 repeated keys (the last ones count); % 29 = 0 bad timestamp;
+    else a valid object with the event time as ISO text. Status payloads hold
+    device_model (absent when % 4 = 1, empty when % 4 = 3) and firmware_version
+    (absent when % 5 = 2).
     """
     ev = src.events
     eid, uid = F.col("event_id"), F.col("user_id").cast("string")
@@ -278,6 +263,9 @@ def raw_messages(src: Source) -> DataFrame:
              .when(eid % 7 == 5, F.concat(F.lit("site/edge/"), uid, F.lit("/status")))
              .when(eid % 7 == 6, F.concat(F.lit("site/edge/"), uid, F.lit("/config")))
              .when(eid % 23 == 0, F.concat(F.lit("site/edge/"), uid, F.lit("/ota/unknown")))
+             .when(eid % 23 == 1, F.concat(F.lit("site/edge/"), uid, F.lit("/ota/status")))
+             .when(eid % 23 == 2, F.concat(F.lit("site/edge/"), uid, F.lit("/ota/progress")))
+             .when(eid % 23 == 3, F.concat(F.lit("site/edge/"), uid, F.lit("/ota/result")))
              .otherwise(F.concat(F.lit("site/"), F.col("event_type"), F.lit("/"), uid, F.lit("/data"))))
     metrics = F.struct(F.col("value").alias("value"),
                        F.get_json_object("props", "$.k").cast("long").alias("k"))
@@ -287,8 +275,12 @@ def raw_messages(src: Source) -> DataFrame:
                .when(eid % 17 == 2, F.to_json(F.struct(uid.alias("device_id"))))
                .when(eid % 17 == 3, F.concat(F.lit('{"device_id": "'), uid, F.lit('", "metrics": {}}')))
                .when(eid % 17 == 4, F.to_json(F.struct(uid.alias("device_id"), F.lit("hot").alias("metrics"))))
+               .when(eid % 31 == 0, F.concat(F.lit('{"device_id": "other", "device_id": "'), uid, F.lit('", "metrics": {"value": -1, "value": '),
+                                             F.col("value").cast("string"), F.lit(', "k": '), F.get_json_object("props", "$.k"), F.lit("}}")))
                .otherwise(F.to_json(F.struct(
                    uid.alias("device_id"),
+                   F.when((eid % 7 == 5) & (eid % 4 != 1), F.when(eid % 4 == 3, F.lit("")).otherwise(F.concat(F.lit("m"), eid % 3))).alias("device_model"),
+                   F.when((eid % 7 == 5) & (eid % 5 != 2), F.concat(F.lit("fw"), eid % 6)).alias("firmware_version"),
                    F.when(eid % 29 == 0, F.lit("yesterday")).otherwise(good_ts).alias("timestamp"),
                    F.when(F.col("user_id") % 5 != 0, F.concat(F.lit("zone"), (F.col("user_id") % 4).cast("string")))
                     .alias("location"),
@@ -304,7 +296,7 @@ def edge_status(src: Source) -> DataFrame:
     event_id % 5 = 1); uptime_seconds = floor(value * 10000) (absent when
     event_id % 7 = 3); active_scenario = 'scenario' + k % 3 (only when
     event_id % 3 = 0); firmware_version = 'fw' + k % 4; device_model = esp32 for
-    even k, else esp8266.
+    even k, else esp8266 (absent when event_id % 8 = 1, empty when event_id % 8 = 4).
     """
     ev = src.events
     eid = F.col("event_id")
@@ -315,7 +307,7 @@ def edge_status(src: Source) -> DataFrame:
         F.lit("uptime_seconds"), F.when(eid % 7 != 3, F.floor(F.col("value") * 10000).cast("string")),
         F.lit("active_scenario"), F.when(eid % 3 == 0, F.concat(F.lit("scenario"), (k % 3).cast("string"))),
         F.lit("firmware_version"), F.concat(F.lit("fw"), (k % 4).cast("string")),
-        F.lit("device_model"), F.when(k % 2 == 0, F.lit("esp32")).otherwise(F.lit("esp8266")),
+        F.lit("device_model"), F.when(eid % 8 == 4, F.lit("")).when(eid % 8 != 1, F.when(k % 2 == 0, F.lit("esp32")).otherwise(F.lit("esp8266"))),
     )
     return ev.select(
         F.lit("site").alias("site_id"),

@@ -1,8 +1,9 @@
 """JSON access on decoded metric maps.
 
 JSON objects are decoded once into ``map<string,string>`` with ``from_json``:
-key existence is ``map_contains_key`` (true for a JSON null too), a missing or
-malformed object is NULL, and duplicate keys keep the last value.
+key existence is ``map_contains_key`` (true for a JSON null too), and a missing or
+malformed object is NULL. ``from_json`` keeps every occurrence of a repeated key and
+lookups find the first; ``keep_last`` makes the last one count.
 """
 
 from __future__ import annotations
@@ -19,6 +20,14 @@ def decode_object(c) -> Column:
     return F.from_json(col_of(c), MAP_SCHEMA)
 
 
+def keep_last(m: Column) -> Column:
+    """The map with the last value of each repeated key (``m`` should be a parsed column)."""
+    keys, values = F.map_keys(m), F.map_values(m)
+    once = F.array_distinct(keys)
+    last = F.map_from_arrays(once, F.transform(once, lambda k: F.element_at(F.reverse(values), F.array_position(F.reverse(keys), k).cast("int"))))
+    return F.when(F.size(once) < F.size(keys), last).otherwise(m)
+
+
 def has_metric(key: str, metrics="metrics") -> Column:
     """``metrics ? key``."""
     return F.map_contains_key(col_of(metrics), F.lit(key))
@@ -39,8 +48,3 @@ def json_path(c, *keys: str) -> Column:
     path = "$" + "".join("['" + k.replace("'", "\\'") + "']" for k in keys)
     return F.get_json_object(col_of(c), path)
 
-
-def json_path_exists(c, *keys: str) -> Column:
-    """``c -> k1 ... ? kn``: the last key is present (its value may be null)."""
-    parent = json_path(c, *keys[:-1]) if len(keys) > 1 else col_of(c)
-    return F.map_contains_key(F.from_json(parent, MAP_SCHEMA), F.lit(keys[-1]))

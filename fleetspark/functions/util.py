@@ -33,8 +33,8 @@ def interval(text: str) -> Column:
 
 
 def round_int(c) -> Column:
-    """X-1: ``numeric::int`` rounds half away from zero (cast alone truncates)."""
-    return F.round(col_of(c)).cast("int")
+    """X-1: ``numeric::int`` rounds half away from zero (cast alone truncates); NULL beyond the int range."""
+    return F.round(col_of(c)).try_cast("int")
 
 
 def epoch_seconds(c) -> Column:

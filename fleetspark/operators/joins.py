@@ -1,38 +1,20 @@
 """Joins against small derived lookups, with the broadcast decided on measured size.
 
-Lookups such as "newest release per model" are aggregates whose size is
-bounded by models x versions, not by the data, but that bound is a property
-of the data, not of the plan. Broadcasting is therefore left to adaptive
-query execution: the lookup's shuffle stage runs first, and AQE turns the
-join into a broadcast hash join only when the *measured* size of that stage is
-below ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a
-shuffle join (and skewed partitions are split). No extra job recomputes the
-lookup to count it.
-
-For an input that is small by construction (a literal list, a bounded
-parameter table), ``broadcast_bounded`` applies the hint after an explicit,
-early-stopping row-count check.
+A lookup such as "newest release per model" is bounded by models x versions, but
+that bound is a property of the data. It is counted first (an aggregate that the
+join needs anyway, reduced map-side) and broadcast only while it is small, so the
+fact side is not shuffled; a larger lookup is joined by a shuffle join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Runtime broadcast limit for measured lookup stages (bytes).
-LOOKUP_BROADCAST_BYTES = 64 * 1024 * 1024
+#: Rows up to which a lookup is broadcast.
+LOOKUP_ROWS = 100_000
 
 
 def join_lookup(fact: DataFrame, lookup: DataFrame, on, how: str = "left") -> DataFrame:
-    """Join a derived lookup; AQE broadcasts it only if its measured size is small
-    (threshold set by ``session.prepare``)."""
-    return fact.join(lookup, on=on, how=how)
-
-
-def small_enough(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_bounded(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast hint for a side proven to hold at most ``max_rows`` rows."""
-    return F.broadcast(df) if small_enough(df, max_rows) else df
+    """Left join of a derived lookup that leaves the fact side where it is while the lookup is small."""
+    small = lookup.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS
+    return fact.join(F.broadcast(lookup) if small else lookup, on=on, how=how)

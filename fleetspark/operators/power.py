@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fleetspark.functions.jsonmap import json_path
-from fleetspark.functions.util import col_of, with_parsed
+from fleetspark.functions.util import col_of, round_int, with_parsed
 
 # Typed column <- vendor key. INTEGER columns default to 0 when the
 # key is absent (an explicit JSON null stays NULL); inputs read but not stored
@@ -112,22 +112,29 @@ def flatten_power(df: DataFrame, params: str = "params", keep=("device_sn", "ts"
 
     ``params`` may be a JSON string or a map. Adds ``rejected``: true when a
     summed field is an explicit JSON null (the sum fails and the snapshot is
-    lost, X-8). INTEGER columns round half away from zero (X-1).
+    lost, X-8) or a number does not fit its INTEGER column (the insert fails).
+    INTEGER columns round half away from zero (X-1).
     """
     p = _Params(df, params, [*INT_DEFAULT_ZERO.values(), *NULL_DEFAULT.values()], presence=True)
     raw = {c: p.get0(k) for c, k in INT_DEFAULT_ZERO.items()}
     cols = [F.col(c) for c in keep]
+    bad = F.lit(False)
+
+    def whole(e: Column) -> Column:
+        nonlocal bad
+        bad = bad | (e.isNotNull() & round_int(e).isNull())
+        return round_int(e)
+
     for c, e in raw.items():
-        cols.append(F.round(e).cast("int").alias(c))
+        cols.append(whole(e).alias(c))
     total = lambda parts: sum((raw[p] for p in parts[1:]), raw[parts[0]])
-    cols.append(F.round(total(DC_PARTS)).cast("int").alias("dc_out_watts"))
-    cols.append(F.round(total(TYPEC_PARTS)).cast("int").alias("typec_out_watts"))
-    cols.append(F.round(total(USB_PARTS)).cast("int").alias("usb_out_watts"))
+    cols.append(whole(total(DC_PARTS)).alias("dc_out_watts"))
+    cols.append(whole(total(TYPEC_PARTS)).alias("typec_out_watts"))
+    cols.append(whole(total(USB_PARTS)).alias("usb_out_watts"))
     for c, k in NULL_DEFAULT.items():
         v = p.num(k)
-        cols.append((F.round(v).cast("int") if c in INT_NULL_DEFAULT else v).alias(c))
+        cols.append((whole(v) if c in INT_NULL_DEFAULT else v).alias(c))
     summed = set(DC_PARTS) | set(TYPEC_PARTS)
-    bad = F.lit(False)
     for c in sorted(summed):
         bad = bad | p.is_null_key(INT_DEFAULT_ZERO[c])
     cols.append(bad.alias("rejected"))
@@ -234,7 +241,7 @@ def backfill_power(df: DataFrame, raw: str = "raw_data") -> DataFrame:
     has = lambda k: num(k).isNotNull()
     sets = {}
     for c, keys in BACKFILL.items():
-        vals = [num(k).cast("int") if c in BACKFILL_INT else num(k) for k in keys]
+        vals = [num(k).try_cast("int") if c in BACKFILL_INT else num(k) for k in keys]
         cond = F.col(c).isNull() & F.col(raw).isNotNull()
         any_key = F.lit(False)
         for k in keys:
@@ -254,5 +261,5 @@ def backfill_power(df: DataFrame, raw: str = "raw_data") -> DataFrame:
     sets["usb_out_watts"] = F.when(cond, F.coalesce(usum, F.lit(0.0))).otherwise(F.col("usb_out_watts"))
     types = dict(out.dtypes)
     # INTEGER targets round on assignment (X-1)
-    sets = {c: (F.round(e).cast("int") if types[c] in ("int", "bigint") else e) for c, e in sets.items()}
+    sets = {c: (round_int(e) if types[c] in ("int", "bigint") else e) for c, e in sets.items()}
     return out.withColumns(sets).drop("_params_text", *p.temp)

@@ -1,9 +1,9 @@
 """Firmware rollout operators.
 
-The per-request update check is evaluated for the whole fleet in one job:
-devices (large) are joined with the newest release per model and the newest
-active rollout per (model, version); both lookups are bounded by models x
-versions; AQE broadcasts them when their measured size is small.
+The per-request update check is evaluated for the whole fleet in one job: the
+newest release per model and its newest active rollout form one lookup by model,
+which is broadcast while its measured size is small, so the fleet is not
+shuffled by model; device lists are a table that is joined by device.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetspark.functions.hashing import hash_bucket, percentage_match
-from fleetspark.functions.util import col_of
+from fleetspark.functions.util import col_of, with_parsed
 from fleetspark.operators.fleet import latest_release
 from fleetspark.operators.joins import join_lookup
 
@@ -66,21 +66,31 @@ def latest_active_rollout(rollouts: DataFrame) -> DataFrame:
                     F.col("_r.name").alias("rollout_name")))
 
 
-def update_decisions(devices: DataFrame, releases: DataFrame, rollouts: DataFrame) -> DataFrame:
+def update_decisions(devices: DataFrame, releases: DataFrame, rollouts: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Update decision per device with a reason.
 
     no_release -> up_to_date -> no_rollout -> not_eligible -> update, in the
-    order the update check applies them.
+    order the update check applies them. ``targets`` (rollout_name, device_id) holds the
+    device lists of 'specific' rollouts; without it they are read from ``target_filter``.
     """
+    lookup = latest_release(releases).join(latest_active_rollout(rollouts), ["device_model", "latest_version"], "left")
     d = devices.select("device_id", "device_model", F.col("current_firmware_version").alias("current_version"))
-    j = join_lookup(join_lookup(d, latest_release(releases), "device_model"),
-                    latest_active_rollout(rollouts), ["device_model", "latest_version"])
-    elig = F.coalesce(eligible(F.col("device_id"), F.col("target_type"), F.col("target_filter"),
-                               F.col("rollout_percentage")), F.lit(False))  # a NULL id is never eligible
+    d = with_parsed(d, _bucket=hash_bucket(F.col("device_id")))
+    j = join_lookup(d, lookup, "device_model")
+    if targets is not None:
+        t = targets.select(F.col("rollout_name").alias("_name"), F.col("device_id").alias("_id")).distinct().withColumn("_listed", F.lit(True))
+        j = j.join(t, (F.col("target_type") == "specific") & (F.col("rollout_name") == F.col("_name")) & (F.col("device_id") == F.col("_id")), "left")
+        listed = F.col("_listed")
+    else:
+        listed = F.array_contains(F.from_json("target_filter", FILTER_SCHEMA).getField("device_ids"), F.col("device_id"))
+    p = F.col("rollout_percentage")
+    share = F.when(p >= 100, True).when(p <= 0, False).otherwise(F.col("_bucket") < p)
+    elig = (F.when(F.col("device_id").isNull(), F.lit(False)).when(F.col("target_type").isin("all", "canary", "group"), share)
+            .when(F.col("target_type") == "specific", listed))
     reason = (F.when(F.col("latest_version").isNull(), "no_release")
               .when(F.col("latest_version") == F.col("current_version"), "up_to_date")
               .when(F.col("target_type").isNull(), "no_rollout")
-              .when(~elig, "not_eligible").otherwise("update"))
+              .when(~F.coalesce(elig, F.lit(False)), "not_eligible").otherwise("update"))
     return j.select("device_id", "device_model", "current_version", "latest_version",
                     (reason == "update").alias("update_available"), reason.alias("reason"))
 

@@ -70,22 +70,6 @@ def number_runs(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[
             .drop("_rn", "_prev", "_flag", "_local", "_fs", "_off"))
 
 
-def running_count(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str],
-                  flag: str, out: str) -> DataFrame:
-    """Add ``out`` = number of rows with ``flag`` true up to and including this row,
-    per ``keys`` in ``order``. The per-chunk totals come from the same window
-    pass (one shuffle of the rows). Exact across chunk boundaries."""
-    keys = list(keys)
-    w = (Window.partitionBy(*keys, chunk).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    r = df.withColumn("_local", F.sum(F.col(flag).cast("long")).over(w))
-    wc = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
-    tot = (r.groupBy(*keys, chunk).agg(F.max("_local").alias("_n"))
-           .select(*keys, chunk, F.coalesce(F.sum("_n").over(wc), F.lit(0)).alias("_off")))
-    return (_join_chunk_summary(r, tot, [*keys, chunk])
-            .withColumn(out, F.col("_local") + F.col("_off")).drop("_local", "_off"))
-
-
 def state_intervals(df: DataFrame, keys: Sequence[str], ts: str, state: str,
                     tiebreak: str, chunk_seconds: int = 86400) -> DataFrame:
     """Merge consecutive equal states into intervals (gaps and islands).

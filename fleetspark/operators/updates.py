@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetspark.functions.jsonmap import MAP_SCHEMA
+from fleetspark.functions.jsonmap import MAP_SCHEMA, keep_last
 from fleetspark.functions.util import with_parsed
 from fleetspark.operators.runs import time_chunk
 
@@ -28,44 +28,69 @@ UPDATE_STATUSES = ("pending", "downloading", "downloaded", "installing", "succes
 def _version(m: Column) -> dict:
     """X-12: target_version, else version, else 'unknown' -- by key presence.
     A present key with a JSON null yields NULL, which the NOT NULL column rejects."""
-    has = lambda k: F.map_contains_key(m, F.lit(k))
+    has = lambda k: F.coalesce(F.map_contains_key(m, F.lit(k)), F.lit(False))
     v = (F.when(has("target_version"), F.try_element_at(m, F.lit("target_version")))
          .when(has("version"), F.try_element_at(m, F.lit("version"))).otherwise(F.lit("unknown")))
     return {"version": v, "bad": v.isNull()}
 
 
-def _truthy(v: Column) -> Column:
-    """Python truthiness of a decoded JSON scalar."""
-    low = F.lower(v)
-    num = v.try_cast("double")
-    return (F.when(v.isNull(), False).when(low == "true", True).when(low == "false", False)
-            .when(num.isNotNull(), num != 0).otherwise(F.length(v) > 0))
+# Texts that the database reads as a boolean.
+TRUE_TEXTS = ("t", "tr", "tru", "true", "y", "ye", "yes", "on", "1")
+FALSE_TEXTS = ("f", "fa", "fal", "fals", "false", "n", "no", "of", "off", "0")
+
+
+def _typed(field: str) -> tuple[Column, Column]:
+    """JSON type (NULL: absent, VOID: null) and text of a typed payload field."""
+    v = F.col(f"_typed.{field}")
+    return F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
+
+
+def _is_number(kind: Column) -> Column:
+    return kind.startswith("DECIMAL") | kind.isin("BIGINT", "DOUBLE", "FLOAT")
 
 
 def parse_update_messages(msgs: DataFrame, seq: str = "seq") -> DataFrame:
     """Fields each OTA message writes. Columns added: is_insert, fw, new_status,
-    sets_pct, pct, is_result, error, rejected."""
-    msgs = with_parsed(msgs, _payload_map=F.from_json(F.col("payload"), MAP_SCHEMA))
+    sets_pct, pct, is_result, error, rejected.
+
+    A message is rejected where handling it fails: a progress state that is no text, a percent
+    that is no integer to the database or lies outside 0..100, a success that the database cannot read
+    as a boolean, a NULL version.
+    """
+    msgs = with_parsed(msgs, _map=F.from_json(F.col("payload"), MAP_SCHEMA),
+                       _typed=F.from_json(F.col("payload"), "state variant, percent variant, success variant"))
+    msgs = with_parsed(msgs, _payload_map=keep_last(F.col("_map")))
     m = F.col("_payload_map")
     kind = F.col("kind")
     ver = _version(m)
-    state = F.lower(F.coalesce(F.try_element_at(m, F.lit("state")), F.lit("")))
+    state_kind, state_text = _typed("state")
+    state = F.lower(F.coalesce(state_text, F.lit("")))
+    bad_state = state_kind.isNotNull() & (state_kind != "STRING")
     prog_status = (F.when(state == "installing", "installing").when(state == "verifying", "downloaded")
                    .otherwise("downloading"))
-    has_pct = F.map_contains_key(m, F.lit("percent"))
-    pct_num = F.try_element_at(m, F.lit("percent")).try_cast("double")
-    pct = F.when(has_pct, F.round(pct_num).cast("int")).otherwise(F.lit(0))  # X-11
-    success = _truthy(F.try_element_at(m, F.lit("success")))
+    pct_kind, pct_text = _typed("percent")
+    whole = pct_text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    pct_num = F.when(pct_kind.isNull(), F.lit(0.0)).when(  # X-11: absent is 0, null stays NULL
+        _is_number(pct_kind) | ((pct_kind == "STRING") & whole), F.round(F.trim(pct_text).try_cast("double")))
+    bad_pct = F.coalesce((pct_num < 0) | (pct_num > 100), F.lit(False)) | (
+        pct_kind.isNotNull() & ~(_is_number(pct_kind) | (pct_kind == "VOID") | ((pct_kind == "STRING") & whole)))
+    pct = F.when(~bad_pct, pct_num).try_cast("int")
+    ok_kind, ok_text = _typed("success")
+    ok_text = F.lower(F.trim(ok_text))
+    said = (ok_kind == "STRING") & ok_text.isin(*TRUE_TEXTS, *FALSE_TEXTS)
+    # any readable text is truthy for the status, but sets the percentage only if it reads as true
+    success = F.coalesce(F.when(ok_kind == "BOOLEAN", ok_text == "true").otherwise(said), F.lit(False))
+    full = success & ok_text.isin(*TRUE_TEXTS)
+    bad_ok = ok_kind.isNotNull() & ~((ok_kind == "BOOLEAN") | (ok_kind == "VOID") | said)
     new_status = (F.when(kind == "status", "pending").when(kind == "progress", prog_status)
                   .when(success, "success").otherwise("failed"))
-    rejected = (F.when(kind == "status", ver["bad"])
-                .when(kind == "progress", F.coalesce((pct < 0) | (pct > 100), F.lit(False)))
-                .otherwise(F.lit(False)))
+    rejected = (F.when(kind == "status", ver["bad"]).when(kind == "progress", bad_state | bad_pct)
+                .otherwise(F.coalesce(bad_ok, F.lit(False))))
     return msgs.select(
-        *[c for c in msgs.columns if c != "_payload_map"],
+        *[c for c in msgs.columns if c not in ("_map", "_typed", "_payload_map")],
         (kind == "status").alias("is_insert"), ver["version"].alias("fw"),
         new_status.alias("new_status"),
-        ((kind == "progress") | ((kind == "result") & success)).alias("sets_pct"),
+        ((kind == "progress") | ((kind == "result") & full)).alias("sets_pct"),
         F.when(kind == "progress", pct).when(kind == "result", F.lit(100)).alias("pct"),
         (kind == "result").alias("is_result"),
         F.when((kind == "result") & ~success, F.try_element_at(m, F.lit("message"))).alias("error"),
@@ -80,10 +105,9 @@ def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 8640
 
     One window pass per (device, time chunk) numbers the inserts locally; rows
     are then reduced per (device, chunk, local attempt) into order-keyed
-    partial states. Inserts before each chunk come from a map-side combined
-    count per (device, chunk) (a second, narrow read of the messages with a tiny
-    shuffle), and the merge of attempts that span chunks works on the partial
-    states, so the full rows are shuffled once and no device has to fit in one task.
+    partial states. Inserts before each chunk come from the partial states too, and
+    so does the merge of attempts that span chunks: the messages are read and
+    shuffled once and no device has to fit in one task.
     """
     p = parse_update_messages(msgs, seq).where(~F.col("rejected"))
     p = p.withColumn("_chunk", time_chunk("received_at", chunk_seconds))
@@ -106,14 +130,16 @@ def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 8640
     }
     part = p.groupBy("device_id", "_chunk", "_local").agg(
         *[e.alias(n) for n, e in states.items()], F.max("received_at").alias("rep"), F.count(F.lit(1)).alias("n"))
-    # inserts before each chunk: a map-side combined count per (device, chunk), then a
-    # running sum over the (few) chunks of each device
+    # inserts before each chunk: the highest local attempt of each chunk, then a running
+    # sum over the (few) chunks of each device; _same makes this branch read the columns of the
+    # other one, so that Spark shuffles the messages once and both branches reuse the exchange
+    every = [*states, "rep", "n"]
     wc = Window.partitionBy("device_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = (p.groupBy("device_id", "_chunk").agg(F.sum(F.col("is_insert").cast("long")).alias("_ins"))
+    offs = (part.groupBy("device_id", "_chunk").agg(F.max("_local").alias("_ins"), F.max(F.struct(*every)).alias("_same"))
             .select(F.col("device_id").alias("_d"), F.col("_chunk").alias("_c"),
-                    F.coalesce(F.sum("_ins").over(wc), F.lit(0)).alias("_off")))
+                    F.coalesce(F.sum("_ins").over(wc), F.lit(0)).alias("_off"), "_same"))
     cond = [part["device_id"].eqNullSafe(offs["_d"]), part["_chunk"].eqNullSafe(offs["_c"])]
-    g = (part.join(offs, cond, "left").drop("_d", "_c")
+    g = (part.join(offs, cond, "left").where(F.col("_same").isNotNull()).drop("_d", "_c", "_same")
          .withColumn("attempt", F.col("_off") + F.col("_local")).where(F.col("attempt") > 0))
     merged = g.groupBy("device_id", "attempt").agg(
         *[F.max(n).alias(n) for n in states], F.max("rep").alias("rep"), F.sum("n").alias("n"))

@@ -28,14 +28,18 @@ def upsert_latest(target: DataFrame | None, updates: DataFrame, keys: Sequence[s
     return latest_by(src, list(keys), list(order), cols, nulls="last")
 
 
-def upsert_devices(registry: DataFrame | None, seen: DataFrame, mode: str = "status") -> DataFrame:
+def upsert_devices(registry: DataFrame | None, seen: DataFrame, mode: str = "status", late: bool = False) -> DataFrame:
     """Device registry after a batch of sightings.
 
     ``seen``: device_id, device_model, firmware_version, seen_at (+ tiebreak ``seq``).
-    mode 'status' overwrites model and firmware (even with NULL) and last_seen;
+    mode 'status' overwrites model, firmware (even with NULL) and last_seen; a status
+    without a model (absent, null or empty) does not touch the registry;
     mode 'check' overwrites firmware and last_seen but keeps the first model.
-    created_at is the first sighting and is never overwritten.
+    created_at is the first sighting and is never overwritten. With ``late`` (streams) the
+    sightings may be older than the registry: the newest one by time counts, whenever it came.
     """
+    if mode == "status":
+        seen = seen.where(F.length("device_model") > 0)
     order = F.struct("seen_at", "seq")
     first = F.struct(F.col("seen_at"), F.col("seq"))
     agg = seen.groupBy("device_id").agg(
@@ -53,6 +57,8 @@ def upsert_devices(registry: DataFrame | None, seen: DataFrame, mode: str = "sta
         .withColumn("_in_registry", F.lit(True))
     j = r.alias("r").join(fresh.alias("f"), "device_id", "full")
     seen_now = F.col("f.last_seen").isNotNull()
+    if late:
+        seen_now = seen_now & F.coalesce(F.col("f.last_seen") >= F.col("r.last_seen"), F.lit(True))
     known = F.coalesce(F.col("_in_registry"), F.lit(False))
     if mode == "status":
         model = F.when(seen_now, F.col("f.device_model")).otherwise(F.col("r.device_model"))
@@ -63,7 +69,8 @@ def upsert_devices(registry: DataFrame | None, seen: DataFrame, mode: str = "sta
         F.when(seen_now, F.col("f.current_firmware_version")).otherwise(F.col("r.current_firmware_version"))
         .alias("current_firmware_version"),
         F.greatest(F.col("r.last_seen"), F.col("f.last_seen")).alias("last_seen"),
-        F.when(known, F.col("r.created_at")).otherwise(F.col("f.created_at")).alias("created_at"))
+        (F.least("r.created_at", "f.created_at") if late else F.when(known, F.col("r.created_at")).otherwise(F.col("f.created_at")))
+        .alias("created_at"))
 
 
 def check_update_rows(updates: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from fleetspark.functions import formats as fm
 from fleetspark.functions import predicates as pr
-from fleetspark.functions.jsonmap import has_metric, metric, metric_text
+from fleetspark.functions.jsonmap import MAP_SCHEMA, has_metric, keep_last, metric, metric_text
 from fleetspark.operators import buckets as bk
 from fleetspark.operators import fleet as fl
 from fleetspark.operators import latest as lt
@@ -421,7 +421,19 @@ def q_rollout_coverage(t: Telemetry) -> DataFrame:
 @query("update_decisions")
 def q_update_decisions(t: Telemetry) -> DataFrame:
     """J4 + R2: whole-fleet update check with reasons."""
-    return ro.update_decisions(t.devices, t.releases, t.rollouts)
+    return ro.update_decisions(t.devices, t.releases, t.rollouts, t.rollout_targets)
+
+
+@query("decision_events")
+def q_decision_events(t: Telemetry) -> DataFrame:
+    """S8 (check path): an audit event with its data per device that is offered an update."""
+    return ro.decision_events(ro.update_decisions(t.devices, t.releases, t.rollouts, t.rollout_targets))
+
+
+@query("check_rollout_rows")
+def q_check_rollout_rows(t: Telemetry) -> DataFrame:
+    """P20: CHECK-rule violation counts of the rollout table."""
+    return uk.check_rollout_rows(t.rollouts)
 
 
 # ------------------------------------------------------------------ power transforms
@@ -588,8 +600,28 @@ def q_ingest_measurements(t: Telemetry) -> DataFrame:
 def q_archive_raw(t: Telemetry) -> DataFrame:
     """Raw archive; undecodable payloads wrapped as {"raw": ...}."""
     a = ms.archive_raw(t.messages.select("received_at", "topic", "payload", "event_id"))
-    return a.select("topic", "received_at",
-                    F.get_json_object("payload", "$.raw").isNotNull().alias("wrapped"))
+    body = ms.decode_payload(a)
+    metrics = F.from_json(F.try_element_at("body", F.lit("metrics")), MAP_SCHEMA)
+    raw = F.try_element_at("body", F.lit("raw"))
+    return body.select("topic", "received_at", raw.isNotNull().alias("wrapped"), raw.alias("raw"),
+                       F.try_element_at(keep_last(metrics), F.lit("value")).try_cast("double").alias("value"))
+
+
+def _attempt_columns(df: DataFrame) -> DataFrame:
+    return df.select("device_id", "attempt", "firmware_version", "status", "progress_percent", "started_at", "completed_at",
+                     "reported_at", "messages")
+
+
+@query("ingest_update_attempts")
+def q_ingest_update_attempts(t: Telemetry) -> DataFrame:
+    """Raw messages -> classify -> OTA messages -> attempts."""
+    return _attempt_columns(up.update_attempts(ms.to_ota(_classified(t), seq="event_id"), chunk_seconds=30 * 86400))
+
+
+@query("ingest_registry")
+def q_ingest_registry(t: Telemetry) -> DataFrame:
+    """Raw messages -> classify -> sightings -> registry (X-6: kept when the status row is refused)."""
+    return uk.upsert_devices(None, ms.to_sightings(_classified(t), seq="event_id"), "status")
 
 
 @query("validate_flat")
@@ -666,9 +698,21 @@ def q_alert_power(t: Telemetry) -> DataFrame:
 @query("upsert_latest")
 def q_upsert_latest(t: Telemetry) -> DataFrame:
     """Current config per (site, device) after all config messages (newest wins)."""
-    cfg = _classified(t).where(F.col("route") == "edge_config").select(
-        "site_id", "device_id", F.col("received_at").alias("updated_at"), "event_id")
-    return uk.upsert_latest(None, cfg, ["site_id", "device_id"], ["updated_at", "event_id"])
+    cfg = _configs(t)
+    return _config_value(uk.upsert_latest(None, cfg, ["site_id", "device_id"], ["updated_at", "event_id"]))
+
+
+def _configs(t: Telemetry) -> DataFrame:
+    return _classified(t).where(F.col("route") == "edge_config").select(
+        "site_id", "device_id", F.col("payload").alias("config"), F.col("received_at").alias("updated_at"), "event_id")
+
+
+def _config_value(df: DataFrame) -> DataFrame:
+    """The stored config read back: its metrics.value stands for the body in the compare."""
+    body = ms.decode_payload(df, "config")
+    metrics = F.from_json(F.try_element_at("body", F.lit("metrics")), MAP_SCHEMA)
+    return body.select("site_id", "device_id", "updated_at", "event_id",
+                       F.try_element_at(keep_last(metrics), F.lit("value")).try_cast("double").alias("config_value"))
 
 
 def _sightings(t: Telemetry) -> DataFrame:
@@ -724,30 +768,58 @@ def q_check_update_rows(t: Telemetry) -> DataFrame:
 # ------------------------------------------------------------------ streams (run availableNow, return the sink)
 
 def _scratch(t: Telemetry, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder (a local one only when the session names none)."""
+    """A fresh folder under the shared checkpoint folder that the session names."""
     import os
-    import tempfile
     import uuid
     from fleetspark.session import checkpoint_dir
-    base = checkpoint_dir(t.spark, fallback=tempfile.mkdtemp(prefix="fleetspark-ckpt-"))
-    return os.path.join(base, "runs", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(checkpoint_dir(t.spark), "runs", f"{name}-{uuid.uuid4().hex}")
+
+
+def _drop(df: DataFrame, run: str, batches: int = 3) -> DataFrame:
+    """Rows dropped as files of a stream, one micro-batch each; a hash deals them, so that every
+    batch brings late rows and keys that other batches brought too."""
+    import os
+    drop = os.path.join(run, "drop")
+    for i in range(batches):
+        part = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(batches)) == i)
+        part.repartition(1).write.parquet(os.path.join(drop, f"part={i}"))
+    return (df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(drop, "*")))
+
+
+def _ingested(t: Telemetry, upkeep: bool) -> str:
+    import os
+    from fleetspark.streaming.ingest import start_ingest
+    run = _scratch(t, "ingest")
+    stream = _drop(t.messages.select("topic", "payload", "received_at", F.col("event_id").alias("seq")), run)
+    start_ingest(stream, os.path.join(run, "out"), os.path.join(run, "checkpoint"), upkeep=upkeep).awaitTermination()
+    return os.path.join(run, "out")
 
 
 @query("stream_ingest")
 def q_stream_ingest(t: Telemetry) -> DataFrame:
     """ST1 + S1/S3/S4: messages dropped as files, ingested by a stream, counted per sink table."""
     import os
-    from fleetspark.streaming.ingest import start_ingest
-    run = _scratch(t, "ingest")
-    drop = os.path.join(run, "drop")
-    t.messages.select("topic", "payload", "received_at").write.parquet(drop)
-    stream = t.spark.readStream.schema(ms.MESSAGE_SCHEMA).parquet(drop)
-    start_ingest(stream, os.path.join(run, "out"), os.path.join(run, "checkpoint")).awaitTermination()
-    parts = []
-    for name in ("measurements", "edge_status", "edge_config", "rejects"):
-        df = t.spark.read.parquet(os.path.join(run, "out", name))
-        parts.append(df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("sink"), "rows"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    from functools import reduce
+    out = _ingested(t, upkeep=False)
+    parts = [t.spark.read.parquet(os.path.join(out, name)).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("sink"), "rows")
+             for name in ("measurements", "edge_status", "edge_config", "ota_messages", "rejects")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("stream_ingest_attempts")
+def q_stream_ingest_attempts(t: Telemetry) -> DataFrame:
+    """ST1 with upkeep, W9: attempts that the ingest stream keeps (same result as the batch path)."""
+    import os
+    from fleetspark.streaming.store import read_snapshot
+    return _attempt_columns(read_snapshot(t.spark, os.path.join(_ingested(t, upkeep=True), "update_attempts"), ["device_id"]))
+
+
+@query("stream_ingest_registry")
+def q_stream_ingest_registry(t: Telemetry) -> DataFrame:
+    """ST1 with upkeep, S6: registry that the ingest stream keeps (same result as the batch path)."""
+    import os
+    from fleetspark.streaming.store import read_snapshot
+    return read_snapshot(t.spark, os.path.join(_ingested(t, upkeep=True), "devices"), ["device_id"])
 
 
 @query("stream_update_attempts")
@@ -755,29 +827,24 @@ def q_stream_update_attempts(t: Telemetry) -> DataFrame:
     """ST4: OTA messages streamed into the attempt snapshot (same result as W9)."""
     import os
     from fleetspark.streaming.ingest import update_attempts_stream
+    from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "attempts")
-    drop = os.path.join(run, "drop")
-    t.ota_messages.write.parquet(drop)
-    schema = t.ota_messages.schema
-    stream = t.spark.readStream.schema(schema).parquet(drop)
-    update_attempts_stream(stream, os.path.join(run, "store"), os.path.join(run, "snapshot"),
-                           os.path.join(run, "checkpoint")).awaitTermination()
-    return t.spark.read.parquet(os.path.join(run, "snapshot")).drop("kb")
+    snapshot = os.path.join(run, "snapshot")
+    update_attempts_stream(_drop(t.ota_messages, run), os.path.join(run, "store"), snapshot, os.path.join(run, "checkpoint")).awaitTermination()
+    return read_snapshot(t.spark, snapshot, ["device_id"])
 
 
 @query("stream_bucket_avg")
 def q_stream_bucket_avg(t: Telemetry) -> DataFrame:
-    """ST2: power rows streamed through a watermarked weekly mean, upserted per batch."""
+    """ST2: power rows streamed into weekly means, replaced per batch (no row is ever too late)."""
     import os
     from fleetspark.streaming.ingest import bucket_avg_stream, bucket_avg_to_snapshot
+    from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "buckets")
-    drop = os.path.join(run, "drop")
-    t.power.select("ts", "soc_percent").write.parquet(drop)
-    stream = t.spark.readStream.schema("ts timestamp_ntz, soc_percent int").parquet(drop)
-    agg = bucket_avg_stream(stream, "ts", "soc_percent", "7 days", lateness="36500 days")
-    bucket_avg_to_snapshot(agg, os.path.join(run, "snapshot"), ["time"],
-                           os.path.join(run, "checkpoint")).awaitTermination()
-    return t.spark.read.parquet(os.path.join(run, "snapshot")).select("time", "value", "rows")
+    agg = bucket_avg_stream(_drop(t.power.select("ts", "soc_percent"), run), "ts", "soc_percent", "7 days", lateness=None)
+    snapshot = os.path.join(run, "snapshot")
+    bucket_avg_to_snapshot(agg, snapshot, ["time"], os.path.join(run, "checkpoint")).awaitTermination()
+    return read_snapshot(t.spark, snapshot, ["time"]).select("time", "value", "rows")
 
 
 @query("stream_latest_config")
@@ -785,28 +852,21 @@ def q_stream_latest_config(t: Telemetry) -> DataFrame:
     """ST5: config messages streamed into a latest-per-device snapshot (same result as S5)."""
     import os
     from fleetspark.streaming.ingest import latest_stream
+    from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "latest")
-    drop = os.path.join(run, "drop")
-    cfg = _classified(t).where(F.col("route") == "edge_config").select(
-        "site_id", "device_id", F.col("received_at").alias("updated_at"), "event_id")
-    cfg.write.parquet(drop)
-    stream = t.spark.readStream.schema(cfg.schema).parquet(drop)
-    latest_stream(stream, os.path.join(run, "snapshot"), ["site_id", "device_id"], ["updated_at", "event_id"],
-                  os.path.join(run, "checkpoint")).awaitTermination()
-    return t.spark.read.parquet(os.path.join(run, "snapshot")).select("site_id", "device_id", "updated_at", "event_id")
+    snapshot, keys = os.path.join(run, "snapshot"), ["site_id", "device_id"]
+    latest_stream(_drop(_configs(t), run), snapshot, keys, ["updated_at", "event_id"], os.path.join(run, "checkpoint")).awaitTermination()
+    return _config_value(read_snapshot(t.spark, snapshot, keys))
 
 
 @query("stream_bucket_exact")
 def q_stream_bucket_exact(t: Telemetry) -> DataFrame:
-    """ST3 exact mode: daily SOC means kept exact for any lateness (touched months recomputed)."""
+    """ST3: daily SOC means kept exact for any lateness (touched months recomputed)."""
     import os
     from fleetspark.streaming.ingest import bucket_avg_exact_stream
     run = _scratch(t, "exact")
-    drop = os.path.join(run, "drop")
-    t.power.select("ts", "soc_percent").write.parquet(drop)
-    stream = t.spark.readStream.schema("ts timestamp_ntz, soc_percent int").parquet(drop)
-    bucket_avg_exact_stream(stream, os.path.join(run, "store"), os.path.join(run, "out"), "ts", "soc_percent",
-                            "1 day", checkpoint=os.path.join(run, "checkpoint"), grain="month").awaitTermination()
+    bucket_avg_exact_stream(_drop(t.power.select("ts", "soc_percent"), run), os.path.join(run, "store"), os.path.join(run, "out"), "ts",
+                            "soc_percent", "1 day", checkpoint=os.path.join(run, "checkpoint"), grain="month").awaitTermination()
     return t.spark.read.parquet(os.path.join(run, "out")).select("time", "value", "rows")
 
 

@@ -44,6 +44,10 @@ class Telemetry:
     def rollouts(self) -> DataFrame:
         return B.rollout_configurations(self.src, self.releases)
 
+    @cached_property
+    def rollout_targets(self) -> DataFrame:
+        return B.rollout_targets(self.src, self.releases)
+
     @cached_property
     def status(self) -> DataFrame:
         return B.edge_status(self.src)
@@ -62,7 +66,7 @@ class Telemetry:
 
     # as_of scalars ------------------------------------------------------
     def max_of(self, table: str, col: str) -> Column:
-        return self.src.scan(table).agg(F.max(col)).scalar()
+        return self.src.table(table).agg(F.max(col)).scalar()
 
     @property
     def events_as_of(self) -> Column:

@@ -480,7 +480,7 @@ FROM (SELECT {hash_fold('device_id')} AS bucket FROM devices) b,
      (SELECT unnest([0, 10, 25, 40, 50, 75, 90, 100]) AS percentage) p
 GROUP BY percentage""")
 
-sql("update_decisions", "devices", "latest_rel", "rollouts")(f"""
+_DECISIONS = f"""
 SELECT device_id, device_model, current_version, latest_version, reason = 'update' AS update_available, reason FROM (
  SELECT d.device_id, d.device_model, d.current_firmware_version AS current_version, lr.latest_version,
   CASE WHEN lr.latest_version IS NULL THEN 'no_release'
@@ -490,14 +490,26 @@ SELECT device_id, device_model, current_version, latest_version, reason = 'updat
             WHEN ar.target_type IN ('all', 'canary', 'group') THEN
               (CASE WHEN ar.rollout_percentage >= 100 THEN TRUE WHEN ar.rollout_percentage <= 0 THEN FALSE
                     ELSE {hash_fold('d.device_id')} < ar.rollout_percentage END)
-            WHEN ar.target_type = 'specific' THEN d.device_id IN (SELECT c_name FROM customer WHERE c_custkey < 100)
+            WHEN ar.target_type = 'specific' THEN d.device_id IN (SELECT c_name FROM customer WHERE c_custkey % 50 = 0)
             ELSE FALSE END, FALSE) THEN 'not_eligible'
        ELSE 'update' END AS reason
  FROM devices d
  LEFT JOIN latest_rel lr ON d.device_model = lr.device_model
  LEFT JOIN (SELECT * FROM rollouts WHERE is_active
             QUALIFY row_number() OVER (PARTITION BY device_model, firmware_version ORDER BY created_at DESC, name DESC) = 1) ar
-   ON ar.device_model = d.device_model AND ar.firmware_version = lr.latest_version)""")
+   ON ar.device_model = d.device_model AND ar.firmware_version = lr.latest_version)"""
+
+sql("update_decisions", "devices", "latest_rel", "rollouts")(_DECISIONS)
+
+sql("decision_events", "devices", "latest_rel", "rollouts")(f"""
+SELECT 'update_started' AS event_type, device_id, latest_version AS firmware_version,
+  CASE WHEN current_version IS NULL THEN '{{}}' ELSE '{{"from_version":"' || current_version || '"}}' END AS event_data
+FROM ({_DECISIONS}) WHERE update_available""")
+
+sql("check_rollout_rows", "rollouts")("""
+SELECT COUNT(*) AS rows,
+  COUNT(*) FILTER (WHERE target_type NOT IN ('all', 'group', 'canary', 'specific')) AS bad_target_type,
+  COUNT(*) FILTER (WHERE NOT COALESCE(rollout_percentage BETWEEN 0 AND 100, TRUE)) AS bad_percentage FROM rollouts""")
 
 # ------------------------------------------------------------------ power transforms
 
@@ -605,7 +617,8 @@ cte("msgs", """
     CASE WHEN event_id % 19 = 0 THEN 'site/' || event_type
          WHEN event_id % 7 = 5 THEN 'site/edge/' || CAST(user_id AS VARCHAR) || '/status'
          WHEN event_id % 7 = 6 THEN 'site/edge/' || CAST(user_id AS VARCHAR) || '/config'
-         WHEN event_id % 23 = 0 THEN 'site/edge/' || CAST(user_id AS VARCHAR) || '/ota/unknown'
+         WHEN event_id % 23 <= 3 THEN 'site/edge/' || CAST(user_id AS VARCHAR) || '/ota/'
+           || ['unknown', 'status', 'progress', 'result'][CAST(event_id % 23 AS INTEGER) + 1]
          ELSE 'site/' || event_type || '/' || CAST(user_id AS VARCHAR) || '/data' END AS topic
   FROM events""")
 
@@ -625,7 +638,7 @@ cte("routed", """
       WHEN event_id % 17 = 0 THEN 'bad_json'
       WHEN event_id % 17 = 1 THEN 'not_object'
       WHEN ttype = 'data' AND event_id % 17 IN (2, 3, 4) THEN 'invalid_payload'
-      WHEN (ttype = 'data' OR (ttype = 'status' AND p[2] = 'edge')) AND event_id % 17 > 4 AND event_id % 29 = 0
+      WHEN (ttype = 'data' OR (ttype = 'status' AND p[2] = 'edge')) AND event_id % 17 > 4 AND event_id % 31 <> 0 AND event_id % 29 = 0
         THEN 'bad_timestamp'
       WHEN NOT (ttype = 'data' OR p[2] = 'edge') THEN 'unhandled' END AS reason
     FROM parsed)""", ("parsed",))
@@ -647,12 +660,14 @@ SELECT event_id, topic, reason FROM routed WHERE route IN ('rejected', 'dropped'
 
 sql("ingest_measurements", "routed")("""
 SELECT 'site' AS site_id, event_type AS system, CAST(user_id AS VARCHAR) AS device_id,
-  CASE WHEN user_id % 5 <> 0 THEN 'zone' || CAST(user_id % 4 AS VARCHAR) END AS location,
+  CASE WHEN user_id % 5 <> 0 AND event_id % 31 <> 0 THEN 'zone' || CAST(user_id % 4 AS VARCHAR) END AS location,
   ts, ROUND(value, 6) AS value, k
 FROM routed WHERE route = 'measurements'""")
 
 sql("archive_raw", "msgs")("""
-SELECT topic, ts AS received_at, event_id % 17 = 0 AS wrapped FROM msgs""")
+SELECT topic, ts AS received_at, event_id % 17 = 0 AS wrapped,
+  CASE WHEN event_id % 17 = 0 THEN 'not json {' END AS raw,
+  CASE WHEN event_id % 17 > 4 THEN ROUND(value, 6) END AS value FROM msgs""")
 
 # ------------------------------------------------------------------ update tracking
 
@@ -661,9 +676,13 @@ cte("ota", """
     CASE WHEN o_orderkey % 4 = 0 THEN 'status' WHEN o_orderkey % 4 = 3 THEN 'result' ELSE 'progress' END AS kind,
     CASE WHEN o_orderkey % 24 = 12 THEN 'unknown' ELSE o_orderpriority END AS fw,
     ['installing', 'downloaded', 'downloading'][(o_orderkey // 4) % 3 + 1] AS p_status,
-    CASE WHEN o_orderkey % 9 = 0 THEN 0 WHEN o_orderkey % 13 = 0 THEN NULL
+    CASE WHEN o_orderkey % 43 = 1 THEN 1000 WHEN o_orderkey % 41 = 1 THEN 1000 WHEN o_orderkey % 37 = 1 THEN 12
+         WHEN o_orderkey % 9 = 0 THEN 0 WHEN o_orderkey % 13 = 0 THEN NULL
          ELSE CAST(o_orderkey % 130 AS INTEGER) END AS pct,
-    o_orderstatus = 'F' AS success, 'error ' || CAST(o_orderkey AS VARCHAR) AS message,
+    o_orderkey % 4 IN (1, 2) AND o_orderkey % 31 = 5 AS bad_state,
+    o_orderkey % 4 = 3 AND o_orderkey % 47 <> 3 AND (o_orderkey % 53 = 3 OR o_orderkey % 59 = 3) AS bad_success,
+    o_orderkey % 47 = 3 OR o_orderstatus = 'F' AS success, o_orderkey % 47 <> 3 AND o_orderstatus = 'F' AS sets_full,
+    'error ' || CAST(o_orderkey AS VARCHAR) AS message,
     CAST(epoch(o_orderdate) AS BIGINT) * 100000000 + o_orderkey AS ordk
   FROM orders""")
 
@@ -682,9 +701,9 @@ FROM (SELECT *, CAST(SUM(CASE WHEN kind = 'status' THEN 1 ELSE 0 END)
         CASE kind WHEN 'status' THEN 'pending' WHEN 'progress' THEN p_status
              ELSE CASE WHEN success THEN 'success' ELSE 'failed' END END AS new_status,
         CASE WHEN kind = 'progress' THEN pct WHEN kind = 'result' THEN 100 END AS pct2,
-        kind = 'progress' OR (kind = 'result' AND success) AS sets_pct,
+        kind = 'progress' OR (kind = 'result' AND sets_full) AS sets_pct,
         CASE WHEN kind = 'result' AND NOT success THEN message END AS err
-      FROM ota WHERE NOT COALESCE(kind = 'progress' AND pct > 100, FALSE))
+      FROM ota WHERE NOT bad_state AND NOT bad_success AND NOT COALESCE(kind = 'progress' AND pct > 100, FALSE))
 WHERE attempt > 0
 GROUP BY device_id, attempt""")
 
@@ -692,7 +711,7 @@ sql("ota_event_log", "ota")("""
 SELECT CASE WHEN kind = 'status' THEN 'update_started' WHEN success THEN 'update_completed' ELSE 'update_failed' END
          AS event_type,
        device_id, CASE WHEN kind = 'status' THEN fw ELSE 'unknown' END AS firmware_version, received_at, seq
-FROM ota WHERE kind IN ('status', 'result')""")
+FROM ota WHERE kind IN ('status', 'result') AND NOT bad_success""")
 
 sql("update_reports", "updates")("""
 SELECT id, device_id, status, CASE WHEN status = 'downloading' THEN reported_at END AS report_started_at,
@@ -747,11 +766,13 @@ WHERE alert IS NOT NULL""")
 # ------------------------------------------------------------------ upkeep
 
 sql("upsert_latest", "routed")("""
-SELECT DISTINCT ON (device_id) 'site' AS site_id, CAST(user_id AS VARCHAR) AS device_id, ts AS updated_at, event_id
+SELECT DISTINCT ON (device_id) 'site' AS site_id, CAST(user_id AS VARCHAR) AS device_id, ts AS updated_at, event_id,
+  CASE WHEN event_id % 17 > 4 THEN ROUND(value, 6) END AS config_value
 FROM routed WHERE route = 'edge_config' ORDER BY device_id, ts DESC, event_id DESC""")
 
 cte("sightings", """
-  SELECT device_id, CASE WHEN CAST(props_k AS BIGINT) % 2 = 0 THEN 'esp32' ELSE 'esp8266' END AS device_model,
+  SELECT device_id, CASE WHEN event_id % 8 = 4 THEN '' WHEN event_id % 8 = 1 THEN NULL
+                         WHEN CAST(props_k AS BIGINT) % 2 = 0 THEN 'esp32' ELSE 'esp8266' END AS device_model,
          s_firmware AS firmware_version, ts AS seen_at, event_id AS seq
   FROM (SELECT *, CAST(props->>'k' AS BIGINT) AS props_k, 'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS device_id,
                'fw' || CAST(CAST(props->>'k' AS BIGINT) % 4 AS VARCHAR) AS s_firmware FROM events)""")
@@ -764,6 +785,13 @@ cte("fresh", """
     max(seen_at) AS last_seen, min(seen_at) AS created_at
   FROM sightings GROUP BY device_id""", ("sightings",))
 
+cte("fresh_status", """
+  SELECT device_id,
+    first(device_model ORDER BY seen_at DESC, seq DESC) AS last_model,
+    first(firmware_version ORDER BY seen_at DESC, seq DESC) AS fw,
+    max(seen_at) AS last_seen, min(seen_at) AS created_at
+  FROM sightings WHERE device_model <> '' GROUP BY device_id""", ("sightings",))
+
 
 def _upsert_devices(mode: str) -> str:
     model = ("CASE WHEN f.last_seen IS NOT NULL THEN f.last_model ELSE r.device_model END" if mode == "status"
@@ -774,10 +802,10 @@ SELECT COALESCE(r.device_id, f.device_id) AS device_id, {model} AS device_model,
   CASE WHEN f.last_seen IS NULL THEN r.last_seen WHEN r.last_seen IS NULL THEN f.last_seen
        ELSE greatest(r.last_seen, f.last_seen) END AS last_seen,
   CASE WHEN r.device_id IS NOT NULL THEN r.created_at ELSE f.created_at END AS created_at
-FROM devices r FULL JOIN fresh f ON r.device_id = f.device_id"""
+FROM devices r FULL JOIN {"fresh_status" if mode == "status" else "fresh"} f ON r.device_id = f.device_id"""
 
 
-sql("upsert_devices_status", "devices", "fresh")(_upsert_devices("status"))
+sql("upsert_devices_status", "devices", "fresh_status")(_upsert_devices("status"))
 sql("upsert_devices_check", "devices", "fresh")(_upsert_devices("check"))
 
 sql("migrate_flat")("""
@@ -827,10 +855,34 @@ sql("stream_ingest", "routed")("""
 SELECT 'measurements' AS sink, COUNT(*) FILTER (WHERE route = 'measurements') AS rows FROM routed
 UNION ALL SELECT 'edge_status', COUNT(*) FILTER (WHERE route = 'edge_status') FROM routed
 UNION ALL SELECT 'edge_config', COUNT(*) FILTER (WHERE route = 'edge_config') FROM routed
+UNION ALL SELECT 'ota_messages', COUNT(*) FILTER (WHERE route = 'ota') FROM routed
 UNION ALL SELECT 'rejects', COUNT(*) FILTER (WHERE route IN ('rejected', 'dropped')) FROM routed""")
 
 SQL["stream_update_attempts"] = SQL["update_attempts"]
 
+sql("ingest_update_attempts", "routed")("""
+SELECT CAST(user_id AS VARCHAR) AS device_id, attempt, 'unknown' AS firmware_version,
+  first(CASE ttype WHEN 'ota_status' THEN 'pending' WHEN 'ota_progress' THEN 'downloading' ELSE 'failed' END
+        ORDER BY ts DESC, event_id DESC) AS status,
+  max(0) FILTER (WHERE ttype = 'ota_progress') AS progress_percent,
+  max(ts) FILTER (WHERE ttype = 'ota_status') AS started_at, max(ts) FILTER (WHERE ttype = 'ota_result') AS completed_at,
+  max(ts) AS reported_at, COUNT(*) AS messages
+FROM (SELECT *, CAST(SUM(CASE WHEN ttype = 'ota_status' THEN 1 ELSE 0 END)
+                OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS attempt
+      FROM routed WHERE route = 'ota')
+WHERE attempt > 0 GROUP BY user_id, attempt""")
+
+sql("ingest_registry", "parsed")("""
+SELECT CAST(user_id AS VARCHAR) AS device_id,
+  first('m' || CAST(event_id % 3 AS VARCHAR) ORDER BY ts DESC, event_id DESC) AS device_model,
+  first(CASE WHEN event_id % 5 <> 2 THEN 'fw' || CAST(event_id % 6 AS VARCHAR) END ORDER BY ts DESC, event_id DESC)
+    AS current_firmware_version,
+  max(ts) AS last_seen, min(ts) AS created_at
+FROM parsed WHERE ttype = 'status' AND event_id % 17 > 4 AND event_id % 31 <> 0 AND event_id % 4 NOT IN (1, 3)
+GROUP BY user_id""")
+for _name, _query in (("stream_ingest_attempts", "ingest_update_attempts"), ("stream_ingest_registry", "ingest_registry")):
+    SQL[_name] = SQL[_query]
+
 # ------------------------------------------------------------------ snapshots, nested payloads, schema
 
 sql("power_snapshots", "raw")(f"""

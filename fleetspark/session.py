@@ -41,9 +41,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # joins with derived lookups broadcast only when the measured stage is small
-    from fleetspark.operators.joins import LOOKUP_BROADCAST_BYTES
-    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(LOOKUP_BROADCAST_BYTES))
     return spark
 
 

@@ -9,15 +9,16 @@ per micro-batch). Nothing runs per row in Python.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType, TimestampNTZType
 
-from fleetspark.functions.jsonmap import MAP_SCHEMA
+from fleetspark.functions.jsonmap import MAP_SCHEMA, keep_last
 from fleetspark.functions.util import col_of, with_parsed
 
 MESSAGE_SCHEMA = StructType([
     StructField("topic", StringType()),
     StructField("payload", StringType()),
     StructField("received_at", TimestampNTZType()),
+    StructField("seq", LongType()),
 ])
 
 # Accepted topic types for 4-level and OTA (5-level) topics.
@@ -27,13 +28,15 @@ OTA_TYPES = ("status", "progress", "result")
 SUBSCRIPTIONS = ("+/+/+/data", "+/edge/+/status", "+/edge/+/config", "+/edge/+/ota/+")
 
 
-def read_messages(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "json") -> DataFrame:
+def read_messages(spark: SparkSession, path: str, streaming: bool = False, fmt: str = "json", binary: bool = False) -> DataFrame:
     """Messages from a drop folder (JSON lines or Parquet), batch or stream.
 
-    A binary payload column is decoded as UTF-8 with replacement.
+    ``seq`` is the source's number of a message (NULL where the files have none).
+    With ``binary`` the payload is stored as bytes and decoded as UTF-8 with replacement.
     """
     r = spark.readStream if streaming else spark.read
-    return normalize_messages(r.schema(MESSAGE_SCHEMA).format(fmt).load(path))
+    schema = StructType([StructField("payload", BinaryType()) if binary and f.name == "payload" else f for f in MESSAGE_SCHEMA])
+    return normalize_messages(r.schema(schema).format(fmt).load(path))
 
 
 def normalize_messages(df: DataFrame, topic: str = "topic", payload: str = "payload",
@@ -70,21 +73,24 @@ def parse_topic(topic) -> Column:
             .when((n == 4) & p(3).isin(*TOPIC_TYPES), st(p(3))))
 
 
-def decode_payload(payload) -> dict:
-    """Decoded object map plus flags for invalid JSON and non-object JSON."""
-    v = F.try_parse_json(col_of(payload))
-    m = F.from_json(col_of(payload), MAP_SCHEMA)
-    return {"body": m, "bad_json": m.isNull() & v.isNull(), "not_object": m.isNull() & v.isNotNull(),
-            "variant": v}
+def is_json(payload) -> Column:
+    """Whether a text is JSON of any kind (a repeated key is no error)."""
+    p = col_of(payload)
+    return F.get_json_object(p, "$").isNotNull() | F.try_parse_json(p).isNotNull()
 
 
-def payload_valid(body: Column, variant: Column) -> Column:
+def decode_payload(df: DataFrame, payload: str = "payload", **more: Column) -> DataFrame:
+    """Adds ``body`` (object map, last value of a repeated key) and ``_json`` (valid JSON), and ``more``."""
+    m = F.from_json(F.col(payload), MAP_SCHEMA)
+    raw = with_parsed(df, _map=m, **more)
+    return with_parsed(raw, body=keep_last(F.col("_map")), _json=F.col("_map").isNotNull() | is_json(payload)).drop("_map")
+
+
+def payload_valid(body: Column) -> Column:
     """``device_id`` and ``metrics`` present, metrics a non-empty object."""
     has = lambda k: F.map_contains_key(body, F.lit(k))
-    mt = F.schema_of_variant(F.try_variant_get(variant, "$.metrics", "variant"))
     metrics = F.from_json(F.try_element_at(body, F.lit("metrics")), MAP_SCHEMA)
-    return (has("device_id") & has("metrics") & F.coalesce(mt.startswith("OBJECT"), F.lit(False))
-            & F.coalesce(F.size(metrics) > 0, F.lit(False)))
+    return has("device_id") & has("metrics") & F.coalesce(F.size(metrics) > 0, F.lit(False))
 
 
 def timestamp_of(body: Column, fallback) -> dict:
@@ -102,17 +108,14 @@ def classify(messages: DataFrame) -> DataFrame:
     reason in {bad_topic, bad_json, not_object, invalid_payload, bad_timestamp,
     unhandled} or NULL for routed rows. The topic's device id wins (X-7).
     """
-    t = parse_topic("topic")
-    d = decode_payload("payload")
-    tmp = with_parsed(messages, t=t, body=d["body"], _bad_json=d["bad_json"], _not_object=d["not_object"],
-                      _v=d["variant"])
+    tmp = decode_payload(messages, t=parse_topic("topic"))
     body = F.col("body")
     ts = timestamp_of(body, "received_at")
     ttype, system = F.col("t.topic_type"), F.col("t.system")
-    valid = payload_valid(body, F.col("_v"))
+    valid = payload_valid(body)
     reason = (F.when(F.col("t").isNull(), "bad_topic")
-              .when(F.col("_bad_json"), "bad_json")
-              .when(F.col("_not_object"), "not_object")
+              .when(~F.col("_json"), "bad_json")
+              .when(body.isNull(), "not_object")
               .when((ttype == "data") & ~valid, "invalid_payload")
               .when(ttype.isin("data", "status") & ((ttype == "data") | (system == "edge")) & ts["bad_ts"],
                     "bad_timestamp")
@@ -130,12 +133,13 @@ def classify(messages: DataFrame) -> DataFrame:
 def to_measurements(classified: DataFrame) -> DataFrame:
     """S3: measurement rows (metrics decoded to a map; location/mac optional)."""
     b = F.col("body")
-    return classified.where(F.col("route") == "measurements").select(
+    rows = classified.where(F.col("route") == "measurements").select(
         "site_id", "system", "device_id",
         F.try_element_at(b, F.lit("location")).alias("location"),
         F.try_element_at(b, F.lit("mac")).alias("mac"),
-        "ts", F.from_json(F.try_element_at(b, F.lit("metrics")), MAP_SCHEMA).alias("metrics"),
-        "received_at")
+        "ts", "received_at", F.try_element_at(b, F.lit("metrics")).alias("_metrics"))
+    rows = with_parsed(rows, _map=F.from_json("_metrics", MAP_SCHEMA))
+    return rows.select("site_id", "system", "device_id", "location", "mac", "ts", keep_last(F.col("_map")).alias("metrics"), "received_at")
 
 
 def to_edge_status(classified: DataFrame) -> DataFrame:
@@ -145,16 +149,30 @@ def to_edge_status(classified: DataFrame) -> DataFrame:
 
 
 def to_edge_config(classified: DataFrame) -> DataFrame:
-    """Config messages (input of the S5 upsert)."""
+    """Config messages (input of the S5 upsert), with the source's ``seq`` if it has one."""
     return classified.where(F.col("route") == "edge_config").select(
-        "site_id", "device_id", F.col("payload").alias("config"), F.col("received_at").alias("updated_at"))
+        "site_id", "device_id", F.col("payload").alias("config"), F.col("received_at").alias("updated_at"),
+        *[c for c in classified.columns if c == "seq"])
+
+
+def to_sightings(classified: DataFrame, seq: str = "seq") -> DataFrame:
+    """S6 input: device sightings of edge status messages.
+
+    The registry is written before the status row, so a message whose timestamp is refused still
+    counts; a message without a model (absent, null or empty) does not."""
+    b = F.col("body")
+    model = F.try_element_at(b, F.lit("device_model"))
+    status = (F.col("topic_type") == "status") & (F.col("system") == "edge") & b.isNotNull()
+    return classified.where(status & (F.length(model) > 0)).select(
+        "device_id", model.alias("device_model"), F.try_element_at(b, F.lit("firmware_version")).alias("firmware_version"),
+        F.col("received_at").alias("seen_at"), F.col(seq).alias("seq"))
 
 
 def to_ota(classified: DataFrame, seq: str = "seq") -> DataFrame:
     """OTA messages (input of the W9 fold): device_id, kind, received_at, payload and,
     when the source provides one, a stable per-message ``seq`` (e.g. a Kafka offset)
     that orders messages with equal arrival times."""
-    extra = [seq] if seq in classified.columns else []
+    extra = [F.col(seq).alias("seq")] if seq in classified.columns else []
     return classified.where(F.col("route") == "ota").select(
         "device_id", F.regexp_replace("topic_type", "^ota_", "").alias("kind"), "received_at", "payload", *extra)
 
@@ -167,7 +185,7 @@ def rejects(classified: DataFrame) -> DataFrame:
 
 def archive_raw(messages: DataFrame) -> DataFrame:
     """Raw archive; undecodable payloads are kept as ``{"raw": text}``."""
-    ok = F.try_parse_json("payload").isNotNull()
+    ok = is_json("payload")
     return messages.select("received_at", "topic",
                            F.when(ok, F.col("payload")).otherwise(F.to_json(F.struct(F.col("payload").alias("raw"))))
                            .alias("payload"))

@@ -1,180 +1,147 @@
 """Structured Streaming forms of ingest, bucketing and update tracking (ST1-ST5).
 
-Sinks are Parquet folders written from ``foreachBatch``. Every write is keyed
-by the micro-batch id or rewrites whole hash buckets from stored input, so a
-batch replayed after an executor or driver loss produces the same files
-(idempotent), and the checkpoint lives in the shared folder the cluster names
-in ``spark.checkpoint.dir``.
+Sinks are Parquet folders written from ``foreachBatch`` (see ``store``): appends
+are keyed by run and micro-batch, keyed tables are snapshots that commit by
+manifest, so a replay after a loss gives the same table and no write puts
+committed rows at risk. The checkpoint lives in the shared folder the cluster
+names in ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 import os
-from typing import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetspark.operators.buckets import bucket
 from fleetspark.operators.updates import update_attempts
-from fleetspark.operators.upkeep import upsert_latest
+from fleetspark.operators.upkeep import upsert_devices, upsert_latest
 from fleetspark.session import checkpoint_dir
 from fleetspark.sources import messages as ms
+from fleetspark.streaming.store import KEY_BUCKETS, Snapshot, append_batch, run_of
 
-KEY_BUCKETS = 64
 
-
-def key_bucket(*cols: str, n: int = KEY_BUCKETS):
-    """Stable hash bucket of a key, used to rewrite only touched parts of a snapshot."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(n)).cast("int")
-
-
-def _append_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
-    """Write one micro-batch under ``batch_id=N``; a replay overwrites the same folder."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(path, f"batch_id={batch_id}"))
-
-
-def _overwrite_buckets(df: DataFrame, path: str) -> None:
-    """Replace only the ``kb`` partitions present in ``df`` (dynamic partition overwrite)."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("kb").parquet(path)
-
-
-def _stream_checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
-    return checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)
+def _start(stream: DataFrame, body: Callable[[DataFrame, int, str], None], name: str, checkpoint: str | None,
+           trigger: dict | None, mode: str = "append"):
+    """Start a stream whose batches go to ``body(batch, batch id, run id)``."""
+    spark = stream.sparkSession
+    at = checkpoint or os.path.join(checkpoint_dir(spark), "streams", name)
+    run = run_of(spark, at)
+    w = (stream.writeStream.queryName(name).outputMode(mode).option("checkpointLocation", at)
+         .foreachBatch(lambda df, bid: body(df, bid, run)))
+    return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, out: str) -> None:
-    """ST1 body: classify once, then append each routed table and the rejects."""
+def ingest_batch(batch: DataFrame, batch_id: int, out: str, run: str, upkeep: bool = False) -> None:
+    """ST1 body: classify once, append each routed table and the rejects; with ``upkeep``
+    also keep the current configs (S5), the registry (S6) and the update attempts (W9)."""
+    spark = batch.sparkSession
     c = ms.classify(batch).persist()
     try:
-        _append_batch(ms.to_measurements(c).withColumn("dt", F.to_date("ts")), os.path.join(out, "measurements"),
-                      batch_id, ["dt"])
-        _append_batch(ms.to_edge_status(c), os.path.join(out, "edge_status"), batch_id)
-        _append_batch(ms.to_edge_config(c), os.path.join(out, "edge_config"), batch_id)
-        _append_batch(ms.to_ota(c), os.path.join(out, "ota_messages"), batch_id)
-        _append_batch(c.where(F.col("route").isin("rejected", "dropped"))
-                      .select("topic", "payload", "received_at", "reason"), os.path.join(out, "rejects"), batch_id)
+        at = lambda name: os.path.join(out, name)
+        append_batch(ms.to_measurements(c).withColumn("dt", F.to_date("ts")), at("measurements"), run, batch_id, ["dt"])
+        append_batch(ms.to_edge_status(c), at("edge_status"), run, batch_id)
+        append_batch(ms.to_edge_config(c), at("edge_config"), run, batch_id)
+        append_batch(ms.rejects(c), at("rejects"), run, batch_id)
+        if not upkeep:
+            append_batch(ms.to_ota(c), at("ota_messages"), run, batch_id)
+            return
+        latest_batch(ms.to_edge_config(c), batch_id, at("current_configs"), ["site_id", "device_id"], ["updated_at", "seq"], run)
+        Snapshot(spark, at("devices"), ["device_id"]).update(
+            ms.to_sightings(c), lambda cur, new: upsert_devices(cur, new, "status", late=True), run, batch_id)
+        update_attempts_batch(ms.to_ota(c), batch_id, at("ota_messages"), at("update_attempts"), run)
     finally:
         c.unpersist()
 
 
 def start_ingest(stream: DataFrame, out: str, checkpoint: str | None = None, trigger: dict | None = None,
-                 name: str = "ingest"):
+                 name: str = "ingest", upkeep: bool = False):
     """ST1: continuous ingest and routing. ``trigger`` e.g. ``{"availableNow": True}``
-    or ``{"processingTime": "30 seconds"}`` (the poll interval)."""
-    spark = stream.sparkSession
-    w = (stream.writeStream.queryName(name)
-         .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
-         .foreachBatch(lambda df, bid: ingest_batch(df, bid, out)))
-    w = w.trigger(**(trigger or {"availableNow": True}))
-    return w.start()
+    or ``{"processingTime": "30 seconds"}`` (the poll interval). ``upkeep`` needs a ``seq``
+    column (a stable per-message number such as the Kafka offset) in the stream."""
+    if upkeep and "seq" not in stream.columns:
+        raise ValueError("upkeep orders messages by seq; the stream has no such column")
+    return _start(stream, lambda df, bid, run: ingest_batch(df, bid, out, run, upkeep), name, checkpoint, trigger)
 
 
-def bucket_avg_stream(stream: DataFrame, ts: str, value, every: str, lateness: str = "10 minutes",
+def bucket_avg_stream(stream: DataFrame, ts: str, value, every: str, lateness: str | None,
                       by: Sequence[str] = ()) -> DataFrame:
-    """ST2/ST3: incremental tumbling-bucket mean with a watermark.
+    """ST2/ST3: incremental tumbling-bucket mean.
 
-    Rows later than ``lateness`` behind the max event time are dropped by the
-    state store (bounded state); the exact answer for unbounded lateness is a
-    batch recompute of the touched date partitions with ``bucket_avg``.
+    ``lateness`` has no default because it decides what is lost: rows later than that behind
+    the newest event time are dropped by the state store (Spark counts them in
+    ``numRowsDroppedByWatermark``). None drops nothing and keeps the state of every
+    bucket; ``bucket_avg_exact_stream`` accepts any lateness without such state.
     """
     v = F.col(value) if isinstance(value, str) else value
     # watermarks need an instant; timestamp_ntz is read as UTC (session zone) and converted back
     ntz = dict(stream.dtypes)[ts] == "timestamp_ntz"
     s = stream.withColumn("_event_time", F.col(ts).cast("timestamp"))
-    agg = (s.withWatermark("_event_time", lateness)
-           .groupBy(bucket("_event_time", every).alias("time"), *by)
+    s = s.withWatermark("_event_time", lateness) if lateness is not None else s
+    agg = (s.groupBy(bucket("_event_time", every).alias("time"), *by)
            .agg(F.avg(v).alias("value"), F.count(F.lit(1)).alias("rows")))
     return agg.withColumn("time", F.col("time").cast("timestamp_ntz")) if ntz else agg
 
 
-def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot: str) -> None:
+def _matching(df: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows of ``df`` whose key is (left_semi) or is not (left_anti) in ``keyed``; NULL keys match."""
+    other = keyed.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    return df.join(other, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], how)
+
+
+def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot: str, run: str) -> None:
     """ST4 body: store the batch's OTA messages by key bucket, recompute the attempts
-    of the devices in the batch from their stored messages, and rewrite the touched
-    buckets (other devices of those buckets are carried over from the snapshot)."""
+    of the devices in the batch from their stored messages, and commit them (other
+    devices of the touched buckets are carried over)."""
     spark = batch.sparkSession
-    msgs = batch.withColumn("kb", key_bucket("device_id")).persist()
-    try:
-        _append_batch(msgs, store, batch_id, ["kb"])
-        touched = [r.kb for r in msgs.select("kb").distinct().collect()]  # at most KEY_BUCKETS values
-        if not touched:
-            return
-        devices = msgs.select("device_id").distinct()
-        stored = (spark.read.parquet(store).where(F.col("kb").isin(touched))
-                  .join(devices, "device_id", "left_semi").drop("batch_id", "kb"))
-        fresh = update_attempts(stored).withColumn("kb", key_bucket("device_id"))
-        try:
-            kept = (spark.read.parquet(snapshot).where(F.col("kb").isin(touched))
-                    .join(devices, "device_id", "left_anti"))
-            kept.limit(1).count()
-            merged = kept.unionByName(fresh)
-        except Exception:  # noqa: BLE001  first batch: no snapshot yet
-            merged = fresh
-        # materialise in the shared checkpoint folder before overwriting the folder it was read from
-        checkpoint_dir(spark)
-        _overwrite_buckets(merged.checkpoint(eager=True), snapshot)
-    finally:
-        msgs.unpersist()
+    snap = Snapshot(spark, snapshot, ["device_id"])
+    append_batch(snap.with_bucket(batch), store, run, batch_id, ["kb"])
+    devices = batch.select("device_id").distinct()
+
+    def merge(current: DataFrame | None, changed: DataFrame) -> DataFrame:
+        kb = [r.kb for r in snap.with_bucket(changed).select("kb").distinct().collect()]
+        stored = spark.read.parquet(store).where(F.col("kb").isin(kb)).drop("run_id", "batch_id", "kb")
+        fresh = update_attempts(_matching(stored, changed, ["device_id"], "left_semi"))
+        return fresh if current is None else _matching(current, changed, ["device_id"], "left_anti").unionByName(fresh)
+
+    snap.update(devices, merge, run, batch_id)
 
 
 def update_attempts_stream(stream: DataFrame, store: str, snapshot: str, checkpoint: str | None = None,
                            trigger: dict | None = None, name: str = "update_attempts"):
     """ST4: keep the attempt table current from a stream of OTA messages
     (device_id, kind, received_at, seq, payload)."""
-    spark = stream.sparkSession
-    w = (stream.writeStream.queryName(name)
-         .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
-         .foreachBatch(lambda df, bid: update_attempts_batch(df, bid, store, snapshot)))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    return _start(stream, lambda df, bid, run: update_attempts_batch(df, bid, store, snapshot, run), name, checkpoint, trigger)
 
 
-def latest_batch(batch: DataFrame, batch_id: int, snapshot: str, keys: Sequence[str], order: Sequence[str]) -> None:
+def latest_batch(batch: DataFrame, batch_id: int, snapshot: str, keys: Sequence[str], order: Sequence[str], run: str,
+                 buckets: int = KEY_BUCKETS) -> None:
     """ST5 body: merge the batch into the keyed snapshot, rewriting touched buckets only."""
-    spark = batch.sparkSession
-    upd = batch.withColumn("kb", key_bucket(*keys)).persist()
-    try:
-        touched = [r.kb for r in upd.select("kb").distinct().collect()]  # at most KEY_BUCKETS values
-        if not touched:
-            return
-        try:
-            cur = spark.read.parquet(snapshot).where(F.col("kb").isin(touched))
-            cur.limit(1).count()
-        except Exception:  # noqa: BLE001  first batch: no snapshot yet
-            cur = None
-        merged = upsert_latest(cur, upd, list(keys), list(order))
-        # materialise in the shared checkpoint folder before overwriting the folder it was read from
-        checkpoint_dir(spark)
-        merged = merged.checkpoint(eager=True)
-        _overwrite_buckets(merged, snapshot)
-    finally:
-        upd.unpersist()
+    Snapshot(batch.sparkSession, snapshot, keys, buckets).update(
+        batch, lambda cur, new: upsert_latest(cur, new, list(keys), list(order)), run, batch_id)
 
 
 def latest_stream(stream: DataFrame, snapshot: str, keys: Sequence[str], order: Sequence[str],
-                  checkpoint: str | None = None, trigger: dict | None = None, name: str = "latest"):
-    """ST5: keep a latest-per-key snapshot current (configs, registry, retained topics)."""
-    spark = stream.sparkSession
-    w = (stream.writeStream.queryName(name)
-         .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
-         .foreachBatch(lambda df, bid: latest_batch(df, bid, snapshot, keys, order)))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+                  checkpoint: str | None = None, trigger: dict | None = None, name: str = "latest", buckets: int = KEY_BUCKETS):
+    """ST5: keep a latest-per-key snapshot current (configs, registry, retained topics).
+
+    ``buckets``: more of them make the rewrites of a micro-batch smaller; fixed by the first commit."""
+    return _start(stream, lambda df, bid, run: latest_batch(df, bid, snapshot, keys, order, run, buckets), name, checkpoint, trigger)
 
 
 def bucket_avg_to_snapshot(agg: DataFrame, snapshot: str, keys: Sequence[str] = ("time",),
                            checkpoint: str | None = None, trigger: dict | None = None, name: str = "bucket_avg"):
-    """ST2 sink: stream ``bucket_avg_stream`` output in update mode and upsert each
-    micro-batch's changed buckets into a bucket-keyed snapshot (newest batch wins)."""
-    spark = agg.sparkSession
+    """ST2 sink: stream ``bucket_avg_stream`` output in update mode; each micro-batch's
+    changed buckets replace the committed ones."""
 
-    def upsert(df: DataFrame, bid: int) -> None:
-        latest_batch(df.withColumn("_batch", F.lit(bid)), bid, snapshot, list(keys), ["_batch"])
+    def replace(current: DataFrame | None, changed: DataFrame) -> DataFrame:
+        return changed if current is None else _matching(current, changed, keys, "left_anti").unionByName(changed)
 
-    w = (agg.writeStream.queryName(name).outputMode("update")
-         .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
-         .foreachBatch(upsert))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    def body(df: DataFrame, bid: int, run: str) -> None:
+        Snapshot(df.sparkSession, snapshot, keys).update(df, replace, run, bid)
+
+    return _start(agg, body, name, checkpoint, trigger, "update")
 
 
 def _grain(c, grain: str):
@@ -182,22 +149,33 @@ def _grain(c, grain: str):
     return d if grain == "day" else F.trunc(d, "month")
 
 
+def _check_every(spark: SparkSession, every: str) -> None:
+    """A bucket that spans two days could span two partitions."""
+    seconds = spark.sql(f"SELECT unix_seconds(timestamp '1970-01-01 00:00:00Z' + INTERVAL '{every}') AS s").first()["s"]
+    if seconds <= 0 or 86400 % seconds:
+        raise ValueError(f"exact buckets must divide a day; {every} does not")
+
+
 def bucket_avg_exact_batch(batch: DataFrame, batch_id: int, store: str, out: str, ts: str, value: str,
-                           every: str, by: Sequence[str] = (), grain: str = "day") -> None:
+                           every: str, run: str, by: Sequence[str] = (), grain: str = "day") -> None:
     """ST3 exact mode body: any lateness is accepted.
 
-    The batch is stored by day (``dt``), the days it touches are found with a
-    semi-join (dynamic partition pruning reads only those day folders of the
-    store), their bucket means are recomputed from all stored rows of those
-    days, and only those ``dt`` partitions of ``out`` are overwritten.
-    ``every`` must divide a day so that no bucket spans two days. ``grain``
-    ("day" or "month") is the partition unit of the store and the result.
+    The batch is stored by day (``dt``), the bucket means of the days it touches
+    are recomputed from all stored rows of those days (only their folders are
+    read), and only those ``dt`` partitions of ``out`` are overwritten; ``out`` can be
+    rebuilt from the store at any time. ``every`` must divide a day, so that
+    no bucket spans two days. ``grain`` ("day" or "month") is the partition unit
+    of the store and the result.
     """
     spark = batch.sparkSession
+    _check_every(spark, every)
     rows = batch.withColumn("dt", _grain(F.col(ts), grain))
-    _append_batch(rows, store, batch_id, ["dt"])
-    days = rows.select("dt").distinct()
-    stored = spark.read.parquet(store).join(days, "dt", "left_semi")
+    append_batch(rows, store, run, batch_id, ["dt"])
+    days = [r.dt for r in rows.select("dt").distinct().collect()]  # calendar days (months) of one micro-batch
+    if not days:
+        return
+    touched = F.col("dt").isin([d for d in days if d is not None])
+    stored = spark.read.parquet(store).where(touched | F.col("dt").isNull() if None in days else touched)
     agg = (stored.groupBy(bucket(ts, every).alias("time"), *by)
            .agg(F.avg(F.col(value)).alias("value"), F.count(F.lit(1)).alias("rows"))
            .withColumn("dt", _grain(F.col("time"), grain)))
@@ -207,9 +185,7 @@ def bucket_avg_exact_batch(batch: DataFrame, batch_id: int, store: str, out: str
 def bucket_avg_exact_stream(stream: DataFrame, store: str, out: str, ts: str, value: str, every: str,
                             by: Sequence[str] = (), checkpoint: str | None = None, trigger: dict | None = None,
                             name: str = "bucket_avg_exact", grain: str = "day"):
-    """ST3 exact mode: bucket means that stay exact under unbounded lateness."""
-    spark = stream.sparkSession
-    w = (stream.writeStream.queryName(name)
-         .option("checkpointLocation", _stream_checkpoint(spark, name, checkpoint))
-         .foreachBatch(lambda df, bid: bucket_avg_exact_batch(df, bid, store, out, ts, value, every, by, grain)))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    """ST3: bucket means that stay exact under unbounded lateness."""
+    _check_every(stream.sparkSession, every)
+    return _start(stream, lambda df, bid, run: bucket_avg_exact_batch(df, bid, store, out, ts, value, every, run, by, grain),
+                  name, checkpoint, trigger)

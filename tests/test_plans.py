@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from fleetspark.operators import fleet as fl
+from fleetspark.operators.rollout import update_decisions
 from fleetspark.plans import catalog
 from fleetspark.plans.context import Telemetry
 from fleetspark.sources import messages as ms
@@ -15,8 +16,18 @@ SF = "/root/testdata/sf0.001"
 
 
 def _final_plan(df) -> str:
+    """Final plan of the main query: each adaptive node prints its final plan, then its initial one."""
     df.collect()
-    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    text = df._jdf.queryExecution().executedPlan().toString()
+    kept, skip = [], None
+    for line in text.split("\n"):
+        depth = len(line) - len(line.lstrip(" :+-|"))
+        if skip is not None and depth > skip:
+            continue
+        skip = depth - 1 if "== Initial Plan ==" in line else None
+        if skip is None:
+            kept.append(line)
+    return "\n".join(kept)
 
 
 def test_latest_values_aggregate_map_side(spark):
@@ -45,30 +56,18 @@ def test_ingest_parses_each_payload_once(spark):
     assert plan.count("parse_json") <= 1 and plan.count("structstojson") <= 3
 
 
-def test_no_cartesian_products_or_broadcast_hints(spark):
-    for name, fn in sorted(E.queries().items()):
+def test_no_cartesian_products(spark):
+    for name in sorted(catalog.QUERIES):
         if name.startswith("stream_"):
             continue
-        df = fn(spark, SF)
-        logical = df._jdf.queryExecution().analyzed().toString()
-        assert "strategy=broadcast" not in logical.lower(), name
+        df = E.queries()[name](spark, SF)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_spread_is_a_no_op_for_split_inputs(spark, scratch):
-    """Only inputs with a handful of splits are round-robined; block-split inputs are left alone."""
-    import os
-
-    from fleetspark.bindings import SPREAD_MAX_SPLITS, spread
-    path = os.path.join(scratch, "many")
-    spark.range(0, 100_000, numPartitions=SPREAD_MAX_SPLITS + 4).write.parquet(path)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")  # one split per file
-    try:
-        many = spark.read.parquet(path)
-        assert many.rdd.getNumPartitions() >= SPREAD_MAX_SPLITS
-        assert "RoundRobinPartitioning" not in spread(many)._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    one = spark.read.parquet(os.path.join(SF, "events.parquet"))
-    assert "RoundRobinPartitioning" in spread(one)._jdf.queryExecution().executedPlan().toString()
+def test_decisions_do_not_shuffle_the_fleet_by_model(spark):
+    t = Telemetry(spark, SF)
+    plan = update_decisions(t.devices, t.releases, t.rollouts, t.rollout_targets)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("sha2") <= 8 and "BroadcastHashJoin" in plan
+    fleet = plan[plan.index("BroadcastHashJoin"):]
+    assert not re.search(r"hashpartitioning\(device_model#\d+, \d+\), ENSURE_REQUIREMENTS[^\n]*\n[^\n]*_bucket", fleet)

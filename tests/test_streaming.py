@@ -1,15 +1,18 @@
 """Batch = stream equality for the Structured Streaming forms (ST1, ST2, ST4, ST5)."""
 
+import glob
 import json
 import os
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetspark.operators.buckets import bucket_avg
 from fleetspark.operators.updates import update_attempts
 from fleetspark.sources.messages import MESSAGE_SCHEMA, classify
-from fleetspark.streaming.ingest import bucket_avg_stream, latest_stream, start_ingest, update_attempts_stream
+from fleetspark.streaming.ingest import bucket_avg_exact_batch, bucket_avg_stream, latest_batch, latest_stream, start_ingest, update_attempts_stream
+from fleetspark.streaming.store import Files, Snapshot, append_batch, read_snapshot
 
 T0 = datetime(2024, 1, 1)
 
@@ -29,11 +32,11 @@ def _messages():
     for i in range(300):
         dev = f"d{i % 7}"
         if i % 5 == 0:
-            rows.append((f"s/edge/{dev}/status", json.dumps({"state": "RUN", "uptime_seconds": i}), T0 + timedelta(minutes=i)))
+            rows.append((f"s/edge/{dev}/status", json.dumps({"state": "RUN", "uptime_seconds": i}), T0 + timedelta(minutes=i), i))
         elif i % 11 == 0:
-            rows.append((f"s/sensors/{dev}/data", "not json", T0 + timedelta(minutes=i)))
+            rows.append((f"s/sensors/{dev}/data", "not json", T0 + timedelta(minutes=i), i))
         else:
-            rows.append((f"s/sensors/{dev}/data", json.dumps({"device_id": dev, "metrics": {"t": i}}), T0 + timedelta(minutes=i)))
+            rows.append((f"s/sensors/{dev}/data", json.dumps({"device_id": dev, "metrics": {"t": i}}), T0 + timedelta(minutes=i), i))
     return rows
 
 
@@ -86,7 +89,7 @@ def test_update_attempts_stream_equals_batch(spark, scratch):
     q.awaitTermination(300)
     cols = ["device_id", "attempt", "firmware_version", "status", "progress_percent", "error_message",
             "started_at", "completed_at", "reported_at", "messages"]
-    got = sorted(tuple(r) for r in spark.read.parquet(snap).select(*cols).collect())
+    got = sorted(tuple(r) for r in read_snapshot(spark, snap, ["device_id"]).select(*cols).collect())
     exp = sorted(tuple(r) for r in update_attempts(spark.createDataFrame(msgs, schema)).select(*cols).collect())
     assert got == exp
 
@@ -102,7 +105,7 @@ def test_latest_stream_keeps_newest(spark, scratch):
     snap = os.path.join(scratch, "snap")
     q = latest_stream(stream, snap, ["device_id"], ["updated_at", "seq"], checkpoint=os.path.join(scratch, "ck"))
     q.awaitTermination(300)
-    got = {r.device_id: r.config for r in spark.read.parquet(snap).collect()}
+    got = {r.device_id: r.config for r in read_snapshot(spark, snap, ["device_id"]).collect()}
     assert got == {f"d{k}": f"cfg{55 + k}" for k in range(5)}
 
 
@@ -119,7 +122,7 @@ def test_bucket_snapshot_over_batches_equals_batch(spark, scratch):
     agg = bucket_avg_stream(stream, "ts", "v", "1 hour", lateness="3650 days")
     snap = os.path.join(scratch, "snap")
     bucket_avg_to_snapshot(agg, snap, ["time"], os.path.join(scratch, "ck")).awaitTermination(300)
-    got = sorted((r.time, round(r.value, 9), r.rows) for r in spark.read.parquet(snap).collect())
+    got = sorted((r.time, round(r.value, 9), r.rows) for r in read_snapshot(spark, snap, ["time"]).collect())
     b = spark.createDataFrame(rows, schema)
     exp = sorted((r.time, round(r.value, 9), r.rows) for r in
                  b.groupBy(F.window("ts", "1 hour").start.alias("time")).agg(F.avg("v").alias("value"),
@@ -146,3 +149,101 @@ def test_exact_buckets_accept_late_rows(spark, scratch):
                  allrows.groupBy(F.window("ts", "6 hours").start.alias("time"))
                  .agg(F.avg("v").alias("value"), F.count("*").alias("rows")).collect())
     assert got == exp
+
+
+# --- no loss ---------------------------------------------------------------------------------------------------
+
+ROW = "device_id string, updated_at timestamp_ntz, seq int, config string"
+
+
+def _configs(spark, ids, seq):
+    return spark.createDataFrame([(f"d{i}", T0 + timedelta(minutes=seq), seq, f"c{seq}") for i in ids], ROW)
+
+
+def test_unreadable_snapshot_fails_the_batch(spark, scratch):
+    """A read error is not an empty table: the batch fails and nothing is lost."""
+    snap, order = os.path.join(scratch, "snap"), ["updated_at", "seq"]
+    latest_batch(_configs(spark, range(300), 1), 0, snap, ["device_id"], order, "r")
+    files = glob.glob(os.path.join(snap, "data", "*", "*", "*.parquet"))
+    whole = {f: open(f, "rb").read() for f in files}
+    for f in files:
+        open(f, "wb").write(b"broken")
+    with pytest.raises(Exception):
+        latest_batch(_configs(spark, range(100), 2), 1, snap, ["device_id"], order, "r")
+    for f, data in whole.items():
+        open(f, "wb").write(data)
+    for crc in glob.glob(os.path.join(snap, "data", "*", "*", ".*.crc")):
+        os.remove(crc)
+    assert read_snapshot(spark, snap, ["device_id"]).count() == 300
+    latest_batch(_configs(spark, range(100), 2), 1, snap, ["device_id"], order, "r")
+    got = read_snapshot(spark, snap, ["device_id"]).groupBy("config").count().collect()
+    assert {r["config"]: r["count"] for r in got} == {"c1": 200, "c2": 100}
+
+
+def test_crash_before_the_manifest_and_replay(spark, scratch, monkeypatch):
+    """A commit that stops before its manifest leaves the table as it was; the replay completes it."""
+    snap, order = os.path.join(scratch, "snap"), ["updated_at", "seq"]
+    latest_batch(_configs(spark, range(50), 1), 0, snap, ["device_id"], order, "r")
+    with monkeypatch.context() as m:
+        m.setattr(Files, "write", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            latest_batch(_configs(spark, range(20, 70), 2), 1, snap, ["device_id"], order, "r")
+    assert read_snapshot(spark, snap, ["device_id"]).count() == 50
+    for _ in range(2):  # the replay, and a replay of the finished batch
+        latest_batch(_configs(spark, range(20, 70), 2), 1, snap, ["device_id"], order, "r")
+        got = {r["device_id"]: r["config"] for r in read_snapshot(spark, snap, ["device_id"]).collect()}
+        assert got == {f"d{i}": "c1" if i < 20 else "c2" for i in range(70)}
+
+
+def test_old_commits_are_cleaned(spark, scratch):
+    snap = os.path.join(scratch, "snap")
+    for i in range(6):
+        latest_batch(_configs(spark, range(40), i), i, snap, ["device_id"], ["updated_at", "seq"], "r")
+    assert len(os.listdir(os.path.join(snap, "data"))) <= 4
+    assert read_snapshot(spark, snap, ["device_id"]).select("config").distinct().collect()[0][0] == "c5"
+
+
+def test_fresh_checkpoint_keeps_earlier_batches(spark, scratch):
+    """A stream that starts again from batch 0 is another run: its folders do not replace the old ones."""
+    path = os.path.join(scratch, "table")
+    append_batch(spark.range(10), path, "run-a", 0)
+    append_batch(spark.range(100, 105), path, "run-b", 0)
+    append_batch(spark.range(100, 105), path, "run-b", 0)
+    assert spark.read.parquet(path).count() == 15
+
+
+def test_exact_buckets_refuse_spans_over_days(spark, scratch):
+    df = spark.createDataFrame([(T0, 1.0)], "ts timestamp_ntz, v double")
+    for every in ("7 days", "5 hours"):
+        with pytest.raises(ValueError):
+            bucket_avg_exact_batch(df, 0, os.path.join(scratch, "s"), os.path.join(scratch, "o"), "ts", "v", every, "r")
+
+
+def test_null_keys_live_in_a_snapshot(spark, scratch):
+    snap = Snapshot(spark, os.path.join(scratch, "snap"), ["device_id"])
+    df = spark.createDataFrame([(None, T0, 1, "a"), ("x", T0, 1, "b")], ROW)
+    snap.update(df, lambda cur, new: new, "r", 0)
+    assert snap.read().count() == 2
+
+
+def test_upkeep_needs_seq(spark, scratch):
+    schema = "topic string, payload string, received_at timestamp_ntz"
+    src = os.path.join(scratch, "in")
+    spark.createDataFrame([], schema).write.json(src)
+    with pytest.raises(ValueError):
+        start_ingest(spark.readStream.schema(schema).json(src), os.path.join(scratch, "out"), upkeep=True)
+
+
+def test_readme_example(spark, scratch):
+    """Messages with a seq go from a drop folder through classify to attempts."""
+    from fleetspark.operators import updates
+    from fleetspark.sources import messages as ms
+    src = os.path.join(scratch, "in")
+    rows = [("s/edge/d/ota/status", json.dumps({"version": "2"}), T0, 1), ("s/edge/d/ota/progress", json.dumps({"percent": 5000000000}), T0, 2),
+            ("s/edge/d/ota/progress", json.dumps({"percent": 40}), T0, 3)]
+    spark.createDataFrame(rows, MESSAGE_SCHEMA).write.json(src)
+    got = updates.update_attempts(ms.to_ota(ms.classify(ms.read_messages(spark, src)))).collect()
+    assert [(r["device_id"], r["attempt"], r["firmware_version"], r["progress_percent"], r["messages"]) for r in got] == [("d", 1, "2", 40, 2)]
+    binary = spark.createDataFrame([("s/x/d/data", b"\xff{", T0, 1)], "topic string, payload binary, received_at timestamp_ntz, seq long")
+    binary.write.parquet(os.path.join(scratch, "bin"))
+    assert ms.read_messages(spark, os.path.join(scratch, "bin"), fmt="parquet", binary=True).first()["payload"] == "\ufffd{"
