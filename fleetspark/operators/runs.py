@@ -20,54 +20,42 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from fleetspark.functions.util import epoch_seconds
 
 
-def _join_chunk_summary(rows: DataFrame, summary: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left-join a per-(key, chunk) summary back onto the rows with null-safe keys.
-
-    Null-safe equality keeps NULL keys (a group of their own in the window and
-    the aggregate) matched, and it stops Catalyst from inferring ``isnotnull``
-    filters into the summary branch, so both branches read the same input
-    shuffle (Spark reuses it instead of scanning the input twice).
-    """
-    renamed = summary.select(*[F.col(c).alias(f"_j_{c}") for c in on],
-                             *[c for c in summary.columns if c not in on])
-    cond = [rows[c].eqNullSafe(renamed[f"_j_{c}"]) for c in on]
-    return rows.join(renamed, cond, "left").drop(*[f"_j_{c}" for c in on])
-
-
 def time_chunk(ts, width_seconds: int) -> Column:
     """Chunk number of a timestamp (epoch-aligned)."""
     return F.floor(epoch_seconds(ts) / F.lit(width_seconds)).cast("long")
 
 
-def number_runs(df: DataFrame, keys: Sequence[str], chunk: str, order: Sequence[str], value: str,
-                starts_run, out: str) -> DataFrame:
-    """Add ``out``: 1-based run number per ``keys`` in ``order``, where a row opens a new
-    run when it is the first of its key or ``starts_run(previous_value, value)`` holds.
+def _numbered_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, starts_run, group: Sequence[str],
+                   first: str, last: str, out: str) -> DataFrame:
+    """One row per run and chunk it touches: keys, ``group``, ``out`` (1-based run number), start, end, rows.
 
-    One window pass per (key, chunk) gives the previous value and the local
-    count of run starts; the per-chunk summary (first value, last value, local
-    starts) is aggregated from that same pass, scanned per key to get the
-    starts before each chunk, and joined back on (key, chunk). ``order`` must be
-    unique within a key. Exact for any chunk width.
+    A row opens a run when it is the first of its key or ``starts_run(previous value, value)`` holds. The
+    rows are shuffled once, by (key, chunk): a window numbers the runs inside the chunk, and the rows are
+    reduced to runs there. The number of runs before a chunk comes from a summary of these reduced rows,
+    scanned per key. ``first`` and ``last`` name the reduced columns that hold a run's first and last
+    value. NULL keys are a group of their own, hence the null-safe join.
     """
-    keys = list(keys)
-    w = Window.partitionBy(*keys, chunk).orderBy(*order)
-    wcum = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = (df.withColumn("_rn", F.row_number().over(w))
-         .withColumn("_prev", F.lag(value).over(w)))
+    keys, ts = list(keys), order[0]
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
+    r = df.withColumn("_rn", F.row_number().over(w)).withColumn("_prev", F.lag(value).over(w))
     r = r.withColumn("_flag", ((F.col("_rn") > 1) & starts_run(F.col("_prev"), F.col(value))).cast("long"))
-    r = r.withColumn("_local", F.sum("_flag").over(wcum))
-    ok = F.struct(*[F.col(o) for o in order])
-    wc = Window.partitionBy(*keys).orderBy(chunk)
-    summ = (r.groupBy(*keys, chunk)
-            .agg(F.min_by(value, ok).alias("_first"), F.max_by(value, ok).alias("_last"), F.max("_local").alias("_n"))
-            .withColumn("_fs", (F.lag(F.lit(1)).over(wc).isNull()
-                                | starts_run(F.lag("_last").over(wc), F.col("_first"))).cast("long")))
-    summ = summ.withColumn("_off", F.coalesce(
-        F.sum(F.col("_n") + F.col("_fs")).over(wc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (_join_chunk_summary(r, summ.select(*keys, chunk, "_fs", "_off"), [*keys, chunk])
-            .withColumn(out, F.col("_off") + F.col("_fs") + F.col("_local"))
-            .drop("_rn", "_prev", "_flag", "_local", "_fs", "_off"))
+    r = r.withColumn("_local", F.sum("_flag").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    part = r.groupBy(*keys, "_chunk", "_local", *group).agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("rows"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk")
+    summary = (part.groupBy(*keys, "_chunk")
+               .agg(F.min_by(first, "_local").alias("_first"), F.max_by(last, "_local").alias("_last"), F.max("_local").alias("_n"))
+               .withColumn("_fs", (F.lag(F.lit(1)).over(wc).isNull()
+                                   | starts_run(F.lag("_last").over(wc), F.col("_first"))).cast("long")))
+    before = F.sum(F.col("_n") + F.col("_fs")).over(wc.rowsBetween(Window.unboundedPreceding, -1))
+    on = [*keys, "_chunk"]
+    summary = summary.select(*[F.col(c).alias(f"_j_{c}") for c in on], "_fs", F.coalesce(before, F.lit(0)).alias("_off"))
+    joined = part.join(summary, [part[c].eqNullSafe(summary[f"_j_{c}"]) for c in on], "left")
+    return joined.select(*keys, *group, (F.col("_off") + F.col("_fs") + F.col("_local")).alias(out), "start", "end", "rows")
+
+
+def _merged(parts: DataFrame, by: Sequence) -> DataFrame:
+    """Runs from their parts: a run that spans chunks has one part in each."""
+    return parts.groupBy(*by).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("rows").alias("rows"))
 
 
 def state_intervals(df: DataFrame, keys: Sequence[str], ts: str, state: str,
@@ -77,14 +65,10 @@ def state_intervals(df: DataFrame, keys: Sequence[str], ts: str, state: str,
     Output per run: keys, run (1-based), state, start, end (last row time), rows.
     A NULL state compares as a value of its own.
     """
-    keys = list(keys)
     d = df.select(*keys, ts, tiebreak, F.col(state).alias("_state")).withColumn("_chunk", time_chunk(ts, chunk_seconds))
-    d = number_runs(d, keys, "_chunk", [ts, tiebreak], "_state", lambda prev, cur: ~prev.eqNullSafe(cur), "run")
-    # every row of a run has the same state, so it can be a grouping key; the
-    # aggregate buffers then stay fixed-width (hash aggregation, no local sort)
-    return (d.groupBy(*keys, "run", F.col("_state").alias("state")).agg(
-                F.min(ts).alias("start"), F.max(ts).alias("end"),
-                F.count(F.lit(1)).alias("rows")))
+    # every row of a run has the same state, so it is a grouping key and the buffers stay fixed-width
+    parts = _numbered_runs(d, keys, [ts, tiebreak], "_state", lambda prev, cur: ~prev.eqNullSafe(cur), ["_state"], "_state", "_state", "run")
+    return _merged(parts, [*keys, "run", F.col("_state").alias("state")])
 
 
 def gap_segments(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, max_gap: str = "10 minutes",
@@ -93,9 +77,7 @@ def gap_segments(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, max
 
     Output per segment: keys, segment (1-based), start, end, rows.
     """
-    keys = list(keys)
     gap_s = F.expr(f"INTERVAL '{max_gap}'")
     d = df.select(*keys, ts, tiebreak).withColumn("_chunk", time_chunk(ts, chunk_seconds))
-    d = number_runs(d, keys, "_chunk", [ts, tiebreak], ts, lambda prev, cur: (cur - prev) > gap_s, "segment")
-    return d.groupBy(*keys, "segment").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
-                                           F.count(F.lit(1)).alias("rows"))
+    parts = _numbered_runs(d, keys, [ts, tiebreak], ts, lambda prev, cur: (cur - prev) > gap_s, [], "start", "end", "segment")
+    return _merged(parts, [*keys, "segment"])
