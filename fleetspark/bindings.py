@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetspark.functions.formats import HEATER_STATES
+from fleetspark.functions.util import with_parsed
 from fleetspark.session import prepare
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -59,6 +60,8 @@ def measurements(src: Source) -> DataFrame:
         F.lit("heater_state"), F.when(eid % 4 != 3, _state_by(k.cast("long"))),
         F.lit("battery_v"), F.when(eid % 6 != 5, F.col("value").cast("string")),
     )
+    ev = with_parsed(ev.select("event_type", "user_id", "ts", "event_id", "value", "props"),
+                     metrics=F.map_filter(m, lambda _k, v: v.isNotNull()))
     return ev.select(
         F.lit("site").alias("site_id"),
         F.col("event_type").alias("system"),
@@ -67,7 +70,7 @@ def measurements(src: Source) -> DataFrame:
          .otherwise(F.concat(F.lit("zone"), (F.col("user_id") % 4).cast("string"))).alias("location"),
         F.lit(None).cast("string").alias("mac"),
         F.col("ts"),
-        F.map_filter(m, lambda _k, v: v.isNotNull()).alias("metrics"),
+        F.col("metrics"),
         eid,
     )
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import datetime
+import re
 from typing import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from fleetspark.functions.util import interval, lit_of
 from fleetspark.operators.latest import latest_by
 from fleetspark.operators.updates import UPDATE_STATUSES
+from fleetspark.streaming.store import Files
 
 # Allowed enumerations of the rollout and audit tables.
 TARGET_TYPES = ("all", "group", "canary", "specific")
@@ -105,10 +108,21 @@ def migrate_flat(df: DataFrame, site: str, system: str, value_cols: Sequence[str
 
 
 def retain(df: DataFrame, as_of, days: int = 90, ts: str = "ts") -> DataFrame:
-    """M2: rows younger than ``days`` (write back over the dated partitions)."""
+    """M2: rows younger than ``days``; ``drop_old_days`` removes the rest from a table."""
     return df.where(F.col(ts) >= lit_of(as_of) - interval(f"{days} days"))
 
 
+def drop_old_days(spark: SparkSession, path: str, as_of: datetime.date, days: int) -> list[str]:
+    """M2: delete the ``dt=`` folders of a day-partitioned table that lie wholly before ``as_of - days``."""
+    files, gone = Files(spark, path), []
+    for name in files.names(path):
+        day = re.fullmatch(r"dt=(\d{4}-\d{2}-\d{2})", name)
+        if day and datetime.date.fromisoformat(day[1]) < as_of - datetime.timedelta(days=days):
+            files.delete(f"{path.rstrip('/')}/{name}")
+            gone.append(name)
+    return gone
+
+
 def align_schema(df: DataFrame, schema: StructType) -> DataFrame:
     """M3: add missing (nullable) columns and order as ``schema``; extra columns kept last."""
     out = df
@@ -122,9 +136,12 @@ def align_schema(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def export_snapshot(df: DataFrame, base: str, as_of_date: str, keep_days: int | None = None) -> str:
-    """Write a dated snapshot ``base/dt=YYYY-MM-DD`` (overwrite that date only)."""
+    """Write a dated snapshot ``base/dt=YYYY-MM-DD`` (overwrite that date only); with
+    ``keep_days`` older dates are removed once it is written."""
     path = f"{base.rstrip('/')}/dt={as_of_date}"
     df.write.mode("overwrite").parquet(path)
+    if keep_days is not None:
+        drop_old_days(df.sparkSession, base, datetime.date.fromisoformat(as_of_date), keep_days)
     return path
 
 

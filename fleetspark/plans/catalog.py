@@ -337,6 +337,20 @@ def q_fleet_metrics(t: Telemetry) -> DataFrame:
     return fl.fleet_metrics(t.devices, t.updates, t.rollouts, t.orders_as_of, "180 days")
 
 
+@query("latest_uptime")
+def q_latest_uptime(t: Telemetry) -> DataFrame:
+    """Newest reported uptime per edge device."""
+    return lt.latest_non_null(t.status, ["device_id"], metric("uptime_seconds", "status"), ["ts", "event_id"])
+
+
+@query("status_log")
+def q_status_log(t: Telemetry) -> DataFrame:
+    """O1: the newest edge status rows as a table."""
+    text = lambda k: metric_text(k, "status").alias(k)
+    rows = t.status.select("device_id", "ts", "event_id", text("state"), text("signal_strength_dbm"), text("uptime_seconds"))
+    return fl.recent(rows, 50, ["ts", "event_id"])
+
+
 @query("device_overview")
 def q_device_overview(t: Telemetry) -> DataFrame:
     """J1 + T11/T12/P24: device table with latest status, latest update and latest release."""

@@ -435,6 +435,14 @@ sql("recent_rows", "power")(f"""
 SELECT device_sn, ts, l_orderkey, l_linenumber, soc_percent, watts_in_sum, watts_out_sum, pv_in_watts, remain_time_min
 FROM power ORDER BY {POWER_DESC} LIMIT 20""")
 
+sql("latest_uptime", "status")("""
+SELECT DISTINCT ON (device_id) device_id, CAST(s_uptime AS DOUBLE) AS value FROM status
+WHERE s_uptime IS NOT NULL ORDER BY device_id, ts DESC, event_id DESC""")
+
+sql("status_log", "status")("""
+SELECT device_id, ts, event_id, s_state AS state, s_signal AS signal_strength_dbm, s_uptime AS uptime_seconds FROM status
+ORDER BY ts DESC, event_id DESC LIMIT 50""")
+
 sql("raw_series", "status")(f"""
 SELECT ts, device_id, event_id, CAST(s_signal AS DOUBLE) AS rssi FROM status
 WHERE s_signal IS NOT NULL AND ts > {AS_OF['events']} - INTERVAL '2 days' AND ts < {AS_OF['events']}

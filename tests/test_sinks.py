@@ -78,3 +78,20 @@ def test_time_range_prunes_day_partitions(spark, scratch):
     assert sorted(r.v for r in q.collect()) == [3, 4, 5]
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dt" in plan
+
+
+def test_old_days_are_removed(spark, scratch):
+    """Dated folders beyond the retention go, the rest and other names stay."""
+    import datetime
+    import os
+
+    from fleetspark.operators import upkeep as uk
+    base = os.path.join(scratch, "snapshots")
+    for day in ("2024-01-01", "2024-01-05", "2024-01-09"):
+        uk.export_snapshot(spark.range(3), base, day)
+    os.makedirs(os.path.join(base, "other"))
+    uk.export_snapshot(spark.range(4), base, "2024-01-10", keep_days=5)
+    assert sorted(n for n in os.listdir(base)) == ["dt=2024-01-05", "dt=2024-01-09", "dt=2024-01-10", "other"]
+    assert uk.drop_old_days(spark, base, datetime.date(2024, 1, 10), 0) == ["dt=2024-01-05", "dt=2024-01-09"]
+    assert uk.drop_old_days(spark, os.path.join(base, "absent"), datetime.date(2024, 1, 10), 0) == []
+
