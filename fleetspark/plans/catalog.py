@@ -800,12 +800,16 @@ def _drop(df: DataFrame, run: str, batches: int = 3) -> DataFrame:
     return (df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(drop, "*")))
 
 
+#: Buckets of the snapshots that the registered streams keep (tables of a few thousand keys).
+STREAM_BUCKETS = 8
+
+
 def _ingested(t: Telemetry, upkeep: bool) -> str:
     import os
     from fleetspark.streaming.ingest import start_ingest
     run = _scratch(t, "ingest")
     stream = _drop(t.messages.select("topic", "payload", "received_at", F.col("event_id").alias("seq")), run)
-    start_ingest(stream, os.path.join(run, "out"), os.path.join(run, "checkpoint"), upkeep=upkeep).awaitTermination()
+    start_ingest(stream, os.path.join(run, "out"), os.path.join(run, "checkpoint"), upkeep=upkeep, buckets=STREAM_BUCKETS).awaitTermination()
     return os.path.join(run, "out")
 
 
@@ -844,7 +848,8 @@ def q_stream_update_attempts(t: Telemetry) -> DataFrame:
     from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "attempts")
     snapshot = os.path.join(run, "snapshot")
-    update_attempts_stream(_drop(t.ota_messages, run), os.path.join(run, "store"), snapshot, os.path.join(run, "checkpoint")).awaitTermination()
+    update_attempts_stream(_drop(t.ota_messages, run), os.path.join(run, "store"), snapshot, os.path.join(run, "checkpoint"),
+                           buckets=STREAM_BUCKETS).awaitTermination()
     return read_snapshot(t.spark, snapshot, ["device_id"])
 
 
@@ -857,7 +862,7 @@ def q_stream_bucket_avg(t: Telemetry) -> DataFrame:
     run = _scratch(t, "buckets")
     agg = bucket_avg_stream(_drop(t.power.select("ts", "soc_percent"), run), "ts", "soc_percent", "7 days", lateness=None)
     snapshot = os.path.join(run, "snapshot")
-    bucket_avg_to_snapshot(agg, snapshot, ["time"], os.path.join(run, "checkpoint")).awaitTermination()
+    bucket_avg_to_snapshot(agg, snapshot, ["time"], os.path.join(run, "checkpoint"), buckets=STREAM_BUCKETS).awaitTermination()
     return read_snapshot(t.spark, snapshot, ["time"]).select("time", "value", "rows")
 
 
@@ -869,7 +874,8 @@ def q_stream_latest_config(t: Telemetry) -> DataFrame:
     from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "latest")
     snapshot, keys = os.path.join(run, "snapshot"), ["site_id", "device_id"]
-    latest_stream(_drop(_configs(t), run), snapshot, keys, ["updated_at", "event_id"], os.path.join(run, "checkpoint")).awaitTermination()
+    latest_stream(_drop(_configs(t), run), snapshot, keys, ["updated_at", "event_id"], os.path.join(run, "checkpoint"),
+                  buckets=STREAM_BUCKETS).awaitTermination()
     return _config_value(read_snapshot(t.spark, snapshot, keys))
 
 

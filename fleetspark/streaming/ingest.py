@@ -33,7 +33,7 @@ def _start(stream: DataFrame, body: Callable[[DataFrame, int, str], None], name:
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, out: str, run: str, upkeep: bool = False) -> None:
+def ingest_batch(batch: DataFrame, batch_id: int, out: str, run: str, upkeep: bool = False, buckets: int = KEY_BUCKETS) -> None:
     """ST1 body: classify once, append each routed table and the rejects; with ``upkeep``
     also keep the current configs (S5), the registry (S6) and the update attempts (W9)."""
     spark = batch.sparkSession
@@ -47,22 +47,23 @@ def ingest_batch(batch: DataFrame, batch_id: int, out: str, run: str, upkeep: bo
         if not upkeep:
             append_batch(ms.to_ota(c), at("ota_messages"), run, batch_id)
             return
-        latest_batch(ms.to_edge_config(c), batch_id, at("current_configs"), ["site_id", "device_id"], ["updated_at", "seq"], run)
-        Snapshot(spark, at("devices"), ["device_id"]).update(
+        latest_batch(ms.to_edge_config(c), batch_id, at("current_configs"), ["site_id", "device_id"], ["updated_at", "seq"], run, buckets)
+        Snapshot(spark, at("devices"), ["device_id"], buckets).update(
             ms.to_sightings(c), lambda cur, new: upsert_devices(cur, new, "status", late=True), run, batch_id)
-        update_attempts_batch(ms.to_ota(c), batch_id, at("ota_messages"), at("update_attempts"), run)
+        update_attempts_batch(ms.to_ota(c), batch_id, at("ota_messages"), at("update_attempts"), run, buckets)
     finally:
         c.unpersist()
 
 
 def start_ingest(stream: DataFrame, out: str, checkpoint: str | None = None, trigger: dict | None = None,
-                 name: str = "ingest", upkeep: bool = False):
+                 name: str = "ingest", upkeep: bool = False, buckets: int = KEY_BUCKETS):
     """ST1: continuous ingest and routing. ``trigger`` e.g. ``{"availableNow": True}``
     or ``{"processingTime": "30 seconds"}`` (the poll interval). ``upkeep`` needs a ``seq``
-    column (a stable per-message number such as the Kafka offset) in the stream."""
+    column (a stable per-message number such as the Kafka offset) in the stream; ``buckets`` sizes
+    its snapshots."""
     if upkeep and "seq" not in stream.columns:
         raise ValueError("upkeep orders messages by seq; the stream has no such column")
-    return _start(stream, lambda df, bid, run: ingest_batch(df, bid, out, run, upkeep), name, checkpoint, trigger)
+    return _start(stream, lambda df, bid, run: ingest_batch(df, bid, out, run, upkeep, buckets), name, checkpoint, trigger)
 
 
 def bucket_avg_stream(stream: DataFrame, ts: str, value, every: str, lateness: str | None,
@@ -90,12 +91,12 @@ def _matching(df: DataFrame, keyed: DataFrame, keys: Sequence[str], how: str) ->
     return df.join(other, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys], how)
 
 
-def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot: str, run: str) -> None:
+def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot: str, run: str, buckets: int = KEY_BUCKETS) -> None:
     """ST4 body: store the batch's OTA messages by key bucket, recompute the attempts
     of the devices in the batch from their stored messages, and commit them (other
     devices of the touched buckets are carried over)."""
     spark = batch.sparkSession
-    snap = Snapshot(spark, snapshot, ["device_id"])
+    snap = Snapshot(spark, snapshot, ["device_id"], buckets)
     append_batch(snap.with_bucket(batch), store, run, batch_id, ["kb"])
     devices = batch.select("device_id").distinct()
 
@@ -109,10 +110,10 @@ def update_attempts_batch(batch: DataFrame, batch_id: int, store: str, snapshot:
 
 
 def update_attempts_stream(stream: DataFrame, store: str, snapshot: str, checkpoint: str | None = None,
-                           trigger: dict | None = None, name: str = "update_attempts"):
+                           trigger: dict | None = None, name: str = "update_attempts", buckets: int = KEY_BUCKETS):
     """ST4: keep the attempt table current from a stream of OTA messages
     (device_id, kind, received_at, seq, payload)."""
-    return _start(stream, lambda df, bid, run: update_attempts_batch(df, bid, store, snapshot, run), name, checkpoint, trigger)
+    return _start(stream, lambda df, bid, run: update_attempts_batch(df, bid, store, snapshot, run, buckets), name, checkpoint, trigger)
 
 
 def latest_batch(batch: DataFrame, batch_id: int, snapshot: str, keys: Sequence[str], order: Sequence[str], run: str,
@@ -131,7 +132,7 @@ def latest_stream(stream: DataFrame, snapshot: str, keys: Sequence[str], order:
 
 
 def bucket_avg_to_snapshot(agg: DataFrame, snapshot: str, keys: Sequence[str] = ("time",),
-                           checkpoint: str | None = None, trigger: dict | None = None, name: str = "bucket_avg"):
+                           checkpoint: str | None = None, trigger: dict | None = None, name: str = "bucket_avg", buckets: int = KEY_BUCKETS):
     """ST2 sink: stream ``bucket_avg_stream`` output in update mode; each micro-batch's
     changed buckets replace the committed ones."""
 
@@ -139,7 +140,7 @@ def bucket_avg_to_snapshot(agg: DataFrame, snapshot: str, keys: Sequence[str] =
         return changed if current is None else _matching(current, changed, keys, "left_anti").unionByName(changed)
 
     def body(df: DataFrame, bid: int, run: str) -> None:
-        Snapshot(df.sparkSession, snapshot, keys).update(df, replace, run, bid)
+        Snapshot(df.sparkSession, snapshot, keys, buckets).update(df, replace, run, bid)
 
     return _start(agg, body, name, checkpoint, trigger, "update")
 

@@ -11,33 +11,19 @@ from fleetspark.operators.rollout import update_decisions
 from fleetspark.plans import catalog
 from fleetspark.plans.context import Telemetry
 from fleetspark.sources import messages as ms
+from tools.explain_plans import final_plan
 
 SF = "/root/testdata/sf0.001"
 
 
-def _final_plan(df) -> str:
-    """Final plan of the main query: each adaptive node prints its final plan, then its initial one."""
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    kept, skip = [], None
-    for line in text.split("\n"):
-        depth = len(line) - len(line.lstrip(" :+-|"))
-        if skip is not None and depth > skip:
-            continue
-        skip = depth - 1 if "== Initial Plan ==" in line else None
-        if skip is None:
-            kept.append(line)
-    return "\n".join(kept)
-
-
 def test_latest_values_aggregate_map_side(spark):
-    plan = _final_plan(catalog.run("latest_nulls_first", spark, SF))
+    plan = final_plan(catalog.run("latest_nulls_first", spark, SF))
     assert "partial_max_by" in plan and "Window" not in plan
 
 
 @pytest.mark.parametrize("name", ["state_intervals", "gap_segments", "update_attempts"])
 def test_run_operators_read_input_once(spark, name):
-    plan = _final_plan(catalog.run(name, spark, SF))
+    plan = final_plan(catalog.run(name, spark, SF))
     assert plan.count("FileScan") == 1, plan
 
 
