@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleetspark.llm.common import map_texts, sha256, utf8
 
-#: Entries that a task's memos hold before they start anew.
-MEMO_ENTRIES = 500_000
+#: Entries that each of a task's memos holds before it starts anew.
+MEMO_ENTRIES = 150_000
 _NEVER = 1 << 60
 
 
@@ -65,7 +65,7 @@ class Vocabulary:
         for i, t in enumerate(tokens):
             self.ends.add_word(t.decode("latin-1"), (i, len(t)))
         self.ends.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _merged(self, data: bytes, below: int = _NEVER) -> list[int]:
@@ -107,7 +107,7 @@ class Vocabulary:
                 j -= 1
 
     def fits(self, first: int, second: int) -> bool:
-        key = (first, second)
+        key = first << 32 | second
         known = self.pairs.get(key)
         if known is None:
             if len(self.pairs) >= MEMO_ENTRIES:
@@ -192,6 +192,10 @@ class Codec:
         self.vocabulary = Vocabulary(tokens)
         self.pattern = regex.compile(pattern)
 
+    def forget(self) -> None:
+        self.vocabulary.pairs.clear()
+        self.vocabulary.pieces.clear()
+
     def piece(self, piece: str) -> bytes:
         """Ids of one piece as little-endian unsigned 32-bit integers."""
         v = self.vocabulary
@@ -219,7 +223,7 @@ _CODECS: dict[tuple[int, str], Codec] = {}
 
 
 def _codec(key: int, tokens: list[bytes], pattern: str) -> Codec:
-    """One codec per worker process and vocabulary, so memos live across tasks."""
+    """One codec per worker process and vocabulary."""
     found = _CODECS.get((key, pattern))
     if found is None:
         _CODECS.clear()
@@ -251,4 +255,4 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         return out | ({"ids": pa.array(ids, pa.list_(pa.int32()))} if with_ids else {})
 
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_texts(src, step, schema + (", ids array<int>" if with_ids else ""))
+    return map_texts(src, step, schema + (", ids array<int>" if with_ids else ""), after=lambda: _codec(key, shared.value, pattern).forget())

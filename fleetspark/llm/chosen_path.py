@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import map_texts, shared_table, utf8
+from fleetspark.llm.common import map_arrow, map_texts, shared_table, utf8
 from fleetspark.llm.components import components
 from fleetspark.llm.hashing import U, Ranges, Words, mix
 from fleetspark.llm.substrings import Filter
@@ -128,7 +128,7 @@ def _children(sets: DataFrame, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"path": pa.array(child.view(np.int64)),
                                                   "cls": pa.array(b.column("cls").to_numpy()[lo:lo + 4096][i])})
 
-    return sets.select("path", "cls", "hashes").mapInArrow(run, "path long, cls long")
+    return map_arrow(sets.select("path", "cls", "hashes"), run, "path long, cls long")
 
 
 def buckets(classes: DataFrame, threshold: float, runs: int) -> DataFrame:
@@ -286,7 +286,7 @@ def links(docs: DataFrame, keep: list[str], text_col: str = "text", size: int =
                 yield pa.RecordBatch.from_pydict({**{c: pa.array(np.full(len(need), k, np.int64)) for c, k in zip(_GROUP, key)},
                                                   "cls": pa.array(t["cls"][need]), "own": pa.array(t["own"][need])})
 
-    near = shared_table(spark, blocks.mapInArrow(screen, "bucket long, low long, high long, cls long, own long"), "near")
+    near = shared_table(spark, map_arrow(blocks, screen, "bucket long, low long, high long, cls long, own long"), "near")
     wanted = spark.sparkContext.broadcast(Filter.of(near.select(F.col("cls").alias("key")).distinct()))
     src = docs.select(utf8(text_col).alias("raw"), F.xxhash64(*[F.col(c) for c in keep], F.col(text_col)).alias("row"))
 
@@ -315,7 +315,7 @@ def links(docs: DataFrame, keep: list[str], text_col: str = "text", size: int =
             root = _local_roots(len(n), a, b)
             yield pa.RecordBatch.from_pydict({"cls": pa.array(t["cls"][some]), "root": pa.array(t["cls"][root[some]]), "n": pa.array(n[some])})
 
-    linked = shared_table(spark, compared.mapInArrow(compare, "cls long, root long, n long"), "links")
+    linked = shared_table(spark, map_arrow(compared, compare, "cls long, root long, n long"), "links")
     label = components(linked.select(F.col("cls").alias("a"), F.col("root").alias("b")))
     count = linked.groupBy("cls").agg(F.sum("n").alias("linked"))
     verdict = (classes.select("set_key", "cls", "docs").join(count, "cls", "left").join(label.withColumnRenamed("node", "cls"), "cls", "left")

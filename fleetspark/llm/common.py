@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import hashlib
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetspark.session import checkpoint_dir
 
 #: Text bytes that one step of an Arrow pass holds at a time (a longer text is a step of its own).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,7 +37,7 @@ def chunks(batches: Iterator[pa.RecordBatch], size_col: str, limit: int = CHUNK_
     """Split Arrow batches so that the binary column holds at most ``limit`` bytes per piece."""
     for batch in batches:
         start = held = 0
-        sizes = [len(x) for x in batch.column(size_col).to_pylist()] if batch.num_rows else []
+        sizes = pc.binary_length(batch.column(size_col)).to_pylist()
         for i, n in enumerate(sizes):
             if held and held + n > limit:
                 yield batch.slice(start, i - start)
@@ -43,17 +47,44 @@ def chunks(batches: Iterator[pa.RecordBatch], size_col: str, limit: int = CHUNK_
             yield batch.slice(start)
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application (as ``--py-files`` would): they need not
+    share the driver's folder or path."""
+    sc, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if getattr(sc, "_ships", None) == root or not os.path.isdir(root):
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="code-"), f"{os.path.basename(root)}-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)  # executors fetch it from the driver
+    sc._ships = root
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package."""
+    ship_code(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_texts(df: DataFrame, step: Callable[[pa.RecordBatch], dict | None], schema: str, text_col: str = "raw",
-              limit: int = CHUNK_BYTES) -> DataFrame:
-    """Arrow pass: ``step`` gets bounded batches and returns the columns of ``schema`` as lists or arrays."""
+              limit: int = CHUNK_BYTES, after: Callable[[], None] = lambda: None) -> DataFrame:
+    """Arrow pass: ``step`` gets bounded batches and returns the columns of ``schema`` as lists or arrays;
+    ``after`` ends a task."""
 
     def run(batches):
-        for part in chunks(batches, text_col, limit):
-            out = step(part)
-            if out is not None:
-                yield pa.RecordBatch.from_pydict(out)
+        try:
+            for part in chunks(batches, text_col, limit):
+                out = step(part)
+                if out is not None:
+                    yield pa.RecordBatch.from_pydict(out)
+        finally:
+            after()
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def shared_table(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -64,5 +95,11 @@ def shared_table(spark: SparkSession, df: DataFrame, name: str, partition_by: li
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, draw: Column, size: int, total: int) -> DataFrame:
+    """About ``size`` of ``total`` rows (all if there are no more), those with the lowest hashes, and at most twice as many."""
+    bar = int(min(1.0, size / max(1, total)) * (1 << 32)) - 1
+    return df.where(draw.bitwiseAND(F.lit((1 << 32) - 1)) <= F.lit(bar)).limit(2 * size)
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import CHUNK_BYTES, chunks, shared_table
+from fleetspark.llm.common import CHUNK_BYTES, chunks, map_arrow, shared_table
 from fleetspark.llm.substrings import Filter
 
 ROUNDS = 8
@@ -279,7 +279,7 @@ def distinct_entities(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "value": pa.array(values, pa.string())})
 
     src = docs.select(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("raw"))
-    return src.mapInArrow(run, "kind string, value string").distinct()
+    return map_arrow(src, run, "kind string, value string").distinct()
 
 
 def exceptions(entities: DataFrame, key: bytes) -> DataFrame:
@@ -299,7 +299,7 @@ def exceptions(entities: DataFrame, key: bytes) -> DataFrame:
     taken = entities.select(family.alias("family"), F.col("value").alias("surrogate")).distinct()
     settled, open_ = None, entities
     for draw in range(ROUNDS):
-        now = shared_table(spark, open_.mapInArrow(drawn(draw), schema).withColumn("family", family), "draws")
+        now = shared_table(spark, map_arrow(open_, drawn(draw), schema).withColumn("family", family), "draws")
         first = now.groupBy("family", "surrogate").agg(F.min(F.struct("kind", "value")).alias("top"))
         # given names are permuted within their list, so each is somebody's surrogate; only doubles count there
         seen = taken if settled is None else taken.union(settled.select("family", "surrogate"))
@@ -317,7 +317,7 @@ def exceptions(entities: DataFrame, key: bytes) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"kind": b.column("kind"), "value": b.column("value"),
                                               "surrogate": pa.array([widened(k, v, key) for k, v in pairs], pa.string())})
 
-    return settled.where("draw > 0").select("kind", "value", "surrogate").union(open_.mapInArrow(wide, schema))
+    return settled.where("draw > 0").select("kind", "value", "surrogate").union(map_arrow(open_, wide, schema))
 
 
 def _entity_key(kind: str, value: str) -> int:
@@ -330,7 +330,7 @@ def _exception_filter(odd: DataFrame) -> Filter:
             keys = [_entity_key(k, v) for k, v in zip(b.column("kind").to_pylist(), b.column("value").to_pylist())]
             yield pa.RecordBatch.from_pydict({"key": pa.array(np.array(keys, np.uint64).view(np.int64))})
 
-    return Filter.of(shared_table(odd.sparkSession, odd.mapInArrow(run, "key long"), "keys"))
+    return Filter.of(shared_table(odd.sparkSession, map_arrow(odd, run, "key long"), "keys"))
 
 
 _ENTITY = pa.struct([("kind", pa.string()), ("value", pa.string())])
@@ -373,12 +373,12 @@ def replace_personal_data(docs: DataFrame, key: bytes, text_col: str = "text", c
             yield pa.RecordBatch.from_pydict({"kept": part.column("kept"), "text_": pa.array(texts, pa.string()), "counts": part.column("counts")})
 
     schema = f"kept {kept_type}, text_ string, counts map<string,bigint>"
-    out = src.mapInArrow(first, schema + ", needs array<struct<kind:string,value:string>>")
+    out = map_arrow(src, first, schema + ", needs array<struct<kind:string,value:string>>")
     if any_odd:
         hard = shared_table(spark, out.where("needs IS NOT NULL").withColumn("place", F.monotonically_increasing_id()), "hard")
         known = (hard.select("place", F.explode("needs").alias("e")).select("place", "e.kind", "e.value").join(odd, ["kind", "value"])
                      .groupBy("place").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("known")))
-        again = hard.join(known, "place", "left").select("kept", "text_", "counts", "known").mapInArrow(second, schema)
+        again = map_arrow(hard.join(known, "place", "left").select("kept", "text_", "counts", "known"), second, schema)
         out = out.where("needs IS NULL").drop("needs").union(again)
     found = [F.col("text_").alias(c) if c == text_col else F.col(f"kept.`{c}`").alias(c) for c in docs.columns]
     return out.select(*found, *([F.col("counts").alias(count_col)] if count_col else []))
