@@ -12,7 +12,7 @@ and decides for every block, in the context of the whole page, whether it is
 main text. The kept blocks, with character references decoded and white space
 turned into single spaces, are joined by one newline.
 
-Training (numpy, one task) uses at most ``TRAIN_PAGES`` pages, chosen by a hash.
+Training (numpy, one task) uses about ``TRAIN_PAGES`` pages, at most twice as many, chosen by a hash.
 Pages carry no labels, so the lessons are made: a page that marks its article
 or main element teaches by its marks, and the same blocks are dressed again in
 other layouts (containers and boilerplate drawn from the lists below), where
@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import map_texts, utf8
+from fleetspark.llm.common import hash_sample, map_arrow, map_texts, utf8
 from fleetspark.llm.gru import Adam, sigmoid, sum_rows
 from fleetspark.llm.hashing import U, Words
 from fleetspark.llm.lstm import lstm_backward, lstm_forward
@@ -340,9 +340,11 @@ class Network:
                 optimizer.step(self.gradients(x, kept, (sigmoid(logit) - y) / np.float32(len(y))))
 
 
-def train(pages: DataFrame, html_col: str = "html") -> Network:
-    """Fit on a bounded sample of pages, chosen by a hash, in one task."""
-    sample = pages.select(utf8(html_col).alias("raw")).where("length(raw) > 0").withColumn("draw", F.xxhash64("raw")).orderBy("draw").limit(TRAIN_PAGES)
+def train(pages: DataFrame, html_col: str = "html", id_cols: list[str] | None = None) -> Network:
+    """Fit on a bounded sample of pages, chosen by a hash of id and page, in one task."""
+    full = pages.where(F.length(html_col) > 0)
+    draw = F.xxhash64(*(id_cols or []), html_col)
+    sample = hash_sample(full.select(draw.alias("draw"), utf8(html_col).alias("raw")), F.col("draw"), TRAIN_PAGES, full.count())
 
     def fit(batches):
         rows = sorted((x for b in batches for x in zip(*(b.column(c).to_pylist() for c in ("draw", "raw")))), key=lambda x: x[0])
@@ -351,7 +353,7 @@ def train(pages: DataFrame, html_col: str = "html") -> Network:
         yield pa.RecordBatch.from_pydict({"name": pa.array(list(net.weights)), "weights": pa.array([v.tobytes() for v in net.weights.values()], pa.binary())})
 
     net = Network()
-    for row in sample.coalesce(1).mapInArrow(fit, "name string, weights binary").collect():
+    for row in map_arrow(sample.repartition(1), fit, "name string, weights binary").collect():
         net.weights[row["name"]] = np.frombuffer(row["weights"], np.float32).reshape(net.weights[row["name"]].shape).copy()
     return net
 
@@ -374,7 +376,7 @@ def main_texts(net: Network, pages: list[str]) -> list[str]:
 
 def extract_text(pages: DataFrame, keep: list[str], html_col: str = "html") -> DataFrame:
     """One row per input row: ``keep`` columns, text, n_chars."""
-    shared = pages.sparkSession.sparkContext.broadcast(train(pages, html_col))
+    shared = pages.sparkSession.sparkContext.broadcast(train(pages, html_col, keep))
     src = pages.select(*[F.col(c) for c in keep], utf8(html_col).alias("raw"))
 
     def step(part: pa.RecordBatch) -> dict:

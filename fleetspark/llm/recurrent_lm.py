@@ -34,13 +34,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import chunks, map_texts, remainder, shared_table, utf8
+from fleetspark.llm.common import chunks, hash_sample, map_arrow, map_texts, remainder, shared_table, utf8
 from fleetspark.llm.gru import Adam, gru_backward, gru_forward, sum_rows
 from fleetspark.llm.hashing import U, Words, mix
 
 VOCABULARY, GROUPS, CLASSES, STATE = 1000, 64, 33, 16
 HEAD = 1 << 19
-STEPS, LANES = 32, 256
+STEPS, LANES, SCORE_LANES = 32, 256, 512
 SEED_TEXTS, SEED_RATE, RATE = 2000, 0.02, 0.004
 #: Tasks that average the weights of all tasks; the driver averages their results.
 AVERAGERS = 8
@@ -80,7 +80,7 @@ def count_tokens(train: DataFrame) -> DataFrame:
                 held = [np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64)]
         yield _counts(held)
 
-    return train.mapInArrow(run, "word long, grp int, c long").groupBy("word").agg(F.first("grp").alias("grp"), F.sum("c").alias("c"))
+    return map_arrow(train, run, "word long, grp int, c long").groupBy("word").agg(F.first("grp").alias("grp"), F.sum("c").alias("c"))
 
 
 def _counts(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -253,7 +253,7 @@ class Network:
     def score(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Natural log probability of each text (its ids end with the end)."""
         sizes = np.diff(bounds)
-        lanes = [(0, k, []) for k in range(min(LANES, len(sizes)))]
+        lanes = [(0, k, []) for k in range(min(SCORE_LANES, len(sizes)))]
         for d in np.argsort(-sizes, kind="stable").tolist():
             load, k, mine = heapq.heappop(lanes)
             mine.append(d)
@@ -313,12 +313,11 @@ def _fit(train: DataFrame, lexicon: Lexicon) -> Network:
     texts = train.count()
     if not texts:
         return net
-    bar = int(min(1.0, SEED_TEXTS / texts) * (1 << 32)) - 1
-    sample = train.where(F.expr(f"(xxhash64(raw) & 4294967295L) <= {bar}L")).coalesce(1)
-    first = sample.mapInArrow(passes(None, SEED_RATE), schema).collect()
+    sample = hash_sample(train, F.xxhash64("raw"), SEED_TEXTS, texts).repartition(1)
+    first = map_arrow(sample, passes(None, SEED_RATE), schema).collect()
     start = np.frombuffer(first[0]["weights"], np.float32) if first else net.flat()
-    trained = train.mapInArrow(passes(start, RATE), schema)
-    rows = trained.repartition(AVERAGERS).mapInArrow(average, schema).collect()
+    trained = map_arrow(train, passes(start, RATE), schema)
+    rows = map_arrow(trained.repartition(AVERAGERS), average, schema).collect()
     weight = sum(r["tokens"] for r in rows)
     net.load(sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) * (r["tokens"] / weight) for r in rows))
     return net

@@ -7,9 +7,9 @@ directions; attention weighs the states; the pooled state gives the logit.
 Windows of ``WIDTH`` words start every ``STRIDE`` words, so they overlap and
 cover the whole text. A document's score is that of its highest window.
 
-Training (numpy, in one task) uses at most ``TRAIN_TOXIC`` toxic and
-``TRAIN_CLEAN`` other labelled rows outside the held-out fold, chosen by a hash
-of the id, and at most ``TRAIN_WINDOWS`` windows of each. A toxic document
+Training (numpy, in one task) uses about ``TRAIN_TOXIC`` toxic and
+``TRAIN_CLEAN`` other labelled rows (at most twice as many) outside the held-out
+fold, chosen by a hash of the id, and at most ``TRAIN_WINDOWS`` windows of each. A toxic document
 teaches through its highest window, a clean one through all its windows.
 
 Defined results: a null, empty or wordless text scores 0; null ids belong to
@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from fleetspark.llm.common import chunks, map_texts, remainder, utf8
+from fleetspark.llm.common import hash_sample, map_arrow, map_texts, remainder, utf8
 from fleetspark.llm.gru import Adam, gru_backward, gru_forward, sigmoid, sum_rows
 from fleetspark.llm.hashing import U, Words, mix
 
@@ -192,8 +192,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Net
     spark = docs.sparkSession
     marks = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max("toxic").alias("toxic"))
     marks = marks.withColumn("draw", F.xxhash64(id_col, F.lit("draw")))
-    picked = marks.where("toxic = 1").orderBy("draw").limit(TRAIN_TOXIC).union(marks.where("toxic <> 1").orderBy("draw").limit(TRAIN_CLEAN))
-    # at most TRAIN_TOXIC + TRAIN_CLEAN ids, so the broadcast is bounded
+    total = {bool(r["bad"]): r["count"] for r in marks.groupBy((F.col("toxic") == 1).alias("bad")).count().collect()}
+    picked = hash_sample(marks.where("toxic = 1"), F.col("draw"), TRAIN_TOXIC, total.get(True, 0)).union(
+        hash_sample(marks.where("toxic <> 1"), F.col("draw"), TRAIN_CLEAN, total.get(False, 0)))
+    # at most twice TRAIN_TOXIC + TRAIN_CLEAN ids, so the broadcast is bounded
     sample = (docs.select(F.col(id_col).alias("picked_id"), utf8(text_col).alias("raw"))
                   .join(F.broadcast(picked.select(F.col(id_col).alias("picked_id"), "toxic", "draw")), "picked_id")
                   .dropDuplicates(["picked_id"]).select("draw", "raw", "toxic"))
@@ -206,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> Net
         yield pa.RecordBatch.from_pydict({"name": pa.array(list(net.weights)), "weights": pa.array([v.tobytes() for v in net.weights.values()], pa.binary())})
 
     net = Network()
-    for row in sample.repartition(1).mapInArrow(fit, "name string, weights binary").collect():
+    for row in map_arrow(sample.repartition(1), fit, "name string, weights binary").collect():
         net.weights[row["name"]] = np.frombuffer(row["weights"], np.float32).reshape(net.weights[row["name"]].shape).copy()
     return net
 
