@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from fleetspark.llm.common import map_texts, sha256, utf8
 
-#: Entries that each of a task's memos holds before it starts anew.
+#: Entries of one generation of a task's memo.
 MEMO_ENTRIES = 150_000
 _NEVER = 1 << 60
 
@@ -45,6 +45,31 @@ def read_ranks(path: str) -> list[bytes]:
     return [found[i] for i in range(len(found))]
 
 
+class Memo:
+    """Bounded memo of two generations: when the young one is full it becomes the old one, and entries
+    of the old one that are asked for move on, so frequent entries stay."""
+
+    def __init__(self, entries: int = MEMO_ENTRIES):
+        self.entries = entries
+        self.clear()
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.entries:
+            self.young, self.old = {}, self.young
+        self.young[key] = value
+
+
 class Vocabulary:
     """Ranks with what the border test needs: for each token its two parts."""
 
@@ -65,8 +90,7 @@ class Vocabulary:
         for i, t in enumerate(tokens):
             self.ends.add_word(t.decode("latin-1"), (i, len(t)))
         self.ends.make_automaton()
-        self.pairs: dict[int, bool] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pairs, self.pieces = Memo(), Memo()
 
     def _merged(self, data: bytes, below: int = _NEVER) -> list[int]:
         """Plain merging with ranks under ``below``: sets up the parts of short tokens."""
@@ -110,9 +134,8 @@ class Vocabulary:
         key = first << 32 | second
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= MEMO_ENTRIES:
-                self.pairs.clear()
-            known = self.pairs[key] = self.compatible(first, second)
+            known = self.compatible(first, second)
+            self.pairs.put(key, known)
         return known
 
 
@@ -206,13 +229,11 @@ class Codec:
             ids = [whole] if whole is not None else PrefixState(v, data).ids()
             known = np.asarray(ids, "<u4").tobytes()
             if len(piece) <= 64:
-                if len(v.pieces) >= MEMO_ENTRIES:
-                    v.pieces.clear()
-                v.pieces[piece] = known
+                v.pieces.put(piece, known)
         return known
 
     def encode(self, text: str) -> bytes:
-        known = self.vocabulary.pieces.get
+        known = self.vocabulary.pieces.young.get  # replaced when the generation changes, then found by piece()
         return b"".join([known(p) or self.piece(p) for p in self.pattern.findall(text)])
 
     def decode(self, ids: bytes) -> bytes:
