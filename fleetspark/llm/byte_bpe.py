@@ -21,7 +21,6 @@ steps, so very long texts and words need no special case.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from fleetspark.llm.common import map_texts, sha256, utf8
 
 #: Entries of one generation of a task's memo.
-MEMO_ENTRIES = 150_000
+MEMO_ENTRIES = 100_000
 _NEVER = 1 << 60
 
 
@@ -147,30 +146,29 @@ class PrefixState:
         if data:
             self.append(data)
 
-    def _token_at(self, end: int, candidates: Iterator[tuple[int, int]]) -> int:
-        v, last = self.vocabulary, self.last
-        for token, n in candidates:
-            before = end - n
-            if before == 0 or (before > 0 and v.fits(last[before - 1], token)):
-                return token
-        raise ValueError("the vocabulary lacks a byte")
-
     def _extend(self, start: int) -> None:
-        """Last tokens of the prefixes that end after ``start`` (those before are known)."""
-        v = self.vocabulary
+        """Last tokens of the prefixes that end after ``start`` (those before are known).
+
+        The automaton reports the tokens that end at a byte; the one that fits the prefix before it is unique."""
+        v, last = self.vocabulary, self.last
+        known, fits = v.pairs.get, v.fits
         reach = max(0, start - v.reach + 1)
-        at, ending = -1, []
-        for end, hit in v.ends.iter(self.data[reach:].decode("latin-1")):
+        done = start
+        for end, (token, n) in v.ends.iter(self.data[reach:].decode("latin-1")):
             end += reach + 1
-            if end <= start:
-                continue
-            if end != at:
-                if ending:
-                    self.last.append(self._token_at(at, ending))
-                at, ending = end, []
-            ending.append(hit)
-        if ending:
-            self.last.append(self._token_at(at, ending))
+            if end == done + 1:
+                before = end - n
+                if before:
+                    key = last[before - 1] << 32 | token
+                    ok = known(key)
+                    if ok is None:
+                        ok = fits(last[before - 1], token)
+                    if not ok:
+                        continue
+                last.append(token)
+                done = end
+        if done != len(self.data):
+            raise ValueError("the vocabulary lacks a byte")
 
     def append(self, more: bytes) -> None:
         start = len(self.data)
@@ -215,10 +213,6 @@ class Codec:
         self.vocabulary = Vocabulary(tokens)
         self.pattern = regex.compile(pattern)
 
-    def forget(self) -> None:
-        self.vocabulary.pairs.clear()
-        self.vocabulary.pieces.clear()
-
     def piece(self, piece: str) -> bytes:
         """Ids of one piece as little-endian unsigned 32-bit integers."""
         v = self.vocabulary
@@ -244,7 +238,7 @@ _CODECS: dict[tuple[int, str], Codec] = {}
 
 
 def _codec(key: int, tokens: list[bytes], pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
+    """One codec per worker process and vocabulary, so that its bounded memos live across tasks."""
     found = _CODECS.get((key, pattern))
     if found is None:
         _CODECS.clear()
@@ -276,4 +270,4 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         return out | ({"ids": pa.array(ids, pa.list_(pa.int32()))} if with_ids else {})
 
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return map_texts(src, step, schema + (", ids array<int>" if with_ids else ""), after=lambda: _codec(key, shared.value, pattern).forget())
+    return map_texts(src, step, schema + (", ids array<int>" if with_ids else ""))

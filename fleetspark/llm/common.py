@@ -71,18 +71,14 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
 
 
 def map_texts(df: DataFrame, step: Callable[[pa.RecordBatch], dict | None], schema: str, text_col: str = "raw",
-              limit: int = CHUNK_BYTES, after: Callable[[], None] = lambda: None) -> DataFrame:
-    """Arrow pass: ``step`` gets bounded batches and returns the columns of ``schema`` as lists or arrays;
-    ``after`` ends a task."""
+              limit: int = CHUNK_BYTES) -> DataFrame:
+    """Arrow pass: ``step`` gets bounded batches and returns the columns of ``schema`` as lists or arrays."""
 
     def run(batches):
-        try:
-            for part in chunks(batches, text_col, limit):
-                out = step(part)
-                if out is not None:
-                    yield pa.RecordBatch.from_pydict(out)
-        finally:
-            after()
+        for part in chunks(batches, text_col, limit):
+            out = step(part)
+            if out is not None:
+                yield pa.RecordBatch.from_pydict(out)
 
     return map_arrow(df, run, schema)
 
