@@ -2,7 +2,9 @@
 
 Detected: e-mail addresses, phone numbers, IPv4 addresses, payment card numbers
 (Luhn holds), IBANs (mod 97 holds), US social security numbers, and persons
-named after a title or by a known given name.
+named after a title, by a known given name and a surname, or after a cue such as
+"my name is". Every other bare mention, in the same text, of a name so found is
+replaced by the same surrogate.
 
 A surrogate is a keyed permutation within the entity's own format: the symbols
 that may change (digits, letters; vowels and consonants apart for names) form a
@@ -30,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable
 from math import isqrt
@@ -48,15 +51,49 @@ MEMO = 200_000
 TITLES = {"Mr": "m", "Mister": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f",
           "Mademoiselle": "f", "Mme": "f", "Mlle": "f", "Señora": "f", "Dr": "", "Prof": "", "господин": "m", "госпожа": "f"}
 GIVEN = {
-    ("latin", "m"): "James Robert Michael William Richard Thomas Charles Daniel Matthew Anthony Stefan Klaus Jürgen Wolfgang Pierre François Antoine Carlos Javier Miguel".split(),
-    ("latin", "f"): "Mary Patricia Jennifer Elizabeth Barbara Susan Jessica Margaret Katharina Ursula Monika Sabine Camille Sophie Isabelle Carmen Lucía Beatriz Gabriela Natalia".split(),
-    ("cyrillic", "m"): "Александр Сергей Дмитрий Андрей Алексей Иван Михаил Николай".split(),
-    ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Екатерина Татьяна Ирина".split(),
+    ("latin", "m"): """
+        James Robert Michael William Richard Thomas Charles Daniel Matthew Anthony Stefan Klaus Jürgen Wolfgang Pierre François Antoine
+        Carlos Javier Miguel David John Joseph Christopher Steven Paul Andrew Joshua Kenneth Kevin Brian George Timothy Ronald Edward
+        Jason Jeffrey Ryan Jacob Gary Nicholas Eric Jonathan Stephen Larry Justin Scott Brandon Benjamin Samuel Gregory Alexander Patrick
+        Raymond Dennis Jerry Tyler Aaron Adam Nathan Henry Douglas Zachary Peter Kyle Noah Ethan Jeremy Walter Christian Keith Roger Terry
+        Austin Sean Gerald Carl Dylan Harold Jordan Jesse Bryan Lawrence Arthur Gabriel Bruce Logan Albert Willie Alan Juan Wayne Elijah
+        Randy Roy Vincent Ralph Eugene Russell Bobby Philip Louis Liam Oliver Lucas Oscar Leo Simon Martin Mohammed Muhammad Ahmed Ali
+        Omar Hassan Ibrahim Yusuf Hans Günter Heinz Horst Dieter Uwe Bernd Jörg Matthias Andreas Markus Tobias Sebastian Florian Lukas
+        Jonas Felix Maximilian Friedrich Heinrich Johann Karl Ludwig Otto Rainer Manfred Helmut Jean Jacques Michel Philippe Alain Nicolas
+        Julien Laurent Olivier Pascal Thierry Christophe Guillaume Mathieu Étienne René Luc Marcel Henri Gérard José Antonio Manuel
+        Francisco Luis Pedro Jesús Alejandro Fernando Sergio Pablo Jorge Alberto Rafael Diego Andrés Ángel Raúl Enrique Ramón Vicente
+        Álvaro Ignacio Eduardo Roberto Ricardo Giovanni Marco Luca Giuseppe Francesco Paolo Mario Andrzej Piotr Krzysztof Tomasz Jan Pavel
+        Jiří Petr Ivan Sergei Dmitri Vladimir Alexei Mikhail Nikolai Boris Igor Oleg Yuri Lars Erik Anders Sven Björn Mehmet Mustafa
+        Rajesh Rahul Amit Sanjay Vijay Arjun Hiroshi Kenji Takashi Wei""".split(),
+    ("latin", "f"): """
+        Mary Patricia Jennifer Elizabeth Barbara Susan Jessica Margaret Katharina Ursula Monika Sabine Camille Sophie Isabelle Carmen
+        Lucía Beatriz Gabriela Natalia Anna Emma Linda Sarah Karen Lisa Nancy Betty Sandra Ashley Kimberly Emily Donna Michelle Carol
+        Amanda Melissa Deborah Stephanie Rebecca Sharon Laura Cynthia Dorothy Amy Kathleen Angela Shirley Brenda Pamela Nicole Katherine
+        Samantha Christine Helen Debra Rachel Carolyn Janet Maria Catherine Heather Diane Olivia Julie Joyce Victoria Kelly Christina
+        Lauren Joan Evelyn Judith Megan Cheryl Andrea Hannah Jacqueline Martha Gloria Teresa Ann Sara Madison Frances Kathryn Janice
+        Abigail Alice Julia Judy Sophia Denise Amber Doris Marilyn Danielle Beverly Isabella Theresa Diana Brittany Charlotte Marie Kayla
+        Alexis Lori Ava Mia Amelia Ella Zoe Chloe Lucy Eva Nora Clara Jane Anne Fatima Aisha Maryam Zainab Layla Petra Renate Ingrid Helga
+        Gisela Brigitte Karin Heike Birgit Anja Silke Claudia Susanne Angelika Katrin Johanna Lena Greta Frieda Hildegard Françoise
+        Monique Nathalie Sylvie Valérie Céline Aurélie Élodie Chantal Dominique Hélène Geneviève Margaux Manon Inès Léa Chloé Zoé Amélie
+        María Josefa Isabel Dolores Pilar Ana Cristina Marta Francisca Antonia Mercedes Rosario Elena Raquel Rocío Paula Alba Inés Sofía
+        Valentina Camila Daniela Giulia Francesca Chiara Alessandra Katarzyna Agnieszka Małgorzata Ewa Jana Olga Tatiana Svetlana Irina
+        Ekaterina Natasha Ludmila Galina Nadia Astrid Freja Elif Ayşe Priya Anjali Deepa Sunita Yuki Sakura Mei""".split(),
+    ("cyrillic", "m"): """
+        Александр Сергей Дмитрий Андрей Алексей Иван Михаил Николай Владимир Пётр Петр Павел Евгений Максим Артём Артем Олег Игорь Юрий
+        Виктор Василий Борис Григорий Константин Роман Денис Антон Илья Кирилл Никита Егор Фёдор Федор Станислав Вячеслав Леонид Тарас
+        Богдан""".split(),
+    ("cyrillic", "f"): """
+        Анна Мария Елена Ольга Наталья Екатерина Татьяна Ирина Светлана Юлия Анастасия Людмила Галина Валентина Нина Дарья Ксения Полина
+        Виктория Александра Евгения Надежда Тамара Лариса Софья София Алина Вера Оксана Марина""".split(),
 }
 _GENDER = {name: key for key, names in GIVEN.items() for name in names}
 
 _NAME = r"[^\W\d_]*[a-zà-öø-ÿа-яё]"
 _UPPER = r"[A-ZÀ-ÖØ-ÞА-ЯЁ]"
+_WORD = re.compile(rf"(?<!\w){_UPPER}{_NAME}(?!\w)")
+#: Words that a person's name follows.
+CUES = ("my name is ", "My name is ", "ich heiße ", "Ich heiße ", "mein Name ist ", "Mein Name ist ", "je m'appelle ", "Je m'appelle ",
+        "me llamo ", "Me llamo ", "mi nombre es ", "Mi nombre es ", "меня зовут ", "Меня зовут ")
 PATTERNS: dict[str, re.Pattern] = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
@@ -64,7 +101,8 @@ PATTERNS: dict[str, re.Pattern] = {
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
     "ipv4": re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"),
     "phone": re.compile(r"(?<!\w)(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"),
-    "person": re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? +{_UPPER}{_NAME}(?: +{_UPPER}{_NAME})?|(?:{'|'.join(_GENDER)}) +{_UPPER}{_NAME})(?!\w)"),
+    "person": re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? +{_UPPER}{_NAME}(?: +{_UPPER}{_NAME})?|(?={_UPPER})(?:{'|'.join(_GENDER)}) +{_UPPER}{_NAME}"
+                         rf"|(?={_UPPER})(?:{'|'.join(f'(?<={cue})' for cue in CUES)}){_UPPER}{_NAME}(?: +{_UPPER}{_NAME})?)(?!\w)"),
 }
 KINDS = tuple(PATTERNS)
 
@@ -157,6 +195,8 @@ def entity_values(kind: str, mention: str) -> list[tuple[str, str]]:
         return [("email", mention.lower())]
     if kind == "person":
         return [(part, text) for part, text in _person_parts(mention) if part]
+    if kind not in PATTERNS:  # a bare part of a name
+        return [(kind, mention)]
     if kind == "iban":
         value = mention.replace(" ", "")
         return [("iban", value)] if 15 <= len(value) <= 34 and _mod97(value) == 1 else []
@@ -220,7 +260,7 @@ def dress(kind: str, mention: str, replace: Callable[[str, str], str]) -> str:
     new = replace(kind, value)
     if kind == "email":
         return "".join(n.upper() if c.isupper() else n for c, n in zip(mention, new)) if len(new) == len(mention) else new
-    if kind == "ipv4":
+    if kind == "ipv4" or kind not in PATTERNS:
         return new
     symbols = iter(new.lstrip("+"))
     keep = "+" if kind == "phone" else ""
@@ -228,7 +268,9 @@ def dress(kind: str, mention: str, replace: Callable[[str, str], str]) -> str:
 
 
 def mentions(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, kind) of the mentions, leftmost first, without overlaps (kinds in their order win)."""
+    """(start, end, kind) of the mentions, leftmost first, without overlaps (kinds in their order win).
+
+    A bare part of a person's name has the part's kind."""
     digits = any(map(text.__contains__, _DIGIT))
     found = []
     for rank, (kind, pattern) in enumerate(PATTERNS.items()):
@@ -242,7 +284,26 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
         if start >= over:
             out.append((start, end, kind))
             over = end
-    return out
+    return _with_bare_names(text, out)
+
+
+def _with_bare_names(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The spans and, between them, every bare mention of a name that a person among them has."""
+    names = {}
+    for start, end, kind in spans:
+        if kind == "person":
+            for part, word in _person_parts(text[start:end]):
+                if part:
+                    names.setdefault(word, part)
+    if not names:
+        return spans
+    starts, more = [start for start, _, _ in spans], []
+    for m in _WORD.finditer(text):
+        if m[0] in names:
+            i = bisect_right(starts, m.start())
+            if (i == 0 or spans[i - 1][1] <= m.start()) and (i == len(spans) or m.end() <= starts[i]):
+                more.append((m.start(), m.end(), names[m[0]]))
+    return sorted(spans + more)
 
 
 def rewrite(text: str, spans: list[tuple[int, int, str]], replace: Callable[[str, str], str]) -> str:
@@ -359,7 +420,7 @@ def replace_personal_data(docs: DataFrame, key: bytes, text_col: str = "text", c
                 hard = any_odd and own and shared.value.has(np.array([_entity_key(*e) for e in own], np.uint64)).any()
                 needs.append([{"kind": k, "value": v} for k, v in dict.fromkeys(own)] if hard else None)
                 texts.append(text if hard or not spans else rewrite(text, spans, keyed))
-                counts.append(list(Counter(kind for _, _, kind in spans).items()))
+                counts.append(list(Counter(kind if kind in PATTERNS else "person" for _, _, kind in spans).items()))
             yield pa.RecordBatch.from_pydict({"kept": part.column("kept"), "text_": pa.array(texts, pa.string()),
                                               "counts": pa.array(counts, pa.map_(pa.string(), pa.int64())), "needs": pa.array(needs, pa.list_(_ENTITY))})
 

@@ -36,6 +36,16 @@ def test_names_keep_gender_and_script():
     assert m[4] == m[7] and re.fullmatch("[А-Я][а-я]+", m[6]) and m[6] != "Петров"
 
 
+def test_ordinary_and_bare_names():
+    text = "Novak first. Mr Bogdan Novak met David Miller, Emma Jones and Anna Weber; Novak's friend Miller and Bogdan left Emma. My name is Xaver Quill."
+    out = rewritten(text)
+    for old in ("Novak", "Bogdan", "Miller", "Jones", "Weber", "Quill", "Xaver"):
+        assert old not in out
+    m = re.match(r"(\w+) first\. Mr (\w+) (\w+) met (\w+) (\w+), (\w+) \w+ and \w+ \w+; (\w+)'s friend (\w+) and (\w+) left (\w+)\.", out).groups()
+    assert m[0] == m[2] == m[6] and m[1] == m[8] and m[4] == m[7] and m[5] == m[9]
+    assert sg.dress("surname", "Novak", sg.Keyed(KEY)) == m[0]
+
+
 def test_plain_text_stays():
     for text in ("version 1.2.3.4.5 and 300.1.1.1 and 01.2.3.4", "call 12345 or 4417744280351548", "a @ b, x@y, 1-2-3", "Mary had; Mr x"):
         assert rewritten(text) == text
