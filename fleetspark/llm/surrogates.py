@@ -11,7 +11,7 @@ that may change (digits, letters; vowels and consonants apart for names) form a
 number in a mixed radix, a Feistel network under the key permutes the numbers
 of that format, and the rest (punctuation, country codes, top-level domains,
 titles, case) stays. Check digits are computed anew. Given names are permuted
-within the list of their gender and script. As each format is permuted,
+in one keyed cycle within the list of their gender and script, so each one changes. As each format is permuted,
 different entities get different surrogates, and every mention of an entity,
 in any punctuation and in any document, gets the same one.
 
@@ -35,6 +35,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable
+from functools import lru_cache
 from math import isqrt
 
 import numpy as np
@@ -213,6 +214,12 @@ def _country(value: str) -> int:
     return 0 if value[0] != "+" else 2 if value[1] in "17" else 3
 
 
+@lru_cache(maxsize=64)
+def _given_order(group: tuple[str, str], key: bytes, tweak: str) -> list[str]:
+    """The names of a list in a keyed order; each name's surrogate is the next one, so none stays."""
+    return sorted(GIVEN[group], key=lambda name: hashlib.blake2b(f"{tweak}|{name}".encode(), key=key).digest())
+
+
 def surrogate(kind: str, value: str, key: bytes, draw: int = 0) -> str:
     """Surrogate of an entity's normal form, in normal form."""
     tweak = f"{kind}|{draw}"
@@ -236,8 +243,8 @@ def surrogate(kind: str, value: str, key: bytes, draw: int = 0) -> str:
     if kind == "ssn":
         return scramble(value, _DIGIT_SETS, key, tweak)
     if kind == "given":
-        names = GIVEN[_GENDER[value]]
-        return names[permute(names.index(value), len(names), key, f"{tweak}|{names[0]}")]
+        order = _given_order(_GENDER[value], key, tweak)
+        return order[(order.index(value) + 1) % len(order)]
     return scramble(value.translate(_PLAIN) if _script(value) == "latin" else value, _NAME_SETS, key, f"{tweak}|{_script(value)}")
 
 

@@ -57,6 +57,14 @@ def test_permutations():
     assert len({sg.surrogate("ssn", f"{i:03d}000000", KEY) for i in range(1000)}) == 1000
 
 
+def test_every_given_name_changes():
+    for key in (KEY, b"registered query"):
+        for names in sg.GIVEN.values():
+            drawn = [sg.surrogate("given", name, key) for name in names]
+            assert sorted(drawn) == sorted(names) and all(a != b for a, b in zip(drawn, names))
+    assert len(set().union(*sg.GIVEN.values())) == sum(map(len, sg.GIVEN.values()))
+
+
 def test_collision_checks(spark):
     # a format of 26 addresses, of which 13 and then all occur: none may become another that occurs, and all stay distinct
     for letters in (string.ascii_lowercase[:13], string.ascii_lowercase):
