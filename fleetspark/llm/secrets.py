@@ -9,7 +9,8 @@ carry a checksum or a checkable structure are kept only if it holds:
 * ``github``, ``npm``: the last six characters are the base-62 CRC-32 of the
   thirty characters after the prefix;
 * ``jwt``: the first two parts are base64url JSON objects, the first with ``alg``;
-* ``pem``: the body between the markers is base64 and starts with a DER sequence.
+* ``pem``: the body between the markers, after any header lines, is base64 and starts with a DER sequence
+  or, in an OPENSSH key, with OpenSSH's magic; a body that its headers call encrypted is whole cipher blocks.
 
 Defined results: a null text counts as empty (no spans, the digest of the empty
 string); repeated rows give repeated results; other columns are ignored, so
@@ -39,7 +40,11 @@ ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]+")
 CHECKED = re.compile(rb"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
-PEM = re.compile(rb"-----BEGIN ([A-Z0-9]+ )*PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END ")
+PEM = re.compile(rb"-----BEGIN ([A-Z0-9]+ )*PRIVATE KEY-----[ \t]*+\r?+\n?+"
+                 rb"((?:[A-Za-z0-9-]++:[^\r\n]*+\r?+\n(?:[ \t][^\r\n]*+\r?+\n)*+)*+)([A-Za-z0-9+/=\s]++)-----END ")
+ENCRYPTED = re.compile(rb"^Proc-Type:[ \t]*4,[ \t]*ENCRYPTED\b.*^DEK-Info:", re.MULTILINE | re.DOTALL)
+OPENSSH_MAGIC = b"openssh-key-v1\0"
+CIPHER_BLOCK = 8
 
 KEYWORDS = {
     "password": "assign", "passwd": "assign", "secret": "assign", "token": "assign", "api_key": "assign",
@@ -95,10 +100,12 @@ def _checked(kind: str, raw: bytes, at: int) -> int | None:
     if not m:
         return None
     try:
-        body = base64.b64decode(b"".join(m[2].split()), validate=True)
+        body = base64.b64decode(b"".join(m[3].split()), validate=True)
     except (binascii.Error, ValueError):
         return None
-    return m.end() if body[:1] == b"\x30" else None
+    if ENCRYPTED.search(m[2]):
+        return m.end() if body and len(body) % CIPHER_BLOCK == 0 else None
+    return m.end() if body[:1] == b"\x30" or m[1] == b"OPENSSH " and body.startswith(OPENSSH_MAGIC) else None
 
 
 def byte_spans(raw: bytes) -> list[tuple[int, int, str]]:

@@ -47,6 +47,17 @@ def test_checksums_and_structure():
     assert kinds(pem.replace("MII", "AII").replace("MI", "AA")) == []
 
 
+def test_openssh_keys_and_pem_headers():
+    kinds = lambda t: [k for k, _, _ in secrets.code_point_spans(t.encode())]
+    pem = lambda label, body, head="": f"-----BEGIN {label}PRIVATE KEY-----\n{head}{base64.encodebytes(body).decode()}-----END {label}PRIVATE KEY-----"
+    openssh, der, cipher = b"openssh-key-v1\0" + b"k" * 80, b"\x30\x82" + b"k" * 60, b"\x99" * 64
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABB\n\n"
+    assert kinds(pem("OPENSSH ", openssh)) == kinds(pem("RSA ", cipher, head)) == kinds(pem("", der, "Comment: x, y\n\n")) == ["pem"]
+    assert kinds(pem("RSA ", cipher, head.replace("\n", "\r\n"))) == kinds(pem("RSA ", der)) == ["pem"]
+    for odd in (pem("RSA ", openssh), pem("OPENSSH ", b"openssh-key-v2\0"), pem("RSA ", cipher), pem("RSA ", cipher[1:], head), pem("RSA ", cipher, "Comment: x\n\n")):
+        assert kinds(odd) == []
+
+
 def test_operator_on_odd_rows(spark):
     rows = ODD_ROWS + [(9, 'ok token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"', "x")]
     got = data(secrets.scan_secrets(frame(spark, rows)), "doc_id", "base_sha256", "n_assign", "n_hex")
