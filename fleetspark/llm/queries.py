@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetspark.llm import byte_bpe, chosen_path, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, surrogates, toxicity
+from fleetspark.llm import byte_bpe, chosen_path, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, surrogates, token_counts, toxicity
 from fleetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op12_token_counts")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tok
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tok.path("byte_bpe_50k.json"))
+
+
 SQL["op10_decontaminate"] = r"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id,
