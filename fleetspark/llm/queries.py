@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetspark.llm import byte_bpe, chosen_path, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, surrogates, token_counts, toxicity
+from fleetspark.llm import byte_bpe, chosen_path, conversation_repair, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, surrogates, token_counts, toxicity
 from fleetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,12 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tok.path("byte_bpe_50k.json"))
 
 
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = conversation_repair.Repair(conversation_repair.damage(table(spark, sf_dir, "conversations"))).summary
+    return found.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 SQL["op10_decontaminate"] = r"""
 WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id,
@@ -115,3 +121,73 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN word USING (r) LEFT JOIN names USING (r)
 """
+
+
+def _repair_sql() -> str:
+    """Plain forward dynamic programming, one row of every conversation per step; a way is [cost and audit, repaired text]."""
+    def way(state: str, cost: str, letter: str, turn: str = "''") -> str:
+        return (f"CASE WHEN {state} IS NOT NULL THEN [printf('%09d', CAST(left({state}[1], 9) AS BIGINT) + {cost}) || substr({state}[1], 10) "
+                f"|| '{letter}', {state}[2] || {turn}] END")
+
+    def least(*ways: str) -> str:
+        return f"list_min(list_filter([{', '.join(ways)}], lambda x : x IS NOT NULL))"
+
+    line = "chr(10) || {} || ':' || {}"
+    user, assistant = line.format("'user'", "''"), line.format("'assistant'", "''")
+    text = "w.text"
+    keep, rerole_u, rerole_a = (line.format(r, text) for r in ("w.role", "'user'", "'assistant'"))
+    more = "(CASE WHEN w.kind = 'truncated' THEN 3 ELSE 0 END)"
+    stays = "w.kind IN ('fine', 'truncated')"
+
+    def row(state: str, sources: list[str], initial: str, rerole: str | None) -> str:
+        kept = [f"CASE WHEN {stays} AND left(w.role, 1) = '{initial}' THEN {way(s, more, 'K', keep)} END" for s in sources]
+        again = [f"CASE WHEN {stays} THEN {way(s, f'(3 + {more})', 'R', rerole)} END" for s in sources] if rerole else []
+        return least(way(state, "4", "D"), *kept, *again)
+
+    inserted = lambda tail: (
+        f"SELECT conv, i, n0, ns, nu2, {least('na', way('nu2', '3', 'I', assistant))} AS na2 FROM ("
+        f"SELECT *, {least('nu', way('n0', '3', 'I', user), way('ns', '3', 'I', user), way('na', '3', 'I', user))} AS nu2 FROM ({tail}))")
+    step = (f"SELECT p.conv, p.i + 1 AS i, {way('p.n0', '4', 'D')} AS n0, {row('p.ns', ['p.n0'], 's', None)} AS ns, "
+            f"{row('p.nu', ['p.n0', 'p.ns', 'p.na'], 'u', rerole_u)} AS nu, {row('p.na', ['p.nu'], 'a', rerole_a)} AS na "
+            "FROM path p JOIN conv_rows w ON w.conv = p.conv AND w.i = p.i + 1")
+    return rf"""
+WITH RECURSIVE crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b : CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x : CAST(ord(x) AS BIGINT)) AS key
+  FROM conversations),
+fated AS (
+  SELECT conv_id, turn, role, text,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), key), lambda c, b : xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fate
+  FROM keyed, crc_table),
+convs AS (SELECT row_number() OVER () AS conv, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+damaged AS (
+  SELECT conv, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM fated JOIN convs ON convs.conv_id IS NOT DISTINCT FROM fated.conv_id WHERE fate <> 0),
+conv_rows AS (
+  SELECT conv, turn, role, text, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
+              WHEN regexp_matches(text, '[.!?][ 	-]*\z') THEN 'fine' ELSE 'truncated' END AS kind
+  FROM damaged),
+faults AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'blank') AS blank,
+         count(*) FILTER (kind = 'duplicate') AS duplicate, count(*) FILTER (kind = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM (SELECT *, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) || left(role, 1) AS pair FROM conv_rows) GROUP BY conv),
+path(conv, i, n0, ns, nu, na) AS (
+  {inserted("SELECT conv, CAST(0 AS BIGINT) AS i, ['000000000', ''] AS n0, CAST(NULL AS VARCHAR[]) AS ns, CAST(NULL AS VARCHAR[]) AS nu, CAST(NULL AS VARCHAR[]) AS na FROM convs")}
+  UNION ALL
+  {inserted(step)}),
+ends AS (SELECT conv, i, {least('n0', 'na')} AS best FROM path)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(left(best[1], 9) AS BIGINT) AS cost, substr(best[1], 10) AS audit, sha256(substr(best[2], 2)) AS repaired_sha256
+FROM convs LEFT JOIN faults USING (conv) JOIN ends ON ends.conv = convs.conv AND ends.i = coalesce(n, 0)
+"""
+
+
+SQL["op13_conversation_repair"] = _repair_sql()
