@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetspark.llm import byte_bpe, chosen_path, conversation_repair, decontaminate, html_text, quality, recurrent_lm, secrets, substrings, surrogates, token_counts, toxicity
+from fleetspark.llm import byte_bpe, chosen_path, conversation_repair, decontaminate, html_text, quality, ranked_search, recurrent_lm, secrets, substrings, surrogates, token_counts, toxicity
 from fleetspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,6 +81,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query("op11_ranked_search")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 @query("op12_token_counts")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tok
@@ -123,6 +129,31 @@ FROM doc LEFT JOIN word USING (r) LEFT JOIN names USING (r)
 """
 
 
+SQL["op11_ranked_search"] = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents),
+total AS (SELECT count(*) FILTER (len(t) > 0) AS docs, CAST(sum(len(t)) AS BIGINT) AS terms FROM doc),
+item AS (
+  SELECT row_number() OVER () AS q, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM benchmark),
+asked AS (SELECT q, item_id, unnest(t) AS term FROM item),
+occurs AS (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM doc),
+posting AS (SELECT r, doc_id, n, term, count(*) AS tf FROM occurs WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+           FROM (SELECT term, count(*) AS df FROM posting GROUP BY term), total),
+scored AS (
+  SELECT q, item_id, r, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM asked JOIN posting USING (term) JOIN weight USING (term), total GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id, r) AS rank FROM scored WHERE score > 0) WHERE rank <= 10
+"""
+
+
 def _repair_sql() -> str:
     """Plain forward dynamic programming, one row of every conversation per step; a way is [cost and audit, repaired text]."""
     def way(state: str, cost: str, letter: str, turn: str = "''") -> str:
@@ -170,9 +201,11 @@ damaged AS (
   FROM fated JOIN convs ON convs.conv_id IS NOT DISTINCT FROM fated.conv_id WHERE fate <> 0),
 conv_rows AS (
   SELECT conv, turn, role, text, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text, copy) AS i,
-         CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+         CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
               WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
-              WHEN regexp_matches(text, '[.!?][ 	-]*\z') THEN 'fine' ELSE 'truncated' END AS kind
+              WHEN regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'fine' ELSE 'truncated' END AS kind
   FROM damaged),
 faults AS (
   SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (kind = 'blank') AS blank,
