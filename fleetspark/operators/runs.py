@@ -25,22 +25,25 @@ def time_chunk(ts, width_seconds: int) -> Column:
     return F.floor(epoch_seconds(ts) / F.lit(width_seconds)).cast("long")
 
 
-def _numbered_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, starts_run, group: Sequence[str],
-                   first: str, last: str, out: str) -> DataFrame:
-    """One row per run and chunk it touches: keys, ``group``, ``out`` (1-based run number), start, end, rows.
+def chunk_runs(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, starts_run, group: Sequence[str]) -> DataFrame:
+    """Runs inside each (key, chunk): keys, ``_chunk``, ``_local`` (0-based), ``group``, start, end, rows.
 
-    A row opens a run when it is the first of its key or ``starts_run(previous value, value)`` holds. The
-    rows are shuffled once, by (key, chunk): a window numbers the runs inside the chunk, and the rows are
-    reduced to runs there. The number of runs before a chunk comes from a summary of these reduced rows,
-    scanned per key. ``first`` and ``last`` name the reduced columns that hold a run's first and last
-    value. NULL keys are a group of their own, hence the null-safe join.
-    """
-    keys, ts = list(keys), order[0]
+    A row opens a run when ``starts_run(previous value, value)`` holds. The rows are shuffled once, by (key, chunk)."""
+    ts = order[0]
     w = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     r = df.withColumn("_rn", F.row_number().over(w)).withColumn("_prev", F.lag(value).over(w))
     r = r.withColumn("_flag", ((F.col("_rn") > 1) & starts_run(F.col("_prev"), F.col(value))).cast("long"))
     r = r.withColumn("_local", F.sum("_flag").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    part = r.groupBy(*keys, "_chunk", "_local", *group).agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("rows"))
+    return r.groupBy(*keys, "_chunk", "_local", *group).agg(F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("rows"))
+
+
+def number_runs(part: DataFrame, keys: Sequence[str], starts_run, group: Sequence[str], first: str, last: str, out: str) -> DataFrame:
+    """One row per run and chunk it touches: keys, ``group``, ``out`` (1-based run number), start, end, rows.
+
+    The number of runs before a chunk comes from a summary of the reduced rows, scanned per key. ``first`` and
+    ``last`` name the columns that hold a run's first and last value. NULL keys are a group of their
+    own, hence the null-safe join."""
+    keys = list(keys)
     wc = Window.partitionBy(*keys).orderBy("_chunk")
     summary = (part.groupBy(*keys, "_chunk")
                .agg(F.min_by(first, "_local").alias("_first"), F.max_by(last, "_local").alias("_last"), F.max("_local").alias("_n"))
@@ -66,9 +69,23 @@ def state_intervals(df: DataFrame, keys: Sequence[str], ts: str, state: str,
     A NULL state compares as a value of its own.
     """
     d = df.select(*keys, ts, tiebreak, F.col(state).alias("_state")).withColumn("_chunk", time_chunk(ts, chunk_seconds))
+    return intervals_of(chunk_intervals(d, keys, [ts, tiebreak]), keys)
+
+
+def _differs(prev: Column, cur: Column) -> Column:
+    return ~prev.eqNullSafe(cur)
+
+
+def chunk_intervals(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """State intervals inside each (key, ``_chunk``) of rows with a ``_state``; ``intervals_of`` joins them at the borders."""
     # every row of a run has the same state, so it is a grouping key and the buffers stay fixed-width
-    parts = _numbered_runs(d, keys, [ts, tiebreak], "_state", lambda prev, cur: ~prev.eqNullSafe(cur), ["_state"], "_state", "_state", "run")
-    return _merged(parts, [*keys, "run", F.col("_state").alias("state")])
+    return chunk_runs(rows, keys, order, "_state", _differs, ["_state"])
+
+
+def intervals_of(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """W7 result from the intervals of the chunks."""
+    numbered = number_runs(parts, keys, _differs, ["_state"], "_state", "_state", "run")
+    return _merged(numbered, [*keys, "run", F.col("_state").alias("state")])
 
 
 def gap_segments(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, max_gap: str = "10 minutes",
@@ -79,5 +96,16 @@ def gap_segments(df: DataFrame, keys: Sequence[str], ts: str, tiebreak: str, max
     """
     gap_s = F.expr(f"INTERVAL '{max_gap}'")
     d = df.select(*keys, ts, tiebreak).withColumn("_chunk", time_chunk(ts, chunk_seconds))
-    parts = _numbered_runs(d, keys, [ts, tiebreak], ts, lambda prev, cur: (cur - prev) > gap_s, [], "start", "end", "segment")
+    far = lambda prev, cur: (cur - prev) > gap_s
+    parts = number_runs(chunk_runs(d, keys, [ts, tiebreak], ts, far, []), keys, far, [], "start", "end", "segment")
     return _merged(parts, [*keys, "segment"])
+
+
+def join_segments(segments: DataFrame, keys: Sequence[str], max_gap: str) -> DataFrame:
+    """Segments (keys, start, end, rows) of disjoint sets of rows as the segments of all rows: what overlaps or
+    lies within ``max_gap`` becomes one. Associative and commutative, so it may be applied to any grouping of batches."""
+    w = Window.partitionBy(*keys).orderBy("start", "end")
+    reach = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = reach.isNull() | ((F.col("start") - reach) > F.expr(f"INTERVAL '{max_gap}'"))
+    numbered = segments.withColumn("_opens", opens.cast("long")).withColumn("segment", F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return _merged(numbered, [*keys, "segment"])

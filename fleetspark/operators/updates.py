@@ -97,43 +97,42 @@ def parse_update_messages(msgs: DataFrame, seq: str = "seq") -> DataFrame:
         rejected.alias("rejected"))
 
 
-def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 86400) -> DataFrame:
-    """One row per (device, attempt) in the state the message log leaves it.
+#: What a message can change, as the fold reads it.
+EFFECT = ("is_insert", "fw", "new_status", "sets_pct", "pct", "is_result", "error")
+_STATES = ("fw", "st", "pct", "err", "start", "done")
 
-    Input: device_id, kind (status|progress|result), received_at, seq, payload.
-    Messages before a device's first insert and rejected messages change nothing.
 
-    One window pass per (device, time chunk) numbers the inserts locally; rows
-    are then reduced per (device, chunk, local attempt) into order-keyed
-    partial states. Inserts before each chunk come from the partial states too, and
-    so does the merge of attempts that span chunks: the messages are read and
-    shuffled once and no device has to fit in one task.
-    """
+def message_effects(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 86400) -> DataFrame:
+    """Accepted messages as their effects: device_id, ``_chunk`` (time chunk), received_at, ``seq`` and EFFECT."""
     p = parse_update_messages(msgs, seq).where(~F.col("rejected"))
-    p = p.withColumn("_chunk", time_chunk("received_at", chunk_seconds))
+    return p.select("device_id", time_chunk("received_at", chunk_seconds).alias("_chunk"), "received_at", seq, *EFFECT)
+
+
+def attempt_parts(effects: DataFrame, seq: str = "seq") -> DataFrame:
+    """Order-keyed partial states per (device, chunk, attempt counted inside the chunk; 0: before its first insert).
+
+    The rows of a chunk must be complete; parts of different chunks merge in any order (``merge_attempts``)."""
     w = (Window.partitionBy("device_id", "_chunk").orderBy("received_at", seq)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    p = p.withColumn("_local", F.sum(F.col("is_insert").cast("long")).over(w))
+    p = effects.withColumn("_local", F.sum(F.col("is_insert").cast("long")).over(w))
     order = F.struct(F.col("received_at").alias("t"), F.col(seq).alias("s"))
 
     def newest(value: str, cond=None):
         st = F.struct(order.alias("o"), F.col(value).alias("v"))
         return F.max(F.when(cond, st) if cond is not None else st)
 
-    states = {
-        "fw": newest("fw", F.col("is_insert")),
-        "st": newest("new_status"),
-        "pct": newest("pct", F.col("sets_pct")),
-        "err": newest("error", F.col("is_result")),
-        "start": newest("received_at", F.col("is_insert")),
-        "done": newest("received_at", F.col("is_result")),
-    }
-    part = p.groupBy("device_id", "_chunk", "_local").agg(
-        *[e.alias(n) for n, e in states.items()], F.max("received_at").alias("rep"), F.count(F.lit(1)).alias("n"))
-    # inserts before each chunk: the highest local attempt of each chunk, then a running
-    # sum over the (few) chunks of each device; _same makes this branch read the columns of the
-    # other one, so that Spark shuffles the messages once and both branches reuse the exchange
-    every = [*states, "rep", "n"]
+    states = (newest("fw", F.col("is_insert")), newest("new_status"), newest("pct", F.col("sets_pct")), newest("error", F.col("is_result")),
+              newest("received_at", F.col("is_insert")), newest("received_at", F.col("is_result")))
+    return p.groupBy("device_id", "_chunk", "_local").agg(
+        *[e.alias(n) for n, e in zip(_STATES, states)], F.max("received_at").alias("rep"), F.count(F.lit(1)).alias("n"))
+
+
+def merge_attempts(part: DataFrame) -> DataFrame:
+    """W9 result from the parts of the chunks: inserts before a chunk are a running sum over the (few) chunks of a
+    device, and an attempt that spans chunks takes the newest of its states."""
+    # _same makes this branch read the columns of the other one, so that Spark shuffles
+    # the messages once and both branches reuse the exchange
+    every = [*_STATES, "rep", "n"]
     wc = Window.partitionBy("device_id").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offs = (part.groupBy("device_id", "_chunk").agg(F.max("_local").alias("_ins"), F.max(F.struct(*every)).alias("_same"))
             .select(F.col("device_id").alias("_d"), F.col("_chunk").alias("_c"),
@@ -142,7 +141,7 @@ def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 8640
     g = (part.join(offs, cond, "left").where(F.col("_same").isNotNull()).drop("_d", "_c", "_same")
          .withColumn("attempt", F.col("_off") + F.col("_local")).where(F.col("attempt") > 0))
     merged = g.groupBy("device_id", "attempt").agg(
-        *[F.max(n).alias(n) for n in states], F.max("rep").alias("rep"), F.sum("n").alias("n"))
+        *[F.max(n).alias(n) for n in _STATES], F.max("rep").alias("rep"), F.sum("n").alias("n"))
     return merged.select(
         "device_id", "attempt", F.col("fw.v").alias("firmware_version"), F.col("st.v").alias("status"),
         F.col("pct.v").alias("progress_percent"), F.col("err.v").alias("error_message"),
@@ -150,6 +149,21 @@ def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 8640
         F.col("rep").alias("reported_at"), F.col("n").alias("messages"))
 
 
+def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 86400) -> DataFrame:
+    """One row per (device, attempt) in the state the message log leaves it.
+
+    Input: device_id, kind (status|progress|result), received_at, seq, payload.
+    Messages before a device's first insert and rejected messages change nothing.
+
+    One window pass per (device, time chunk) numbers the inserts locally; rows
+    are then reduced per (device, chunk, local attempt) into order-keyed
+    partial states. Inserts before each chunk come from the partial states too, and
+    so does the merge of attempts that span chunks: the messages are read and
+    shuffled once and no device has to fit in one task.
+    """
+    return merge_attempts(attempt_parts(message_effects(msgs, seq, chunk_seconds), seq))
+
+
 def ota_event_log(msgs: DataFrame, seq: str = "seq") -> DataFrame:
     """Audit events of the message path: update_started per accepted insert,
     update_completed / update_failed per result (logged even with no attempt row)."""

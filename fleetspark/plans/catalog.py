@@ -231,12 +231,15 @@ def q_current_states(t: Telemetry) -> DataFrame:
 
 # ------------------------------------------------------------------ runs
 
+def _heater_states(t: Telemetry) -> DataFrame:
+    return t.measurements.where(has_metric("heater_state")).select(
+        "device_id", "ts", "event_id", metric_text("heater_state").alias("heater_state"))
+
+
 @query("state_intervals")
 def q_state_intervals(t: Telemetry) -> DataFrame:
     """Heater-state runs per device (consecutive equal states merged)."""
-    m = t.measurements.where(has_metric("heater_state")).select(
-        "device_id", "ts", "event_id", metric_text("heater_state").alias("heater_state"))
-    return rn.state_intervals(m, ["device_id"], "ts", "heater_state", "event_id", chunk_seconds=86400)
+    return rn.state_intervals(_heater_states(t), ["device_id"], "ts", "heater_state", "event_id", chunk_seconds=86400)
 
 
 @query("gap_segments")
@@ -789,28 +792,38 @@ def _scratch(t: Telemetry, name: str) -> str:
     return os.path.join(checkpoint_dir(t.spark), "runs", f"{name}-{uuid.uuid4().hex}")
 
 
-def _drop(df: DataFrame, run: str, batches: int = 3) -> DataFrame:
-    """Rows dropped as files of a stream, one micro-batch each; a hash deals them, so that every
-    batch brings late rows and keys that other batches brought too."""
+def _feed(df: DataFrame, run: str, start: Callable, batches: int = 3, name: str = "checkpoint") -> None:
+    """Drop the rows as folders and stream each as one micro-batch; a hash deals them, so that every
+    batch brings late rows and keys that other batches brought too. ``start(stream, checkpoint)`` starts the query."""
     import os
-    drop = os.path.join(run, "drop")
+    drop, spark = os.path.join(run, "drop"), df.sparkSession
     for i in range(batches):
-        part = df.where(F.pmod(F.xxhash64(*df.columns), F.lit(batches)) == i)
-        part.repartition(1).write.parquet(os.path.join(drop, f"part={i}"))
-    return (df.sparkSession.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(drop, "*")))
+        folder = os.path.join(drop, f"part={i}")
+        if not _has(spark, folder):
+            df.where(F.pmod(F.xxhash64(*df.columns), F.lit(batches)) == i).write.parquet(folder)
+        start(spark.readStream.schema(df.schema).parquet(os.path.join(drop, "*")), os.path.join(run, name)).awaitTermination()
+
+
+def _has(spark: SparkSession, path: str) -> bool:
+    from fleetspark.streaming.store import Files
+    return Files(spark, path).exists(path)
 
 
-#: Buckets of the snapshots that the registered streams keep (tables of a few thousand keys).
-STREAM_BUCKETS = 8
+def _stream_buckets(t: Telemetry) -> int:
+    """Buckets of the registered streams' snapshots: as many as the cluster merges at a time."""
+    return max(8, t.spark.sparkContext.defaultParallelism)
 
 
-def _ingested(t: Telemetry, upkeep: bool) -> str:
+def _ingested(t: Telemetry, upkeep: bool, times: int = 1) -> str:
+    """Folder of an ingest of all messages; ``times``: how often the same drop is delivered, each time under a fresh checkpoint."""
     import os
     from fleetspark.streaming.ingest import start_ingest
     run = _scratch(t, "ingest")
-    stream = _drop(t.messages.select("topic", "payload", "received_at", F.col("event_id").alias("seq")), run)
-    start_ingest(stream, os.path.join(run, "out"), os.path.join(run, "checkpoint"), upkeep=upkeep, buckets=STREAM_BUCKETS).awaitTermination()
-    return os.path.join(run, "out")
+    out = os.path.join(run, "out")
+    rows = t.messages.select("topic", "payload", "received_at", F.col("event_id").alias("seq"))
+    for i in range(times):
+        _feed(rows, run, lambda s, ck: start_ingest(s, out, ck, upkeep=upkeep, buckets=_stream_buckets(t)), name=f"checkpoint-{i}")
+    return out
 
 
 @query("stream_ingest")
@@ -824,12 +837,34 @@ def q_stream_ingest(t: Telemetry) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query("stream_ingest_twice")
+def q_stream_ingest_twice(t: Telemetry) -> DataFrame:
+    """ST1, repeated delivery: the same drop ingested twice, the second time under a fresh checkpoint, gives every row once."""
+    import os
+    rows = t.spark.read.parquet(os.path.join(_ingested(t, upkeep=False, times=2), "measurements"))
+    return rows.select("site_id", "system", "device_id", "location", "ts", metric("value").alias("value"), metric("k").alias("k"))
+
+
+@query("stream_edge_status")
+def q_stream_edge_status(t: Telemetry) -> DataFrame:
+    """S4 through ST1: rows of the edge status sink with fields of the kept payload."""
+    import os
+    rows = t.spark.read.parquet(os.path.join(_ingested(t, upkeep=False), "edge_status"))
+    field = lambda k: F.try_element_at("status", F.lit(k))
+    return rows.select("site_id", "device_id", "ts", "received_at", field("device_model").alias("device_model"),
+                       field("firmware_version").alias("firmware_version"), F.size("status").alias("n_fields"))
+
+
 @query("stream_ingest_attempts")
 def q_stream_ingest_attempts(t: Telemetry) -> DataFrame:
-    """ST1 with upkeep, W9: attempts that the ingest stream keeps (same result as the batch path)."""
+    """ST1 + ST4/W9: attempts streamed from the OTA messages of an ingest that got its drop twice (same result as the batch path)."""
     import os
+    from fleetspark.streaming.ingest import attempts_of_ingest
     from fleetspark.streaming.store import read_snapshot
-    return _attempt_columns(read_snapshot(t.spark, os.path.join(_ingested(t, upkeep=True), "update_attempts"), ["device_id"]))
+    out = _ingested(t, upkeep=False, times=2)
+    snapshot = os.path.join(out, "update_attempts")
+    attempts_of_ingest(t.spark, out, snapshot, os.path.join(out, "attempts_checkpoint"), buckets=_stream_buckets(t), chunk_seconds=30 * 86400).awaitTermination()
+    return _attempt_columns(read_snapshot(t.spark, snapshot, ["device_id"]))
 
 
 @query("stream_ingest_registry")
@@ -848,11 +883,35 @@ def q_stream_update_attempts(t: Telemetry) -> DataFrame:
     from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "attempts")
     snapshot = os.path.join(run, "snapshot")
-    update_attempts_stream(_drop(t.ota_messages, run), os.path.join(run, "store"), snapshot, os.path.join(run, "checkpoint"),
-                           buckets=STREAM_BUCKETS).awaitTermination()
+    _feed(t.ota_messages, run, lambda s, ck: update_attempts_stream(s, snapshot, ck, buckets=_stream_buckets(t), chunk_seconds=30 * 86400))
     return read_snapshot(t.spark, snapshot, ["device_id"])
 
 
+@query("stream_state_intervals")
+def q_stream_state_intervals(t: Telemetry) -> DataFrame:
+    """W7 as a stream: heater states in three shuffled batches, late rows included (same result as the batch query)."""
+    import os
+    from fleetspark.streaming.ingest import read_state_intervals, state_intervals_stream
+    run = _scratch(t, "intervals")
+    snapshot = os.path.join(run, "snapshot")
+    _feed(_heater_states(t).select("device_id", "ts", "heater_state", "event_id"), run,
+          lambda s, ck: state_intervals_stream(s, ["device_id"], "ts", "heater_state", "event_id", snapshot, ck, buckets=_stream_buckets(t)))
+    return read_state_intervals(t.spark, snapshot, ["device_id"])
+
+
+@query("stream_gap_segments")
+def q_stream_gap_segments(t: Telemetry) -> DataFrame:
+    """W8 as a stream: segments merged from three shuffled batches (same result as the batch query)."""
+    import os
+    from fleetspark.streaming.ingest import gap_segments_stream
+    from fleetspark.streaming.store import read_snapshot
+    run = _scratch(t, "segments")
+    snapshot = os.path.join(run, "snapshot")
+    _feed(t.measurements.select("device_id", "ts", "event_id"), run,
+          lambda s, ck: gap_segments_stream(s, ["device_id"], "ts", "event_id", snapshot, "4 hours", ck, buckets=_stream_buckets(t)))
+    return read_snapshot(t.spark, snapshot, ["device_id"]).select("device_id", "segment", "start", "end", "rows")
+
+
 @query("stream_bucket_avg")
 def q_stream_bucket_avg(t: Telemetry) -> DataFrame:
     """ST2: power rows streamed into weekly means, replaced per batch (no row is ever too late)."""
@@ -860,9 +919,9 @@ def q_stream_bucket_avg(t: Telemetry) -> DataFrame:
     from fleetspark.streaming.ingest import bucket_avg_stream, bucket_avg_to_snapshot
     from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "buckets")
-    agg = bucket_avg_stream(_drop(t.power.select("ts", "soc_percent"), run), "ts", "soc_percent", "7 days", lateness=None)
     snapshot = os.path.join(run, "snapshot")
-    bucket_avg_to_snapshot(agg, snapshot, ["time"], os.path.join(run, "checkpoint"), buckets=STREAM_BUCKETS).awaitTermination()
+    mean = lambda s: bucket_avg_stream(s, "ts", "soc_percent", "7 days", lateness=None)
+    _feed(t.power.select("ts", "soc_percent"), run, lambda s, ck: bucket_avg_to_snapshot(mean(s), snapshot, ["time"], ck, buckets=_stream_buckets(t)))
     return read_snapshot(t.spark, snapshot, ["time"]).select("time", "value", "rows")
 
 
@@ -874,20 +933,20 @@ def q_stream_latest_config(t: Telemetry) -> DataFrame:
     from fleetspark.streaming.store import read_snapshot
     run = _scratch(t, "latest")
     snapshot, keys = os.path.join(run, "snapshot"), ["site_id", "device_id"]
-    latest_stream(_drop(_configs(t), run), snapshot, keys, ["updated_at", "event_id"], os.path.join(run, "checkpoint"),
-                  buckets=STREAM_BUCKETS).awaitTermination()
+    _feed(_configs(t), run, lambda s, ck: latest_stream(s, snapshot, keys, ["updated_at", "event_id"], ck, buckets=_stream_buckets(t)))
     return _config_value(read_snapshot(t.spark, snapshot, keys))
 
 
 @query("stream_bucket_exact")
 def q_stream_bucket_exact(t: Telemetry) -> DataFrame:
-    """ST3: daily SOC means kept exact for any lateness (touched months recomputed)."""
+    """ST3: daily SOC means kept exact for any lateness by sums that merge."""
     import os
-    from fleetspark.streaming.ingest import bucket_avg_exact_stream
+    from fleetspark.streaming.ingest import bucket_avg_exact_stream, read_bucket_avg
     run = _scratch(t, "exact")
-    bucket_avg_exact_stream(_drop(t.power.select("ts", "soc_percent"), run), os.path.join(run, "store"), os.path.join(run, "out"), "ts",
-                            "soc_percent", "1 day", checkpoint=os.path.join(run, "checkpoint"), grain="month").awaitTermination()
-    return t.spark.read.parquet(os.path.join(run, "out")).select("time", "value", "rows")
+    store = os.path.join(run, "store")
+    _feed(t.power.select("ts", "soc_percent"), run,
+          lambda s, ck: bucket_avg_exact_stream(s, store, "ts", "soc_percent", "1 day", checkpoint=ck, grain="month", buckets=1))
+    return read_bucket_avg(t.spark, store)
 
 
 # ------------------------------------------------------------------ entry points

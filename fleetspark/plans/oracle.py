@@ -866,7 +866,17 @@ UNION ALL SELECT 'edge_config', COUNT(*) FILTER (WHERE route = 'edge_config') FR
 UNION ALL SELECT 'ota_messages', COUNT(*) FILTER (WHERE route = 'ota') FROM routed
 UNION ALL SELECT 'rejects', COUNT(*) FILTER (WHERE route IN ('rejected', 'dropped')) FROM routed""")
 
-SQL["stream_update_attempts"] = SQL["update_attempts"]
+sql("stream_edge_status", "routed")("""
+SELECT 'site' AS site_id, CAST(user_id AS VARCHAR) AS device_id, ts, ts AS received_at,
+  CASE WHEN whole AND event_id % 4 <> 1 THEN CASE WHEN event_id % 4 = 3 THEN '' ELSE 'm' || CAST(event_id % 3 AS VARCHAR) END END AS device_model,
+  CASE WHEN whole AND event_id % 5 <> 2 THEN 'fw' || CAST(event_id % 6 AS VARCHAR) END AS firmware_version,
+  CASE WHEN event_id % 17 = 2 THEN 1 WHEN NOT whole THEN 2
+       ELSE 3 + CAST(event_id % 4 <> 1 AS INTEGER) + CAST(event_id % 5 <> 2 AS INTEGER) + CAST(user_id % 5 <> 0 AS INTEGER) END AS n_fields
+FROM (SELECT *, event_id % 17 > 4 AND event_id % 31 <> 0 AS whole FROM routed WHERE route = 'edge_status')""")
+
+for _name, _query in (("stream_update_attempts", "update_attempts"), ("stream_state_intervals", "state_intervals"),
+                      ("stream_gap_segments", "gap_segments"), ("stream_ingest_twice", "ingest_measurements")):
+    SQL[_name] = SQL[_query]
 
 sql("ingest_update_attempts", "routed")("""
 SELECT CAST(user_id AS VARCHAR) AS device_id, attempt, 'unknown' AS firmware_version,

@@ -7,8 +7,8 @@ fresh checkpoint is another run.
 ``Snapshot`` is a keyed table in hash buckets. A commit writes the touched
 buckets to a folder of its own and then a manifest that names, for every
 bucket, the folder that holds it. Nothing that a manifest names is changed, so
-a crash before the manifest leaves the table as it was, and a replayed batch
-starts from the commit before its own.
+a crash before the manifest leaves the table as it was. A batch that is
+committed already is not written again.
 """
 
 from __future__ import annotations
@@ -53,18 +53,19 @@ class Files:
             stream.close()
 
     def write(self, path: str, text: str) -> None:
-        """Appears whole or not at all."""
+        """A new file that appears whole or not at all; an existing one is never touched."""
         draft = os.path.join(os.path.dirname(path), f".{os.path.basename(path)}.{uuid.uuid4().hex}")
         stream = self._fs.create(self._path(draft), True)
         try:
             stream.write(bytearray(text.encode()))
         finally:
             stream.close()
-        if self.exists(path):
-            self._fs.delete(self._path(path), False)
-        if not self._fs.rename(self._path(draft), self._path(path)):
+        if self.exists(path) or not self._fs.rename(self._path(draft), self._path(path)):
             raise OSError(f"cannot write {path}")
 
+    def make_folder(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -91,10 +92,13 @@ def key_bucket(*cols: str, n: int = KEY_BUCKETS) -> Column:
 
 
 class Snapshot:
-    """Keyed table whose commits rewrite only the buckets they touch."""
+    """Keyed table whose commits rewrite only the parts they touch.
+
+    A part is a hash bucket of the keys, or with ``period`` (a column of the keys, such as a day) a bucket of one
+    period, so that a batch reads and writes the periods it brings rows for and no others."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS):
-        self.spark, self.path, self.keys, self.files = spark, path, list(keys), Files(spark, path)
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = KEY_BUCKETS, period: Column | None = None):
+        self.spark, self.path, self.keys, self.files, self.period = spark, path, list(keys), Files(spark, path), period
         last = self._last()
         self.buckets = last["buckets"] if last else buckets
 
@@ -108,45 +112,62 @@ class Snapshot:
         names = self._commits()
         return self._manifest(names[-1]) if names else None
 
-    def with_bucket(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("kb", key_bucket(*self.keys, n=self.buckets))
+    def with_part(self, df: DataFrame) -> DataFrame:
+        kb = key_bucket(*self.keys, n=self.buckets).cast("string")
+        if self.period is not None:
+            kb = F.concat(F.coalesce(self.period.cast("string"), F.lit("none")), F.lit("_"), kb)
+        return df.withColumn("kb", kb)
 
-    def _read(self, manifest: dict | None, buckets: Sequence[int] | None = None) -> DataFrame | None:
+    def parts_of(self, df: DataFrame) -> list[str]:
+        """Names of the parts that hold the keys of ``df``: at most ``buckets`` for each period in it."""
+        return [r.kb for r in self.with_part(df).select("kb").distinct().collect()]
+
+    def _read(self, manifest: dict | None, parts: Sequence[str] | None = None) -> DataFrame | None:
         if manifest is None:
             return None
         data = os.path.join(self.path, "data")
-        wanted = manifest["parts"] if buckets is None else {k: manifest["parts"][k] for k in map(str, buckets) if k in manifest["parts"]}
+        wanted = manifest["parts"] if parts is None else {k: manifest["parts"][k] for k in parts if k in manifest["parts"]}
         paths = [os.path.join(data, f"commit={c}", f"kb={k}") for k, c in wanted.items()]
         return self.spark.read.option("basePath", data).parquet(*paths).drop("commit", "kb") if paths else None
 
-    def read(self) -> DataFrame | None:
-        """The table as of the last commit, or None before the first."""
-        return self._read(self._last())
+    def read(self, parts: Sequence[str] | None = None) -> DataFrame | None:
+        """The table (or some parts) as of the last commit, or None where nothing is committed."""
+        return self._read(self._last(), parts)
+
+    def read_before(self, run: str, batch_id: int, parts: Sequence[str] | None = None) -> DataFrame | None:
+        """The table as a batch finds it: without the batch's own commit, if a replay comes after it."""
+        names = self._commits()
+        if names and self._is(self._manifest(names[-1]), run, batch_id):
+            names.pop()
+        return self._read(self._manifest(names[-1]), parts) if names else None
+
+    @staticmethod
+    def _is(manifest: dict, run: str, batch_id: int) -> bool:
+        return (manifest["run"], manifest["batch"]) == (run, batch_id)
 
     def update(self, changed: DataFrame, merge, run: str, batch_id: int) -> None:
-        """Commit ``merge(current rows of the touched buckets or None, changed)``.
+        """Commit ``merge(current rows of the touched parts or None, changed)``.
 
-        ``changed`` and the merged rows hold the keys; buckets without a changed key stay as they are."""
-        changed = self.with_bucket(changed).persist()
+        ``changed`` and the merged rows hold the keys; parts without a changed key stay as they are. The last commit
+        is not repeated: nothing that a manifest names is ever written again."""
+        names = self._commits()
+        base = self._manifest(names[-1]) if names else None
+        if base and self._is(base, run, batch_id):
+            return
+        changed = self.with_part(changed).persist()
         try:
-            touched = [r.kb for r in changed.select("kb").distinct().collect()]  # at most ``buckets`` numbers
+            touched = [r.kb for r in changed.select("kb").distinct().collect()]
             if not touched:
                 return
-            names = self._commits()
-            base = self._manifest(names[-1]) if names else None
-            if base and (base["run"], base["batch"]) == (run, batch_id):  # a replay of the last commit
-                name, base = names[-1], self._manifest(names[-2]) if len(names) > 1 else None
-            else:
-                name = f"{int(names[-1].split('.')[0]) + 1 if names else 0:012d}.json"
-            commit = name.split(".")[0]
-            merged = self.with_bucket(merge(self._read(base, touched), changed.drop("kb")))
+            commit = f"{int(names[-1].split('.')[0]) + 1 if names else 0:012d}"
+            merged = self.with_part(merge(self._read(base, touched), changed.drop("kb")))
             out = os.path.join(self.path, "data", f"commit={commit}")
             merged.repartition("kb").write.mode("overwrite").partitionBy("kb").parquet(out)
             parts = dict(base["parts"]) if base else {}
             for n in self.files.names(out):
                 if n.startswith("kb="):
                     parts[n[3:]] = commit
-            self.files.write(os.path.join(self.path, "commits", name),
+            self.files.write(os.path.join(self.path, "commits", f"{commit}.json"),
                              json.dumps({"run": run, "batch": batch_id, "buckets": self.buckets, "parts": parts}))
             self._clean()
         finally:

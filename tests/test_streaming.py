@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from fleetspark.operators.buckets import bucket_avg
 from fleetspark.operators.updates import update_attempts
 from fleetspark.sources.messages import MESSAGE_SCHEMA, classify
-from fleetspark.streaming.ingest import bucket_avg_exact_batch, bucket_avg_stream, latest_batch, latest_stream, start_ingest, update_attempts_stream
+from fleetspark.operators.runs import gap_segments, state_intervals
+from fleetspark.streaming.ingest import (SeenNumbers, attempts_of_ingest, bucket_avg_exact_batch, bucket_avg_exact_stream, bucket_avg_stream,
+                                         gap_segments_stream, latest_batch, latest_stream, read_bucket_avg, read_state_intervals, start_ingest,
+                                         state_intervals_stream, update_attempts_stream)
 from fleetspark.streaming.store import Files, Snapshot, append_batch, read_snapshot
 
 T0 = datetime(2024, 1, 1)
@@ -80,12 +83,13 @@ def test_update_attempts_stream_equals_batch(spark, scratch):
     msgs = _random_ota(n=1500, seed=5)
     schema = "device_id string, kind string, received_at timestamp_ntz, seq long, payload string"
     folder = os.path.join(scratch, "in")
-    step = 500
     for i in range(3):
-        spark.createDataFrame(msgs[i * step:(i + 1) * step], schema).coalesce(1).write.parquet(os.path.join(folder, f"c{i}"))
+        spark.createDataFrame(msgs[i::3], schema).coalesce(1).write.parquet(os.path.join(folder, f"c{i}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(folder, "*"))
-    store, snap = os.path.join(scratch, "store"), os.path.join(scratch, "snap")
-    q = update_attempts_stream(stream, store, snap, checkpoint=os.path.join(scratch, "ck"))
+    # the rows of a batch come late for the one before, and a third of all messages is delivered again
+    spark.createDataFrame(msgs[::3], schema).coalesce(1).write.parquet(os.path.join(folder, "c3"))
+    snap = os.path.join(scratch, "snap")
+    q = update_attempts_stream(stream, snap, checkpoint=os.path.join(scratch, "ck"), buckets=4)
     q.awaitTermination(300)
     cols = ["device_id", "attempt", "firmware_version", "status", "progress_percent", "error_message",
             "started_at", "completed_at", "reported_at", "messages"]
@@ -131,24 +135,111 @@ def test_bucket_snapshot_over_batches_equals_batch(spark, scratch):
 
 
 def test_exact_buckets_accept_late_rows(spark, scratch):
-    """ST3: a batch that brings rows for an earlier day rewrites that day exactly."""
-    from fleetspark.streaming.ingest import bucket_avg_exact_stream
-    schema = "ts timestamp_ntz, v double"
-    early = [(T0 + timedelta(hours=3 * i), float(i)) for i in range(40)]      # days 1-5
-    late = [(T0 + timedelta(hours=3 * i + 1), float(100 + i)) for i in range(0, 40, 5)]  # back-fills days 1-5
+    """ST3: rows for earlier days are added to the stored sums; the result is the batch mean of all rows, also with odd values."""
+    schema = "ts timestamp_ntz, d string, v double"
+    rows = [(T0 + timedelta(hours=3 * (i * 37 % 200)), f"d{i % 2}", i / 7 if i % 11 else None) for i in range(200)]
+    rows += [(T0, "nan", float("nan")), (T0, "inf", float("inf")), (T0 + timedelta(days=3), "inf", 1.0), (T0, "big", 1e300), (None, "d0", 1.0), (T0, None, 2.0)]
     folder = os.path.join(scratch, "in")
-    spark.createDataFrame(early, schema).coalesce(1).write.parquet(os.path.join(folder, "c0"))
-    spark.createDataFrame(late, schema).coalesce(1).write.parquet(os.path.join(folder, "c1"))
+    for i in range(3):
+        spark.createDataFrame(rows[i::3], schema).coalesce(1).write.parquet(os.path.join(folder, f"c{i}"))
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(folder, "*"))
-    out = os.path.join(scratch, "out")
-    bucket_avg_exact_stream(stream, os.path.join(scratch, "store"), out, "ts", "v", "6 hours",
-                            checkpoint=os.path.join(scratch, "ck")).awaitTermination(300)
-    got = sorted((r.time, round(r.value, 9), r.rows) for r in spark.read.parquet(out).collect())
-    allrows = spark.createDataFrame(early + late, schema)
-    exp = sorted((r.time, round(r.value, 9), r.rows) for r in
-                 allrows.groupBy(F.window("ts", "6 hours").start.alias("time"))
-                 .agg(F.avg("v").alias("value"), F.count("*").alias("rows")).collect())
-    assert got == exp
+    for every, grain in (("7 days", "day"), ("6 hours", "month")):
+        store = os.path.join(scratch, f"store-{grain}")
+        bucket_avg_exact_stream(stream, store, "ts", "v", every, ["d"], os.path.join(scratch, f"ck-{grain}"), grain=grain, buckets=2).awaitTermination(300)
+        got = {(r.time, r.d): (str(r.value and round(r.value, 7)), r.rows) for r in read_bucket_avg(spark, store, ["d"]).collect()}
+        every_row = spark.createDataFrame(rows, schema).groupBy(F.window("ts", every).start.alias("time"), "d").agg(F.avg("v").alias("value"), F.count("*").alias("rows"))
+        assert got == {(r.time, r.d): (str(r.value and round(r.value, 7)), r.rows) for r in every_row.collect()}
+
+
+def test_exact_buckets_read_touched_periods_only(spark, scratch):
+    """ST3: a batch rewrites the parts of its own days; a replay of a finished batch adds nothing."""
+    store = os.path.join(scratch, "store")
+    day = lambda n, v: spark.createDataFrame([(T0 + timedelta(days=n), v)], "ts timestamp_ntz, v double")
+    for i in range(4):
+        bucket_avg_exact_batch(day(i, 1.0), i, store, "ts", "v", "1 day", "r", grain="day", buckets=1)
+    for _ in range(2):
+        bucket_avg_exact_batch(day(0, 5.0), 4, store, "ts", "v", "1 day", "r", grain="day", buckets=1)
+    manifest = json.load(open(sorted(glob.glob(os.path.join(store, "commits", "*.json")))[-1]))
+    assert sorted(manifest["parts"].values()) == [f"{n:012d}" for n in (1, 2, 3, 4)]
+    assert sorted((r.value, r.rows) for r in read_bucket_avg(spark, store).collect()) == [(1.0, 1)] * 3 + [(3.0, 2)]
+
+
+# --- repeated delivery -----------------------------------------------------------------------------------------
+
+def _file_stream(spark, schema, folder):
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(os.path.join(folder, "*"))
+
+
+def test_messages_count_once_over_runs(spark, scratch):
+    """ST1: a drop delivered again under a fresh checkpoint, with new messages among it, gives every row once."""
+    rows, out, src = _messages(), os.path.join(scratch, "out"), os.path.join(scratch, "in")
+    unnumbered = [("s/sensors/x/data", json.dumps({"device_id": "x", "metrics": {"t": 1}}), T0, None)] * 2
+    _write_chunks(spark, rows[:200] + unnumbered, MESSAGE_SCHEMA, src, 2)
+    start_ingest(_file_stream(spark, MESSAGE_SCHEMA, src), out, checkpoint=os.path.join(scratch, "a"), buckets=2).awaitTermination(300)
+    again = _write_chunks(spark, rows[100:] + rows[120:130], MESSAGE_SCHEMA, os.path.join(scratch, "again"), 1)
+    start_ingest(_file_stream(spark, MESSAGE_SCHEMA, again), out, checkpoint=os.path.join(scratch, "b"), buckets=2).awaitTermination(300)
+    batch = classify(spark.createDataFrame(rows, MESSAGE_SCHEMA))
+    for name, route in (("measurements", "measurements"), ("edge_status", "edge_status")):
+        extra = 2 if name == "measurements" else 0  # messages without a number cannot be told apart
+        assert spark.read.parquet(os.path.join(out, name)).count() == batch.where(F.col("route") == route).count() + extra
+
+
+def test_attempts_of_a_repeated_drop(spark, scratch):
+    """W9 behind ST1: one status message under two runs is one attempt."""
+    rows = [("s/edge/d/ota/status", json.dumps({"version": "2"}), T0, 1), ("s/edge/d/ota/progress", json.dumps({"percent": 40}), T0, 2)]
+    out, snap = os.path.join(scratch, "out"), os.path.join(scratch, "snap")
+    src = _write_chunks(spark, rows, MESSAGE_SCHEMA, os.path.join(scratch, "in"), 1)
+    for run in ("a", "b"):
+        start_ingest(_file_stream(spark, MESSAGE_SCHEMA, src), out, checkpoint=os.path.join(scratch, run), buckets=2).awaitTermination(300)
+    attempts_of_ingest(spark, out, snap, os.path.join(scratch, "ck"), buckets=2).awaitTermination(300)
+    assert [(r.attempt, r.progress_percent, r.messages) for r in read_snapshot(spark, snap, ["device_id"]).collect()] == [(1, 40, 2)]
+
+
+def test_seen_numbers(spark, scratch, monkeypatch):
+    """Ranges of seen numbers: sets of any order and distance, a replay finds what its first try found."""
+    import random
+
+    from fleetspark.streaming import ingest
+    monkeypatch.setattr(ingest, "SEQ_BLOCK", 50)
+    rnd, known = random.Random(1), set()
+    seen = SeenNumbers(spark, os.path.join(scratch, "seen"), 3)
+    for batch in range(5):
+        numbers = [rnd.randint(-60, 400) for _ in range(80)] + list(range(batch * 70, batch * 70 + 70))
+        df = spark.createDataFrame([(n,) for n in numbers] + [(None,)], "seq long")
+        for _ in range(2):
+            got = [r.seq for r in seen.first_deliveries(df, "r", batch).collect()]
+            assert sorted(x for x in got if x is not None) == sorted(set(numbers) - known) and got.count(None) == 1
+            seen.add(df, "r", batch)
+        known |= set(numbers)
+    assert seen.snapshot.read().count() < len(known) / 3
+
+
+# --- runs as streams -------------------------------------------------------------------------------------------
+
+def _series(n, seed):
+    import random
+    rnd = random.Random(seed)
+    return [(rnd.choice(["a", "a", "b", None]), T0 + timedelta(minutes=rnd.randint(0, 9000)), i, rnd.choice(["on", "on", "off", None])) for i in range(n)]
+
+
+def test_intervals_and_segments_over_shuffled_batches(spark, scratch):
+    """Shuffled batches, which split intervals and join segments, equal the batch operators; null keys and states included."""
+    schema, rows = "k string, ts timestamp_ntz, i int, s string", _series(500, 4)
+    folder = os.path.join(scratch, "in")
+    for i in range(3):
+        spark.createDataFrame(rows[i::3], schema).coalesce(1).write.parquet(os.path.join(folder, f"c{i}"))
+    spark.createDataFrame(rows[:40], schema).coalesce(1).write.parquet(os.path.join(folder, "c3"))  # again: sets of rows do not change
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    whole = spark.createDataFrame(rows, schema)
+    at, ck = os.path.join(scratch, "intervals"), os.path.join(scratch, "ck1")
+    state_intervals_stream(stream.parquet(os.path.join(folder, "*")), ["k"], "ts", "s", "i", at, ck, buckets=2, chunk_seconds=3600).awaitTermination(300)
+    cols = ["k", "run", "state", "start", "end", "rows"]
+    key = lambda df, c: sorted((tuple(r) for r in df.select(*c).collect()), key=str)
+    assert key(read_state_intervals(spark, at, ["k"]), cols) == key(state_intervals(whole, ["k"], "ts", "s", "i"), cols)
+    at, ck = os.path.join(scratch, "segments"), os.path.join(scratch, "ck2")
+    gap_segments_stream(stream.parquet(os.path.join(folder, "c[012]")), ["k"], "ts", "i", at, "45 minutes", ck, buckets=2).awaitTermination(300)
+    cols = ["k", "segment", "start", "end", "rows"]
+    assert key(read_snapshot(spark, at, ["k"]), cols) == key(gap_segments(whole, ["k"], "ts", "i", "45 minutes"), cols)
 
 
 # --- no loss ---------------------------------------------------------------------------------------------------
@@ -212,13 +303,6 @@ def test_fresh_checkpoint_keeps_earlier_batches(spark, scratch):
     assert spark.read.parquet(path).count() == 15
 
 
-def test_exact_buckets_refuse_spans_over_days(spark, scratch):
-    df = spark.createDataFrame([(T0, 1.0)], "ts timestamp_ntz, v double")
-    for every in ("7 days", "5 hours"):
-        with pytest.raises(ValueError):
-            bucket_avg_exact_batch(df, 0, os.path.join(scratch, "s"), os.path.join(scratch, "o"), "ts", "v", every, "r")
-
-
 def test_null_keys_live_in_a_snapshot(spark, scratch):
     snap = Snapshot(spark, os.path.join(scratch, "snap"), ["device_id"])
     df = spark.createDataFrame([(None, T0, 1, "a"), ("x", T0, 1, "b")], ROW)
