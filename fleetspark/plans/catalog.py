@@ -792,15 +792,21 @@ def _scratch(t: Telemetry, name: str) -> str:
     return os.path.join(checkpoint_dir(t.spark), "runs", f"{name}-{uuid.uuid4().hex}")
 
 
-def _feed(df: DataFrame, run: str, start: Callable, batches: int = 3, name: str = "checkpoint") -> None:
-    """Drop the rows as folders and stream each as one micro-batch; a hash deals them, so that every
-    batch brings late rows and keys that other batches brought too. ``start(stream, checkpoint)`` starts the query."""
+def _feed(df: DataFrame, run: str, start: Callable, batches: int = 3, name: str = "checkpoint", by_time: str | None = None) -> None:
+    """Drop the rows as folders and stream each as one micro-batch. A hash deals them, so that every batch brings late
+    rows and keys that other batches brought too, or ``by_time`` equal spans of that column in order. ``start(stream,
+    checkpoint)`` starts the query."""
     import os
     drop, spark = os.path.join(run, "drop"), df.sparkSession
+    deal = F.pmod(F.xxhash64(*df.columns), F.lit(batches))
+    if by_time:
+        us = F.unix_micros(F.col(by_time).cast("timestamp"))
+        first, last = df.agg(F.min(us), F.max(us)).first()
+        deal = F.coalesce(F.floor((us - F.lit(first)) * batches / F.lit((last or 0) - (first or 0) + 1)), F.lit(0))
     for i in range(batches):
         folder = os.path.join(drop, f"part={i}")
         if not _has(spark, folder):
-            df.where(F.pmod(F.xxhash64(*df.columns), F.lit(batches)) == i).write.parquet(folder)
+            df.where(deal == i).write.parquet(folder)
         start(spark.readStream.schema(df.schema).parquet(os.path.join(drop, "*")), os.path.join(run, name)).awaitTermination()
 
 
@@ -949,6 +955,37 @@ def q_stream_bucket_exact(t: Telemetry) -> DataFrame:
     return read_bucket_avg(t.spark, store)
 
 
+def _alerts(t: Telemetry, rows: DataFrame, ts: str, kind, wait_hours: int) -> DataFrame:
+    """Alerts that stand after the rows came in order of time, with an hour of lateness allowed."""
+    import os
+    from fleetspark.streaming.absence import absence_stream, read_alerts
+    run = _scratch(t, "absence")
+    snapshot = os.path.join(run, "snapshot")
+    _feed(rows, run, lambda s, ck: absence_stream(s, "device_id", ts, kind, wait_hours * 3600 * 1000, "1 hour", snapshot, ck,
+                                                  buckets=_stream_buckets(t)), by_time=ts)
+    return read_alerts(t.spark, snapshot, "device_id")
+
+
+@query("stream_alert_no_data")
+def q_stream_alert_no_data(t: Telemetry) -> DataFrame:
+    """AL4 "no data" as a stream: devices without a measurement for 12 hours, by event-time timers."""
+    return _alerts(t, t.measurements.select("device_id", "ts"), "ts", F.lit("arm"), 12)
+
+
+@query("stream_alert_stuck")
+def q_stream_alert_stuck(t: Telemetry) -> DataFrame:
+    """AL3 as a stream: the newest report is of an update in progress and 90 days old."""
+    active = F.when(F.col("status").isin("downloading", "installing", "pending"), "arm").otherwise("disarm")
+    return _alerts(t, t.updates.select("device_id", "status", "reported_at"), "reported_at", active, 90 * 24)
+
+
+@query("stream_alert_offline")
+def q_stream_alert_offline(t: Telemetry) -> DataFrame:
+    """AL2 as a stream: no report in the 30 days after the newest success, nor any time since."""
+    kind = F.when(F.col("status") == "success", "arm").otherwise("seen")
+    return _alerts(t, t.updates.select("device_id", "status", "reported_at"), "reported_at", kind, 30 * 24)
+
+
 # ------------------------------------------------------------------ entry points
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

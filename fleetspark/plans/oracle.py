@@ -949,3 +949,24 @@ SQL["stream_latest_config"] = SQL["upsert_latest"]
 
 sql("stream_bucket_exact", "power")(f"""
 SELECT {tb('1 day')} AS time, ROUND(AVG(soc_percent), 6) AS value, COUNT(*) AS rows FROM power GROUP BY 1""")
+
+
+# ------------------------------------------------------------------ alerts as streams: the watermark is an hour behind the newest row
+
+sql("stream_alert_no_data", "measurements")("""
+SELECT device_id, make_timestamp((epoch_us(max(ts)) // 1000 + 12 * 3600000) * 1000) AS at FROM measurements GROUP BY device_id
+HAVING epoch_us(max(ts)) // 1000 + 12 * 3600000 < (SELECT epoch_us(max(ts)) // 1000 FROM measurements) - 3600000""")
+
+sql("stream_alert_stuck", "updates")("""
+SELECT device_id, reported_at + INTERVAL '90 days' AS at
+FROM (SELECT device_id, status, reported_at, max(reported_at) OVER (PARTITION BY device_id) AS newest FROM updates)
+WHERE reported_at = newest GROUP BY device_id, reported_at
+HAVING bool_and(status IN ('downloading', 'installing', 'pending'))
+  AND reported_at + INTERVAL '90 days' < (SELECT max(reported_at) FROM updates) - INTERVAL '1 hour'""")
+
+sql("stream_alert_offline", "updates")("""
+SELECT device_id, newest + INTERVAL '30 days' AS at
+FROM (SELECT device_id, max(reported_at) FILTER (status = 'success') AS newest, max(reported_at) FILTER (status <> 'success') AS seen
+      FROM updates GROUP BY device_id)
+WHERE newest + INTERVAL '30 days' < (SELECT max(reported_at) FROM updates) - INTERVAL '1 hour'
+  AND (seen IS NULL OR seen < newest + INTERVAL '30 days')""")
