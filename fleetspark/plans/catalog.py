@@ -955,6 +955,51 @@ def q_stream_bucket_exact(t: Telemetry) -> DataFrame:
     return read_bucket_avg(t.spark, store)
 
 
+@query("refresh_latest_view")
+def q_refresh_latest_view(t: Telemetry) -> DataFrame:
+    """The latest-row view refreshed from changed months only: some get more rows, the newest month is deleted."""
+    import os
+    from fleetspark.streaming.store import Files
+    from fleetspark.streaming.views import LatestView
+    run = _scratch(t, "view")
+    source, cols = os.path.join(run, "source"), ["ts", "soc_percent", "watts_out_sum"]
+    rows = t.power.select("device_sn", "l_orderkey", "l_linenumber", *cols, F.date_format("ts", "yyyy-MM").alias("dt"))
+    later = (F.col("l_orderkey") % 3 == 0) & (F.year("ts") >= 1997)
+    view = LatestView(t.spark, source, os.path.join(run, "view"), ["device_sn"], _POWER_ORDER, cols, buckets=1)
+    rows.where(~later).write.partitionBy("dt").parquet(source)
+    view.refresh()
+    rows.where(later).write.mode("append").partitionBy("dt").parquet(source)
+    Files(t.spark, source).delete(os.path.join(source, f"dt={rows.agg(F.max('dt')).first()[0]}"))
+    view.refresh()
+    return view.read()
+
+
+@query("dated_snapshot")
+def q_dated_snapshot(t: Telemetry) -> DataFrame:
+    """Three dated snapshots of the registry with a keep of 7 days, read back: the first date is gone."""
+    import os
+    base = os.path.join(_scratch(t, "dated"), "devices")
+    for day in ("2024-01-01", "2024-01-06", "2024-01-09"):
+        path = uk.export_snapshot(t.devices, base, day, keep_days=7)
+    back = t.spark.read.parquet(base)
+    return back.select(F.col("dt").cast("string").alias("dt"), "device_id", "device_model", "current_firmware_version", "last_seen")
+
+
+@query("export_roundtrip")
+def q_export_roundtrip(t: Telemetry) -> DataFrame:
+    """Registry exported as CSV and as JSON lines, both read back."""
+    import os
+    run = _scratch(t, "export")
+    rows = t.devices.select("device_id", "device_model", "current_firmware_version")
+    back = []
+    for fmt in ("csv", "json"):
+        path = os.path.join(run, fmt)
+        uk.export(rows, path, fmt)
+        read = t.spark.read.option("header", True).csv(path) if fmt == "csv" else t.spark.read.schema(rows.schema).json(path)
+        back.append(read.select(F.lit(fmt).alias("fmt"), *[F.col(c).cast("string").alias(c) for c in rows.columns]))
+    return back[0].unionByName(back[1])
+
+
 def _alerts(t: Telemetry, rows: DataFrame, ts: str, kind, wait_hours: int) -> DataFrame:
     """Alerts that stand after the rows came in order of time, with an hour of lateness allowed."""
     import os

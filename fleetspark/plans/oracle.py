@@ -970,3 +970,16 @@ FROM (SELECT device_id, max(reported_at) FILTER (status = 'success') AS newest,
       FROM updates GROUP BY device_id)
 WHERE newest + INTERVAL '30 days' < (SELECT max(reported_at) FROM updates) - INTERVAL '1 hour'
   AND (seen IS NULL OR seen < newest + INTERVAL '30 days')""")
+
+
+# ------------------------------------------------------------------ written tables, read back
+
+sql("refresh_latest_view", "power")(f"""
+SELECT DISTINCT ON (device_sn) device_sn, ts, soc_percent, watts_out_sum
+FROM power WHERE strftime(ts, '%Y-%m') < (SELECT strftime(max(ts), '%Y-%m') FROM power) ORDER BY device_sn, {POWER_DESC}""")
+
+sql("dated_snapshot", "devices")("""
+SELECT dt, device_id, device_model, current_firmware_version, last_seen FROM devices, (VALUES ('2024-01-06'), ('2024-01-09')) AS d(dt)""")
+
+sql("export_roundtrip", "devices")("""
+SELECT fmt, device_id, device_model, current_firmware_version FROM devices, (VALUES ('csv'), ('json')) AS f(fmt)""")

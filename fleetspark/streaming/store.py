@@ -45,6 +45,10 @@ class Files:
             return []
         return sorted(x.getPath().getName() for x in self._fs.listStatus(self._path(path)))
 
+    def details(self, path: str) -> list[tuple[str, int, int]]:
+        """Name, size and modification time of what a folder holds."""
+        return sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in self._fs.listStatus(self._path(path)))
+
     def read(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:
@@ -122,6 +126,11 @@ class Snapshot:
         """Names of the parts that hold the keys of ``df``: at most ``buckets`` for each period in it."""
         return [r.kb for r in self.with_part(df).select("kb").distinct().collect()]
 
+    def parts_in(self, periods: Sequence[str]) -> list[str]:
+        """Names of all parts of some periods, whatever they hold."""
+        wanted = set(periods)
+        return [f"{p}_{b}" for p in wanted for b in range(self.buckets)]
+
     def _read(self, manifest: dict | None, parts: Sequence[str] | None = None) -> DataFrame | None:
         if manifest is None:
             return None
@@ -163,7 +172,7 @@ class Snapshot:
             merged = self.with_part(merge(self._read(base, touched), changed.drop("kb")))
             out = os.path.join(self.path, "data", f"commit={commit}")
             merged.repartition("kb").write.mode("overwrite").partitionBy("kb").parquet(out)
-            parts = dict(base["parts"]) if base else {}
+            parts = {k: c for k, c in base["parts"].items() if k not in touched} if base else {}
             for n in self.files.names(out):
                 if n.startswith("kb="):
                     parts[n[3:]] = commit
