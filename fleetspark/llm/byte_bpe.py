@@ -10,7 +10,8 @@ lets an edit re-encode only from the edit to the point where the stored states
 agree again.
 
 Texts are cut by the tokenizer's pattern first, each piece on its own. Pieces
-repeat, so a task keeps a bounded memo of encoded pieces.
+repeat, so a task keeps a bounded memo of encoded pieces. The pieces of a batch that it lacks are
+encoded in byte order: each keeps the states of the prefix it shares with the one before and appends the rest.
 
 Defined results: a null text counts as empty (no ids, digests of the empty
 string); a byte sequence that is not UTF-8 is read with replacement characters;
@@ -29,7 +30,9 @@ from pyspark.sql import DataFrame, functions as F
 from fleetspark.llm.common import map_texts, sha256, utf8
 
 #: Entries of one generation of a task's memo.
-MEMO_ENTRIES = 100_000
+MEMO_ENTRIES = 200_000
+#: Pieces up to this many bytes look their substrings up; longer ones are read by the automaton.
+SHORT = 64
 _NEVER = 1 << 60
 
 
@@ -152,6 +155,9 @@ class PrefixState:
         The automaton reports the tokens that end at a byte; the one that fits the prefix before it is unique."""
         v, last = self.vocabulary, self.last
         known, fits = v.pairs.get, v.fits
+        if len(self.data) <= SHORT:
+            self._extend_short(start)
+            return
         reach = max(0, start - v.reach + 1)
         done = start
         for end, (token, n) in v.ends.iter(self.data[reach:].decode("latin-1")):
@@ -170,6 +176,33 @@ class PrefixState:
         if done != len(self.data):
             raise ValueError("the vocabulary lacks a byte")
 
+    def _extend_short(self, start: int) -> None:
+        """The same by looking up the substrings that end at each byte, short ones first: the valid token is mostly short."""
+        v, data, last = self.vocabulary, self.data, self.last
+        token_of, known, fits = v.ranks.get, v.pairs.young.get, v.fits
+        for end in range(start + 1, len(data) + 1):
+            for begin in range(end - 1, -1, -1):
+                token = token_of(data[begin:end])
+                if token is None:
+                    continue
+                if begin:
+                    ok = known(last[begin - 1] << 32 | token)
+                    if not (fits(last[begin - 1], token) if ok is None else ok):
+                        continue
+                last.append(token)
+                break
+            else:
+                raise ValueError("the vocabulary lacks a byte")
+
+    def become(self, data: bytes) -> None:
+        """Move on to other bytes, keeping the states of the common prefix."""
+        same, most = 0, min(len(data), len(self.data))
+        while same < most and data[same] == self.data[same]:
+            same += 1
+        self.data = data
+        del self.last[same:]
+        self._extend(same)
+
     def append(self, more: bytes) -> None:
         start = len(self.data)
         self.data += more
@@ -226,9 +259,24 @@ class Codec:
                 v.pieces.put(piece, known)
         return known
 
+    def learn(self, pieces: set[str]) -> None:
+        """Encode the short pieces that the memo lacks, in byte order."""
+        v = self.vocabulary
+        state = PrefixState(v)
+        for data, piece in sorted((p.encode(), p) for p in pieces if len(p) <= SHORT // 4 and v.pieces.get(p) is None):
+            whole = v.ranks.get(data)
+            if whole is None:
+                state.become(data)
+            v.pieces.put(piece, np.asarray([whole] if whole is not None else state.ids(), "<u4").tobytes())
+
     def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        cut = [self.pattern.findall(text) for text in texts]
+        self.learn(set().union(*cut))
         known = self.vocabulary.pieces.young.get  # replaced when the generation changes, then found by piece()
-        return b"".join([known(p) or self.piece(p) for p in self.pattern.findall(text)])
+        return [b"".join([known(p) or self.piece(p) for p in pieces]) for pieces in cut]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -258,8 +306,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     def step(part: pa.RecordBatch) -> dict:
         codec = _codec(key, shared.value, pattern)
         n, ids_sha, text_sha, ids = [], [], [], []
-        for raw in part.column("raw").to_pylist():
-            coded = codec.encode(raw.decode("utf-8", "replace"))
+        for coded in codec.encode_all([raw.decode("utf-8", "replace") for raw in part.column("raw").to_pylist()]):
             n.append(len(coded) // 4)
             ids_sha.append(sha256(coded))
             text_sha.append(sha256(codec.decode(coded)))
