@@ -17,6 +17,8 @@ from fleetspark.session import checkpoint_dir
 
 #: Text bytes that one step of an Arrow pass holds at a time (a longer text is a step of its own).
 CHUNK_BYTES = 1 << 20
+#: Bytes that Spark hands a Python worker at a time, if the session allows more.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,7 +67,12 @@ def ship_code(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package."""
+    """``mapInArrow`` whose workers can import this package and get bounded batches (by default Spark's hold 10,000
+    rows, up to 64 MB, on both sides)."""
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = conf.get(limit, "67108864").lower().rstrip("b")
+    if now.isdigit() and int(now) > BATCH_BYTES:  # a size in other units was set by hand
+        conf.set(limit, str(BATCH_BYTES))
     ship_code(df.sparkSession)
     return df.mapInArrow(run, schema)
 
