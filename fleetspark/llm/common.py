@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import tempfile
@@ -18,7 +19,7 @@ from fleetspark.session import checkpoint_dir
 #: Text bytes that one step of an Arrow pass holds at a time (a longer text is a step of its own).
 CHUNK_BYTES = 1 << 20
 #: Bytes that Spark hands a Python worker at a time, if the session allows more.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +67,14 @@ def ship_code(spark: SparkSession) -> None:
     sc._ships = root
 
 
+def _give_back() -> None:
+    """Return a finished task's free memory to the system: Python workers live on, also those of earlier stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` whose workers can import this package and get bounded batches (by default Spark's hold 10,000
     rows, up to 64 MB, on both sides)."""
@@ -74,7 +83,14 @@ def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[
     if now.isdigit() and int(now) > BATCH_BYTES:  # a size in other units was set by hand
         conf.set(limit, str(BATCH_BYTES))
     ship_code(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(task, schema)
 
 
 def map_texts(df: DataFrame, step: Callable[[pa.RecordBatch], dict | None], schema: str, text_col: str = "raw",
