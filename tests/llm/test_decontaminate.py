@@ -63,3 +63,32 @@ def test_no_python_in_the_plan(spark):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     plan = dc.decontaminate(docs, bench, ["doc_id"])._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
+
+
+@pytest.mark.parametrize("limit", [dc.BROADCAST_WINDOWS, 0])
+def test_clashing_names(spark, monkeypatch, limit):
+    monkeypatch.setattr(dc, "BROADCAST_WINDOWS", limit)
+    names = ["n_words", "spans", "items", "N_hit", "contaminated", "window", "n", "_key", "_w", "_at", "anchor", "a.b"]
+    docs = frame(spark, [(1, "solo", "x"), (2, "other words", "y"), (2, "other words", "y"), (3, None, "z")])
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(i))
+    bench = spark.createDataFrame(BENCH, "item_id string, text string").withColumn("spans", F.lit(1)).withColumn("window", F.lit(2))
+    left = dc.drop_contaminated(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted(tuple(r) for r in left.collect()) == sorted(tuple(r) for r in docs.where("doc_id > 1").collect())
+    got = dc.decontaminate(docs, bench, docs.columns)
+    assert sorted(c.lower() for c in got.columns) == sorted(c.lower() for c in docs.columns)
+    assert sorted((r.doc_id, r.n_words, r.n_hit, r.contaminated, r.window) for r in got.collect()) == [
+        (1, 1, 1, True, 5), (2, 2, 0, False, 5), (2, 2, 0, False, 5), (3, 0, 0, False, 5)]
+
+
+def test_more_windows_than_are_broadcast(spark, monkeypatch):
+    bench = [(f"i{k}", " ".join(f"k{k}x{i}" for i in range(10_200))) for k in range(20)] + BENCH  # 203,760 windows and the few above
+    asked = []
+    shuffle = dc._hits_by_shuffle
+    monkeypatch.setattr(dc, "_hits_by_shuffle", lambda *a: asked.append(1) or shuffle(*a))
+    rows = ODD_ROWS + [(20, " ".join(f"k3x{i}" for i in range(50, 80)) + " tail" * 9, "e"), (21, "a " * 500 + " ".join(f"K19x{i}" for i in range(10_187, 10_200)), "e"),
+                       (22, " ".join(f"k5x{i}" for i in range(12)), "e"), (23, "short item here " * 3 + "solo", "e")]
+    got = data(dc.decontaminate(frame(spark, rows), spark.createDataFrame(bench, "item_id string, text string"), ["doc_id"]),
+               "doc_id", "n_words", "n_hit", "items", "contaminated")
+    assert asked and got == brute(rows, bench)
