@@ -25,8 +25,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the benchmark contaminates go."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), docs.columns)
-    return found.where("NOT contaminated").select(*docs.columns)
+    return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
