@@ -18,6 +18,9 @@ or main element teaches by its marks, and the same blocks are dressed again in
 other layouts (containers and boilerplate drawn from the lists below), where
 every block's part is known.
 
+Every open element describes a block, whatever the depth: the sums of path
+vectors are carried from an element to those inside it, so a page costs its size.
+
 Defined results: a null or empty page gives the empty text; markup that is never
 closed ends with the page; a tag that the page's end cuts off is dropped; no page is cut
 short and no block is dropped for its size; an empty table gives no rows;
@@ -42,8 +45,6 @@ from fleetspark.llm.lstm import lstm_backward, lstm_forward
 
 PATH_ROWS, WORD_ROWS = 1 << 11, 1 << 12
 VECTOR, STATE, NUMBERS = 12, 16, 6
-#: Innermost path entries that a block is described by.
-PATH = 24
 TRAIN_PAGES, DRESSED, EPOCHS, BATCH, RATE = 1200, 2, 4, 24, 0.01
 #: Lessons gone over at least (small samples are gone over more often).
 LEAST_SEEN = 12_000
@@ -54,27 +55,46 @@ figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html label l
 section select summary table tbody td tfoot th thead tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SILENT_TAGS = frozenset("script style title textarea template noscript iframe object svg math audio video canvas".split())
+#: Those of them that hold no markup: only their own end tag ends them.
+RAW_TAGS = frozenset("script style title textarea iframe".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
              "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 #: Elements that an implied end tag does not reach beyond.
 SCOPE = frozenset("table ul ol dl select body html article section div main nav aside header footer form".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/<>]*)([^<>]*)>|<[!?][^<>]*>", re.S)
+_TOKEN = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)((?:=\s*+(?:"[^"]*+"|'[^']*+')|[^<>])*+)>|<[!?][^<>]*+>""", re.S)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^<>]*+>", re.I) for name in RAW_TAGS}
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CUT = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")
 
 
+class Element:
+    """An open element: its path entries, those around it, and whether they mark main text or boilerplate."""
+
+    __slots__ = ("name", "names", "parent", "depth", "entries", "main", "other")
+
+    def __init__(self, name: str, names: tuple, parent: Element | None = None):
+        self.name, self.names, self.parent = name, names, parent
+        self.depth = parent.depth + 1 if parent else 0
+        self.entries = len(names) + (parent.entries if parent else 0)
+        self.main = bool(parent and parent.main) or not MAIN.isdisjoint(names)
+        self.other = bool(parent and parent.other) or not BOILERPLATE.isdisjoint(names)
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple
+    place: Element
     linked: int = 0
 
-
-@dataclass
-class _Open:
-    name: str
-    names: tuple
+    @property
+    def path(self) -> tuple:
+        """Entries of all open elements, outermost first."""
+        out, e = [], self.place
+        while e is not None:
+            out.append(e.names)
+            e = e.parent
+        return tuple(n for names in reversed(out) for n in names)
 
 
 @dataclass
@@ -83,6 +103,44 @@ class _Run:
     linked: int = 0
 
 
+class _Stack:
+    """Open elements, with what is asked of them kept up to date: every step costs the elements it opens or closes."""
+
+    def __init__(self):
+        self.root = Element("", ())
+        self.open: list[Element] = []
+        self.places: dict[str, list[int]] = {}
+        #: Within each open scope, places by name.
+        self.scopes: list[dict[str, list[int]]] = [{}]
+
+    @property
+    def top(self) -> Element:
+        return self.open[-1] if self.open else self.root
+
+    def push(self, name: str, names: tuple) -> None:
+        at = len(self.open)
+        self.scopes[-1].setdefault(name, []).append(at)
+        self.places.setdefault(name, []).append(at)
+        if name in SCOPE:
+            self.scopes.append({})
+        self.open.append(Element(name, names, self.top))
+
+    def pop(self) -> Element:
+        e = self.open.pop()
+        if e.name in SCOPE:
+            self.scopes.pop()
+        self.scopes[-1][e.name].pop()
+        self.places[e.name].pop()
+        return e
+
+    def innermost(self, name: str) -> int | None:
+        found = self.places.get(name)
+        return found[-1] if found else None
+
+    def outermost_in_scope(self, names: set) -> int | None:
+        return min((found[0] for found in map(self.scopes[-1].get, names) if found), default=None)
+
+
 def _entries(name: str, attributes: str) -> tuple:
     """Path entries of an element: its name, and the words of its class, id and role."""
     if not attributes or "=" not in attributes:
@@ -94,7 +152,7 @@ def _entries(name: str, attributes: str) -> tuple:
 def blocks(page: str) -> list[Block]:
     """Leaf blocks of a page in order."""
     out: list[Block] = []
-    stack: list[_Open] = []
+    stack = _Stack()
     run = _Run()
     links = 0
 
@@ -103,16 +161,15 @@ def blocks(page: str) -> list[Block]:
         if run.pieces:
             text = " ".join(html.unescape("".join(run.pieces)).split())
             if text:
-                path = [n for e in stack[-PATH:] for n in e.names]
-                out.append(Block(text, tuple(path[-2 * PATH:]), min(run.linked, len(text))))
+                out.append(Block(text, stack.top, min(run.linked, len(text))))
             run = _Run()
 
     def close(upto: int):
         nonlocal links
-        if any(e.name in BLOCK_TAGS for e in stack[upto:]):
+        if any(e.name in BLOCK_TAGS for e in stack.open[upto:]):
             flush()
-        links -= sum(e.name == "a" for e in stack[upto:])
-        del stack[upto:]
+        while len(stack.open) > upto:
+            links -= stack.pop().name == "a"
 
     def say(text: str):
         if text:
@@ -121,13 +178,15 @@ def blocks(page: str) -> list[Block]:
                 run.linked += len(text)
 
     at, silent = 0, None
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
+    while m := _TOKEN.search(page, at):
         if silent is None:
             say(page[at:m.start()])
         at = m.end()
         name = (m[2] or "").lower()
+        if name in RAW_TAGS and not m[1] and not m[3].endswith("/"):
+            end = _RAW_END[name].search(page, at)
+            at = end.end() if end else len(page)
+            continue
         if silent is not None:
             if m[1] and name == silent:
                 silent = None
@@ -135,23 +194,16 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         if m[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    close(k)
-                    break
+            k = stack.innermost(name)
+            if k is not None:
+                close(k)
             continue
         if name in SILENT_TAGS:
             if not m[3].endswith("/"):
                 silent = name
             continue
         if name in BLOCK_TAGS:
-            ends = CLOSED_BY.get(name, set()) | {"p"}
-            k = len(stack) - 1
-            last = None
-            while k >= 0 and stack[k].name not in SCOPE:
-                if stack[k].name in ends:
-                    last = k
-                k -= 1
+            last = stack.outermost_in_scope(CLOSED_BY.get(name, set()) | {"p"})
             flush()
             if last is not None:
                 close(last)
@@ -159,7 +211,7 @@ def blocks(page: str) -> list[Block]:
             if name == "br":
                 run.pieces.append(" ")
             continue
-        stack.append(_Open(name, _entries(name, m[3])))
+        stack.push(name, _entries(name, m[3]))
         links += name == "a"
     if silent is None:
         say(_CUT.sub("", page[at:]))
@@ -174,8 +226,8 @@ BOILERPLATE = {"nav", "aside", "footer", "form", "menu", "dialog", "button", "se
                ".footer", ".comments", ".comment", ".cookie", ".notice", ".promo", ".sponsored", ".related"}
 
 
-def _marked(path: tuple) -> float:
-    return float(bool(MAIN & set(path)) and not BOILERPLATE & set(path))
+def _marked(place: Element) -> float:
+    return float(place.main and not place.other)
 
 
 _BODY = ("html", "body")
@@ -202,16 +254,16 @@ def _dress(main: list[Block], other: list[str], rnd: np.random.Generator) -> tup
             text = other[int(rnd.integers(len(other)))]
             if path[-1] in ("a", "li"):
                 text = " ".join(text.split()[:int(rnd.integers(1, 4))]) or text
-            out.append(Block(text, _BODY + wrap + path, len(text) if path[-1] == "a" else 0))
+            out.append(Block(text, Element("", _BODY + wrap + path), len(text) if path[-1] == "a" else 0))
             part.append(0.0)
 
     layout = tuple(MAIN_LAYOUTS[int(rnd.integers(len(MAIN_LAYOUTS)))].split())
     for k in rnd.permutation(len(BEFORE))[:int(rnd.integers(1, 4))]:
         add(BEFORE[k])
     for i, b in enumerate(main):
-        inner = ("h1",) if i == 0 and rnd.random() < 0.7 else ("h2",) if rnd.random() < 0.05 else ("p", "b") if b.path[-1:] == ("b",) else ("p",)
+        inner = ("h1",) if i == 0 and rnd.random() < 0.7 else ("h2",) if rnd.random() < 0.05 else ("p", "b") if b.place.names == ("b",) else ("p",)
         inner = ("li",) if len(b.text) < 60 and rnd.random() < 0.05 else inner
-        out.append(Block(b.text, _BODY + layout + inner, 0))
+        out.append(Block(b.text, Element("", _BODY + layout + inner), 0))
         part.append(1.0)
         if rnd.random() < 0.05:
             add(INSIDE[int(rnd.integers(len(INSIDE)))], layout)
@@ -226,7 +278,7 @@ def lessons(pages: list[str], seed: int = 3) -> list[tuple[list[Block], np.ndarr
     texts = [x.text for b in cut for x in b]
     out = []
     for b in cut:
-        part = np.array([_marked(x.path) for x in b], np.float32)
+        part = np.array([_marked(x.place) for x in b], np.float32)
         if not part.any():
             continue
         out.append((b, part))
@@ -261,10 +313,23 @@ class Inputs:
         self.page = np.repeat(np.arange(len(pages)), n)
         self.step = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
         self.shape = (int(n.max(initial=0)), len(pages))
-        paths = [b.path or ("",) for b in flat]
-        self.path = np.array([_path_row(e) for p in paths for e in p], np.int64)
-        self.path_n = np.array([len(p) for p in paths], np.int64)
-        self.leaf = self.path[np.cumsum(self.path_n) - 1] if flat else self.path
+        # the elements around the blocks, each once, by depth: an element's sum is its parent's and its own entries
+        held: dict[int, Element] = {}
+        for b in flat:
+            e = b.place
+            while e is not None and id(e) not in held:
+                held[id(e)] = e
+                e = e.parent
+        elements = sorted(held.values(), key=lambda e: e.depth)
+        number = {id(e): i for i, e in enumerate(elements)}
+        self.parent = np.array([number[id(e.parent)] if e.parent else -1 for e in elements], np.int64)
+        depth = np.array([e.depth for e in elements], np.int64)
+        self.levels = np.searchsorted(depth, np.arange(depth[-1] + 2)).tolist() if elements else []
+        self.entry = np.array([_path_row(n) for e in elements for n in e.names], np.int64)
+        self.entry_n = np.array([len(e.names) for e in elements], np.int64)
+        self.place = np.array([number[id(b.place)] for b in flat], np.int64)
+        self.path_n = np.array([b.place.entries for b in flat], np.int64)
+        self.leaf = np.array([_path_row(b.place.names[-1] if b.place.names else "") for b in flat], np.int64)
         words = Words([b.text.lower().encode() for b in flat])
         self.word = (words.hash >> U(20)).astype(np.int64) % WORD_ROWS
         self.word_n = np.diff(words.first)
@@ -276,14 +341,35 @@ class Inputs:
         ], axis=1).astype(np.float32) if flat else np.zeros((0, NUMBERS), np.float32)
 
 
-def _mean(table: np.ndarray, rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+def _sum(table: np.ndarray, rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sum of each run of ``n`` rows of the table."""
     out = np.zeros((len(n), table.shape[1]), np.float32)
     some = np.flatnonzero(n)
     if len(some):
-        out[some] = np.add.reduceat(table[rows], (np.cumsum(n) - n)[some], axis=0) / n[some][:, None].astype(np.float32)
+        out[some] = np.add.reduceat(table[rows], (np.cumsum(n) - n)[some], axis=0)
     return out
 
 
+def _mean(table: np.ndarray, rows: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return _sum(table, rows, n) / np.maximum(n, 1)[:, None].astype(np.float32)
+
+
+def _path_means(table: np.ndarray, x: Inputs) -> np.ndarray:
+    """Mean vector of all entries around each block."""
+    total = _sum(table, x.entry, x.entry_n)
+    for a, b in zip(x.levels[1:], x.levels[2:]):
+        total[a:b] += total[x.parent[a:b]]
+    return total[x.place] / np.maximum(x.path_n, 1)[:, None].astype(np.float32)
+
+
+def _path_gradient(d: np.ndarray, x: Inputs) -> np.ndarray:
+    """Gradient of the path table, from that of the blocks' means."""
+    total = sum_rows(x.place, d / np.maximum(x.path_n, 1)[:, None].astype(np.float32), len(x.parent))
+    for a, b in reversed(list(zip(x.levels[1:], x.levels[2:]))):
+        np.add.at(total, x.parent[a:b], total[a:b])
+    return sum_rows(x.entry, np.repeat(total, x.entry_n, axis=0), PATH_ROWS)
+
+
 class Network:
     def __init__(self, seed: int = 1):
         rnd, f32 = np.random.default_rng(seed), np.float32
@@ -297,7 +383,7 @@ class Network:
     def forward(self, x: Inputs, keep: bool = False):
         """Logit of each block."""
         w = self.weights
-        v = np.concatenate([_mean(w["path"], x.path, x.path_n), w["leaf"][x.leaf], _mean(w["word"], x.word, x.word_n), x.numbers], axis=1)
+        v = np.concatenate([_path_means(w["path"], x), w["leaf"][x.leaf], _mean(w["word"], x.word, x.word_n), x.numbers], axis=1)
         p = np.zeros((*x.shape, 8 * STATE), np.float32)
         p[x.step, x.page] = v @ w["x"] + w["b"]
         real = np.zeros(x.shape, np.float32)
@@ -321,7 +407,7 @@ class Network:
         g["x"], g["b"] = v.T @ d_p, d_p.sum(axis=0, keepdims=True)
         d_v = d_p @ w["x"].T
         spread = lambda part, n: np.repeat(part / np.maximum(n, 1)[:, None].astype(np.float32), n, axis=0)
-        g["path"] = sum_rows(x.path, spread(d_v[:, :VECTOR], x.path_n), PATH_ROWS)
+        g["path"] = _path_gradient(d_v[:, :VECTOR], x)
         g["leaf"] = sum_rows(x.leaf, d_v[:, VECTOR:2 * VECTOR], PATH_ROWS)
         g["word"] = sum_rows(x.word, spread(d_v[:, 2 * VECTOR:3 * VECTOR], x.word_n), WORD_ROWS)
         return g

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import numpy as np
 import pytest
@@ -68,3 +69,46 @@ def test_gradients_match_differences(name):
     down = float(net.forward(x).sum())
     w[at] = old
     assert abs((up - down) / 2e-2 - g[name][at]) < 1e-2 * max(0.05, abs(g[name][at]))
+
+
+def test_path_gradient_matches_differences():
+    net = ht.Network()
+    net.weights = {k: v.astype(np.float64) for k, v in net.weights.items()}
+    x = ht.Inputs([ht.blocks('<div class="a b">one two<p>three<section><div>four</div></section>five</div>'), ht.blocks("<li>five")])
+    _, kept = net.forward(x, keep=True)
+    g = net.gradients(x, kept, np.ones(len(x.page)))["path"]
+    at = np.unravel_index(np.argmax(np.abs(g)), g.shape)
+    old = net.weights["path"][at]
+    sums = []
+    for step in (1e-2, -1e-2):
+        net.weights["path"][at] = old + step
+        sums.append(float(net.forward(x).sum()))
+    assert abs((sums[0] - sums[1]) / 2e-2 - g[at]) < 1e-2 * max(0.05, abs(g[at]))
+
+
+def test_path_means_are_those_of_whole_paths():
+    page = '<article id=m>' + "".join(f'<div class="{" ".join(f"c{i}x{j}" for j in range(10))}">t{i}' for i in range(9)) + "<p>end"
+    b, net = ht.blocks(page), ht.Network()
+    assert all(x.path[:2] == ("article", ".m") for x in b) and len(b[-1].path) == 2 + 9 * 11 + 1
+    x = ht.Inputs([b])
+    want = [net.weights["path"][[ht._path_row(e) for e in k.path]].mean(axis=0) for k in b]
+    assert np.allclose(ht._path_means(net.weights["path"], x), want, atol=1e-5) and ht._marked(b[-1].place) == 1.0
+
+
+def test_raw_text_and_quoted_attributes():
+    texts = lambda page: [b.text for b in ht.blocks(page)]
+    assert texts('<script>var a="<!--";</script><article><p>text') == ["text"]
+    assert texts("<style>a:before{content:'<!--'}</STYLE ><p>x<textarea><!-- </textarea>y") == ["xy"]
+    assert texts('<svg><script>"</svg>"</script>no</svg><p>yes') == ["yes"]
+    assert texts("""<p title="x>y">hello <b data-a='1>2' c="<i>">w</b>""") == ["hello w"]
+    assert texts("<p title=it's>one</p><p don't>two") == ["one", "two"] and texts('<p title="x>never closed') == ["never closed"]
+
+
+@pytest.mark.parametrize("page", ["<div>" * 100_000 + "</b>" * 100_000, "<" + "a" * 1_000_000, "<a " * 300_000, "<b>x<h1>y" * 100_000,
+                                  "<div>a" * 150_000, "<p x='" * 200_000, "<!-" * 300_000, "<script>" * 120_000, "<span>" * 80_000 + "<li>z" * 80_000],
+                         ids=["unmatched", "name", "open", "headings", "deep", "quotes", "comments", "scripts", "spans"])
+def test_long_pages_take_time_by_their_size(page):
+    start = time.process_time()
+    b = ht.blocks(page)
+    ht.Network().forward(ht.Inputs([b]))
+    assert time.process_time() - start < 20
