@@ -36,6 +36,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import count
 from math import isqrt
 
 import numpy as np
@@ -96,7 +97,7 @@ _WORD = re.compile(rf"(?<!\w){_UPPER}{_NAME}(?!\w)")
 CUES = ("my name is ", "My name is ", "ich heiße ", "Ich heiße ", "mein Name ist ", "Mein Name ist ", "je m'appelle ", "Je m'appelle ",
         "me llamo ", "Me llamo ", "mi nombre es ", "Mi nombre es ", "меня зовут ", "Меня зовут ")
 PATTERNS: dict[str, re.Pattern] = {
-    "email": re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"),
+    "email": re.compile(r"@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"),  # the local part is read from the @ to the left
     "iban": re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)"),
     "card": re.compile(r"(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]|\.\d)"),
     "ssn": re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"),
@@ -107,6 +108,8 @@ PATTERNS: dict[str, re.Pattern] = {
 }
 KINDS = tuple(PATTERNS)
 
+#: Symbols of the local part of an address.
+_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _LOWER, _CAPITAL, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _VOWELS = {"latin": "aeiou", "cyrillic": "аеиоуыэюя"}
 _CONSONANTS = {"latin": "bcdfghjklmnpqrstvwxyz", "cyrillic": "бвгджзклмнпрстфхцчшщ"}
@@ -248,15 +251,14 @@ def surrogate(kind: str, value: str, key: bytes, draw: int = 0) -> str:
     return scramble(value.translate(_PLAIN) if _script(value) == "latin" else value, _NAME_SETS, key, f"{tweak}|{_script(value)}")
 
 
-def widened(kind: str, value: str, key: bytes) -> str:
-    """Surrogate of a longer format, for a format that is used up."""
+def drawn(kind: str, value: str, key: bytes, draw: int) -> str:
+    """The surrogate of a draw; from draw ``ROUNDS`` on, the format is taken for used up and grows with each draw."""
+    longer = draw - ROUNDS + 1
+    if longer < 1 or kind in ("card", "iban", "ipv4", "given"):  # far larger than any corpus, or permuted whole
+        return surrogate(kind, value, key, draw)
     if kind == "email":
-        return surrogate(kind, value.replace("@", ".aaaaaa@"), key)
-    if kind in ("phone", "ssn"):
-        return surrogate(kind, value + "0000", key)
-    if kind in ("card", "iban", "ipv4", "given"):  # far larger than any corpus, or permuted whole
-        return surrogate(kind, value, key, ROUNDS)
-    return surrogate(kind, value + "aaaa", key)
+        return surrogate(kind, value.replace("@", ".aaaaaa" * longer + "@"), key)
+    return surrogate(kind, value + ("0000" if kind in ("phone", "ssn") else "aaaa") * longer, key)
 
 
 def dress(kind: str, mention: str, replace: Callable[[str, str], str]) -> str:
@@ -274,6 +276,20 @@ def dress(kind: str, mention: str, replace: Callable[[str, str], str]) -> str:
     return "".join(c if c in " -.()" or c in keep else next(symbols) for c in mention) + "".join(symbols)
 
 
+def _emails(text: str):
+    """Spans of addresses; each symbol is looked at once for an @ to its right and once for one to its left."""
+    over, at = 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > over and text[start - 1] in _LOCAL:
+            start -= 1
+        m = PATTERNS["email"].match(text, at) if start < at else None
+        if m:
+            yield start, m.end()
+        over = m.end() if m else at + 1
+        at = text.find("@", over)
+
+
 def mentions(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the mentions, leftmost first, without overlaps (kinds in their order win).
 
@@ -283,9 +299,9 @@ def mentions(text: str) -> list[tuple[int, int, str]]:
     for rank, (kind, pattern) in enumerate(PATTERNS.items()):
         if kind == "email" and "@" not in text or kind not in ("email", "person") and not digits:
             continue
-        for m in pattern.finditer(text):
-            if entity_values(kind, m[0]):
-                found.append((m.start(), rank, m.end(), kind))
+        for start, end in _emails(text) if kind == "email" else map(re.Match.span, pattern.finditer(text)):
+            if entity_values(kind, text[start:end]):
+                found.append((start, rank, end, kind))
     out, over = [], 0
     for start, _, end, kind in sorted(found):
         if start >= over:
@@ -354,20 +370,20 @@ def exceptions(entities: DataFrame, key: bytes) -> DataFrame:
     """kind, value, surrogate of the entities whose first surrogate collides, with the draw that does not."""
     spark = entities.sparkSession
 
-    def drawn(draw: int):
+    def drawing(draw: int):
         def run(batches):
             for b in batches:
                 kinds, values = b.column("kind").to_pylist(), b.column("value").to_pylist()
                 yield pa.RecordBatch.from_pydict({"kind": b.column("kind"), "value": b.column("value"), "surrogate": pa.array(
-                    [surrogate(k, v, key, draw) for k, v in zip(kinds, values)], pa.string())})
+                    [drawn(k, v, key, draw) for k, v in zip(kinds, values)], pa.string())})
         return run
 
     schema = "kind string, value string, surrogate string"
     family = F.when(F.col("kind").startswith("given-"), "surname").otherwise(F.col("kind"))
     taken = entities.select(family.alias("family"), F.col("value").alias("surrogate")).distinct()
     settled, open_ = None, entities
-    for draw in range(ROUNDS):
-        now = shared_table(spark, map_arrow(open_, drawn(draw), schema).withColumn("family", family), "draws")
+    for draw in count():  # each draw is checked, and the formats grow in the end
+        now = shared_table(spark, map_arrow(open_, drawing(draw), schema).withColumn("family", family), "draws")
         first = now.groupBy("family", "surrogate").agg(F.min(F.struct("kind", "value")).alias("top"))
         # given names are permuted within their list, so each is somebody's surrogate; only doubles count there
         seen = taken if settled is None else taken.union(settled.select("family", "surrogate"))
@@ -379,13 +395,7 @@ def exceptions(entities: DataFrame, key: bytes) -> DataFrame:
         open_ = judged.where("free IS NULL").select("kind", "value")
         if open_.isEmpty():
             break
-    def wide(batches):
-        for b in batches:
-            pairs = list(zip(b.column("kind").to_pylist(), b.column("value").to_pylist()))
-            yield pa.RecordBatch.from_pydict({"kind": b.column("kind"), "value": b.column("value"),
-                                              "surrogate": pa.array([widened(k, v, key) for k, v in pairs], pa.string())})
-
-    return settled.where("draw > 0").select("kind", "value", "surrogate").union(map_arrow(open_, wide, schema))
+    return settled.where("draw > 0").select("kind", "value", "surrogate")
 
 
 def _entity_key(kind: str, value: str) -> int:

@@ -1,5 +1,7 @@
+import random
 import re
 import string
+import time
 
 from helpers import ODD_ROWS, SF, frame
 
@@ -85,3 +87,29 @@ def test_operator_on_documents_and_odd_rows(spark):
         for s, e, _ in sg.mentions(t):
             assert t[s:e] not in rewritten(t)
     assert sg.replace_personal_data(frame(spark, []), KEY, count_col=None).count() == 0
+
+
+def test_addresses_as_by_one_pattern():
+    plain = re.compile(r"[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
+    rnd = random.Random(5)
+    texts = ["a@b.com.x@y.org", "a@@b.co", "@b.co", "a@b.co@c.de", "x a@b-.c1.ab2 y"] + ["".join(rnd.choices("ab1.-_@ @.é", k=30)) for _ in range(20_000)]
+    for text in texts:
+        assert list(sg._emails(text)) == [m.span() for m in plain.finditer(text)], text
+
+
+def test_long_runs_take_time_by_their_size():
+    for text in ("a" * 1_000_000 + " @", "a@" * 500_000, "a@" + "b." * 500_000 + "1", "a@" + "b" * 1_000_000, "1" * 1_000_000, "Ab" * 500_000):
+        start = time.process_time()
+        sg.mentions(text)
+        assert time.process_time() - start < 10, text[:9]
+
+
+def test_widened_surrogates_are_checked_too(spark, monkeypatch):
+    monkeypatch.setattr(sg, "ROUNDS", 1)
+    short = [("surname", a + b) for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou"]  # their format is used up
+    longer = [("surname", sg.drawn("surname", v, KEY, 1)) for _, v in short[:20]]  # and so are some of the wider surrogates
+    entities = spark.createDataFrame(sorted({*short, *longer}), "kind string, value string")
+    odd = {r.value: r.surrogate for r in sg.exceptions(entities, KEY).collect()}
+    new = {v: odd.get(v) or sg.surrogate("surname", v, KEY) for _, v in {*short, *longer}}
+    assert len(set(new.values())) == len(new) and not set(new.values()) & set(new)
+    assert all(len(new[v]) > 2 for _, v in short)
