@@ -1,8 +1,12 @@
 import base64
+import binascii
 import hashlib
 import json
 import random
 import re
+import time
+
+import pytest
 
 from helpers import ODD_ROWS, SF, data, frame
 
@@ -70,3 +74,72 @@ def test_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     want = sorted(((r.doc_id, digest(brute(r.text))) for r in docs.collect()), key=str)
     assert data(secrets.scan_secrets(docs), "doc_id", "base_sha256") == want
+
+
+JWT = re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.(eyJ[A-Za-z0-9_-]+)\.[A-Za-z0-9_-]+")
+PEM = re.compile(rb"-----BEGIN ([A-Z0-9]+ )*PRIVATE KEY-----[ \t]*+\r?+\n?+"
+                 rb"((?:[A-Za-z0-9-]++:[^\r\n]*+\r?+\n(?:[ \t][^\r\n]*+\r?+\n)*+)*+)([A-Za-z0-9+/=\s]++)-----END ")
+
+
+def part(data):
+    try:
+        found = json.loads(base64.urlsafe_b64decode(data + b"=" * (-len(data) % 4)))
+    except (binascii.Error, ValueError):
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+def plain_spans(raw):
+    """Tokens and keys by one pattern each, tried at every place."""
+    out, over = [], 0
+    for m in map(lambda i: JWT.match(raw, i), range(len(raw))):
+        if m and m.start() >= over and "alg" in part(m[1]) and (part(m[2]) or b64(b"{}") == m[2]):
+            out.append((m.start(), "jwt", over := m.end()))
+    over = 0
+    for m in map(lambda i: PEM.match(raw, i), range(len(raw))):
+        if m and m.start() >= over:
+            try:
+                body = base64.b64decode(b"".join(m[3].split()), validate=True)
+            except (binascii.Error, ValueError):
+                continue
+            sealed = re.search(rb"^Proc-Type:[ \t]*4,[ \t]*ENCRYPTED\b.*^DEK-Info:", m[2], re.M | re.S)
+            if body and len(body) % 8 == 0 if sealed else body[:1] == b"0" or m[1] == b"OPENSSH " and body.startswith(secrets.OPENSSH_MAGIC):
+                out.append((m.start(), "pem", over := m.end()))
+    return sorted(out)
+
+
+def b64(data):
+    return base64.urlsafe_b64encode(data).rstrip(b"=")
+
+
+PIECES = {
+    "jwt": [b64(b'{"alg":"x"}'), b64(b'{"typ":1, "alg":[{"a":1}]} '), b64(b'{"a":2}'), b64(b'{"alg":"\xff"}'), b64(b'{"alg":"\xc3\xa9"}'), b"eyJ", b"eyJhbGc",
+            b64(b'{"x":"'), b"x", b"-_", b64(b'\xff{"alg":1}')[1:], b".", b".", b".", b" ", b"eyJ9"],
+    "pem": [b"-----BEGIN PRIVATE KEY-----", b"-----BEGIN RSA PRIVATE KEY-----\n", b"-----BEGIN OPENSSH PRIVATE KEY-----\r\n", b"\n", b"\n", b"A: b\n", b"A:",
+            b"Proc-Type: 4,ENCRYPTED\n", b"Proc-Type: 4,ENCRYPTED", b"DEK-Info: x\n", b"DEK-Info:", b" more\n", b"MAAAAAAA", b"MAAAAAAAAAA=", b"AAAAAAAAAAA=",
+            base64.b64encode(secrets.OPENSSH_MAGIC + b"k"), b"-----END RSA", b"-----END ", b"-----END ", b"\r"],
+}
+
+
+@pytest.mark.parametrize("kind", PIECES)
+def test_checked_kinds_equal_plain_patterns(kind):
+    rnd, found = random.Random(3), 0
+    for _ in range(6000):
+        raw = b"".join(rnd.choices(PIECES[kind], k=rnd.randint(2, 12)))
+        want = plain_spans(raw)
+        assert [(s, k, e) for s, k, e in secrets.byte_spans(raw) if k in ("jwt", "pem")] == want, raw
+        found += len(want)
+    assert found > 20
+
+
+TAIL = b"." + b64(b'{"a":1}') + b".x"
+
+
+@pytest.mark.parametrize("raw", [b"eyJ" * 333_000, b"eyJ" * 333_000 + TAIL, b64(b'{"a":1,' * 120_000) + TAIL, b"eyJa." * 200_000,
+                                 b"-----BEGIN PRIVATE KEY-----\nA:b\n" * 30_000, b"A:-----BEGIN PRIVATE KEY-----\n" * 33_000,
+                                 b"-----BEGIN PRIVATE KEY-----A:" * 33_000, b"-----BEGIN " + b"A " * 500_000, b"password=" * 110_000, b"a" * 1_000_000],
+                         ids=["run", "head", "json", "parts", "headers", "chain", "line", "open", "assign", "hex"])
+def test_long_texts_take_time_by_their_size(raw):
+    start = time.process_time()
+    secrets.byte_spans(raw)
+    assert time.process_time() - start < 10
