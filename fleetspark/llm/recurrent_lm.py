@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +40,13 @@ from fleetspark.llm.hashing import U, Words, mix
 
 VOCABULARY, GROUPS, CLASSES, STATE = 1000, 64, 33, 16
 HEAD = 1 << 19
+#: Leading hash bits by which the head table is entered.
+HEAD_BITS = 20
 STEPS, LANES, SCORE_LANES = 32, 256, 512
+#: Tokens of one scoring step: few open lanes (long texts) take longer windows.
+SCORE_ROWS = 1 << 14
+#: Largest logit whose exponential is taken as it is (float32 ends at 88).
+SAFE_LOGIT = 80.0
 SEED_TEXTS, SEED_RATE, RATE = 2000, 0.02, 0.004
 #: Tasks that average the weights of all tasks; the driver averages their results.
 AVERAGERS = 8
@@ -72,10 +78,12 @@ def count_tokens(train: DataFrame) -> DataFrame:
         for part in chunks(batches, "raw"):
             h, g, _ = _tokens(part)
             word, at, n = np.unique(h, return_index=True, return_counts=True)
-            group = np.concatenate([held[1], g[at]])
-            both, at, place = np.unique(np.concatenate([held[0], word]), return_index=True, return_inverse=True)
-            held = [both, group[at], np.bincount(place, np.concatenate([held[2], n]), len(both)).astype(np.int64)]
-            if len(both) > 1_000_000:
+            place = np.searchsorted(held[0], word)
+            known = place < len(held[0])
+            known[known] = held[0][place[known]] == word[known]
+            held[2][place[known]] += n[known]
+            held = [np.insert(old, place[~known], new[~known]) for old, new in zip(held, (word, g[at], n))]
+            if len(held[0]) > 1_000_000:
                 yield _counts(held)
                 held = [np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64)]
         yield _counts(held)
@@ -102,6 +110,11 @@ class Lexicon:
     ident: np.ndarray
     n_ids: int
     mass: np.ndarray
+    #: First place in ``word`` by leading hash bits.
+    start: np.ndarray = field(init=False, repr=False)
+
+    def __post_init__(self):
+        self.start = np.searchsorted(self.word, np.arange(1 << HEAD_BITS, dtype=U) << U(64 - HEAD_BITS)).astype(np.int32)
 
     @property
     def base_divisor(self) -> float:
@@ -115,7 +128,14 @@ class Lexicon:
         """Place of each hash in the head table, or -1."""
         if not len(self.word):
             return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.word, h), len(self.word) - 1)
+        last = len(self.word) - 1
+        at = np.minimum(self.start[(h >> U(64 - HEAD_BITS)).astype(np.int64)], last)
+        below = np.flatnonzero(self.word[at] < h)
+        while len(below):  # a few words share their leading bits
+            at[below] += 1
+            below = below[at[below] <= last]
+            below = below[self.word[at[below]] < h[below]]
+        at = np.minimum(at, last)
         return np.where(self.word[at] == h, at, -1)
 
     def ids(self, place: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -160,6 +180,25 @@ def build_lexicon(counts: DataFrame) -> tuple[Lexicon, int]:
     return Lexicon(word, count, total["t"] or 0, total["v"] or 0, g_total, g_distinct, ident, n_ids, mass), least
 
 
+def _log_softmax(w: np.ndarray, b: np.ndarray, states: np.ndarray, own: np.ndarray, safe: bool, gradient: bool):
+    """Log probability of each column's own row, and (with ``gradient``) the gradient of the logits (m, n).
+
+    ``states`` is (STATE, n): sums over the m choices then run along whole rows."""
+    e = w @ states
+    e += b[:, None]
+    if not safe:
+        e -= e.max(axis=0)
+    r = np.arange(states.shape[1])
+    mine = e[own, r]
+    np.exp(e, out=e)
+    total = e.sum(axis=0)
+    if not gradient:
+        return mine - np.log(total), None
+    e /= total
+    e[own, r] -= 1
+    return mine - np.log(total), e
+
+
 class Network:
     """Weights and passes of the model; classes split the ids, by mass, into parts of about equal mass."""
 
@@ -197,56 +236,60 @@ class Network:
         """Natural log probability of each target; with ``gradients``, also fills them and returns the gradient of h."""
         w, n = self.weights, len(target)
         of = self.of[target]
-        logits = h @ w["wc"] + w["bc"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        rows = np.arange(n)
-        out = logits[rows, of] - np.log(total)
+        order = np.argsort(of.astype(np.int16), kind="stable")  # by class, so that each class is a slice
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(self.members)))])
+        h, of, place = h[order], of[order], self.place[target[order]]
+        states = np.ascontiguousarray(h.T)
+        # states lie within -1..1, which bounds every logit
+        safe = max(float((np.abs(w["wo"]).sum(axis=1) + np.abs(w["bo"][:, 0])).max()), float((np.abs(w["wc"]).sum(axis=0) + np.abs(w["bc"][0])).max())) <= SAFE_LOGIT
+        logs, d = _log_softmax(w["wc"].T, w["bc"][0], states, of, safe, gradients is not None)
         d_h = None
         if gradients is not None:
-            d = e / total[:, None]
-            d[rows, of] -= 1
-            gradients["wc"], gradients["bc"] = h.T @ d / n, d.sum(axis=0, keepdims=True) / n
-            d_h = d @ w["wc"].T
+            gradients["wc"], gradients["bc"] = (d @ h).T / n, d.sum(axis=1)[None, :] / n
+            d_h = d.T @ w["wc"].T
             gradients["wo"], gradients["bo"] = np.zeros_like(w["wo"]), np.zeros_like(w["bo"])
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(len(self.members) + 1))
         for c, m in enumerate(self.members):
-            at = order[cuts[c]:cuts[c + 1]]
-            if not len(at) or len(m) == 1:
+            at = slice(cuts[c], cuts[c + 1])
+            if at.start == at.stop or len(m) == 1:
                 continue
-            hc = h[at]
-            logits = hc @ w["wo"][m].T + w["bo"][m, 0]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(axis=1)
-            own, r = self.place[target[at]], np.arange(len(at))
-            out[at] += logits[r, own] - np.log(total)
+            more, d = _log_softmax(w["wo"][m], w["bo"][m, 0], states[:, at], place[at], safe, gradients is not None)
+            logs[at] += more
             if gradients is not None:
-                d = e / total[:, None]
-                d[r, own] -= 1
-                gradients["wo"][m], gradients["bo"][m, 0] = d.T @ hc / n, d.sum(axis=0) / n
-                d_h[at] += d @ w["wo"][m]
-        return out if gradients is None else (out, d_h / n)
+                gradients["wo"][m], gradients["bo"][m, 0] = d @ h[at] / n, d.sum(axis=1) / n
+                d_h[at] += d.T @ w["wo"][m]
+        out = np.empty_like(logs)
+        out[order] = logs
+        if gradients is None:
+            return out
+        back = np.empty_like(d_h)
+        back[order] = d_h / np.float32(n)
+        return out, back
 
     def train(self, ids: np.ndarray, optimizer: Adam) -> None:
         """One pass over a stream of ids (each text followed by its end), in lanes with the state carried on."""
         lanes = min(LANES, max(1, len(ids) // (4 * STEPS)))
-        length = len(ids) // lanes
+        length = -(-len(ids) // lanes)
         if not length:
             return
-        target = ids[:lanes * length].reshape(lanes, length).T
+        target = np.zeros(lanes * length, ids.dtype)
+        target[:len(ids)] = ids
+        target = target.reshape(lanes, length).T
+        real = (np.arange(lanes * length) < len(ids)).reshape(lanes, length).T  # the last lanes may end before the others
         source = np.concatenate([np.zeros((1, lanes), ids.dtype), target[:-1]])
         h = np.zeros((lanes, STATE), np.float32)
         for t in range(0, length, STEPS):
-            x, y = source[t:t + STEPS], target[t:t + STEPS]
+            x, y = source[t:t + STEPS], target[t:t + STEPS].ravel()
+            at = np.flatnonzero(real[t:t + STEPS])
             fresh = x == 0
             states, kept = gru_forward(self.weights["x"][x], self.weights["u"], h, fresh, keep=True)
             gradients: dict[str, np.ndarray] = {}
-            _, d_h = self.output(states.reshape(-1, STATE), y.ravel(), gradients)
+            if len(at) == len(y):
+                _, d_h = self.output(states.reshape(-1, STATE), y, gradients)
+            else:
+                d_h = np.zeros((len(y), STATE), np.float32)
+                d_h[at] = self.output(states.reshape(-1, STATE)[at], y[at], gradients)[1]
             d_x, gradients["u"] = gru_backward(d_h.reshape(states.shape), self.weights["u"], kept, fresh)
-            gradients["x"] = sum_rows(x.ravel(), d_x.reshape(-1, 3 * STATE), len(self.weights["x"]))
+            gradients["x"] = sum_rows(x.ravel().astype(np.min_scalar_type(len(self.of))), d_x.reshape(-1, 3 * STATE), len(self.weights["x"]))
             optimizer.step(gradients)
             h = states[-1]
 
@@ -260,22 +303,26 @@ class Network:
             heapq.heappush(lanes, (load + int(sizes[d]), k, mine))
         lanes.sort(key=lambda x: -x[0])
         loads = np.array([x[0] for x in lanes])
-        source, target = np.zeros((loads[0], len(lanes)), np.int32), np.zeros((loads[0], len(lanes)), np.int32)
-        doc = np.full((loads[0], len(lanes)), -1, np.int32)
-        for k, (load, _, mine) in enumerate(lanes):
-            target[:load, k] = np.concatenate([ids[bounds[d]:bounds[d + 1]] for d in mine])
-            doc[:load, k] = np.repeat(mine, sizes[mine])
-        source[1:] = target[:-1]
+        first = np.concatenate([[0], np.cumsum(loads)[:-1]])
+        # lane after lane, as long as the texts together; every text follows an end, so each starts from 0
+        texts = np.array([d for _, _, mine in lanes for d in mine], np.int64)
+        doc = np.repeat(texts, sizes[texts])
+        target = ids[np.arange(len(doc)) + np.repeat(bounds[texts] - np.concatenate([[0], np.cumsum(sizes[texts])[:-1]]), sizes[texts])]
+        source = np.concatenate([np.zeros(1, ids.dtype), target[:-1]])
         out = np.zeros(len(sizes))
         h = np.zeros((len(lanes), STATE), np.float32)
-        for t in range(0, len(source), STEPS):
-            open_lanes = int(np.searchsorted(-loads, -t, "left"))
-            x, y, of = (m[t:t + STEPS, :open_lanes] for m in (source, target, doc))
-            states = gru_forward(self.weights["x"][x], self.weights["u"], h[:open_lanes], x == 0)
-            real = (of >= 0).ravel()
-            logs = self.output(states.reshape(-1, STATE)[real], y.ravel()[real])
-            out += np.bincount(of.ravel()[real], logs, len(out))
-            h = states[-1]
+        t = 0
+        while t < loads[0]:
+            n = int(np.searchsorted(-loads, -t, "left"))  # lanes still open
+            steps = min(max(STEPS, SCORE_ROWS // n), max(STEPS, int(loads[(n - 1) // 2]) - t), int(loads[0]) - t)
+            step = t + np.arange(steps)[:, None]
+            real = step < loads[:n]
+            at = np.where(real, first[:n] + step, first[:n])
+            x = source[at]
+            states = gru_forward(self.weights["x"][x], self.weights["u"], h[:n], x == 0)
+            at = at[real]
+            out += np.bincount(doc[at], self.output(states[real], target[at]), len(out))
+            h, t = states[-1], t + steps
         return out
 
 
@@ -313,10 +360,11 @@ def _fit(train: DataFrame, lexicon: Lexicon) -> Network:
     texts = train.count()
     if not texts:
         return net
-    sample = hash_sample(train, F.xxhash64("raw"), SEED_TEXTS, texts).repartition(1)
+    draw = F.xxhash64("id", "raw")  # copies of one text are drawn apart, and trained on in a fixed order
+    sample = hash_sample(train, draw, SEED_TEXTS, texts).repartition(1).sortWithinPartitions(draw, "raw").select("raw")
     first = map_arrow(sample, passes(None, SEED_RATE), schema).collect()
     start = np.frombuffer(first[0]["weights"], np.float32) if first else net.flat()
-    trained = map_arrow(train, passes(start, RATE), schema)
+    trained = map_arrow(train.select("raw"), passes(start, RATE), schema)
     rows = map_arrow(trained.repartition(AVERAGERS), average, schema).collect()
     weight = sum(r["tokens"] for r in rows)
     net.load(sum(np.frombuffer(r["weights"], np.float32).astype(np.float64) * (r["tokens"] / weight) for r in rows))
@@ -328,8 +376,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     held_out = F.coalesce(remainder(id_col, folds) == held_fold, F.lit(False))
     src = docs.select(F.col(id_col), held_out.alias("held_out"), utf8(text_col).alias("raw"))
-    train = src.where(~F.col("held_out")).select("raw")
-    counts = shared_table(spark, count_tokens(train), "tokens")
+    train = src.where(~F.col("held_out")).select(F.col(id_col).alias("id"), "raw")
+    counts = shared_table(spark, count_tokens(train.select("raw")), "tokens")
     lexicon, least = build_lexicon(counts)
     network = _fit(train, lexicon)
     shared = spark.sparkContext.broadcast((lexicon, network))

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -86,3 +87,46 @@ def test_gradients_match_differences():
         down = loss()
         w[at] = old
         assert abs((up - down) / 2e-2 - g[name][at]) < 2e-4, name
+
+
+def test_large_logits_give_the_same_shares():
+    net = network()
+    h = np.tanh(np.random.default_rng(4).normal(size=(50, lm.STATE))).astype(np.float32)
+    target = np.arange(50) % 40
+    plain = net.output(h, target)
+    net.weights["bo"] = net.weights["bo"] + np.float32(lm.SAFE_LOGIT + 20)  # a shift of all logits changes no share
+    assert np.allclose(net.output(h, target), plain, atol=1e-3)
+
+
+def test_every_token_is_trained_on():
+    ids = np.random.default_rng(7).integers(1, 40, 4 * lm.STEPS * 3 + 2)  # three lanes, two tokens over
+    for at in (len(ids) - 1, len(ids) - 2):
+        other = ids.copy()
+        other[at] = ids[at] % 39 + 1
+        a, b = network(), network()
+        a.train(ids, lm.Adam(a.weights, 0.01))
+        b.train(other, lm.Adam(b.weights, 0.01))
+        assert not np.array_equal(a.flat(), b.flat()), at
+
+
+def test_a_long_text_among_short_ones_takes_memory_by_its_tokens():
+    net, rnd = network(), np.random.default_rng(8)
+    texts = [np.append(rnd.integers(1, 40, 60_000), 0)] + [np.array([0])] * 600
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    tracemalloc.start()
+    got = net.score(np.concatenate(texts), bounds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+    assert np.allclose(got[1:], got[1]) and abs(got[0] - net.score(texts[0], np.array([0, len(texts[0])]))[0]) < 1e-3 * abs(got[0])
+
+
+def test_head_look_up():
+    rnd = np.random.default_rng(9)
+    near = (lm.U(5) << lm.U(64 - lm.HEAD_BITS)) + np.arange(40, dtype=lm.U) * lm.U(3)  # forty words of equal leading bits
+    word = np.unique(np.concatenate([rnd.integers(0, 1 << 63, 5000).astype(lm.U) * lm.U(2), near, np.array([1, (1 << 64) - 1], lm.U)]))
+    lex = lm.Lexicon(word, np.ones(len(word), int), 0, 0, np.zeros(1), np.zeros(1), np.full(len(word), -1), 1, np.ones(1))
+    asked = np.concatenate([word, word + lm.U(1), rnd.integers(0, 1 << 63, 5000).astype(lm.U)])
+    place = {w: i for i, w in enumerate(word.tolist())}
+    assert lex.look_up(asked).tolist() == [place.get(w, -1) for w in asked.tolist()]
+    assert lm.Lexicon(word[:0], word[:0], 0, 0, np.zeros(1), np.zeros(1), word[:0], 1, np.ones(1)).look_up(asked).max() == -1
