@@ -56,6 +56,25 @@ def band(c, steps, labels) -> Column:
     return expr.otherwise(labels[0])
 
 
+#: Colour steps of the dashboards by metric. The first label also holds below the first step.
+BANDS = {
+    "soc_percent": ([15, 30, 60], ["dark-red", "orange", "yellow", "green"]),
+    "signal_strength_dbm": ([-90, -70, -50], ["red", "red", "yellow", "green"]),
+    "battery_v": ([11.0, 11.5, 12.2], ["red", "red", "yellow", "green"]),
+    "coolant_temp_c": ([30, 70, 85], ["blue", "green", "yellow", "red"]),
+    "flow_lpm": ([0.5, 1.5], ["red", "yellow", "green"]),
+    "core_temp_c": ([95], ["green", "red"]),
+}
+
+
+def metric_band(metric, value) -> Column:
+    """P25 for rows of (metric, value): the band by the metric's own steps (``BANDS``); other metrics have none."""
+    name, expr = col_of(metric), F.lit(None).cast("string")
+    for key, (steps, labels) in BANDS.items():
+        expr = F.when(name == key, band(value, steps, labels)).otherwise(expr)
+    return expr
+
+
 def fmt_minutes(minutes) -> Column:
     """``CONCAT(FLOOR(m/60), 'h ', MOD(m,60), 'm')``; CONCAT skips NULLs (X-4)."""
     m = col_of(minutes)

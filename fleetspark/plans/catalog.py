@@ -403,6 +403,12 @@ def q_device_list(t: Telemetry) -> DataFrame:
     return fl.device_list(t.power, "device_sn")
 
 
+@query("devices_by_last_seen")
+def q_devices_by_last_seen(t: Telemetry) -> DataFrame:
+    """O3: every device, newest first, those never seen last."""
+    return fl.order_last_seen(t.devices).select("device_id", "device_model", "last_seen")
+
+
 @query("list_devices")
 def q_list_devices(t: Telemetry) -> DataFrame:
     """50 most recently seen devices of one model."""
@@ -524,6 +530,19 @@ def q_value_bands(t: Telemetry) -> DataFrame:
                     fm.band("bms_temp", [30, 70, 85], ["blue", "green", "orange", "red"]).alias("temp_band"))
 
 
+@query("metric_bands")
+def q_metric_bands(t: Telemetry) -> DataFrame:
+    """P25: every dashboard's threshold set, over the long form of measurements, status signal and power rows."""
+    m = t.measurements.select("device_id", "ts", "event_id", F.try_element_at("metrics", F.lit("battery_v")).cast("double").alias("battery_v"),
+                              F.try_element_at("metrics", F.lit("temperature_c")).cast("double").alias("coolant_temp_c"))
+    long = m.select("device_id", "ts", "event_id", F.expr(
+        "stack(4, 'battery_v', battery_v, 'coolant_temp_c', coolant_temp_c, 'core_temp_c', coolant_temp_c, 'flow_lpm', battery_v / 10) AS (metric, value)"))
+    signal = t.status.select("device_id", "ts", "event_id", F.lit("signal_strength_dbm").alias("metric"),
+                             F.try_element_at("status", F.lit("signal_strength_dbm")).cast("double").alias("value"))
+    rows = long.unionByName(signal).where("value IS NOT NULL")
+    return rows.select("device_id", "ts", "event_id", "metric", fm.metric_band("metric", "value").alias("band"))
+
+
 @query("online_state")
 def q_online_state(t: Telemetry) -> DataFrame:
     """3-way and 2-way online classification of every device."""

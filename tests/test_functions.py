@@ -243,3 +243,14 @@ def test_hash_bucket_property(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(ids)], "i int, s string")
     got = {r.i: r.b for r in df.select("i", hash_bucket("s").alias("b")).collect()}
     assert all(got[i] == _py_bucket(s) for i, s in enumerate(ids))
+
+
+def test_bands_of_every_dashboard_metric(spark):
+    """P25: below, at and above each step of each metric's set; unknown metrics and nulls have no band."""
+    rows, want = [("other", 1.0), ("flow_lpm", None)], [None, None]
+    for metric, (steps, labels) in fm.BANDS.items():
+        for i, step in enumerate(steps):
+            rows += [(metric, step - 0.25), (metric, float(step)), (metric, step + 0.25)]
+            want += [labels[i], labels[i + 1], labels[i + 1]]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, metric string, value double")
+    assert [r.b for r in df.orderBy("i").select(fm.metric_band("metric", "value").alias("b")).collect()] == want
