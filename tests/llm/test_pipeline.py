@@ -14,7 +14,7 @@ from test_quality import brute as rules_brute
 
 def test_registered():
     assert set(queries.QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
@@ -55,7 +55,7 @@ def test_stages_on_an_empty_table(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     df = queries.QUERIES[name](spark, SF)
     res = con.execute(queries.SQL[name])
