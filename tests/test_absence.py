@@ -51,3 +51,24 @@ def test_fires_once_without_a_new_row_and_clears_on_return(spark, scratch):
          .trigger(availableNow=True).start().awaitTermination(300))
     changed = sorted((r.device_id, r.alert, r.at) for r in spark.read.parquet(log).collect() if r.device_id == "a")
     assert [(a, t) for _, a, t in changed if a] == [(True, T0 + timedelta(hours=6))] and [a for _, a, _ in changed].count(False) == 1
+
+
+def _share_states(spark, scratch, kinds, wait):
+    """All rows in two drops, in order of time, into four states; the alerts that stand, and the rows of state."""
+    rnd = random.Random(3)
+    rows = [(f"d{rnd.randint(0, 299)}" if rnd.random() < 0.99 else None, T0 + timedelta(minutes=rnd.randint(0, 6000)), rnd.choice(kinds)) for _ in range(900)]
+    rows.sort(key=lambda r: r[1])
+    folder, snap, ck = (os.path.join(scratch, x) for x in ("in", "snap", "ck"))
+    for i in range(2):
+        spark.createDataFrame(rows[i * 450:(i + 1) * 450], SCHEMA).coalesce(1).write.json(os.path.join(folder, f"c{i}"))
+        stream = spark.readStream.schema(SCHEMA).json(os.path.join(folder, "*"))
+        q = absence_stream(stream, "device_id", "ts", F.col("kind"), wait // timedelta(milliseconds=1), "1 hour", snap, ck, buckets=2, groups=4)
+        q.awaitTermination(300)
+    want = _standing(rows, max(t for _, t, _ in rows) - timedelta(hours=1), wait)
+    got = {r.device_id: r.at for r in read_alerts(spark, snap, "device_id").where("device_id IS NOT NULL").collect()}
+    return got, {k: v for k, v in want.items() if k is not None}, q.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def test_many_keys_share_few_states_with_sightings(spark, scratch):
+    got, want, states = _share_states(spark, scratch, ["arm", "seen", "seen"], timedelta(hours=20))
+    assert got == want and len(want) > 20 and states <= 4
