@@ -72,3 +72,8 @@ def _share_states(spark, scratch, kinds, wait):
 def test_many_keys_share_few_states_with_sightings(spark, scratch):
     got, want, states = _share_states(spark, scratch, ["arm", "seen", "seen"], timedelta(hours=20))
     assert got == want and len(want) > 20 and states <= 4
+
+
+def test_many_keys_share_few_states_with_disarming(spark, scratch):
+    got, want, states = _share_states(spark, scratch, ["arm", "arm", "disarm"], timedelta(hours=20))
+    assert got == want and len(want) > 20 and states <= 4
