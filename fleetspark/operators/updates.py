@@ -15,7 +15,7 @@ the whole message log is folded at once:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fleetspark.functions.jsonmap import MAP_SCHEMA, keep_last
 from fleetspark.functions.util import with_parsed
@@ -138,7 +138,8 @@ def merge_attempts(part: DataFrame) -> DataFrame:
             .select(F.col("device_id").alias("_d"), F.col("_chunk").alias("_c"),
                     F.coalesce(F.sum("_ins").over(wc), F.lit(0)).alias("_off"), "_same"))
     cond = [part["device_id"].eqNullSafe(offs["_d"]), part["_chunk"].eqNullSafe(offs["_c"])]
-    g = (part.join(offs, cond, "left").where(F.col("_same").isNotNull()).drop("_d", "_c", "_same")
+    # offsets number as many as (device, chunk) pairs: left to its estimates Spark would broadcast them to every task
+    g = (part.join(offs.hint("merge"), cond, "left").where(F.col("_same").isNotNull()).drop("_d", "_c", "_same")
          .withColumn("attempt", F.col("_off") + F.col("_local")).where(F.col("attempt") > 0))
     merged = g.groupBy("device_id", "attempt").agg(
         *[F.max(n).alias(n) for n in _STATES], F.max("rep").alias("rep"), F.sum("n").alias("n"))
@@ -149,7 +150,16 @@ def merge_attempts(part: DataFrame) -> DataFrame:
         F.col("rep").alias("reported_at"), F.col("n").alias("messages"))
 
 
-def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 86400) -> DataFrame:
+#: Messages that one task folds at a time, where their number is known.
+TASK_ROWS = 50_000
+
+
+def fold_tasks(spark: SparkSession, rows: int) -> int:
+    """Into how many tasks to deal ``rows`` messages: at most about TASK_ROWS each, and no fewer than run at a time."""
+    return max(spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
+def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 86400, tasks: int | None = None) -> DataFrame:
     """One row per (device, attempt) in the state the message log leaves it.
 
     Input: device_id, kind (status|progress|result), received_at, seq, payload.
@@ -159,9 +169,12 @@ def update_attempts(msgs: DataFrame, seq: str = "seq", chunk_seconds: int = 8640
     are then reduced per (device, chunk, local attempt) into order-keyed
     partial states. Inserts before each chunk come from the partial states too, and
     so does the merge of attempts that span chunks: the messages are read and
-    shuffled once and no device has to fit in one task.
+    shuffled once and no device has to fit in one task. ``tasks`` (see ``fold_tasks``) deals
+    them to that many; without it Spark joins small tasks into as few as run at a time, whose
+    memory then grows with the input.
     """
-    return merge_attempts(attempt_parts(message_effects(msgs, seq, chunk_seconds), seq))
+    effects = message_effects(msgs, seq, chunk_seconds)
+    return merge_attempts(attempt_parts(effects.repartition(tasks, "device_id", "_chunk") if tasks else effects, seq))
 
 
 def ota_event_log(msgs: DataFrame, seq: str = "seq") -> DataFrame:

@@ -648,10 +648,15 @@ def _attempt_columns(df: DataFrame) -> DataFrame:
                      "reported_at", "messages")
 
 
+def _fold_tasks(t: Telemetry, table: str) -> int:
+    """Tasks that fold the messages bound to a table; a count of the table reads no column."""
+    return up.fold_tasks(t.spark, t.src.table(table).count())
+
+
 @query("ingest_update_attempts")
 def q_ingest_update_attempts(t: Telemetry) -> DataFrame:
     """Raw messages -> classify -> OTA messages -> attempts."""
-    return _attempt_columns(up.update_attempts(ms.to_ota(_classified(t), seq="event_id"), chunk_seconds=30 * 86400))
+    return _attempt_columns(up.update_attempts(ms.to_ota(_classified(t), seq="event_id"), chunk_seconds=30 * 86400, tasks=_fold_tasks(t, "events")))
 
 
 @query("ingest_registry")
@@ -680,7 +685,7 @@ def q_migrate_legacy(t: Telemetry) -> DataFrame:
 @query("update_attempts")
 def q_update_attempts(t: Telemetry) -> DataFrame:
     """Update attempts folded from the OTA message log."""
-    return up.update_attempts(t.ota_messages, "seq", chunk_seconds=30 * 86400)
+    return up.update_attempts(t.ota_messages, "seq", chunk_seconds=30 * 86400, tasks=_fold_tasks(t, "orders"))
 
 
 @query("ota_event_log")

@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 
 import __spark_entry__ as E
-from fleetspark.operators import fleet as fl
+from fleetspark.operators import fleet as fl, updates
 from fleetspark.operators.rollout import update_decisions
 from fleetspark.plans import catalog
 from fleetspark.plans.context import Telemetry
@@ -57,3 +57,12 @@ def test_decisions_do_not_shuffle_the_fleet_by_model(spark):
     assert plan.count("sha2") <= 8 and "BroadcastHashJoin" in plan
     fleet = plan[plan.index("BroadcastHashJoin"):]
     assert not re.search(r"hashpartitioning\(device_model#\d+, \d+\), ENSURE_REQUIREMENTS[^\n]*\n[^\n]*_bucket", fleet)
+
+
+def test_attempts_are_folded_in_tasks_that_follow_the_input(spark):
+    assert updates.fold_tasks(spark, 100 * updates.TASK_ROWS) == 100 and updates.fold_tasks(spark, 1) == spark.sparkContext.defaultParallelism
+    t = Telemetry(spark, SF)
+    df = updates.update_attempts(t.ota_messages, "seq", 30 * 86400, tasks=37)
+    plan = final_plan(df)
+    assert re.search(r"hashpartitioning\(device_id#\d+, _chunk#\d+L?, 37\), REPARTITION_BY_NUM", plan) and "Broadcast" not in plan, plan
+    assert sorted(map(str, df.collect())) == sorted(map(str, updates.update_attempts(t.ota_messages, "seq", 30 * 86400).collect()))
