@@ -347,9 +347,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
                   .agg(F.min(F.struct(F.col(f"kept.{id_col}").isNull().alias("last"), F.col(f"kept.{id_col}").alias("id"), "row")).alias("top"))
                   .select(F.col("top.row").alias("row"))
                   .union(found.where("component IS NULL").select("row")).distinct())
-    keyed = docs.withColumn("row_key_of_join", F.xxhash64(F.col(id_col), F.col(text_col)))
-    out = keyed.join(first, keyed.row_key_of_join == first.row, "left_semi")
     # rows that repeat id and text are copies too: one stays; rows without words all stay
-    empty = F.coalesce(F.trim(F.regexp_replace(text_col, "[\\x09-\\x0D]", " ")), F.lit("")) == ""
-    once = out.where(~empty).dropDuplicates(["row_key_of_join"])
-    return once.union(out.where(empty)).drop("row_key_of_join")
+    again = found.where("component IS NOT NULL").groupBy("row").agg(F.count("*").alias("times")).where("times > 1").select("row")
+    chosen = shared_table(spark, first.join(again.withColumn("repeats", F.lit(True)), "row", "left").select("row", F.coalesce("repeats", F.lit(False)).alias("repeats")),
+                          "chosen")
+    keyed = docs.withColumn("row_key_of_join", F.xxhash64(F.col(id_col), F.col(text_col)))
+
+    def among(keys: DataFrame) -> DataFrame:
+        """The rows of those keys, which alone are held in memory; the texts pass by unsorted."""
+        keys = keys.select("row").hint("shuffle_hash")
+        return keyed.join(keys, keyed.row_key_of_join == keys.row, "left_semi")
+
+    once = among(chosen.where("repeats")).dropDuplicates(["row_key_of_join"])
+    return among(chosen.where("NOT repeats")).union(once).drop("row_key_of_join")

@@ -74,3 +74,11 @@ def test_empty_table(spark):
     assert cp.near_duplicates(frame(spark, [])).count() == 0
     assert cp.keep_one(frame(spark, [])).count() == 0
     assert data(cp.near_duplicates(frame(spark, [(3, None, "x")])), "doc_id", "class_id", "copy_id", "n_links") == [(3, 3, 3, 0)]
+
+
+def test_keep_one_sorts_no_texts_and_keeps_one_of_repeated_rows(spark):
+    rows = [(1, "a b c d e f g", "x"), (1, "a b c d e f g", "x"), (2, "p q r s t u v", "x"), (3, "", "x"), (3, "", "x"), (None, "k l m n o", "x"), (None, "k l m n o", "x")]
+    out = cp.keep_one(frame(spark, rows))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in out.collect()) == [(0, "k l m n o"), (1, "a b c d e f g"), (2, "p q r s t u v"), (3, ""), (3, "")]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") >= 2 and "SortMergeJoin" not in plan
