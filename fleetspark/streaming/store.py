@@ -82,12 +82,16 @@ def run_of(spark: SparkSession, checkpoint: str) -> str:
     return files.read(path)
 
 
+def batch_folder(path: str, run: str, batch_id: int) -> str:
+    return os.path.join(path, f"run_id={run}", f"batch_id={batch_id}")
+
+
 def append_batch(df: DataFrame, path: str, run: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Write one micro-batch under ``run_id=R/batch_id=N``; a replay overwrites the same folder."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(os.path.join(path, f"run_id={run}", f"batch_id={batch_id}"))
+    w.parquet(batch_folder(path, run, batch_id))
 
 
 def key_bucket(*cols: str, n: int = KEY_BUCKETS) -> Column:

@@ -98,6 +98,22 @@ def test_update_attempts_stream_equals_batch(spark, scratch):
     assert got == exp
 
 
+def test_set_state_lies_on_disk(spark, scratch):
+    """ST4: the state is in RocksDB, not in maps on the executors' heaps; neither settings nor files of a batch stay behind."""
+    from tests.test_operators import _random_ota
+    schema = "device_id string, kind string, received_at timestamp_ntz, seq long, payload string"
+    rows, folder, ck, snap = _random_ota(n=300, seed=6), os.path.join(scratch, "in"), os.path.join(scratch, "ck"), os.path.join(scratch, "snap")
+    for i in range(2):
+        spark.createDataFrame(rows[i::2], schema).coalesce(1).write.parquet(os.path.join(folder, f"c{i}"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(folder, "*"))
+    update_attempts_stream(stream, snap, checkpoint=ck, buckets=4).awaitTermination(300)
+    kinds = {os.path.splitext(n)[1] for _, _, names in os.walk(os.path.join(ck, "state")) for n in names}
+    assert ".delta" not in kinds and kinds & {".zip", ".changelog"}, kinds
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) is None
+    assert not [n for _, _, names in os.walk(os.path.join(snap, "touched")) for n in names if n.endswith(".parquet")]
+    assert read_snapshot(spark, snap, ["device_id"]).count() == update_attempts(spark.createDataFrame(rows, schema)).count()
+
+
 def test_latest_stream_keeps_newest(spark, scratch):
     """ST5: latest-per-key snapshot over several batches."""
     rows = [(f"d{i % 5}", T0 + timedelta(minutes=i), i, f"cfg{i}") for i in range(60)]
