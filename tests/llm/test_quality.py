@@ -1,3 +1,4 @@
+import re
 from collections import Counter
 
 import numpy as np
@@ -68,3 +69,44 @@ def test_characters_of_a_class_keep_their_own_probability(spark):
     assert rare - common > 2
     for c in range(q.SHARED, q.CLASSES):
         assert abs(np.exp(model.within[q._CLASS == c].astype(float)).sum() - 1) < 1e-3
+
+
+def brute_ppl(texts, text):
+    """Mean negative log probability under 4-grams of folded characters, backing off to the class model that ``below`` gives."""
+    *texts, text = (re.sub("[\t-\r]", " ", re.sub("[0-9]", "0", re.sub("[A-Z]", lambda m: m[0].lower(), t))) for t in [*texts, text])
+    grams = Counter(w[i:i + 4] for t in texts for w in ["   " + t] for i in range(len(t)))
+    n1, n2, n3, n4 = (sum(n == k for n in grams.values()) for k in range(1, 5))
+    y = n1 / (n1 + 2 * n2)
+    d = [min(max(v, 0.05), most) for v, most in ((1 - 2 * y * n2 / n1, 0.95), (2 - 3 * y * n3 / n2 if n2 else 1.0, 1.9), (3 - 4 * y * n4 / n3 if n3 else 1.5, 2.9))]
+    total, left = Counter(), Counter()
+    for g, n in grams.items():
+        total[g[:3]] += n
+        left[g[:3]] += d[min(n, 3) - 1]
+
+    def p(g, below):
+        if not total[g[:3]]:
+            return below
+        return ((grams[g] - d[min(grams[g], 3) - 1] if grams[g] else 0) + left[g[:3]] * below) / total[g[:3]]
+
+    return lambda below: -np.mean([np.log(p(("   " + text)[i:i + 4], below(("   " + text)[i:i + 4]))) for i in range(len(text))])
+
+
+def test_ngrams_are_of_characters_not_of_their_classes(spark, monkeypatch):
+    """Two characters of one class differ in what follows them and in what they follow, also in another slice and beyond 16 bits."""
+    for a, limit in ((0x430, q.SLICE), (0x1F600, 7)):
+        monkeypatch.setattr(q, "SLICE", limit)
+        b = next(i for i in range(a + 1, 0x20000) if q._CLASS[i] == q._CLASS[a])
+        texts = [f"{chr(a)}xyz " * 40 + f"{chr(b)}uvw " * 40, "Other Words, 12 of them; UPPER and lower."]
+        model = q.train(frame(spark, [(i, t, "x") for i, t in enumerate(texts)]))
+        assert (len(model.slices) > 1) == (limit == 7)
+        same, other = q._log_ppl([(f"{x}xyz " * 9).encode() for x in (chr(a), chr(b))], model)
+        assert other - same > 0.5
+
+        def below(gram):
+            code = 0
+            for c in gram:
+                code = code * q.CLASSES + int(q._CLASS[ord(c)])
+            return float(np.exp(model.score(np.array([code], np.uint32))[0].astype(float) + model.within[ord(gram[-1])]))
+
+        for text in (texts[0], texts[1], f"{chr(b)}xyz and 3 New"):
+            assert abs(q._log_ppl([b"", text.encode(), b"zz"], model)[1] - brute_ppl(texts, text)(below)) < 1e-4
